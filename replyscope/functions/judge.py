@@ -103,8 +103,10 @@ def heuristic_dimensions(email: str | Column, candidate: str | Column,
 def heuristic_rationale(email, candidate, sem: Column, cov: Column) -> Column:
     s = signals(email, candidate)
     py_bool = lambda c: F.when(c, F.lit("True")).otherwise(F.lit("False"))
+    two = lambda c: F.rint(c * F.lit(100.0)) / F.lit(100.0)
     return F.format_string("heuristic: sem=%.2f, coverage=%.2f, len=%d, greeting=%s, action=%s",
-                           sem, cov, s["words"], py_bool(s["greeting"]), py_bool(s["action"]))
+                           two(sem), two(cov), s["words"], py_bool(s["greeting"]),
+                           py_bool(s["action"]))
 
 
 def rubric_scores(dims: dict[str, Column], rubric=DEFAULT_RUBRIC) -> list[Column]:

@@ -36,7 +36,7 @@ def case_block(rank: Column, category: Column, score: Column, email: Column,
     is_top = rank == 1
     return F.concat(
         F.lit("--- Example "), rank.cast("string"), F.lit(" (category: "), category,
-        F.lit(", similarity: "), F.format_string("%.2f", score), F.lit(") ---\n"),
+        F.lit(", similarity: "), F.format_string("%.2f", F.rint(score * F.lit(100.0)) / F.lit(100.0)), F.lit(") ---\n"),
         F.lit("Customer: "), email, F.lit("\n"),
         F.lit("Agent reply: "), F.when(is_top, F.lit(TOP_OPEN)).otherwise(F.lit("")),
         reply, F.when(is_top, F.lit(TOP_CLOSE)).otherwise(F.lit("")), F.lit("\n"))

@@ -7,13 +7,20 @@ from pyspark.sql import functions as F
 from ..config import Weights
 
 
+def round_to(value: Column, decimals: int) -> Column:
+    """Round half-even on ``value * 10^d`` (IEEE double arithmetic, so any
+    engine gets the same bits; close to Python's ``round`` on floats)."""
+    scale = float(10 ** decimals)
+    return F.rint(value * F.lit(scale)) / F.lit(scale)
+
+
 def final_score(judge_norm: Column, bert_f1: Column, cosine: Column,
                 weights: Weights = Weights()) -> Column:
     """``round(100 * (wj*judge + wb*f1 + wc*cosine), 2)`` from unrounded
     inputs. ``Weights`` already checked the sum on the driver."""
     raw = (F.lit(weights.llm_judge) * judge_norm + F.lit(weights.bertscore) * bert_f1
            + F.lit(weights.cosine) * cosine)
-    return F.round(F.lit(100.0) * raw, 2)
+    return round_to(F.lit(100.0) * raw, 2)
 
 
 # Decimals of each score-row column.
@@ -24,4 +31,4 @@ ROUNDING = {
 
 
 def rounded(name: str, value: Column) -> Column:
-    return F.round(value, ROUNDING[name]).alias(name)
+    return round_to(value, ROUNDING[name]).alias(name)

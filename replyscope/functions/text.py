@@ -1,8 +1,8 @@
-"""Text column expressions: the two tokenisers, strip, and per-row term
-counting. Everything here is a built-in ``Column`` expression (JVM side)."""
+"""Text column expressions: the two tokenisers and strip. Everything here is
+a built-in ``Column`` expression (JVM side)."""
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Token patterns.
@@ -66,34 +66,20 @@ def unigrams(text: str | Column, stop_words: tuple[str, ...] | None = None) -> C
     return F.filter(toks, lambda x: ~x.isin(*words))
 
 
-def with_bigrams(tokens: Column) -> Column:
-    """Unigrams followed by the bigrams of adjacent tokens (after stop-word
-    removal), joined by a single space."""
-    tail = F.slice(tokens, 2, F.size(tokens))
-    bigrams = F.transform(tail, lambda x, i: F.concat(tokens[i], F.lit(" "), x))
-    return F.concat(tokens, bigrams)
+def bigrams(tokens: Column) -> Column:
+    """Adjacent-token bigrams joined by one space. The lambda only sees its
+    own arguments, so the token array is never re-evaluated per element."""
+    n1 = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.zip_with(F.slice(tokens, 1, n1), F.slice(tokens, 2, n1),
+                      lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def tfidf_terms(text: str | Column, stop_words: tuple[str, ...] | None = None) -> Column:
-    """V2: all uni- and bi-gram terms of a text, in order."""
-    return with_bigrams(unigrams(text, stop_words))
-
-
-def term_counts(terms: Column) -> Column:
-    """Count terms inside one row: ``ARRAY<STRUCT<term STRING, cnt INT>>``.
-
-    Sort, then find where each run of equal terms starts; a run's length is
-    the distance to the next start. O(n log n) per row and no shuffle, so a
-    document's token list never leaves its partition."""
-    s = F.array_sort(terms)
-    n = F.size(s)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (i <= n) & ((i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, i - 1))))
-    counted = F.transform(
-        starts,
-        lambda st, j: F.struct(
-            F.try_element_at(s, st).alias("term"),
-            (F.coalesce(F.try_element_at(starts, j + 2), n + 1) - st).alias("cnt")))
-    return F.when(n > 0, counted).otherwise(
-        F.array().cast("array<struct<term:string,cnt:int>>"))
+def with_tfidf_terms(df: DataFrame, text_col: str, out_col: str,
+                     stop_words: tuple[str, ...] | None = None) -> DataFrame:
+    """V2: add ``out_col`` with all uni- and bi-gram terms of a text, in
+    order (stop words removed before bigrams are formed). The unigrams are a
+    column of their own, referenced several times, so the optimizer keeps
+    them computed once per row."""
+    uni = "__uni"
+    df = df.withColumn(uni, unigrams(text_col, stop_words))
+    return df.withColumn(out_col, F.concat(F.col(uni), bigrams(F.col(uni)))).drop(uni)

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Weights
+from ..functions.score import round_to
 
 STAT_DECIMALS = 2
 MEAN_DECIMALS = 4
@@ -24,11 +25,11 @@ def describe_aggs(value: str, approx_median: bool = False) -> list[Column]:
     zero = F.lit(0.0)
     return [
         F.count(v).cast("bigint").alias("count"),
-        F.coalesce(F.round(F.avg(v), STAT_DECIMALS), zero).alias("mean"),
-        F.coalesce(F.round(med, STAT_DECIMALS), zero).alias("median"),
-        F.coalesce(F.round(F.min(v), STAT_DECIMALS), zero).alias("min"),
-        F.coalesce(F.round(F.max(v), STAT_DECIMALS), zero).alias("max"),
-        F.coalesce(F.round(F.stddev_pop(v), STAT_DECIMALS), zero).alias("stdev"),
+        F.coalesce(round_to(F.avg(v), STAT_DECIMALS), zero).alias("mean"),
+        F.coalesce(round_to(med, STAT_DECIMALS), zero).alias("median"),
+        F.coalesce(round_to(F.min(v), STAT_DECIMALS), zero).alias("min"),
+        F.coalesce(round_to(F.max(v), STAT_DECIMALS), zero).alias("max"),
+        F.coalesce(round_to(F.stddev_pop(v), STAT_DECIMALS), zero).alias("stdev"),
     ]
 
 
@@ -64,7 +65,7 @@ def summary_table(scores: DataFrame, value: str = "final_score",
 
 def component_means(scores: DataFrame, components=COMPONENTS) -> DataFrame:
     """A4: mean of each (already rounded) component, 4 places; 0 if empty."""
-    return scores.agg(*[F.coalesce(F.round(F.avg(c), MEAN_DECIMALS), F.lit(0.0)).alias(c)
+    return scores.agg(*[F.coalesce(round_to(F.avg(c), MEAN_DECIMALS), F.lit(0.0)).alias(c)
                         for c in components])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_MAX_FEATURES
-from ..functions.text import tfidf_terms
+from ..functions.text import with_tfidf_terms
 
 
 def with_term_counts(df: DataFrame, terms_col: str, out_col: str) -> DataFrame:
@@ -51,7 +51,7 @@ def fit_vocabulary(docs: DataFrame, text_col: str = "text",
     and one (term, 0, 1) per distinct term, so term frequency and document
     frequency come out of one partially aggregated ``groupBy``. A hot term is
     collapsed map-side. The top-N is a bounded TakeOrderedAndProject."""
-    terms = docs.select(tfidf_terms(text_col, stop_words).alias("terms"))
+    terms = with_tfidf_terms(docs.select(text_col), text_col, "terms", stop_words).select("terms")
     occurrence = F.transform("terms", lambda t: F.struct(
         t.alias("term"), F.lit(1).alias("occ"), F.lit(0).alias("hit")))
     presence = F.transform(F.array_distinct("terms"), lambda t: F.struct(
@@ -70,7 +70,8 @@ def fit_vocabulary(docs: DataFrame, text_col: str = "text",
 def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,
               stop_words: tuple[str, ...] | None = None) -> DataFrame:
     """``key..., term, cnt``: one row per distinct term of each text."""
-    t = docs.select(*key_cols, tfidf_terms(text_col, stop_words).alias("__terms"))
+    t = docs.select(*key_cols, F.col(text_col).alias("__text"))
+    t = with_tfidf_terms(t, "__text", "__terms", stop_words).drop("__text")
     t = with_term_counts(t, "__terms", "__tc")
     return t.select(*key_cols, F.inline("__tc"))
 
