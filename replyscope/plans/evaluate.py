@@ -15,6 +15,7 @@ from ..operators.llm import Completer, complete_table
 from ..operators.metrics import coverage, rouge_l, sparse_cosine, token_alignment
 from ..operators.split import corpus
 from ..operators.tfidf import fit_vocabulary
+from ..session import materialize
 
 BERT_BACKEND = "fallback-wordsim"
 HEURISTIC = "heuristic"
@@ -72,7 +73,7 @@ def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig =
                      F.coalesce("generated", F.lit("")).alias("generated"),
                      F.coalesce("reference", F.lit("")).alias("reference"))
     if vocab is None:
-        vocab = pair_vocabulary(pairs, cfg)
+        vocab = materialize(pair_vocabulary(pairs, cfg))
     cos = sparse_cosine(p, vocab, stop_words=cfg.stop_words, vocab_bound=cfg.max_features)
     bert = token_alignment(p, vocab, stop_words=cfg.stop_words, vocab_bound=cfg.max_features)
     rouge = rouge_l(p).select("pair_id", F.col("f1").alias("rouge_f1"))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..operators.llm import Completer
-from ..operators.split import split
+from ..operators.split import corpus, split
+from ..operators.tfidf import fit_vocabulary
 from ..operators.summary import component_means, run_meta, summary_table
 from ..session import materialize
 from .evaluate import evaluate
@@ -38,22 +39,22 @@ def eval_input(holdout: DataFrame, generations: DataFrame) -> DataFrame:
 
 
 def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer | None = None,
-        backend: str = "custom", judge: Completer | None = None,
-        checkpoint: bool = False) -> RunResult:
-    """Plan the whole run lazily. With ``checkpoint=True`` the vocabulary and
-    the score table (each reused by several outputs) are written to the
-    shared checkpoint folder, so a lost executor does not recompute the run
-    from its sources."""
+        backend: str = "custom", judge: Completer | None = None) -> RunResult:
+    """Run the pipeline. Tables that later stages read several times (the
+    holdout, the KB, the fitted vocabulary, the generations and the scores)
+    are checkpointed to the shared checkpoint folder as they are produced:
+    each reuse is a scan instead of a recomputation, the plans stay small,
+    and a lost executor never sends the run back to its sources."""
     kb, holdout = split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed)
+    holdout = materialize(holdout)
+    kb = materialize(kb)
+    vocab = materialize(fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words))
     queries = holdout.select(F.col("id").alias("query_id"),
                              F.col("customer_email").alias("query_email"))
-    generations, vocab = generate(queries, kb, cfg, complete, backend)
-    if checkpoint:
-        vocab = materialize(vocab)
+    generations, _ = generate(queries, kb, cfg, complete, backend, vocab)
+    generations = materialize(generations)
     pairs = eval_input(holdout, generations)
-    scores = evaluate(pairs, vocab, cfg, judge, backend)
-    if checkpoint:
-        scores = materialize(scores)
+    scores = materialize(evaluate(pairs, vocab, cfg, judge, backend))
     return RunResult(kb=kb, holdout=holdout, vocab=vocab, generations=generations,
                      pairs=pairs, scores=scores, summary=summary_table(scores),
                      components=component_means(scores), meta=run_meta(scores, cfg.weights))

@@ -28,6 +28,7 @@ from ..sources.tables import eval_pairs, pairs, read_table
 from ..sources.tickets import tickets_from_table
 from .evaluate import heuristic_judge, pair_vocabulary
 from .pipeline import run
+from ..session import materialize
 
 CFG = RunConfig()
 K = CFG.top_k
@@ -116,7 +117,7 @@ def q_tfidf_vocab_documents(spark, sf):
 
 def q_tfidf_vectors(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    v = tfidf_vectors(docs, documents_vocab(spark, sf), ["doc_id"], "text")
+    v = tfidf_vectors(docs, materialize(documents_vocab(spark, sf)), ["doc_id"], "text")
     return v.select("doc_id", "term", _r(F.col("w")).alias("w"))
 
 
@@ -129,7 +130,7 @@ def q_l2_normalize_dense(spark, sf):
 # ---------------------------------------------------------------- retrieval
 def _pair_retrieval(spark, sf, queries: DataFrame, exclude_self: bool) -> DataFrame:
     p = pairs(spark, sf)
-    vocab = fit_vocabulary(corpus(p), "text", CFG.max_features)
+    vocab = materialize(fit_vocabulary(corpus(p), "text", CFG.max_features))
     kb_vecs = tfidf_vectors(p, vocab, ["id"], "customer_email")
     q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email")
     top = topk_sparse(q_vecs, kb_vecs, queries.select("query_id"), p.select("id"), K,
@@ -246,7 +247,7 @@ def _eval(spark, sf) -> DataFrame:
 
 def q_cosine_pairs(spark, sf):
     p = _eval(spark, sf)
-    return sparse_cosine(p, pair_vocabulary(eval_pairs(spark, sf), CFG)) \
+    return sparse_cosine(p, materialize(pair_vocabulary(eval_pairs(spark, sf), CFG))) \
         .select(F.col("pair_id").alias("id"), _r(F.col("cosine")).alias("cosine"))
 
 
@@ -260,7 +261,7 @@ def q_cosine_dense_pairs(spark, sf):
 
 def q_token_alignment_prf(spark, sf):
     p = _eval(spark, sf)
-    t = token_alignment(p, pair_vocabulary(eval_pairs(spark, sf), CFG))
+    t = token_alignment(p, materialize(pair_vocabulary(eval_pairs(spark, sf), CFG)))
     return t.select(F.col("pair_id").alias("id"), _r(F.col("precision")).alias("precision"),
                     _r(F.col("recall")).alias("recall"), _r(F.col("f1")).alias("f1"))
 
@@ -298,7 +299,7 @@ def q_coverage(spark, sf):
 
 def q_heuristic_judge(spark, sf):
     p = _eval(spark, sf)
-    cos = sparse_cosine(p, pair_vocabulary(eval_pairs(spark, sf), CFG))
+    cos = sparse_cosine(p, materialize(pair_vocabulary(eval_pairs(spark, sf), CFG)))
     j = heuristic_judge(p, cos, CFG)
     return j.select(F.col("pair_id").alias("id"), *CFG.rubric)
 

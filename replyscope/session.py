@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -58,16 +59,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, reliable: bool = True) -> DataFrame:
-    """Cut lineage of a DataFrame that is reused several times.
+    """Cut lineage of a DataFrame that later stages read several times.
 
-    ``reliable=True`` writes a checkpoint to the shared checkpoint folder so a
-    lost executor does not force recomputation from the sources. Otherwise the
-    frame is persisted in memory and on disk (recomputed from lineage on loss).
-    """
-    if reliable:
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ``reliable=True`` writes it as a Parquet table under the shared
+    checkpoint folder and reads it back: one job, a compact columnar copy, a
+    lineage that starts at files (a lost executor does not send the job back
+    to its sources) and real file sizes for the optimizer's join choices.
+    Otherwise the frame is persisted in memory and on disk."""
+    if not reliable:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "replyscope", uuid.uuid4().hex)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
