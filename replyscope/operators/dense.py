@@ -37,8 +37,8 @@ def _block_topk(k: int, exclude_self: bool):
                                  "score": pd.Series(dtype="float64")})
         qids = left["query_id"].to_numpy(dtype=np.int64)
         ids = right["id"].to_numpy(dtype=np.int64)
-        qm = np.stack([np.asarray(v, dtype=np.float64) for v in left["vec"]])
-        km = np.stack([np.asarray(v, dtype=np.float64) for v in right["vec"]])
+        qm = np.stack([np.asarray(v, dtype=np.float64) for v in left["qvec"]])
+        km = np.stack([np.asarray(v, dtype=np.float64) for v in right["kvec"]])
         scores = qm @ km.T
         keyed = np.round(scores, RANK_DECIMALS)
         if exclude_self:
@@ -63,16 +63,16 @@ def topk_dense(queries: DataFrame, kb: DataFrame, k: int, exclude_self: bool = T
     id asc)."""
     nqb, nkb = _blocks(queries, block_rows), _blocks(kb, block_rows)
     q = queries.select(
-        "query_id", "vec",
+        "query_id", F.col("vec").alias("qvec"),
         F.pmod(F.xxhash64("query_id"), nqb).alias("qb"),
         F.explode(F.sequence(F.lit(0), nkb - 1)).alias("kb"))
     d = kb.select(
-        "id", "vec",
+        "id", F.col("vec").alias("kvec"),
         F.explode(F.sequence(F.lit(0), nqb - 1)).alias("qb"),
         F.pmod(F.xxhash64("id"), nkb).alias("kb"))
     cells = (q.groupBy("qb", "kb").cogroup(d.groupBy("qb", "kb"))
              .applyInPandas(lambda l, r: _block_topk(k, exclude_self)(
-                 l[["query_id", "vec"]], r[["id", "vec"]]),
+                 l[["query_id", "qvec"]], r[["id", "kvec"]]),
                  schema="query_id long, id long, score double"))
     w = Window.partitionBy("query_id").orderBy(*rank_order())
     return (cells.withColumn("rank", F.row_number().over(w))

@@ -40,10 +40,15 @@ def test_llm_callables_fall_back_per_row(spark, sf):
     r = run(t, complete=failing_completer, backend="broken")
     g = r.generations.collect()
     assert all(x.provider == "fallback" and x.error for x in g)
+    # The echo model repeats the prompt's last line, whose braces hold no valid
+    # JSON: every row falls back to the heuristic judge.
     r2 = run(t, complete=echo_completer, backend="echo", judge=echo_completer)
-    s = r2.scores.collect()
-    # echo replies carry no JSON braces -> parsed as all 3s with the model's backend
-    assert all(x.judge_backend == "echo" for x in s)
+    assert {x.judge_backend for x in r2.scores.collect()} == {"heuristic"}
+    judge = lambda system, user, temperature, max_tokens: '{"correctness": 4, "tone": 2}'
+    r3 = run(t, judge=judge, backend="json-model")
+    s = r3.scores.collect()
+    assert all(x.judge_backend == "json-model" and x.correctness == 4 and x.tone == 2
+               and x.empathy == 3 for x in s)
 
 
 def test_same_result_for_1_and_8_partitions(spark, sf):
