@@ -47,7 +47,9 @@ def _word_rows(pairs: DataFrame, gen_col: str, ref_col: str) -> DataFrame:
     t = t.withColumn("toks", F.when(F.size("toks") == 0, F.array(F.lit(BLANK_TOKEN)))
                      .otherwise(F.col("toks")))
     t = with_term_counts(t, "toks", "wc")
-    return t.select("pair_id", "side", F.inline("wc")).withColumnRenamed("term", "word")
+    # Outer generator (see ``tfidf.fit_vocabulary``); every side has >= 1 token.
+    return (t.select("pair_id", "side", F.inline_outer("wc")).where(F.col("term").isNotNull())
+            .withColumnRenamed("term", "word"))
 
 
 def token_alignment(pairs: DataFrame, vocab: DataFrame, gen_col: str = "generated",

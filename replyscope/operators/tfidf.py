@@ -21,7 +21,7 @@ def with_term_counts(df: DataFrame, terms_col: str, out_col: str) -> DataFrame:
     own so no lambda recomputes it."""
     srt, prev, starts, nxt = "__srt", "__prev", "__starts", "__next"
     n = F.size(F.col(srt))
-    df = df.withColumn(srt, F.array_sort(F.col(terms_col)))
+    df = df.withColumn(srt, F.sort_array(F.col(terms_col)))
     df = df.withColumn(prev, F.concat(F.array(F.lit(None).cast("string")),
                                       F.slice(F.col(srt), 1, F.greatest(n - 1, F.lit(0)))))
     zipped = F.arrays_zip(F.col(srt), F.col(prev))
@@ -56,7 +56,12 @@ def fit_vocabulary(docs: DataFrame, text_col: str = "text",
         t.alias("term"), F.lit(1).alias("occ"), F.lit(0).alias("hit")))
     presence = F.transform(F.array_distinct("terms"), lambda t: F.struct(
         t.alias("term"), F.lit(0).alias("occ"), F.lit(1).alias("hit")))
-    stats = (terms.select(F.inline(F.concat(occurrence, presence)))
+    # ``inline_outer`` + a null filter instead of ``inline``: for an inner
+    # generator the optimizer infers ``size(array) > 0`` and pushes it below
+    # the projections with the whole tokenising expression inlined, which
+    # evaluates it several times per row.
+    stats = (terms.select(F.inline_outer(F.concat(occurrence, presence)))
+             .where(F.col("term").isNotNull())
              .groupBy("term")
              .agg(F.sum("occ").cast("bigint").alias("tf"),
                   F.sum("hit").cast("bigint").alias("df")))
@@ -73,7 +78,8 @@ def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,
     t = docs.select(*key_cols, F.col(text_col).alias("__text"))
     t = with_tfidf_terms(t, "__text", "__terms", stop_words).drop("__text")
     t = with_term_counts(t, "__terms", "__tc")
-    return t.select(*key_cols, F.inline("__tc"))
+    # Outer generator: see ``fit_vocabulary``.
+    return t.select(*key_cols, F.inline_outer("__tc")).where(F.col("term").isNotNull())
 
 
 def tfidf_vectors(docs: DataFrame, vocab: DataFrame, key_cols: list[str],
