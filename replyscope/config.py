@@ -44,6 +44,7 @@ class RunConfig:
     rubric: tuple[str, ...] = DEFAULT_RUBRIC
     weights: Weights = field(default_factory=Weights)
     stop_words: tuple[str, ...] | None = None   # None -> English default list
+    max_df: float | None = None                 # drop terms in > max_df of texts
 
     def __post_init__(self) -> None:
         if not self.rubric:
@@ -54,3 +55,5 @@ class RunConfig:
             raise ValueError("per_category must be >= 0")
         if self.max_features is not None and self.max_features <= 0:
             raise ValueError("max_features must be positive or None")
+        if self.max_df is not None and not 0.0 < self.max_df <= 1.0:
+            raise ValueError("max_df must be in (0, 1]")

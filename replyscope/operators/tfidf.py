@@ -43,42 +43,44 @@ def with_term_counts(df: DataFrame, terms_col: str, out_col: str) -> DataFrame:
 
 def fit_vocabulary(docs: DataFrame, text_col: str = "text",
                    max_features: int | None = DEFAULT_MAX_FEATURES,
-                   stop_words: tuple[str, ...] | None = None) -> DataFrame:
+                   stop_words: tuple[str, ...] | None = None,
+                   max_df: float | None = None) -> DataFrame:
     """V3: ``term, tf, df, idf`` for the ``max_features`` most frequent terms
     of the corpus (ties by term), ``idf = ln((1 + N) / (1 + df)) + 1``.
 
-    One shuffle on ``term``: each row emits one (term, 1, 0) per occurrence
-    and one (term, 0, 1) per distinct term, so term frequency and document
-    frequency come out of one partially aggregated ``groupBy``. A hot term is
-    collapsed map-side. The top-N is a bounded TakeOrderedAndProject."""
-    terms = with_tfidf_terms(docs.select(text_col), text_col, "terms", stop_words).select("terms")
-    occurrence = F.transform("terms", lambda t: F.struct(
-        t.alias("term"), F.lit(1).alias("occ"), F.lit(0).alias("hit")))
-    presence = F.transform(F.array_distinct("terms"), lambda t: F.struct(
-        t.alias("term"), F.lit(0).alias("occ"), F.lit(1).alias("hit")))
-    # ``inline_outer`` + a null filter instead of ``inline``: for an inner
-    # generator the optimizer infers ``size(array) > 0`` and pushes it below
-    # the projections with the whole tokenising expression inlined, which
-    # evaluates it several times per row.
-    stats = (terms.select(F.inline_outer(F.concat(occurrence, presence)))
-             .where(F.col("term").isNotNull())
+    Terms are counted inside each text first (no shuffle), so each text
+    emits one ``(term, count)`` row per distinct term; one partially
+    aggregated ``groupBy(term)`` then yields term frequency (sum of counts)
+    and document frequency (number of rows). A hot term is collapsed
+    map-side. The top-N is a bounded TakeOrderedAndProject.
+
+    ``max_df`` (off by default because it changes scores) drops terms found
+    in more than that share of texts before the top-N cut. Such terms are
+    the ones whose postings make the retrieval join quadratic."""
+    stats = (term_rows(docs, [], text_col, stop_words)
              .groupBy("term")
-             .agg(F.sum("occ").cast("bigint").alias("tf"),
-                  F.sum("hit").cast("bigint").alias("df")))
+             .agg(F.sum("cnt").cast("bigint").alias("tf"),
+                  F.count(F.lit(1)).cast("bigint").alias("df")))
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    if max_df is not None:
+        stats = stats.where(F.col("df") <= F.lit(float(max_df)) * n_docs)
     if max_features is not None:
         stats = stats.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     return stats.select("term", "tf", "df", idf.alias("idf"))
 
 
 def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,
               stop_words: tuple[str, ...] | None = None) -> DataFrame:
-    """``key..., term, cnt``: one row per distinct term of each text."""
+    """``key..., term, cnt``: one row per distinct term of each text.
+
+    ``inline_outer`` plus a null filter instead of ``inline``: for an inner
+    generator the optimizer infers ``size(array) > 0`` and pushes it below
+    the projections with the whole tokenising expression inlined, which
+    evaluates it several times per row."""
     t = docs.select(*key_cols, F.col(text_col).alias("__text"))
     t = with_tfidf_terms(t, "__text", "__terms", stop_words).drop("__text")
     t = with_term_counts(t, "__terms", "__tc")
-    # Outer generator: see ``fit_vocabulary``.
     return t.select(*key_cols, F.inline_outer("__tc")).where(F.col("term").isNotNull())
 
 

@@ -25,7 +25,8 @@ def pair_vocabulary(pairs: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame
     """Vocabulary fitted on the pairs' own emails and references (used when
     no KB vocabulary is given)."""
     kb_like = pairs.select("id", "customer_email", F.col("reference").alias("support_reply"))
-    return fit_vocabulary(corpus(kb_like), "text", cfg.max_features, cfg.stop_words)
+    return fit_vocabulary(corpus(kb_like), "text", cfg.max_features, cfg.stop_words,
+                          cfg.max_df)
 
 
 def heuristic_judge(pairs: DataFrame, cosine: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
@@ -69,9 +70,10 @@ def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig =
     bertscore_recall, bertscore_f1, bertscore_backend, judge_avg_1to5,
     judge_normalized, judge_backend, final_score, rouge_l_f1,
     judge_rationale, judge_dimensions`` plus one column per rubric dim."""
-    p = pairs.select(F.col("id").alias("pair_id"), "category", "customer_email",
-                     F.coalesce("generated", F.lit("")).alias("generated"),
-                     F.coalesce("reference", F.lit("")).alias("reference"))
+    # Every metric reads the pairs: materialise them once.
+    p = materialize(pairs.select(F.col("id").alias("pair_id"), "category", "customer_email",
+                                 F.coalesce("generated", F.lit("")).alias("generated"),
+                                 F.coalesce("reference", F.lit("")).alias("reference")))
     if vocab is None:
         vocab = materialize(pair_vocabulary(pairs, cfg))
     cos = sparse_cosine(p, vocab, stop_words=cfg.stop_words, vocab_bound=cfg.max_features)

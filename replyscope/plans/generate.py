@@ -23,7 +23,7 @@ def retrieve(queries: DataFrame, kb: DataFrame, cfg: RunConfig = RunConfig(),
     ``query_id, query_email``; ``kb`` the ticket columns. Returns
     ``(cases, vocab)``; ``cases`` has one row per (query, rank)."""
     if vocab is None:
-        vocab = fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words)
+        vocab = fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words, cfg.max_df)
     kb_vecs = tfidf_vectors(kb, vocab, ["id"], "customer_email", cfg.stop_words, cfg.max_features)
     q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email", cfg.stop_words,
                            cfg.max_features)

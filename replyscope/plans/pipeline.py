@@ -48,7 +48,7 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
     kb, holdout = split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed)
     holdout = materialize(holdout)
     kb = materialize(kb)
-    vocab = materialize(fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words))
+    vocab = materialize(fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words, cfg.max_df))
     queries = holdout.select(F.col("id").alias("query_id"),
                              F.col("customer_email").alias("query_email"))
     generations, _ = generate(queries, kb, cfg, complete, backend, vocab)

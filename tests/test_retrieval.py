@@ -53,3 +53,12 @@ def test_case_lookup(spark):
     top = spark.createDataFrame([(9, 1, 3, 0.5)], "query_id long, rank int, id long, score double")
     r = attach_cases(top, kb).first()
     assert (r.customer_email, r.support_reply, r.category) == (KB[2][1], "r3", "Password")
+
+
+def test_max_df_drops_common_terms(spark):
+    kb = _kb(spark)
+    corpus = kb.select(F.col("customer_email").alias("text"))
+    full = {r.term for r in fit_vocabulary(corpus, "text").collect()}
+    capped = {r.term for r in fit_vocabulary(corpus, "text", max_df=0.3).collect()}
+    # "refund", "order", ... appear in 2 of 5 texts (> 30%).
+    assert "refund" in full and "refund" not in capped and "password" in capped
