@@ -13,6 +13,7 @@ from ..functions.judge import (ACTION_MARKERS, CLOSING_MARKERS, EMPATHY_MARKERS,
 from ..functions.prompt import (GENERIC_REPLY, GROUNDED_PREFIX, PROMPT_HEADER, PROMPT_TAIL,
                                 PROMPT_TASK, TOP_CLOSE, TOP_OPEN)
 from ..functions.text import ENGLISH_STOP_WORDS, TERM_PATTERN, WORD_PATTERN
+from ..sources.reports import CATEGORY_WIDTH, RULE_WIDTH, SUMMARY_TITLE
 from ..sources.tickets import (CITIES, DAYS_RANGE, NAMES, ORDER_ID_RANGE, PRODUCTS,
                                template_rows)
 
@@ -59,8 +60,9 @@ def band(x: str) -> str:
     return f"CAST(least(greatest(round_even(1.0 + 4.0 * ({x}), 0), 1.0), 5.0) AS INTEGER)"
 
 
-def sql(ctes: list[str], body: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+def sql(ctes: list[str], body: str, recursive: bool = False) -> str:
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(ctes) + "\n" + body
 
 
 # ------------------------------------------------------------ fragments
@@ -209,6 +211,38 @@ def alignment_ctes(name: str, ev: str, vocab: str) -> list[str]:
     ]
 
 
+def lcs_ctes(name: str, ev: str) -> list[str]:
+    """LCS length per pair of ``ev(id, generated, reference)`` on metric
+    tokens: ``{name}(pair_id, lcs, n_gen, n_ref)``. A recursive CTE adds
+    one DP row per step; a row is a running max over j of
+    ``max(prev[j], prev[j-1] + 1 if the tokens match)``, which equals the
+    usual recurrence because neighbouring DP cells differ by at most one.
+    Needs ``sql(..., recursive=True)``."""
+    return [
+        f"{name}_tok AS (SELECT id AS pair_id, {words('generated')} AS a, {words('reference')} AS b FROM {ev})",
+        f"""{name}_bt AS (SELECT pair_id, unnest(generate_series(1, len(b))) AS j, unnest(b) AS bj
+  FROM {name}_tok)""",
+        f"""{name}_dp(pair_id, i, j, v) AS (
+  SELECT pair_id, 0, j, 0 FROM (SELECT pair_id, unnest(range(0, len(b) + 1)) AS j FROM {name}_tok)
+  UNION ALL
+  SELECT pair_id, i, j, max(e) OVER (PARTITION BY pair_id ORDER BY j ROWS UNBOUNDED PRECEDING)
+  FROM (SELECT d.pair_id, d.i + 1 AS i, d.j,
+          greatest(d.v, CASE WHEN bt.bj = t.a[d.i + 1]
+                             THEN lag(d.v) OVER (PARTITION BY d.pair_id ORDER BY d.j) + 1 ELSE 0 END) AS e
+        FROM {name}_dp d JOIN {name}_tok t ON t.pair_id = d.pair_id
+        LEFT JOIN {name}_bt bt ON bt.pair_id = d.pair_id AND bt.j = d.j
+        WHERE d.i < len(t.a)))""",
+        f"""{name}_l AS (SELECT t.pair_id, d.v AS lcs, len(t.a) AS n_gen, len(t.b) AS n_ref
+  FROM {name}_tok t JOIN {name}_dp d ON d.pair_id = t.pair_id AND d.i = len(t.a) AND d.j = len(t.b))""",
+        f"""{name}_p AS (SELECT pair_id, lcs,
+  CASE WHEN n_gen > 0 THEN lcs / n_gen ELSE 0.0 END AS precision,
+  CASE WHEN n_ref > 0 THEN lcs / n_ref ELSE 0.0 END AS recall FROM {name}_l)""",
+        f"""{name} AS (SELECT pair_id, lcs, precision, recall,
+  CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1
+  FROM {name}_p)""",
+    ]
+
+
 def _any(text: str, markers, fn: str) -> str:
     return "(" + " OR ".join(f"{fn}({text}, {lit(m)})" for m in markers) + ")"
 
@@ -364,6 +398,53 @@ def judge_prompt_sql() -> str:
     return sql([PAIRS, EVAL_PAIRS], f"SELECT id, {prompt} AS judge_prompt FROM eval_pairs")
 
 
+def _fmt(x: str) -> str:
+    return f"regexp_replace(regexp_replace(printf('%.6f', {x}), '0+$', ''), '\\.$', '.0')"
+
+
+def _pad(x: str, width: int, left: bool) -> str:
+    fn = "lpad" if left else "rpad"
+    return f"CASE WHEN length({x}) >= {width} THEN {x} ELSE {fn}({x}, {width}, ' ') END"
+
+
+def summary_text_sql(run: list[str]) -> str:
+    eq, dash = lit("=" * RULE_WIDTH), lit("-" * RULE_WIDTH)
+    weights = (f"' Weights          : {{''llm_judge'': ' || {_fmt(repr(W.llm_judge))} || "
+               f"', ''bertscore'': ' || {_fmt(repr(W.bertscore))} || ', ''cosine'': ' || "
+               f"{_fmt(repr(W.cosine))} || '}}'")
+    head = [eq, lit(SUMMARY_TITLE), eq, "' Emails evaluated : ' || CAST(o.count AS VARCHAR)",
+            "' Embedder         : tfidf'", "' Judge backend    : heuristic'",
+            "' BERTScore backend: fallback-wordsim'", weights, dash,
+            "' OVERALL FINAL SCORE (0-100)'",
+            (f"'   mean=' || {_fmt('o.mean')} || '  median=' || {_fmt('o.median')} || "
+             f"'  min=' || {_fmt('o.min')} || '  max=' || {_fmt('o.max')} || "
+             f"'  stdev=' || {_fmt('o.stdev')}"),
+            dash, "' COMPONENT MEANS (0-1)'",
+            f"'   LLM judge (norm) : ' || {_fmt('c.judge_normalized')}",
+            f"'   BERTScore F1     : ' || {_fmt('c.bertscore_f1')}",
+            f"'   Cosine           : ' || {_fmt('c.cosine')}",
+            f"'   ROUGE-L F1 (diag): ' || {_fmt('c.rouge_l_f1')}",
+            dash, "' PER-CATEGORY FINAL SCORE (mean / count)'"]
+    fixed = " UNION ALL ".join(f"SELECT {i} AS line_no, {line} AS line FROM o, c"
+                               for i, line in enumerate(head))
+    n = len(head)
+    cat_line = (f"'   ' || {_pad('category', CATEGORY_WIDTH, False)} || ' ' || "
+                f"{_pad(_fmt('mean'), 6, True)} || '   (n=' || CAST(count AS VARCHAR) || ')'")
+    return sql(run + lcs_ctes("rl", "ev") + [
+        f"o AS (SELECT {describe('final_score')} FROM scores)",
+        f"""c AS (SELECT coalesce({rnd('avg(s.cosine)', 4)}, 0.0) AS cosine,
+  coalesce({rnd('avg(s.bertscore_f1)', 4)}, 0.0) AS bertscore_f1,
+  coalesce({rnd('avg(s.judge_normalized)', 4)}, 0.0) AS judge_normalized,
+  coalesce({rnd('avg(' + rnd('r.f1', 4) + ')', 4)}, 0.0) AS rouge_l_f1
+  FROM scores s JOIN rl r ON r.pair_id = s.id)""",
+        f"pc AS (SELECT category, {describe('final_score')} FROM scores GROUP BY category)",
+        f"""body AS (SELECT CAST(row_number() OVER (ORDER BY category) + {n - 1} AS BIGINT) AS line_no,
+  {cat_line} AS line FROM pc)"""],
+        f"SELECT CAST(line_no AS BIGINT) AS line_no, line FROM ({fixed}) UNION ALL "
+        f"SELECT line_no, line FROM body UNION ALL "
+        f"SELECT CAST(count(*) + {n} AS BIGINT) AS line_no, {eq} AS line FROM pc", recursive=True)
+
+
 def oracles() -> dict[str, str]:
     run = ticket_run_ctes()
     return {
@@ -444,6 +525,23 @@ def oracles() -> dict[str, str]:
         "heuristic_judge": sql(EVAL_VOCAB + cosine_ctes("c", "eval_pairs", "ev_vocab")
                                + judge_ctes("j", "eval_pairs", "c"),
                                f"SELECT pair_id AS id, {', '.join(RUBRIC)} FROM j"),
+        "rouge_l": sql([PAIRS, EVAL_PAIRS, *lcs_ctes("rl", "eval_pairs")],
+                       f"SELECT pair_id AS id, lcs, {rnd('precision')} AS precision, "
+                       f"{rnd('recall')} AS recall, {rnd('f1')} AS f1 FROM rl", recursive=True),
+        "component_means": sql(run + lcs_ctes("rl", "ev"), (
+            f"SELECT coalesce({rnd('avg(s.cosine)', 4)}, 0.0) AS cosine, "
+            f"coalesce({rnd('avg(s.bertscore_f1)', 4)}, 0.0) AS bertscore_f1, "
+            f"coalesce({rnd('avg(s.judge_normalized)', 4)}, 0.0) AS judge_normalized, "
+            f"coalesce({rnd('avg(' + rnd('r.f1', 4) + ')', 4)}, 0.0) AS rouge_l_f1 "
+            f"FROM scores s JOIN rl r ON r.pair_id = s.id"), recursive=True),
+        "scores_wide": sql(run + lcs_ctes("rl", "ev"), (
+            "SELECT s.cosine, s.bertscore_precision, s.bertscore_recall, s.bertscore_f1, "
+            "'fallback-wordsim' AS bertscore_backend, s.judge_avg_1to5, s.judge_normalized, "
+            "'heuristic' AS judge_backend, s.final_score, s.id, s.category, "
+            f"{rnd('r.f1', 4)} AS rouge_l_f1, "
+            + ", ".join(f"s.{d} AS judge_{d}" for d in RUBRIC)
+            + " FROM scores s JOIN rl r ON r.pair_id = s.id"), recursive=True),
+        "summary_text": summary_text_sql(run),
         "judge_prompt": judge_prompt_sql(),
         "judge_parse": judge_parse_sql(),
         "score_rows": sql(run, f"SELECT {SCORE_COLS} FROM scores"),
