@@ -41,27 +41,21 @@ def with_term_counts(df: DataFrame, terms_col: str, out_col: str) -> DataFrame:
     return df.drop(srt, prev, starts, nxt)
 
 
-def fit_vocabulary(docs: DataFrame, text_col: str = "text",
-                   max_features: int | None = DEFAULT_MAX_FEATURES,
-                   stop_words: tuple[str, ...] | None = None,
-                   max_df: float | None = None) -> DataFrame:
-    """V3: ``term, tf, df, idf`` for the ``max_features`` most frequent terms
-    of the corpus (ties by term), ``idf = ln((1 + N) / (1 + df)) + 1``.
-
-    Terms are counted inside each text first (no shuffle), so each text
-    emits one ``(term, count)`` row per distinct term; one partially
-    aggregated ``groupBy(term)`` then yields term frequency (sum of counts)
-    and document frequency (number of rows). A hot term is collapsed
-    map-side. The top-N is a bounded TakeOrderedAndProject.
-
+def vocabulary_from_rows(rows: DataFrame, n_docs: Column,
+                         max_features: int | None = DEFAULT_MAX_FEATURES,
+                         max_df: float | None = None) -> DataFrame:
+    """V3 from term rows ``(..., term, cnt)`` (one row per distinct term of a
+    text) and the number of texts ``n_docs`` (a scalar column).
+
+    One partially aggregated ``groupBy(term)``: term frequency is the sum of
+    counts, document frequency the number of rows; a hot term is collapsed
+    map-side. The top-N is a bounded TakeOrderedAndProject (ties by term).
     ``max_df`` (off by default because it changes scores) drops terms found
-    in more than that share of texts before the top-N cut. Such terms are
+    in more than that share of texts before the top-N cut; such terms are
     the ones whose postings make the retrieval join quadratic."""
-    stats = (term_rows(docs, [], text_col, stop_words)
-             .groupBy("term")
+    stats = (rows.groupBy("term")
              .agg(F.sum("cnt").cast("bigint").alias("tf"),
                   F.count(F.lit(1)).cast("bigint").alias("df")))
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
     if max_df is not None:
         stats = stats.where(F.col("df") <= F.lit(float(max_df)) * n_docs)
     if max_features is not None:
@@ -70,6 +64,18 @@ def fit_vocabulary(docs: DataFrame, text_col: str = "text",
     return stats.select("term", "tf", "df", idf.alias("idf"))
 
 
+def fit_vocabulary(docs: DataFrame, text_col: str = "text",
+                   max_features: int | None = DEFAULT_MAX_FEATURES,
+                   stop_words: tuple[str, ...] | None = None,
+                   max_df: float | None = None) -> DataFrame:
+    """V3: ``term, tf, df, idf`` for the ``max_features`` most frequent terms
+    of the corpus, ``idf = ln((1 + N) / (1 + df)) + 1``. Terms are counted
+    inside each text first (no shuffle); see ``vocabulary_from_rows``."""
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    return vocabulary_from_rows(term_rows(docs, [], text_col, stop_words), n_docs,
+                                max_features, max_df)
+
+
 def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,
               stop_words: tuple[str, ...] | None = None) -> DataFrame:
     """``key..., term, cnt``: one row per distinct term of each text.
@@ -84,23 +90,30 @@ def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,
     return t.select(*key_cols, F.inline_outer("__tc")).where(F.col("term").isNotNull())
 
 
-def tfidf_vectors(docs: DataFrame, vocab: DataFrame, key_cols: list[str],
-                  text_col: str, stop_words: tuple[str, ...] | None = None,
-                  vocab_bound: int | None = DEFAULT_MAX_FEATURES) -> DataFrame:
-    """V4 + V5: ``key..., term, w`` with ``w = count * idf`` scaled to unit
-    length per text. Out-of-vocabulary terms are dropped; a text with no
-    known term has no rows (the zero vector).
-
-    The vocabulary is broadcast when its size has a bound (``max_features``
-    rows); the only shuffle is the norm window, over distinct in-vocabulary
-    (text, term) rows."""
+def vectors_from_rows(rows: DataFrame, vocab: DataFrame, key_cols: list[str],
+                      vocab_bound: int | None = DEFAULT_MAX_FEATURES) -> DataFrame:
+    """V4 + V5 from term rows ``(key..., term, cnt)``: ``key..., term, w``
+    with ``w = cnt * idf`` scaled to unit length per text. Out-of-vocabulary
+    terms are dropped; a text with no known term has no rows (the zero
+    vector). The vocabulary is broadcast when its size has a bound
+    (``max_features`` rows); the only shuffle is the norm window, over
+    distinct in-vocabulary (text, term) rows."""
     v = vocab.select("term", "idf")
     if vocab_bound is not None:
         v = F.broadcast(v)
-    rows = term_rows(docs, key_cols, text_col, stop_words).join(v, "term", "inner")
+    joined = rows.select(*key_cols, "term", "cnt").join(v, "term", "inner")
     raw = (F.col("cnt") * F.col("idf"))
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(*key_cols)))
-    return rows.select(*key_cols, "term", (raw / norm).alias("w"))
+    return joined.select(*key_cols, "term", (raw / norm).alias("w"))
+
+
+def tfidf_vectors(docs: DataFrame, vocab: DataFrame, key_cols: list[str],
+                  text_col: str, stop_words: tuple[str, ...] | None = None,
+                  vocab_bound: int | None = DEFAULT_MAX_FEATURES) -> DataFrame:
+    """V4 + V5 for raw texts: tokenise and count in the row, then
+    ``vectors_from_rows``."""
+    return vectors_from_rows(term_rows(docs, key_cols, text_col, stop_words), vocab,
+                             key_cols, vocab_bound)
 
 
 def l2_normalize(vec: str | Column) -> Column:

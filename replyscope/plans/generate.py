@@ -17,14 +17,17 @@ GROUNDED_BACKEND = "grounded"
 
 
 def retrieve(queries: DataFrame, kb: DataFrame, cfg: RunConfig = RunConfig(),
-             vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+             vocab: DataFrame | None = None,
+             kb_vecs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """R1-R5 end to end: fit the vocabulary on the KB corpus (unless given),
     vectorise KB emails and query emails, rank. ``queries`` needs
     ``query_id, query_email``; ``kb`` the ticket columns. Returns
     ``(cases, vocab)``; ``cases`` has one row per (query, rank)."""
     if vocab is None:
         vocab = fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words, cfg.max_df)
-    kb_vecs = tfidf_vectors(kb, vocab, ["id"], "customer_email", cfg.stop_words, cfg.max_features)
+    if kb_vecs is None:
+        kb_vecs = tfidf_vectors(kb, vocab, ["id"], "customer_email", cfg.stop_words,
+                                cfg.max_features)
     q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email", cfg.stop_words,
                            cfg.max_features)
     top = topk_sparse(q_vecs, kb_vecs, queries.select("query_id"), kb.select("id"),
@@ -53,10 +56,11 @@ def prompts(queries: DataFrame, cases: DataFrame) -> DataFrame:
 
 def generate(queries: DataFrame, kb: DataFrame, cfg: RunConfig = RunConfig(),
              complete: Completer | None = None, backend: str = "custom",
-             vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+             vocab: DataFrame | None = None,
+             kb_vecs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``query_id, query_email, reply, provider, error, retrieved`` per
     query. Without ``complete`` the grounded offline reply (G2) is used."""
-    cases, vocab = retrieve(queries, kb, cfg, vocab)
+    cases, vocab = retrieve(queries, kb, cfg, vocab, kb_vecs)
     p = prompts(queries, cases)
     if complete is None:
         out = p.select("query_id", "query_email", grounded_reply(F.col("top_reply")).alias("reply"),

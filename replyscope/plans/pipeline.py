@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 from ..operators.llm import Completer
 from ..operators.split import corpus, split
-from ..operators.tfidf import fit_vocabulary
+from ..operators.tfidf import term_rows, vectors_from_rows, vocabulary_from_rows
 from ..operators.summary import component_means, run_meta, summary_table
 from ..session import materialize
 from .evaluate import evaluate
@@ -48,10 +48,18 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
     kb, holdout = split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed)
     holdout = materialize(holdout)
     kb = materialize(kb)
-    vocab = materialize(fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words, cfg.max_df))
+    # Tokenise the KB corpus once: its term rows feed both the vocabulary
+    # fit and the KB email vectors.
+    docs = corpus(kb)
+    rows = materialize(term_rows(docs, ["doc_id", "side"], "text", cfg.stop_words))
+    vocab = materialize(vocabulary_from_rows(rows, docs.select(F.count(F.lit(1))).scalar(),
+                                             cfg.max_features, cfg.max_df))
+    kb_vecs = vectors_from_rows(rows.where(F.col("side") == "email")
+                                .select(F.col("doc_id").alias("id"), "term", "cnt"),
+                                vocab, ["id"], cfg.max_features)
     queries = holdout.select(F.col("id").alias("query_id"),
                              F.col("customer_email").alias("query_email"))
-    generations, _ = generate(queries, kb, cfg, complete, backend, vocab)
+    generations, _ = generate(queries, kb, cfg, complete, backend, vocab, kb_vecs)
     generations = materialize(generations)
     pairs = eval_input(holdout, generations)
     scores = materialize(evaluate(pairs, vocab, cfg, judge, backend))

@@ -22,7 +22,8 @@ from ..operators.retrieve import topk_sparse
 from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.summary import (component_means, describe_by_category, describe_overall,
                                  distinct_categories, run_meta, summary_table)
-from ..operators.tfidf import fit_vocabulary, l2_normalize, tfidf_vectors
+from ..operators.tfidf import (fit_vocabulary, l2_normalize, term_rows, tfidf_vectors,
+                               vectors_from_rows, vocabulary_from_rows)
 from ..sources.reports import generated_rows, scores_wide, summary_lines
 from ..sources.tables import eval_pairs, pairs, read_table
 from ..sources.tickets import tickets_from_table
@@ -116,8 +117,13 @@ def q_tfidf_vocab_documents(spark, sf):
 
 
 def q_tfidf_vectors(spark, sf):
+    """Fit + transform over all documents, tokenising each text once: the
+    term rows are materialised and feed both the vocabulary and the vectors."""
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    v = tfidf_vectors(docs, materialize(documents_vocab(spark, sf)), ["doc_id"], "text")
+    rows = materialize(term_rows(docs, ["doc_id"], "text"))
+    vocab = materialize(vocabulary_from_rows(rows, docs.select(F.count(F.lit(1))).scalar(),
+                                             CFG.max_features))
+    v = vectors_from_rows(rows, vocab, ["doc_id"])
     return v.select("doc_id", "term", _r(F.col("w")).alias("w"))
 
 
