@@ -45,6 +45,7 @@ class RunConfig:
     weights: Weights = field(default_factory=Weights)
     stop_words: tuple[str, ...] | None = None   # None -> English default list
     max_df: float | None = None                 # drop terms in > max_df of texts
+    holdout_rank_first: bool = False            # order holdout by (draw, category)
 
     def __post_init__(self) -> None:
         if not self.rubric:

@@ -14,14 +14,17 @@ def sample_key(id_col: str, seed: int) -> F.Column:
 
 def holdout_split(tickets: DataFrame, per_category: int = DEFAULT_PER_CATEGORY,
                   holdout_n: int | None = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED,
-                  category_col: str = "category", id_col: str = "id") -> DataFrame:
+                  category_col: str = "category", id_col: str = "id",
+                  rank_first: bool = False) -> DataFrame:
     """D2 + D3: per category take ``per_category`` rows in seeded random
     order; then the first ``holdout_n`` of those in (category, draw) order.
 
     ``row_number() <= k`` is planned as a WindowGroupLimit, applied on each
     map partition before the shuffle, so even a category holding a third of
     all rows ships at most ``k`` rows per partition. The final ordering runs
-    over at most ``per_category`` x categories rows."""
+    over at most ``per_category`` x categories rows. ``rank_first`` orders
+    by (draw, category) instead, so a small ``holdout_n`` still spreads over
+    all categories rather than filling the first ones alphabetically."""
     if holdout_n is not None and holdout_n < 0:
         raise ValueError("holdout_n must be >= 0")
     w = Window.partitionBy(category_col).orderBy(sample_key(id_col, seed), F.col(id_col))
@@ -29,7 +32,9 @@ def holdout_split(tickets: DataFrame, per_category: int = DEFAULT_PER_CATEGORY,
                .where(F.col("holdout_rank") <= per_category))
     if holdout_n is None:
         return sampled
-    return sampled.orderBy(category_col, "holdout_rank", id_col).limit(holdout_n)
+    order = (["holdout_rank", category_col, id_col] if rank_first
+             else [category_col, "holdout_rank", id_col])
+    return sampled.orderBy(*order).limit(holdout_n)
 
 
 def knowledge_base(tickets: DataFrame, holdout: DataFrame, id_col: str = "id",
@@ -45,10 +50,10 @@ def knowledge_base(tickets: DataFrame, holdout: DataFrame, id_col: str = "id",
 
 
 def split(tickets: DataFrame, per_category: int = DEFAULT_PER_CATEGORY,
-          holdout_n: int | None = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED
-          ) -> tuple[DataFrame, DataFrame]:
+          holdout_n: int | None = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED,
+          rank_first: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return ``(kb, holdout)``."""
-    holdout = holdout_split(tickets, per_category, holdout_n, seed)
+    holdout = holdout_split(tickets, per_category, holdout_n, seed, rank_first=rank_first)
     return knowledge_base(tickets, holdout, holdout_bound=holdout_n), holdout
 
 

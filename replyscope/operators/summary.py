@@ -86,3 +86,22 @@ def run_meta(scores: DataFrame, weights: Weights = Weights(), embedder: str = "t
 def distinct_categories(tickets: DataFrame, category_col: str = "category") -> DataFrame:
     """Number of distinct categories."""
     return tickets.agg(F.count_distinct(category_col).cast("bigint").alias("n_categories"))
+
+
+def retrieval_hit_rate(cases: DataFrame, queries: DataFrame) -> DataFrame:
+    """How often retrieval finds a case of the query's own category, per
+    query category: ``category, n_queries, n_cases, top1_hit_rate,
+    case_hit_rate``. ``cases(query_id, rank, category)`` has at most k rows
+    per query; ``queries(query_id, category)``. Generated tickets hold
+    several siblings of every template, so high rates here flatter the
+    retriever: report it next to the scores."""
+    c = cases.select("query_id", "rank", F.col("category").alias("case_category"))
+    j = queries.select("query_id", "category").join(c, "query_id", "left")
+    hit = F.when(F.col("case_category") == F.col("category"), F.lit(1.0)).otherwise(F.lit(0.0))
+    return (j.groupBy("category")
+            .agg(F.count_distinct("query_id").cast("bigint").alias("n_queries"),
+                 F.count("case_category").cast("bigint").alias("n_cases"),
+                 (F.sum(F.when(F.col("rank") == 1, hit).otherwise(F.lit(0.0)))
+                  / F.count_distinct("query_id")).alias("top1_hit_rate"),
+                 F.coalesce(F.avg(F.when(F.col("case_category").isNotNull(), hit)),
+                            F.lit(0.0)).alias("case_hit_rate")))

@@ -495,6 +495,11 @@ def oracles() -> dict[str, str]:
                                     f"FROM cases"),
         "fewshot_prompt": sql(run, "SELECT query_id, user_prompt FROM prompts"),
         "grounded_reply": sql(run, "SELECT query_id, reply FROM generations"),
+        "retrieval_hit_rate": sql(run, f"""SELECT h.category, count(DISTINCT h.id) AS n_queries,
+  count(c.category) AS n_cases,
+  {rnd("sum(CASE WHEN c.rank = 1 AND c.category = h.category THEN 1.0 ELSE 0.0 END) / count(DISTINCT h.id)")} AS top1_hit_rate,
+  {rnd("coalesce(avg(CASE WHEN c.category IS NULL THEN NULL WHEN c.category = h.category THEN 1.0 ELSE 0.0 END), 0.0)")} AS case_hit_rate
+  FROM holdout h LEFT JOIN cases c ON c.query_id = h.id GROUP BY h.category"""),
         "cosine_pairs": sql(EVAL_VOCAB + cosine_ctes("c", "eval_pairs", "ev_vocab"),
                             f"SELECT pair_id AS id, {rnd('cosine')} AS cosine FROM c"),
         "cosine_dense_pairs": (

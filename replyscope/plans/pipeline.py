@@ -45,7 +45,8 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
     are checkpointed to the shared checkpoint folder as they are produced:
     each reuse is a scan instead of a recomputation, the plans stay small,
     and a lost executor never sends the run back to its sources."""
-    kb, holdout = split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed)
+    kb, holdout = split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed,
+                        cfg.holdout_rank_first)
     holdout = materialize(holdout)
     kb = materialize(kb)
     # Tokenise the KB corpus once: its term rows feed both the vocabulary

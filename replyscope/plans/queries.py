@@ -21,7 +21,8 @@ from ..operators.metrics import coverage, rouge_l, sparse_cosine, token_alignmen
 from ..operators.retrieve import topk_sparse
 from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.summary import (component_means, describe_by_category, describe_overall,
-                                 distinct_categories, run_meta, summary_table)
+                                 distinct_categories, retrieval_hit_rate, run_meta,
+                                 summary_table)
 from ..operators.tfidf import (fit_vocabulary, l2_normalize, term_rows, tfidf_vectors,
                                vectors_from_rows, vocabulary_from_rows)
 from ..sources.reports import generated_rows, scores_wide, summary_lines
@@ -194,6 +195,16 @@ def q_fewshot_prompt(spark, sf):
     return prompts(queries, cases).select("query_id", "user_prompt")
 
 
+def q_retrieval_hit_rate(spark, sf):
+    r = ticket_run(spark, sf)
+    cases = r.generations.select("query_id", F.inline("retrieved")).select("query_id", "rank",
+                                                                          "category")
+    q = r.holdout.select(F.col("id").alias("query_id"), "category")
+    return retrieval_hit_rate(cases, q).select(
+        "category", "n_queries", "n_cases", _r(F.col("top1_hit_rate")).alias("top1_hit_rate"),
+        _r(F.col("case_hit_rate")).alias("case_hit_rate"))
+
+
 def q_grounded_reply(spark, sf):
     return ticket_run(spark, sf).generations.select("query_id", "reply")
 
@@ -373,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retrieved_cases": q_retrieved_cases,
     "fewshot_prompt": q_fewshot_prompt,
     "grounded_reply": q_grounded_reply,
+    "retrieval_hit_rate": q_retrieval_hit_rate,
     "cosine_pairs": q_cosine_pairs,
     "cosine_dense_pairs": q_cosine_dense_pairs,
     "token_alignment_prf": q_token_alignment_prf,

@@ -88,3 +88,11 @@ def test_report_round_trip(spark, sf):
     assert lines[0].value == "=" * 66 and any("Emails evaluated : 20" in x.value for x in lines)
     gen = spark.read.option("header", True).csv(os.path.join(out, "report", "generated")).collect()
     assert len(gen) == 20 and all(len(x.retrieved_ids.split("|")) == 3 for x in gen)
+
+
+def test_holdout_rank_first_spreads_categories(spark):
+    from replyscope.operators.split import holdout_split
+    t = generate_tickets(spark.range(200))
+    assert len({r.category for r in holdout_split(t, 2, 5, rank_first=True).collect()}) == 5
+    # default order fills the alphabetically first categories: 2 + 2 + 1
+    assert len({r.category for r in holdout_split(t, 2, 5).collect()}) == 3
