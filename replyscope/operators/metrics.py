@@ -72,11 +72,13 @@ def token_alignment(pairs: DataFrame, vocab: DataFrame, gen_col: str = "generate
                                               F.col("w").alias("wr"))
     sim = (g.join(r, ["pair_id", "term"], "inner")
            .groupBy("pair_id", "gw", "rw").agg(F.sum(F.col("wg") * F.col("wr")).alias("sim")))
-    best_g = sim.groupBy("pair_id", F.col("gw").alias("word")).agg(F.max("sim").alias("best")) \
-        .withColumn("side", F.lit(GEN))
-    best_r = sim.groupBy("pair_id", F.col("rw").alias("word")).agg(F.max("sim").alias("best")) \
-        .withColumn("side", F.lit(REF))
-    best = best_g.unionByName(best_r)
+    # Best match per candidate word and per reference word in one
+    # aggregation (grouping sets), so the similarity table is built once.
+    best = (sim.groupingSets([["pair_id", "gw"], ["pair_id", "rw"]], "pair_id", "gw", "rw")
+            .agg(F.max("sim").alias("best"), F.grouping("gw").alias("g_rolled"))
+            .select("pair_id",
+                    F.when(F.col("g_rolled") == 0, F.lit(GEN)).otherwise(F.lit(REF)).alias("side"),
+                    F.coalesce("gw", "rw").alias("word"), "best"))
     per_side = (words.join(best, ["pair_id", "side", "word"], "left")
                 .groupBy("pair_id")
                 .agg((F.sum(F.when(F.col("side") == GEN, F.col("cnt") * F.coalesce("best", F.lit(0.0))))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # Fixed value: scores are rounded to this many places before ranking so float
 # summation order cannot decide a tie; ties then go to the lower id.
 RANK_DECIMALS = 9
+# Postings of one term handled by one join task before the term is salted.
+DEFAULT_POSTINGS_PER_TASK = 1_000_000
 
 
 def rank_order(score_col: str = "score", id_col: str = "id"):
@@ -27,16 +29,43 @@ def pad_ids(kb: DataFrame, k: int, id_col: str = "id"):
             .agg(F.collect_list("pad_id")).scalar())
 
 
+def _salted(q: DataFrame, d: DataFrame, vocab: DataFrame, postings_per_task: int,
+            vocab_bound: int | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Split hot terms: a term with ``df`` postings is spread over
+    ``ceil(df / postings_per_task)`` salt buckets on the KB side (by id hash)
+    and its query postings are copied to every bucket, so each (query, doc)
+    pair still meets exactly once while no join task holds more than about
+    ``postings_per_task`` KB postings of one term. The per-term fan-out table
+    has one row per vocabulary term (broadcast when that is bounded)."""
+    fan = vocab.select("term", F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(postings_per_task)))
+                       .cast("int").alias("fan"))
+    if vocab_bound is not None:
+        fan = F.broadcast(fan)
+    d = d.join(fan, "term", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("id"), F.coalesce("fan", F.lit(1)))).drop("fan")
+    q = q.join(fan, "term", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1))).drop("fan")
+    return q, d, ["term", "salt"]
+
+
 def topk_sparse(query_vecs: DataFrame, kb_vecs: DataFrame, queries: DataFrame,
-                kb: DataFrame, k: int, exclude_self: bool = True) -> DataFrame:
+                kb: DataFrame, k: int, exclude_self: bool = True,
+                vocab: DataFrame | None = None,
+                postings_per_task: int | None = DEFAULT_POSTINGS_PER_TASK,
+                vocab_bound: int | None = 4096) -> DataFrame:
     """R2-R4. Inputs: ``query_vecs(query_id, term, w)``,
     ``kb_vecs(id, term, w)``, ``queries(query_id)``, ``kb(id)``.
     Output ``query_id, rank, id, score``: for every query the ``min(k, N')``
     best KB rows by (score desc, id asc), where N' excludes the query's own
-    id when ``exclude_self``."""
+    id when ``exclude_self``. With the fitted ``vocab`` (its ``df``), terms
+    with more than ``postings_per_task`` postings are salted (``_salted``);
+    AQE's skew-join splitting remains as a second line."""
     q = query_vecs.select("query_id", "term", F.col("w").alias("wq"))
     d = kb_vecs.select("id", "term", F.col("w").alias("wd"))
-    hits = q.join(d, "term", "inner")
+    keys = ["term"]
+    if vocab is not None and postings_per_task is not None:
+        q, d, keys = _salted(q, d, vocab, postings_per_task, vocab_bound)
+    hits = q.join(d, keys, "inner")
     if exclude_self:
         hits = hits.where(F.col("query_id") != F.col("id"))
     hits = hits.select("query_id", "id", (F.col("wq") * F.col("wd")).alias("p"))

@@ -31,7 +31,7 @@ def retrieve(queries: DataFrame, kb: DataFrame, cfg: RunConfig = RunConfig(),
     q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email", cfg.stop_words,
                            cfg.max_features)
     top = topk_sparse(q_vecs, kb_vecs, queries.select("query_id"), kb.select("id"),
-                      cfg.top_k, cfg.exclude_self)
+                      cfg.top_k, cfg.exclude_self, vocab=vocab, vocab_bound=cfg.max_features)
     return attach_cases(top, kb), vocab
 
 

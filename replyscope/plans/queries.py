@@ -141,7 +141,7 @@ def _pair_retrieval(spark, sf, queries: DataFrame, exclude_self: bool) -> DataFr
     kb_vecs = tfidf_vectors(p, vocab, ["id"], "customer_email")
     q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email")
     top = topk_sparse(q_vecs, kb_vecs, queries.select("query_id"), p.select("id"), K,
-                      exclude_self)
+                      exclude_self, vocab=vocab)
     return top.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id",
                       _r(F.col("score")).alias("score"))
 

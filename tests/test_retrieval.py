@@ -62,3 +62,17 @@ def test_max_df_drops_common_terms(spark):
     capped = {r.term for r in fit_vocabulary(corpus, "text", max_df=0.3).collect()}
     # "refund", "order", ... appear in 2 of 5 texts (> 30%).
     assert "refund" in full and "refund" not in capped and "password" in capped
+
+
+def test_salting_hot_terms_keeps_results(spark):
+    kb = _kb(spark)
+    vocab = fit_vocabulary(kb.select(F.col("customer_email").alias("text")), "text")
+    kv = tfidf_vectors(kb, vocab, ["id"], "customer_email")
+    q = spark.createDataFrame([(100, "refund order please"), (101, "password reset")],
+                              "query_id long, query_email string")
+    qv = tfidf_vectors(q, vocab, ["query_id"], "query_email")
+    plain = topk_sparse(qv, kv, q.select("query_id"), kb.select("id"), 3, False)
+    salted = topk_sparse(qv, kv, q.select("query_id"), kb.select("id"), 3, False,
+                         vocab=vocab, postings_per_task=1)   # every term is "hot"
+    key = lambda r: (r.query_id, r.rank, r.id, round(r.score, 12))
+    assert sorted(map(key, plain.collect())) == sorted(map(key, salted.collect()))
