@@ -10,7 +10,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 Completer = Callable[[str, str, float, int], str]
 
@@ -50,7 +49,3 @@ def echo_completer(system: str, user: str, temperature: float, max_tokens: int)
 
 def failing_completer(system: str, user: str, temperature: float, max_tokens: int) -> str:
     raise RuntimeError("model unavailable")
-
-
-def with_prompt_lengths(df: DataFrame, prompt_col: str) -> DataFrame:
-    return df.withColumn("prompt_chars", F.length(prompt_col))
