@@ -28,7 +28,7 @@ def lcs_length(a, b) -> int:
 
 
 def lcs_length_dp(a, b) -> int:
-    """Quadratic dynamic programme; the reference check for ``lcs_length``."""
+    """Quadratic dynamic programme; the brute-force check for ``lcs_length``."""
     n, m = len(a), len(b)
     prev = [0] * (m + 1)
     for i in range(1, n + 1):

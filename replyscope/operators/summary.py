@@ -71,7 +71,7 @@ def component_means(scores: DataFrame, components=COMPONENTS) -> DataFrame:
 
 def run_meta(scores: DataFrame, weights: Weights = Weights(), embedder: str = "tfidf") -> DataFrame:
     """A5: one row of run metadata. Backends are the set actually used (the
-    reference reports the first row's)."""
+    original system reports the first row's)."""
     return scores.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_evaluated"),
         F.lit(weights.llm_judge).alias("weight_llm_judge"),
