@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..operators.llm import Completer
-from ..operators.split import corpus, split
+from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.tfidf import term_rows, vectors_from_rows, vocabulary_from_rows
 from ..operators.summary import component_means, run_meta, summary_table
 from ..session import materialize
@@ -41,14 +41,17 @@ def eval_input(holdout: DataFrame, generations: DataFrame) -> DataFrame:
 def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer | None = None,
         backend: str = "custom", judge: Completer | None = None) -> RunResult:
     """Run the pipeline. Tables that later stages read several times (the
-    holdout, the KB, the fitted vocabulary, the generations and the scores)
+    holdout, the KB's term rows, the fitted vocabulary, the generations and
+    the scores)
     are checkpointed to the shared checkpoint folder as they are produced:
     each reuse is a scan instead of a recomputation, the plans stay small,
     and a lost executor never sends the run back to its sources."""
-    kb, holdout = split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed,
-                        cfg.holdout_rank_first)
-    holdout = materialize(holdout)
-    kb = materialize(kb)
+    holdout = materialize(holdout_split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed,
+                                        rank_first=cfg.holdout_rank_first))
+    # The KB is not copied: it is the source minus a holdout of at most
+    # holdout_n rows (a broadcast anti-join, no shuffle), so each of its few
+    # uses is one scan of the source, cheaper than writing a full copy.
+    kb = knowledge_base(tickets, holdout, holdout_bound=cfg.holdout_n)
     # Tokenise the KB corpus once: its term rows feed both the vocabulary
     # fit and the KB email vectors.
     docs = corpus(kb)
