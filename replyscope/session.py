@@ -74,5 +74,50 @@ def materialize(df: DataFrame, reliable: bool = True) -> DataFrame:
     return spark.read.parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one run.
+
+    Every table is Parquet in a folder of its own under the shared checkpoint
+    folder, so it outlives a lost executor. ``drop`` deletes a table once what
+    follows from it is written; ``close`` (or leaving the ``with`` block)
+    deletes whatever is left. A frame read from a dropped table must not be
+    used again."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = os.path.join(checkpoint_dir(spark), "replyscope", uuid.uuid4().hex)
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def table(self, df: DataFrame) -> DataFrame:
+        path = os.path.join(self.root, uuid.uuid4().hex)
+        df.write.mode("error").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            if id(df) in self._paths:
+                _delete(self.spark, self._paths.pop(id(df))[1])
+
+    def close(self) -> None:
+        self._paths.clear()
+        _delete(self.spark, self.root)
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).delete(target, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
