@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import judge, train_field
 from .token_counts import count_tokens
@@ -32,9 +33,13 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_url_filter, op3_best_fit_packing, op4_line_quality,
-                            op7_token_counts)}
+                            op7_token_counts, op9_near_dedup)}
 
 OP2_SQL = """
 WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN
@@ -53,4 +58,26 @@ WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN
                      ORDER BY length(rhost) DESC NULLS LAST, length(rpath) DESC) = 1)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM hit"""
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
+OP9_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+     s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3
+                THEN [array_to_string(ws, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(ws) - 1),
+                     lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh FROM w),
+     c AS (SELECT min(doc_id) AS rep, list_sort(sh) AS sh, len(sh) AS n FROM s
+           WHERE len(sh) > 0 GROUP BY 2, 3),
+     e AS (SELECT rep, n, unnest(sh) AS g FROM c),
+     p AS (SELECT a.rep AS a, b.rep AS b FROM e a JOIN e b ON a.g = b.g AND a.rep < b.rep
+             AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+           GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+     y AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+     r(node, low) AS (SELECT rep, rep FROM c UNION
+                      SELECT y.b, r.low FROM r JOIN y ON y.a = r.node WHERE r.low < y.b),
+     g AS (SELECT node, min(low) AS low FROM r GROUP BY node)
+SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(g.low, s.doc_id) AS component_id,
+       coalesce(g.low, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN c ON list_sort(s.sh) = c.sh LEFT JOIN g ON g.node = c.rep"""
+
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_near_dedup": OP9_SQL}
