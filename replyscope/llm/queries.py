@@ -11,6 +11,7 @@ from .common import read_table
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import judge, train_field
+from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
 from .url_filter import filter_urls
 
@@ -37,9 +38,13 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_url_filter, op3_best_fit_packing, op4_line_quality,
-                            op7_token_counts, op9_near_dedup)}
+                            op7_token_counts, op8_substring_dedup, op9_near_dedup)}
 
 OP2_SQL = """
 WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN
@@ -80,4 +85,24 @@ SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(g.low, s.doc_id) AS component
        coalesce(g.low, s.doc_id) = s.doc_id AS kept
 FROM s LEFT JOIN c ON list_sort(s.sh) = c.sh LEFT JOIN g ON g.node = c.rep"""
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op9_near_dedup": OP9_SQL}
+OP8_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                      lambda x: x <> '') AS ws FROM documents),
+     x AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i, ws FROM w WHERE len(ws) >= 13),
+     y AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS win FROM x),
+     l AS (SELECT win, min(doc_id) AS low FROM y GROUP BY win),
+     h AS (SELECT doc_id, list(i) AS starts FROM y JOIN l USING (win) WHERE low < doc_id
+           GROUP BY doc_id),
+     c AS (SELECT doc_id, list_distinct(flatten(list_transform(starts, lambda i: range(i, i + 13))))
+                  AS gone FROM h),
+     p AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+     g AS (SELECT doc_id, unnest(gone) AS i, true AS lost FROM c),
+     k AS (SELECT p.doc_id, count(*) AS n_words, count(lost) AS n_removed,
+                  string_agg(word, ' ' ORDER BY p.i) FILTER (lost IS NULL) AS kept
+           FROM p LEFT JOIN g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY p.doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id"""
+
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op8_substring_dedup": OP8_SQL,
+                           "op9_near_dedup": OP9_SQL}
