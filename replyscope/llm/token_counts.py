@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import map_batches, only
 
 CHUNK_CHARS = 1 << 16
-MAX_WORDS = 150_000      # words remembered per worker and generation
-MAX_STATES = 150_000     # states kept before the automaton is started afresh
+MAX_WORDS = 100_000      # words remembered per worker and generation
+MAX_STATES = 100_000     # states kept before the automaton is started afresh
 RESETS = re.compile(r"[\t\n\v\f\r \x85\xa0  -     　]+")
 CONTROL = re.compile(r"[\x1c-\x1f]")
 
@@ -43,118 +43,132 @@ def byte_symbols() -> list[str]:
 
 class Transducer:
     """Transitions ``(state, symbol) -> (state, emitted)`` over the symbols of
-    one word; the last symbol carries the end-of-word suffix."""
+    one word. Symbols are the 256 bytes, and 256 more for a last byte, which
+    carries the end-of-word suffix. A state is a flat tuple of (trie node,
+    token before, count before relative to now) triples."""
 
     def __init__(self, merges: list[tuple[str, str]], suffix: str, vocab: dict[str, int]):
-        self.suffix = suffix
-        self.rank = {tuple(m): i for i, m in enumerate(merges)}
-        self.parts = {"".join(m): tuple(m) for m in reversed(merges)}
-        self.made = {t: self.rank[m] for t, m in self.parts.items()}
-        self.symbols = byte_symbols()
-        self.trie: dict = {}
-        for token in vocab:
-            node = self.trie
-            for symbol in self._split(token):
-                node = node.setdefault(symbol, {})
-            node[None] = token
-        self._fits: dict[tuple[str, str], bool] = {}
+        printed = byte_symbols()
+        names = printed + [c + suffix for c in printed]
+        # Tokens are numbered: symbols first, then merges in rank order, so a
+        # token's number orders the merges that made them.
+        self.number = {t: i for i, t in enumerate(names)}
+        self.parts: list[tuple[int, int]] = [(-1, -1)] * len(names)
+        self.rank: dict[int, int] = {}
+        for rank, (left, right) in enumerate(merges):
+            made = self.number.setdefault(left + right, len(self.parts))
+            if made == len(self.parts):
+                self.parts.append((self.number[left], self.number[right]))
+            self.rank[self._pair(self.number[left], self.number[right])] = rank + len(names)
+        self.symbols = len(names)
+        self.last = len(printed)
+        byte = {c: i for i, c in enumerate(printed)}
+        self.kids: list[dict[int, int]] = [{}]
+        self.ends: list[int] = [-1]
+        for token, number in self.number.items():
+            if token not in vocab or not self._reached(number):
+                continue
+            node = 0
+            for symbol in self._split(token, suffix, byte):
+                below = self.kids[node].get(symbol)
+                if below is None:
+                    below = self.kids[node][symbol] = len(self.kids)
+                    self.kids.append({})
+                    self.ends.append(-1)
+                node = below
+            self.ends[node] = number
         self._reset()
 
+    @staticmethod
+    def _pair(left: int, right: int) -> int:
+        return left << 32 | right
+
+    @staticmethod
+    def _split(token: str, suffix: str, byte: dict[str, int]) -> list[int]:
+        if suffix and token.endswith(suffix):
+            body = [byte[c] for c in token[:-len(suffix)]]
+            return [*body[:-1], body[-1] + len(byte)]
+        return [byte[c] for c in token]
+
     def _reset(self) -> None:
         self.states: dict[tuple, int] = {}
         self.held: list[tuple] = []
-        self.moves: list[dict[str, tuple[int, int]]] = []
-        self.start = self._state(((id(self.trie), None, 0, self.trie),))
-
-    def _split(self, token: str) -> list[str]:
-        if self.suffix and token.endswith(self.suffix) and token != self.suffix:
-            body = token[:-len(self.suffix)]
-            return [*body[:-1], body[-1] + self.suffix]
-        return list(token)
+        self.moves: dict[int, int] = {}
+        self.known: dict[int, bool] = {}
+        self._state((0, -1, 0))
 
     def _state(self, items: tuple) -> int:
-        key = tuple(i[:3] for i in items)
-        at = self.states.get(key)
+        at = self.states.get(items)
         if at is None:
-            at = self.states[key] = len(self.held)
+            at = self.states[items] = len(self.held)
             self.held.append(items)
-            self.moves.append({})
         return at
 
-    def fits(self, before: str | None, token: str) -> bool:
-        """Whether the merges leave ``before`` and ``token`` as they are.
+    def _reached(self, token: int) -> bool:
+        """Whether the merges make this token from its own symbols."""
+        left, right = self.parts[token]
+        return left < 0 or (self._reached(left) and self._reached(right)
+                            and self._apart(left, right, self.rank[self._pair(left, right)]))
+
+    def _apart(self, left: int, right: int, limit: int) -> bool:
+        """Whether the merges before ``limit`` leave the two tokens apart.
 
         The later of the merges that made the two symbols at their border is
         undone, again and again; if the border pair it uncovers would have
         merged before that, the two never came to stand side by side."""
-        known = self._fits.get((before, token))
-        if known is None:
-            if len(self._fits) > 8 * MAX_STATES:
-                self._fits.clear()
-            if before is not None:
-                known = self.fits(None, token) and self._apart(before, token, len(self.rank))
-            elif token in self.parts:   # its own last merge must be reached
-                left, right = self.parts[token]
-                known = self.fits(None, left) and self.fits(None, right) \
-                    and self._apart(left, right, self.made[token])
-            else:
-                known = len(self._split(token)) == 1
-            self._fits[before, token] = known
-        return known
-
-    def _apart(self, left: str, right: str, limit: int) -> bool:
-        rank, made, parts = self.rank, self.made, self.parts
+        rank, parts, symbols = self.rank, self.parts, self.symbols
         while True:
-            if rank.get((left, right), limit) < limit:
+            if rank.get(left << 32 | right, limit) < limit:
                 return False
-            of_left, of_right = made.get(left, -1), made.get(right, -1)
-            if of_left < 0 and of_right < 0:
+            if left < symbols and right < symbols:
                 return True
+            of_left = rank[self._pair(*parts[left])] if left >= symbols else -1
+            of_right = rank[self._pair(*parts[right])] if right >= symbols else -1
             if of_left > of_right:      # equal merges run from the left
                 limit, left = of_left, parts[left][1]
             else:
                 limit, right = of_right + 1, parts[right][0]
 
-    def _move(self, state: int, symbol: str) -> tuple[int, int]:
-        kept, emitted, token = [], None, None
-        fits, known = self.fits, self._fits.get
-        for _, before, count, node in self.held[state]:
-            below = node.get(symbol)
+    def _move(self, state: int, symbol: int) -> int:
+        kept, emitted, token = [], 0, -1
+        held, kids, ends, known = self.held[state], self.kids, self.ends, self.known
+        for i in range(0, len(held), 3):
+            below = kids[held[i]].get(symbol)
             if below is None:
                 continue
-            ends = below.get(None)
-            if ends is not None:
-                fit = known((before, ends))
+            before, count = held[i + 1], held[i + 2]
+            end = ends[below]
+            if end >= 0:
+                pair = before << 32 | end
+                fit = known.get(pair)
                 if fit is None:
-                    fit = fits(before, ends)
+                    fit = known[pair] = before < 0 or self._apart(before, end, 1 << 60)
                 if fit:
-                    if token is not None:
-                        raise ValueError(f"two segmentations at {symbol!r}")
-                    emitted, token = count + 1, ends
-                if len(below) == 1:
-                    continue
-            kept.append((id(below), before, count, below))
-        if token is None:
-            raise ValueError(f"no segmentation at {symbol!r}")
-        items = [(n, b, c - emitted, d) for n, b, c, d in kept]
-        items.append((id(self.trie), token, 0, self.trie))
-        move = self._state(tuple(items)), emitted
-        self.moves[state][symbol] = move
+                    if token >= 0:
+                        raise ValueError("two segmentations")
+                    emitted, token = count + 1, end
+            if kids[below]:
+                kept += (below, before, count)
+        if token < 0:
+            raise ValueError("no segmentation")
+        for i in range(2, len(kept), 3):
+            kept[i] -= emitted
+        move = self._state((*kept, 0, token, 0)) << 16 | emitted + 32768
+        self.moves[state << 9 | symbol] = move
         return move
 
     def count(self, word: str) -> int:
         """Tokens of one pre-token: the emitted counts along its path."""
         if len(self.held) > MAX_STATES:
             self._reset()
-        symbols = list(map(self.symbols.__getitem__, word.encode()))
-        symbols[-1] += self.suffix
-        state, total, moves = self.start, 0, self.moves
-        for s in symbols:
-            step = moves[state].get(s)
-            if step is None:
-                step = self._move(state, s)
-            state = step[0]
-            total += step[1]
+        read = word.encode()
+        state, total, moves = 0, 0, self.moves
+        for symbol in (*read[:-1], read[-1] + self.last):
+            move = moves.get(state << 9 | symbol)
+            if move is None:
+                move = self._move(state, symbol)
+            state = move >> 16
+            total += (move & 65535) - 32768
         return total
 
 
