@@ -24,7 +24,7 @@ from ..session import Scratch
 from .common import map_batches, only
 from .token_counts import byte_symbols
 
-ROWS_PER_BUCKET = 200_000
+ROWS_PER_BUCKET = 2_000
 PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 # The pre-tokeniser entry of a byte-level file, and its pattern.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
@@ -192,14 +192,18 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     scratch = scratch or Scratch(df.sparkSession)
     pieces = scratch.table(cut_pieces(df, tokenizer, capacity, end_id))
     histogram = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
-    total = sum(histogram.values())
-    buckets = max(1, -(-total // rows_per_bucket))
     plan = best_fit_decreasing(histogram, capacity)
     plan["key"] = (plan["length"] << 44) + plan["first"]
     order = np.argsort(plan["key"])
     shared = df.sparkSession.sparkContext.broadcast({k: v[order] for k, v in plan.items()})
 
-    bucketed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    # As many buckets as a length's pieces need; one row for each length.
+    parts = df.sparkSession.createDataFrame(
+        [(n, -(-count // rows_per_bucket)) for n, count in histogram.items()],
+        "length bigint, parts bigint")
+    bucketed = (pieces.join(F.broadcast(parts), "length")
+                .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.col("parts")))
+                .drop("parts"))
     before = (bucketed.groupBy("length", "bucket").count()
               .withColumn("before", F.sum("count").over(
                   Window.partitionBy("length").orderBy("bucket")
