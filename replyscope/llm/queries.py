@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .html_extract import extract_text
 from .near_dedup import near_duplicates
 from .packing import pack
 from .quality import judge, train_field
@@ -16,6 +17,10 @@ from .token_counts import count_tokens
 from .url_filter import filter_urls
 
 
+def op1_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_text(read_table(spark, sf, "pages"))
+
+
 def op2_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return filter_urls(read_table(spark, sf, "pages"))
 
@@ -43,8 +48,9 @@ def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filter, op3_best_fit_packing, op4_line_quality,
-                            op7_token_counts, op8_substring_dedup, op9_near_dedup)}
+    f.__name__: f for f in (op1_html_extract, op2_url_filter, op3_best_fit_packing,
+                            op4_line_quality, op7_token_counts, op8_substring_dedup,
+                            op9_near_dedup)}
 
 OP2_SQL = """
 WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN
