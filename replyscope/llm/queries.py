@@ -15,6 +15,7 @@ from .quality import judge, train_field
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
 from .url_filter import filter_urls
+from .weighted_sampling import fingerprints
 
 
 def op1_html_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op4_line_quality(spark: SparkSession, sf: str) -> DataFrame:
     return judge(docs, train_field(docs, read_table(spark, sf, "labels")))
 
 
+def op5_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints(read_table(spark, sf, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(read_table(spark, sf, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"))
@@ -49,8 +54,8 @@ def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extract, op2_url_filter, op3_best_fit_packing,
-                            op4_line_quality, op7_token_counts, op8_substring_dedup,
-                            op9_near_dedup)}
+                            op4_line_quality, op5_weighted_sampling, op7_token_counts,
+                            op8_substring_dedup, op9_near_dedup)}
 
 OP2_SQL = """
 WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN
