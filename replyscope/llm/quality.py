@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import Words, hash_spans, map_batches, mix, only, text_bytes
 
-MAX_TRAINING_TEXTS = 2_000
+MAX_TRAINING_TEXTS = 1_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT_SHARE = 0.5
@@ -208,9 +208,12 @@ def train_field(docs: DataFrame, labels: DataFrame,
                 max_texts: int = MAX_TRAINING_TEXTS) -> Field:
     """Train on at most ``max_texts`` labelled texts. Without texts of both
     kinds the field stays neutral, and then every line counts as content."""
-    known = only(labels, doc_id="bigint", quality="int").where("quality in (0, 1)")
-    sample = (known.join(only(docs, doc_id="bigint", text="string"), "doc_id")
-              .where("text is not null")
+    picked = (only(labels, doc_id="bigint", quality="int")
+              .where("quality in (0, 1) and doc_id is not null").distinct()
+              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_texts))
+    # At most max_texts ids go to the texts, not the texts to them.
+    sample = (only(docs, doc_id="bigint", text="string").where("text is not null")
+              .join(F.broadcast(picked), "doc_id")
               .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(max_texts)
               .select("quality", "text").toArrow())
     good = sample.column(0).to_numpy()
