@@ -225,9 +225,11 @@ def train_field(docs: DataFrame, labels: DataFrame,
 
 def judge(df: DataFrame, field: Field, min_words: int = MIN_WORDS,
           max_repeat_percent: int = MAX_REPEAT_PERCENT,
-          min_content_share: float = MIN_CONTENT_SHARE) -> DataFrame:
+          min_content_share: float = MIN_CONTENT_SHARE,
+          carry: dict[str, str] | None = None) -> DataFrame:
     """One row per input row: ``doc_id``, the counts, ``base_failed``,
-    ``content_share`` and ``kept``. A null or empty text has no words, fails
+    ``content_share``, ``kept``, and ``row``, the columns of ``carry`` (name to
+    type), if any are asked for. A null or empty text has no words, fails
     the base rule and has a share of 0; repeated rows are judged each; an
     empty table gives no rows. Nothing is shuffled."""
     weights = (field.emit, field.move)
@@ -238,13 +240,20 @@ def judge(df: DataFrame, field: Field, min_words: int = MIN_WORDS,
         held = np.bincount(x.row[content], x.words[content], minlength=x.rows)
         share = held / np.maximum(x.n_words, 1)
         failed = (x.n_words < min_words) | (100 * x.n_repeat > max_repeat_percent * x.n_words)
-        return {"doc_id": part.column(0), "n_words": x.n_words, "word_chars": x.word_chars,
-                "n_symbols": x.n_symbols, "n_dup_lines": x.n_dup_lines,
-                "n_repeat_words": x.n_repeat, "base_failed": failed, "content_share": share,
-                "kept": ~failed & (share >= min_content_share)}
-
-    return map_batches(only(df, doc_id="bigint", text="string"), batch,
-                       "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
-                       "n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, "
-                       "content_share double, kept boolean", text="text",
+        out = {"doc_id": part.column(0), "n_words": x.n_words, "word_chars": x.word_chars,
+               "n_symbols": x.n_symbols, "n_dup_lines": x.n_dup_lines,
+               "n_repeat_words": x.n_repeat, "base_failed": failed, "content_share": share,
+               "kept": ~failed & (share >= min_content_share)}
+        return out | {"row": part.column(2)} if carry else out
+
+    schema = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
+              "n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, "
+              "content_share double, kept boolean")
+    docs = [F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.col("text").cast("string").alias("text")]
+    if carry:
+        schema += ", row struct<" + ", ".join(f"{c}: {kind}" for c, kind in carry.items()) + ">"
+        docs.append(F.struct(*[F.col(f"`{c}`").cast(kind).alias(c)
+                               for c, kind in carry.items()]).alias("row"))
+    return map_batches(df.select(*docs), batch, schema, text="text",
                        setup=lambda: Field(*weights))

@@ -11,6 +11,8 @@ from .common import read_table
 from .html_extract import extract_text
 from .near_dedup import near_duplicates
 from .packing import pack
+from .piece_dropout import segmentations
+from .pseudo_likelihood import pseudo_likelihood
 from .quality import judge, train_field
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
@@ -39,6 +41,11 @@ def op5_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints(read_table(spark, sf, "documents"))
 
 
+def op6_piece_dropout(spark: SparkSession, sf: str) -> DataFrame:
+    return segmentations(read_table(spark, sf, "documents"),
+                         public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(read_table(spark, sf, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"))
@@ -52,10 +59,15 @@ def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf, "documents"))
 
 
+def op10_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudo_likelihood(read_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extract, op2_url_filter, op3_best_fit_packing,
-                            op4_line_quality, op5_weighted_sampling, op7_token_counts,
-                            op8_substring_dedup, op9_near_dedup)}
+                            op4_line_quality, op5_weighted_sampling, op6_piece_dropout,
+                            op7_token_counts, op8_substring_dedup, op9_near_dedup,
+                            op10_pseudo_likelihood)}
 
 OP2_SQL = """
 WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN
