@@ -32,6 +32,7 @@ MIN_SHARE = 0.3          # of the page's best score that the host's path must ho
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math object select textarea canvas "
                 "video audio button noframes title head".split())
+UNSEEN = frozenset("script style noscript template title noframes".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main "
@@ -178,10 +179,10 @@ class Page:
                     stop = _RAW_END[tag].search(source, at)
                     if stop:
                         at = stop.end()
-                    elif tag in ("script", "style", "title", "textarea", "noscript", "template",
-                                 "iframe", "noframes"):
+                    elif tag in UNSEEN or tag in ("textarea", "iframe"):
                         at = len(source)
-                text.append(" ")
+                if tag not in UNSEEN:
+                    text.append(" ")
                 continue
             if tag in VOID:
                 if tag == "hr":
