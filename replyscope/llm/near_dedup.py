@@ -34,6 +34,7 @@ SKETCH = 48
 SURE = 24            # retained values that two near sets share at least
 MEETINGS = 3         # rare values that they have to share in short lists
 SHORT_LIST = 8
+SALTS = 64
 BLOCK = 1024
 COLUMNS = 4096
 
@@ -110,10 +111,15 @@ def _candidates(sketches: DataFrame, percent: int, scratch: Scratch) -> DataFram
     bucket = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent) + 1e-9)
     hubs = (prefix.where(F.col("df") > SHORT_LIST)
             .withColumn("bucket", F.explode(F.array(bucket, bucket + 1)))
-            .select("value", "bucket", "rep"))
-    centre = hubs.groupBy("value", "bucket").agg(F.min("rep").alias("b"))
-    return pairs.union(hubs.join(centre, ["value", "bucket"])
-                       .select(F.col("rep").alias("a"), "b").distinct())
+            .select("value", "bucket", "rep", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).alias("salt")))
+    # A hub may have a large part of all rows, so members meet in salted parts
+    # of it, and the smallest members of the parts meet in the hub.
+    parts = hubs.groupBy("value", "bucket", "salt").agg(F.min("rep").alias("b"))
+    centre = parts.groupBy("value", "bucket").agg(F.min("b").alias("centre"))
+    edges = (hubs.join(parts, ["value", "bucket", "salt"]).select(F.col("rep").alias("a"), "b")
+             .union(parts.join(centre, ["value", "bucket"])
+                    .select(F.col("b").alias("a"), F.col("centre").alias("b"))))
+    return pairs.union(edges.where("a != b").distinct())
 
 
 def _blocks(clusters: DataFrame, sizes: DataFrame, percent: int, block: int) -> DataFrame:
