@@ -140,7 +140,8 @@ def parse_judge_reply(reply: str | Column, rubric=DEFAULT_RUBRIC) -> dict[str, C
     Returns ``{"ok": parsed-or-no-braces, dim: score..., "rationale": ...}``.
     No braces -> every dimension 3 and an empty rationale. Braces whose text
     is not valid JSON -> ``ok`` is false and the caller falls back to the
-    heuristic judge for that row. A dimension that is missing or not a
+    heuristic judge for that row, and so does an infinite score. A dimension
+    that is missing or not a
     number scores 3; otherwise ``clamp(round_half_even(x), 1, 5)``."""
     span = F.regexp_extract(F.coalesce(_c(reply), F.lit("")), r"(?s)\{.*\}", 0)
     has_span = F.length(span) > 0
@@ -148,6 +149,8 @@ def parse_judge_reply(reply: str | Column, rubric=DEFAULT_RUBRIC) -> dict[str, C
     out: dict[str, Column] = {"ok": (~has_span) | v.isNotNull()}
     for d in rubric:
         x = F.try_variant_get(v, f"$.{d}", "double")
+        # An infinite score can't be rounded: the reply counts as malformed.
+        out["ok"] = out["ok"] & ~F.coalesce(F.abs(x) == F.lit(float("inf")), F.lit(False))
         scored = F.least(F.greatest(F.rint(x), F.lit(1.0)), F.lit(5.0)).cast("int")
         out[d] = F.when(x.isNull() | F.isnan(x), F.lit(NEUTRAL)).otherwise(scored)
     rat = F.coalesce(F.try_variant_get(v, "$.rationale", "string"),

@@ -49,10 +49,15 @@ def word_tokens(text: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(t), F.lit(f"({WORD_PATTERN})"), F.lit(1))
 
 
+# Fixed value: the characters that count as white space at a text's ends.
+WHITE_SPACE = ("\\t\\n\\x0B\\f\\r\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029"
+               "\\u202F\\u205F\\u3000")
+
+
 def strip(text: str | Column) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` only
     removes spaces)."""
-    return F.regexp_replace(_col(text), r"^\s+|\s+$", "")
+    return F.regexp_replace(_col(text), f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", "")
 
 
 def unigrams(text: str | Column, stop_words: tuple[str, ...] | None = None) -> Column:

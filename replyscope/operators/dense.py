@@ -2,12 +2,12 @@
 pairwise dense cosine (M1 dense).
 
 Exact search compares every query with every KB vector, so the work is
-O(Q x N x d) whatever the engine. It is split into bounded blocks: queries
-and KB rows are hashed into ``ceil(rows / block_rows)`` blocks each, every
+O(Q x N x d) whatever the engine. It is split into blocks of bounded mean
+size: queries and KB rows are hashed into blocks, every
 (query block, KB block) cell is one co-grouped task that multiplies two
 bounded matrices and keeps only the k best per query, and a final
-``row_number() <= k`` merges the per-block winners. No group ever exceeds
-``block_rows`` rows a side, and no (query, KB) pair becomes a row."""
+``row_number() <= k`` merges the per-block winners. No (query, KB) pair
+becomes a row."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
@@ -17,24 +17,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .retrieve import RANK_DECIMALS, rank_order
+from .retrieve import KB_BLOCK, QUERY_BLOCK, RANK_DECIMALS, best_columns, blocks, rank_order
 from .tfidf import l2_normalize
 
-DEFAULT_BLOCK_ROWS = 2048
-
-
-def _blocks(df: DataFrame, block_rows: int) -> Column:
-    """Number of hash blocks so each holds about ``block_rows`` rows."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    return F.greatest(F.ceil(n / F.lit(block_rows)), F.lit(1)).cast("int")
-
-
 def _block_topk(k: int, exclude_self: bool):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty or k <= 0:
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"),
                                  "id": pd.Series(dtype="int64"),
                                  "score": pd.Series(dtype="float64")})
+        right = right.sort_values("id", kind="stable")
         qids = left["query_id"].to_numpy(dtype=np.int64)
         ids = right["id"].to_numpy(dtype=np.int64)
         qm = np.stack([np.asarray(v, dtype=np.float64) for v in left["qvec"]])
@@ -43,10 +35,8 @@ def _block_topk(k: int, exclude_self: bool):
         keyed = np.round(scores, RANK_DECIMALS)
         if exclude_self:
             keyed = np.where(qids[:, None] == ids[None, :], -np.inf, keyed)
-        # Order by (rounded score desc, id asc) along each row.
-        order = np.lexsort((np.broadcast_to(ids, keyed.shape), -keyed), axis=1)
-        take = min(k, len(ids))
-        sel = order[:, :take]
+        sel = best_columns(keyed, ids, k)
+        take = sel.shape[1]
         picked = np.take_along_axis(keyed, sel, axis=1)
         rows = np.repeat(np.arange(len(qids)), take)
         cols = sel.reshape(-1)
@@ -57,11 +47,13 @@ def _block_topk(k: int, exclude_self: bool):
 
 
 def topk_dense(queries: DataFrame, kb: DataFrame, k: int, exclude_self: bool = True,
-               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+               block_rows: int | None = None) -> DataFrame:
     """R2 (dense) + R3. ``queries(query_id, vec)``, ``kb(id, vec)`` with unit
     vectors; output ``query_id, rank, id, score`` ranked by (score desc,
     id asc)."""
-    nqb, nkb = _blocks(queries, block_rows), _blocks(kb, block_rows)
+    # Blocks are uneven on purpose: few large KB blocks mean few copies of a
+    # query, and a cell still holds a bounded number of scores.
+    nqb, nkb = blocks(queries, block_rows or QUERY_BLOCK // 4), blocks(kb, block_rows or KB_BLOCK)
     q = queries.select(
         "query_id", F.col("vec").alias("qvec"),
         F.pmod(F.xxhash64("query_id"), nqb).alias("qb"),

@@ -1,84 +1,147 @@
 """Exact top-k cosine retrieval over sparse TF-IDF vectors.
 
-Both sides are unit vectors in long form, so cosine is ``sum(wq * wd)`` over
-shared terms: an equi-join on ``term`` (an inverted index), a partially
-aggregated ``groupBy(query_id, id)``, and ``row_number() <= k`` (planned as a
-WindowGroupLimit that keeps only k rows per query and partition before the
-final shuffle). A hot term is split by AQE's skew-join handling."""
+Cosine of unit vectors is ``sum(wq * wd)`` over shared terms. Every text's
+vector is one row; queries and KB rows are dealt to blocks, and each (query
+block, KB block) cell multiplies its two sparse blocks in numpy and emits the k
+best KB rows per query. So what is shuffled is the vectors, once per block of
+the other side, and ``k`` rows per query and KB block, never a row per (query,
+document) candidate, however common a term is."""
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: scores are rounded to this many places before ranking so float
 # summation order cannot decide a tie; ties then go to the lower id.
 RANK_DECIMALS = 9
-# Postings of one term handled by one join task before the term is salted.
-DEFAULT_POSTINGS_PER_TASK = 1_000_000
+QUERY_BLOCK = 4096
+KB_BLOCK = 16384
+# Query x KB scores held at once in a cell.
+CELL_SCORES = 1 << 22
 
 
 def rank_order(score_col: str = "score", id_col: str = "id"):
     return [F.round(F.col(score_col), RANK_DECIMALS).desc(), F.col(id_col).asc()]
 
 
-def pad_ids(kb: DataFrame, k: int, id_col: str = "id"):
-    """Scalar subquery: the ``k + 1`` smallest KB ids (an array of at most
-    k + 1 values). They are the zero-score candidates that make every query
-    return ``min(k, N)`` rows even when it shares no term with the KB."""
-    return (kb.select(F.col(id_col).alias("pad_id")).orderBy("pad_id").limit(k + 1)
-            .agg(F.collect_list("pad_id")).scalar())
-
-
-def _salted(q: DataFrame, d: DataFrame, vocab: DataFrame, postings_per_task: int,
-            vocab_bound: int | None) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Split hot terms: a term with ``df`` postings is spread over
-    ``ceil(df / postings_per_task)`` salt buckets on the KB side (by id hash)
-    and its query postings are copied to every bucket, so each (query, doc)
-    pair still meets exactly once while no join task holds more than about
-    ``postings_per_task`` KB postings of one term. The per-term fan-out table
-    has one row per vocabulary term (broadcast when that is bounded)."""
-    fan = vocab.select("term", F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(postings_per_task)))
-                       .cast("int").alias("fan"))
-    if vocab_bound is not None:
-        fan = F.broadcast(fan)
-    d = d.join(fan, "term", "left").withColumn(
-        "salt", F.pmod(F.xxhash64("id"), F.coalesce("fan", F.lit(1)))).drop("fan")
-    q = q.join(fan, "term", "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1))).drop("fan")
-    return q, d, ["term", "salt"]
+def best_columns(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Per row the columns of the ``k`` best by (score desc, id asc), best
+    first. ``ids`` ascend. Only columns that reach the k-th best score are
+    sorted."""
+    k = min(k, scores.shape[1])
+    if k < scores.shape[1]:
+        least = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+        # Of the columns tied with the k-th best the first ones stand.
+        above = scores > least
+        tied = scores == least
+        keep = above | tied & (np.cumsum(tied, axis=1) <= k - above.sum(axis=1, keepdims=True))
+        columns = np.nonzero(keep)[1].reshape(len(scores), k)
+    else:
+        columns = np.tile(np.arange(k), (len(scores), 1))
+    picked = np.take_along_axis(scores, columns, axis=1)
+    order = np.argsort(-picked, axis=1, kind="stable")
+    return np.take_along_axis(columns, order, axis=1)
+
+
+def _postings(rows: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term, row number and weight of all entries of a block's vectors."""
+    sizes = [len(r) for r in rows]
+    flat = [e for r in rows for e in r]
+    return (np.asarray([e["term"] for e in flat], dtype=np.int64),
+            np.repeat(np.arange(len(sizes)), sizes),
+            np.asarray([e["w"] for e in flat], dtype=np.float64))
+
+
+def _cell(k: int, exclude_self: bool):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty or k <= 0:
+            return pd.DataFrame({"query_id": pd.Series(dtype="int64"),
+                                 "no_id": pd.Series(dtype="bool"),
+                                 "id": pd.Series(dtype="int64"),
+                                 "score": pd.Series(dtype="float64")})
+        right = right.sort_values("id", kind="stable")
+        ids = right["id"].to_numpy(dtype=np.int64)
+        no_id = left["no_id"].to_numpy(dtype=bool)
+        qids = left["query_id"].to_numpy(dtype=np.int64)
+        term, doc, wd = _postings(right["vec"])
+        order = np.argsort(term, kind="stable")
+        term, doc, wd = term[order], doc[order], wd[order]
+        qterm, query, wq = _postings(left["vec"])
+        low, high = np.searchsorted(term, qterm, "left"), np.searchsorted(term, qterm, "right")
+        step = max(1, CELL_SCORES // len(ids))
+        out = []
+        for start in range(0, len(qids), step):
+            stop = min(start + step, len(qids))
+            a, b = np.searchsorted(query, [start, stop])
+            meets = high[a:b] - low[a:b]
+            first = np.repeat(low[a:b] - np.concatenate([[0], np.cumsum(meets)[:-1]]), meets) \
+                if b > a else np.zeros(0, dtype=np.int64)
+            at = first + np.arange(int(meets.sum()))
+            cell = (np.repeat(query[a:b], meets) - start) * len(ids) + doc[at]
+            scores = np.bincount(cell, np.repeat(wq[a:b], meets) * wd[at],
+                                 minlength=(stop - start) * len(ids)).reshape(-1, len(ids))
+            keyed = np.round(scores, RANK_DECIMALS)
+            if exclude_self:
+                own = (qids[start:stop, None] == ids) & ~no_id[start:stop, None]
+                keyed[own] = -np.inf
+            columns = best_columns(keyed, ids, k)
+            rows = np.repeat(np.arange(start, stop), columns.shape[1])
+            columns = columns.ravel()
+            stays = np.isfinite(keyed[rows - start, columns])
+            rows, columns = rows[stays], columns[stays]
+            out.append(pd.DataFrame({"query_id": qids[rows], "no_id": no_id[rows],
+                                     "id": ids[columns],
+                                     "score": scores[rows - start, columns]}))
+        return pd.concat(out, ignore_index=True)
+    return run
+
+
+def blocks(df: DataFrame, block_rows: int):
+    """Number of blocks so that each holds about ``block_rows`` rows."""
+    n = df.select(F.count(F.lit(1))).scalar()
+    return F.greatest(F.ceil(n / F.lit(block_rows)), F.lit(1)).cast("int")
+
+
+def _whole(vecs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """One row per key with its vector; a text without known terms has an
+    empty one."""
+    gathered = vecs.groupBy(F.col(key).alias("of")).agg(F.collect_list(F.struct(
+        F.xxhash64("term").alias("term"), F.col("w").cast("double").alias("w"))).alias("vec"))
+    empty = F.array().cast(gathered.schema["vec"].dataType)
+    return (keys.select(key).join(gathered, F.col(key).eqNullSafe(F.col("of")), "left")
+            .select(key, F.coalesce("vec", empty).alias("vec")))
 
 
 def topk_sparse(query_vecs: DataFrame, kb_vecs: DataFrame, queries: DataFrame,
                 kb: DataFrame, k: int, exclude_self: bool = True,
-                vocab: DataFrame | None = None,
-                postings_per_task: int | None = DEFAULT_POSTINGS_PER_TASK,
-                vocab_bound: int | None = 4096) -> DataFrame:
+                query_block: int = QUERY_BLOCK, kb_block: int = KB_BLOCK) -> DataFrame:
     """R2-R4. Inputs: ``query_vecs(query_id, term, w)``,
     ``kb_vecs(id, term, w)``, ``queries(query_id)``, ``kb(id)``.
     Output ``query_id, rank, id, score``: for every query the ``min(k, N')``
     best KB rows by (score desc, id asc), where N' excludes the query's own
-    id when ``exclude_self``. With the fitted ``vocab`` (its ``df``), terms
-    with more than ``postings_per_task`` postings are salted (``_salted``);
-    AQE's skew-join splitting remains as a second line."""
-    q = query_vecs.select("query_id", "term", F.col("w").alias("wq"))
-    d = kb_vecs.select("id", "term", F.col("w").alias("wd"))
-    keys = ["term"]
-    if vocab is not None and postings_per_task is not None:
-        q, d, keys = _salted(q, d, vocab, postings_per_task, vocab_bound)
-    hits = q.join(d, keys, "inner")
-    if exclude_self:
-        hits = hits.where(F.col("query_id") != F.col("id"))
-    hits = hits.select("query_id", "id", (F.col("wq") * F.col("wd")).alias("p"))
-    pads = queries.select("query_id", F.explode(pad_ids(kb, k)).alias("id"),
-                          F.lit(0.0).alias("p"))
-    if exclude_self:
-        pads = pads.where(F.col("query_id") != F.col("id"))
-    scored = (hits.unionByName(pads)
-              .groupBy("query_id", "id").agg(F.sum("p").alias("score")))
-    w = Window.partitionBy("query_id").orderBy(*rank_order())
-    return (scored.withColumn("rank", F.row_number().over(w))
+    id when ``exclude_self``. KB rows without a common term score 0 and fill
+    up the ranks in id order. A query without an id has no own row to leave
+    out. Ids are unique on either side (``check_unique``)."""
+    nq, nk = blocks(queries, query_block), blocks(kb, kb_block)
+    q = _whole(query_vecs, queries, "query_id").select(
+        F.coalesce("query_id", F.lit(0).cast("bigint")).alias("query_id"),
+        F.col("query_id").isNull().alias("no_id"), "vec",
+        F.pmod(F.xxhash64("query_id"), nq).alias("qb"),
+        F.explode(F.sequence(F.lit(0), nk - 1)).alias("kb"))
+    d = _whole(kb_vecs, kb, "id").select(
+        "id", "vec", F.explode(F.sequence(F.lit(0), nq - 1)).alias("qb"),
+        F.pmod(F.xxhash64("id"), nk).alias("kb"))
+    cells = (q.groupBy("qb", "kb").cogroup(d.groupBy("qb", "kb"))
+             .applyInPandas(lambda l, r: _cell(k, exclude_self)(
+                 l[["query_id", "no_id", "vec"]], r[["id", "vec"]]),
+                 schema="query_id long, no_id boolean, id long, score double"))
+    w = Window.partitionBy("query_id", "no_id").orderBy(*rank_order())
+    return (cells.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
-            .select("query_id", "rank", "id", "score"))
+            .select(F.when(~F.col("no_id"), F.col("query_id")).alias("query_id"),
+                    "rank", "id", "score"))
 
 
 def attach_cases(top: DataFrame, kb: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_HOLDOUT, DEFAULT_PER_CATEGORY, DEFAULT_SEED
+from ..session import small
 
 
 def sample_key(id_col: str, seed: int) -> F.Column:
@@ -15,7 +16,7 @@ def sample_key(id_col: str, seed: int) -> F.Column:
 def holdout_split(tickets: DataFrame, per_category: int = DEFAULT_PER_CATEGORY,
                   holdout_n: int | None = DEFAULT_HOLDOUT, seed: int = DEFAULT_SEED,
                   category_col: str = "category", id_col: str = "id",
-                  rank_first: bool = False) -> DataFrame:
+                  rank_first: bool = False, limit: int | None = None) -> DataFrame:
     """D2 + D3: per category take ``per_category`` rows in seeded random
     order; then the first ``holdout_n`` of those in (category, draw) order.
 
@@ -25,8 +26,10 @@ def holdout_split(tickets: DataFrame, per_category: int = DEFAULT_PER_CATEGORY,
     over at most ``per_category`` x categories rows. ``rank_first`` orders
     by (draw, category) instead, so a small ``holdout_n`` still spreads over
     all categories rather than filling the first ones alphabetically."""
-    if holdout_n is not None and holdout_n < 0:
-        raise ValueError("holdout_n must be >= 0")
+    if min(holdout_n or 0, limit or 0) < 0:
+        raise ValueError("holdout_n and limit must be >= 0")
+    if limit is not None:   # a run's limit only ever shortens the holdout
+        holdout_n = limit if holdout_n is None else min(holdout_n, limit)
     w = Window.partitionBy(category_col).orderBy(sample_key(id_col, seed), F.col(id_col))
     sampled = (tickets.withColumn("holdout_rank", F.row_number().over(w))
                .where(F.col("holdout_rank") <= per_category))
@@ -38,13 +41,14 @@ def holdout_split(tickets: DataFrame, per_category: int = DEFAULT_PER_CATEGORY,
 
 
 def knowledge_base(tickets: DataFrame, holdout: DataFrame, id_col: str = "id",
-                   holdout_bound: int | None = DEFAULT_HOLDOUT) -> DataFrame:
+                   holdout_bound: int | None = None) -> DataFrame:
     """Every ticket whose id is not held out (``left_anti``).
 
     The holdout side is broadcast only when its row count has a known bound
-    (``holdout_n``); otherwise AQE picks the join from runtime sizes."""
+    (``holdout_n``) that is small; otherwise AQE picks the join from runtime
+    sizes."""
     ids = holdout.select(id_col)
-    if holdout_bound is not None:
+    if small(holdout_bound):
         ids = F.broadcast(ids)
     return tickets.join(ids, id_col, "left_anti")
 

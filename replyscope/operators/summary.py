@@ -49,15 +49,16 @@ def describe_by_category(scores: DataFrame, value: str = "final_score",
 
 def summary_table(scores: DataFrame, value: str = "final_score",
                   category_col: str = "category", approx_median: bool = False) -> DataFrame:
-    """A2 + A3 in one aggregation (``rollup``): ``category`` null is the
-    overall row. A rollup yields nothing on an empty input, so the all-zero
-    overall row is added in that case."""
+    """A2 + A3 in one aggregation (``rollup``): ``is_overall`` marks the
+    overall row, whose ``category`` is null; rows without a category are a
+    category of their own. A rollup yields nothing on an empty input, so the
+    all-zero overall row is added in that case."""
     rolled = (scores.rollup(category_col).agg(*describe_aggs(value, approx_median),
-                                              F.grouping(category_col).alias("is_overall"))
-              .select(F.col(category_col).alias("category"), "count", "mean", "median",
+                                              (F.grouping(category_col) == 1).alias("is_overall"))
+              .select(F.col(category_col).alias("category"), "is_overall", "count", "mean", "median",
                       "min", "max", "stdev"))
     empty = (scores.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0)
-             .select(F.lit(None).cast("string").alias("category"),
+             .select(F.lit(None).cast("string").alias("category"), F.lit(True).alias("is_overall"),
                      F.lit(0).cast("bigint").alias("count"),
                      *[F.lit(0.0).alias(c) for c in ("mean", "median", "min", "max", "stdev")]))
     return rolled.unionByName(empty)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_MAX_FEATURES
 from ..functions.text import with_tfidf_terms
+from ..session import small
 
 
 def with_term_counts(df: DataFrame, terms_col: str, out_col: str) -> DataFrame:
@@ -95,11 +96,11 @@ def vectors_from_rows(rows: DataFrame, vocab: DataFrame, key_cols: list[str],
     """V4 + V5 from term rows ``(key..., term, cnt)``: ``key..., term, w``
     with ``w = cnt * idf`` scaled to unit length per text. Out-of-vocabulary
     terms are dropped; a text with no known term has no rows (the zero
-    vector). The vocabulary is broadcast when its size has a bound
+    vector). The vocabulary is broadcast when its size has a small bound
     (``max_features`` rows); the only shuffle is the norm window, over
     distinct in-vocabulary (text, term) rows."""
     v = vocab.select("term", "idf")
-    if vocab_bound is not None:
+    if small(vocab_bound):
         v = F.broadcast(v)
     joined = rows.select(*key_cols, "term", "cnt").join(v, "term", "inner")
     raw = (F.col("cnt") * F.col("idf"))

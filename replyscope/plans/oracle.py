@@ -49,7 +49,9 @@ def words(t: str) -> str:
 
 
 def strip(t: str) -> str:
-    return f"regexp_replace(coalesce({t}, ''), '^\\s+|\\s+$', '', 'g')"
+    space = ("[\\t\\n\\x0B\\f\\r\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}"
+             "\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+")
+    return f"regexp_replace(coalesce({t}, ''), '^{space}|{space}$', '', 'g')"
 
 
 def with_bigrams(u: str) -> str:
@@ -67,7 +69,7 @@ def sql(ctes: list[str], body: str, recursive: bool = False) -> str:
 
 # ------------------------------------------------------------ fragments
 PAIRS = """pairs AS (
-  SELECT u.conv_id * 1000 + u.turn AS id, u.text AS customer_email, a.text AS support_reply,
+  SELECT (u.conv_id << 20) + u.turn AS id, u.text AS customer_email, a.text AS support_reply,
          'c' || CAST(u.conv_id % 10 AS VARCHAR) AS category, u.conv_id, u.turn
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant')"""
@@ -111,6 +113,8 @@ def tickets_ctes() -> list[str]:
     ]
 
 
+GIVEN = [PAIRS, "tickets AS (SELECT id, customer_email, support_reply, category FROM pairs)"]
+
 SPLIT = [
     f"""ho_ranked AS (
   SELECT *, row_number() OVER (PARTITION BY category
@@ -311,7 +315,7 @@ def ticket_run_ctes() -> list[str]:
              f"{lit(TOP_OPEN)} ELSE '' END || c.support_reply || CASE WHEN c.rank = 1 THEN "
              f"{lit(TOP_CLOSE)} ELSE '' END || {NL}")
     return [
-        *tickets_ctes(), *SPLIT,
+        *GIVEN, *SPLIT,
         *vocab_ctes("kbv", "kb_corpus", "CAST(doc_id AS VARCHAR) || ':' || side", "text"),
         *vector_ctes("kbvec", "kb", ["id"], "customer_email", "kbv"),
         "queries AS (SELECT id AS query_id, customer_email AS query_email FROM holdout)",
@@ -430,7 +434,7 @@ def summary_text_sql(run: list[str]) -> str:
     n = len(head)
     cat_line = (f"'   ' || {_pad('category', CATEGORY_WIDTH, False)} || ' ' || "
                 f"{_pad(_fmt('mean'), 6, True)} || '   (n=' || CAST(count AS VARCHAR) || ')'")
-    return sql(run + lcs_ctes("rl", "ev") + [
+    return sql(run + lcs_ctes("rl", "eval_pairs") + [
         f"o AS (SELECT {describe('final_score')} FROM scores)",
         f"""c AS (SELECT coalesce({rnd('avg(s.cosine)', 4)}, 0.0) AS cosine,
   coalesce({rnd('avg(s.bertscore_f1)', 4)}, 0.0) AS bertscore_f1,
@@ -447,16 +451,17 @@ def summary_text_sql(run: list[str]) -> str:
 
 def oracles() -> dict[str, str]:
     run = ticket_run_ctes()
+    all_scores = EVAL_VOCAB + score_ctes("scores", "eval_pairs", "ev_vocab")
     return {
         "pairs_from_conversations": sql(
             [PAIRS], "SELECT id, category, customer_email, support_reply FROM pairs"),
         "eval_pairs": sql([PAIRS, EVAL_PAIRS], "SELECT * FROM eval_pairs"),
         "ticket_generate": sql(tickets_ctes(),
                                "SELECT id, category, customer_email, support_reply FROM tickets"),
-        "holdout_split": sql(tickets_ctes() + SPLIT, "SELECT id, category, holdout_rank FROM holdout"),
-        "kb_anti": sql(tickets_ctes() + SPLIT, "SELECT id, category FROM kb"),
-        "corpus_union": sql(tickets_ctes() + SPLIT, "SELECT doc_id, side, text FROM kb_corpus"),
-        "distinct_categories": sql(tickets_ctes(),
+        "holdout_split": sql(GIVEN + SPLIT, "SELECT id, category, holdout_rank FROM holdout"),
+        "kb_anti": sql(GIVEN + SPLIT, "SELECT id, category FROM kb"),
+        "corpus_union": sql(GIVEN + SPLIT, "SELECT doc_id, side, text FROM kb_corpus"),
+        "distinct_categories": sql(GIVEN,
                                    "SELECT count(DISTINCT category) AS n_categories FROM tickets"),
         "tokenize_words": (f"SELECT doc_id, len(w) AS n_words, array_to_string(w, ' ') AS words "
                            f"FROM (SELECT doc_id, {words('text')} AS w FROM documents)"),
@@ -533,30 +538,31 @@ def oracles() -> dict[str, str]:
         "rouge_l": sql([PAIRS, EVAL_PAIRS, *lcs_ctes("rl", "eval_pairs")],
                        f"SELECT pair_id AS id, lcs, {rnd('precision')} AS precision, "
                        f"{rnd('recall')} AS recall, {rnd('f1')} AS f1 FROM rl", recursive=True),
-        "component_means": sql(run + lcs_ctes("rl", "ev"), (
+        "component_means": sql(all_scores + lcs_ctes("rl", "eval_pairs"), (
             f"SELECT coalesce({rnd('avg(s.cosine)', 4)}, 0.0) AS cosine, "
             f"coalesce({rnd('avg(s.bertscore_f1)', 4)}, 0.0) AS bertscore_f1, "
             f"coalesce({rnd('avg(s.judge_normalized)', 4)}, 0.0) AS judge_normalized, "
             f"coalesce({rnd('avg(' + rnd('r.f1', 4) + ')', 4)}, 0.0) AS rouge_l_f1 "
             f"FROM scores s JOIN rl r ON r.pair_id = s.id"), recursive=True),
-        "scores_wide": sql(run + lcs_ctes("rl", "ev"), (
+        "scores_wide": sql(all_scores + lcs_ctes("rl", "eval_pairs"), (
             "SELECT s.cosine, s.bertscore_precision, s.bertscore_recall, s.bertscore_f1, "
             "'fallback-wordsim' AS bertscore_backend, s.judge_avg_1to5, s.judge_normalized, "
             "'heuristic' AS judge_backend, s.final_score, s.id, s.category, "
             f"{rnd('r.f1', 4)} AS rouge_l_f1, "
             + ", ".join(f"s.{d} AS judge_{d}" for d in RUBRIC)
             + " FROM scores s JOIN rl r ON r.pair_id = s.id"), recursive=True),
-        "summary_text": summary_text_sql(run),
+        "summary_text": summary_text_sql(all_scores),
         "judge_prompt": judge_prompt_sql(),
         "judge_parse": judge_parse_sql(),
         "score_rows": sql(run, f"SELECT {SCORE_COLS} FROM scores"),
         "final_score": sql(run, "SELECT id, final_score FROM scores"),
-        "describe_overall": sql(run, f"SELECT {describe('final_score')} FROM scores"),
-        "describe_by_category": sql(run, f"SELECT category, {describe('final_score')} FROM scores "
+        "describe_overall": sql(all_scores, f"SELECT {describe('final_score')} FROM scores"),
+        "describe_by_category": sql(all_scores, f"SELECT category, {describe('final_score')} FROM scores "
                                          f"GROUP BY category ORDER BY category"),
-        "summary_table": sql(run, f"SELECT category, {describe('final_score')} FROM scores "
+        "summary_table": sql(all_scores, f"SELECT category, grouping(category) = 1 AS is_overall, "
+                                  f"{describe('final_score')} FROM scores "
                                   f"GROUP BY ROLLUP (category)"),
-        "run_meta": sql(run, f"SELECT count(*) AS n_evaluated, {W.llm_judge}::DOUBLE AS weight_llm_judge, "
+        "run_meta": sql(all_scores, f"SELECT count(*) AS n_evaluated, {W.llm_judge}::DOUBLE AS weight_llm_judge, "
                              f"{W.bertscore}::DOUBLE AS weight_bertscore, {W.cosine}::DOUBLE AS weight_cosine, "
                              f"'tfidf' AS embedder, 'heuristic' AS judge_backend, "
                              f"'fallback-wordsim' AS bertscore_backend FROM scores"),

@@ -56,30 +56,35 @@ def tickets(spark: SparkSession, sf: str) -> DataFrame:
     return tickets_from_table(read_table(spark, sf, "documents"), "doc_id", CFG.seed)
 
 
+def given(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickets given as texts: the pairs of ``conversations``."""
+    return pairs(spark, sf).select("id", "customer_email", "support_reply", "category")
+
+
 def q_ticket_generate(spark, sf):
     return tickets(spark, sf).select("id", "category", "customer_email", "support_reply")
 
 
 def q_holdout_split(spark, sf):
-    return holdout_split(tickets(spark, sf), CFG.per_category, CFG.holdout_n, CFG.seed) \
+    return holdout_split(given(spark, sf), CFG.per_category, CFG.holdout_n, CFG.seed) \
         .select("id", "category", F.col("holdout_rank").cast("bigint").alias("holdout_rank"))
 
 
 def q_kb_anti(spark, sf):
-    t = tickets(spark, sf)
+    t = given(spark, sf)
     h = holdout_split(t, CFG.per_category, CFG.holdout_n, CFG.seed)
     return knowledge_base(t, h, holdout_bound=CFG.holdout_n).select("id", "category")
 
 
 def q_corpus_union(spark, sf):
-    t = tickets(spark, sf)
+    t = given(spark, sf)
     kb = knowledge_base(t, holdout_split(t, CFG.per_category, CFG.holdout_n, CFG.seed),
                         holdout_bound=CFG.holdout_n)
     return corpus(kb)
 
 
 def q_distinct_categories(spark, sf):
-    return distinct_categories(tickets(spark, sf))
+    return distinct_categories(given(spark, sf))
 
 
 # ---------------------------------------------------------------- text
@@ -141,7 +146,7 @@ def _pair_retrieval(spark, sf, queries: DataFrame, exclude_self: bool) -> DataFr
     kb_vecs = tfidf_vectors(p, vocab, ["id"], "customer_email")
     q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email")
     top = topk_sparse(q_vecs, kb_vecs, queries.select("query_id"), p.select("id"), K,
-                      exclude_self, vocab=vocab)
+                      exclude_self)
     return top.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id",
                       _r(F.col("score")).alias("score"))
 
@@ -176,7 +181,7 @@ def q_topk_dense(spark, sf):
 
 # ---------------------------------------------------------------- ticket run
 def ticket_run(spark, sf):
-    return run(tickets(spark, sf), CFG)
+    return run(given(spark, sf), CFG)
 
 
 def q_retrieved_cases(spark, sf):
@@ -209,6 +214,12 @@ def q_grounded_reply(spark, sf):
     return ticket_run(spark, sf).generations.select("query_id", "reply")
 
 
+def pair_scores(spark, sf):
+    """Score rows of every evaluation pair, as a table."""
+    from .evaluate import evaluate
+    return materialize(evaluate(eval_pairs(spark, sf), None, CFG))
+
+
 SCORE_COLS = ("id", "category", "cosine", "bertscore_precision", "bertscore_recall",
               "bertscore_f1", "judge_avg_1to5", "judge_normalized", "final_score",
               *CFG.rubric)
@@ -223,23 +234,23 @@ def q_final_score(spark, sf):
 
 
 def q_describe_overall(spark, sf):
-    return describe_overall(ticket_run(spark, sf).scores)
+    return describe_overall(pair_scores(spark, sf))
 
 
 def q_describe_by_category(spark, sf):
-    return describe_by_category(ticket_run(spark, sf).scores)
+    return describe_by_category(pair_scores(spark, sf))
 
 
 def q_summary_table(spark, sf):
-    return summary_table(ticket_run(spark, sf).scores)
+    return summary_table(pair_scores(spark, sf))
 
 
 def q_component_means(spark, sf):
-    return component_means(ticket_run(spark, sf).scores)
+    return component_means(pair_scores(spark, sf))
 
 
 def q_run_meta(spark, sf):
-    return run_meta(ticket_run(spark, sf).scores, CFG.weights)
+    return run_meta(pair_scores(spark, sf), CFG.weights)
 
 
 def q_generated_report(spark, sf):
@@ -248,12 +259,12 @@ def q_generated_report(spark, sf):
 
 
 def q_scores_wide(spark, sf):
-    return scores_wide(ticket_run(spark, sf).scores, CFG.rubric)
+    return scores_wide(pair_scores(spark, sf), CFG.rubric)
 
 
 def q_summary_text(spark, sf):
-    r = ticket_run(spark, sf)
-    return summary_lines(r.summary, r.components, r.meta)
+    s = pair_scores(spark, sf)
+    return summary_lines(summary_table(s), component_means(s), run_meta(s, CFG.weights))
 
 
 # ---------------------------------------------------------------- pair metrics

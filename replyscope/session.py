@@ -2,58 +2,69 @@
 cutting lineage with a reliable checkpoint."""
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 import uuid
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-# Defaults for a local run; on a cluster the submitter's settings win because
-# ``getOrCreate`` keeps an existing session untouched.
-LOCAL_CONF = {
+# Used where neither the caller, the submitter nor an existing session has set
+# anything.
+DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+QUIET = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+# Sides known to have at most this many rows may be broadcast without a look at
+# their size; beyond it the join is left to adaptive execution.
+BROADCAST_ROWS = 100_000
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "replyscope", conf: dict | None = None) -> SparkSession:
-    """Create (or return) a session. ``master`` is only set when given, so a
-    cluster submit keeps its own master."""
+    """Create (or return) a session. ``master``, ``shuffle_partitions`` and
+    ``conf`` are set because the caller says so; a default is only set where
+    the session has no value of its own, so a submitted or running session
+    keeps its settings."""
+    running = SparkSession.getActiveSession()
     builder = SparkSession.builder.appName(app_name)
-    if master:
+    settings = dict(conf or {})
+    if shuffle_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if running is None and master:      # a session of our own making
         builder = builder.master(master)
-    settings = dict(LOCAL_CONF)
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
+        settings = {**QUIET, **settings}
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    known = dict(spark.sparkContext.getConf().getAll())
+    for key, value in DEFAULTS.items():
+        if running is None and key not in known and key not in settings:
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def small(rows: int | None) -> bool:
+    """Whether a row bound allows a broadcast hint."""
+    return rows is not None and rows <= BROADCAST_ROWS
+
 
-    On a cluster this setting must name a shared file system. Only a local
-    master without the setting gets a fresh folder under /tmp (tests)."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or
+    where that is not set a folder in the warehouse, which a cluster shares
+    too. The library never falls back to a machine's temporary folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at a shared folder")
-        configured = tempfile.mkdtemp(prefix="replyscope-ckpt-", dir="/tmp")
+        configured = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -61,17 +72,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, reliable: bool = True) -> DataFrame:
     """Cut lineage of a DataFrame that later stages read several times.
 
-    ``reliable=True`` writes it as a Parquet table under the shared
-    checkpoint folder and reads it back: one job, a compact columnar copy, a
-    lineage that starts at files (a lost executor does not send the job back
-    to its sources) and real file sizes for the optimizer's join choices.
-    Otherwise the frame is persisted in memory and on disk."""
+    ``reliable=True`` writes it as a table of the innermost open ``Scratch``:
+    one job, a compact columnar copy, a lineage that starts at files (a lost
+    executor does not send the job back to its sources) and real file sizes for
+    the optimizer's join choices. Without an open one the table lasts until
+    the program ends. Otherwise the frame is persisted in memory and on disk."""
     if not reliable:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "replyscope", uuid.uuid4().hex)
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    mine = [s for s in _OPEN if s.spark.sparkContext is spark.sparkContext]
+    return (mine[-1] if mine else Scratch(spark)).table(df)
+
+
+_OPEN: list["Scratch"] = []
+_ROOTS: dict[str, tuple] = {}
+
+
+@atexit.register
+def _delete_roots() -> None:
+    """Delete what this program's runs have left; a stopped session doesn't
+    matter, its file system handle is kept."""
+    for files, target in list(_ROOTS.values()):
+        try:
+            files.delete(target, True)
+        except Exception:  # noqa: BLE001  the JVM has ended before
+            return
 
 
 class Scratch:
@@ -89,6 +114,8 @@ class Scratch:
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def table(self, df: DataFrame) -> DataFrame:
+        if self.root not in _ROOTS:
+            _ROOTS[self.root] = _located(self.spark.sparkContext, self.root)
         path = os.path.join(self.root, uuid.uuid4().hex)
         df.write.mode("error").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -98,25 +125,31 @@ class Scratch:
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
             if id(df) in self._paths:
-                _delete(self.spark, self._paths.pop(id(df))[1])
+                _delete(self.spark.sparkContext, self._paths.pop(id(df))[1])
 
     def close(self) -> None:
         self._paths.clear()
-        _delete(self.spark, self.root)
+        _delete(self.spark.sparkContext, self.root)
+        _ROOTS.pop(self.root, None)
 
     def __enter__(self) -> "Scratch":
+        _OPEN.append(self)
         return self
 
     def __exit__(self, *exc) -> None:
+        _OPEN.remove(self)
         self.close()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system its path names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target.getFileSystem(conf).delete(target, True)
+def _located(sc: SparkContext, path: str):
+    """The file system that a path names, and the path for it."""
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
+
+
+def _delete(sc: SparkContext, path: str) -> None:
+    files, target = _located(sc, path)
+    files.delete(target, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -19,17 +19,26 @@ SUMMARY_TITLE = " REPLY EVAL — SUMMARY"
 CATEGORY_WIDTH = 20
 
 
+# Texts are written as they are: outer white space stays, a null and an empty
+# text are told apart (a text that is just \\N reads as null).
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "nullValue": "\\N"}
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+
+
 def read_tickets_csv(spark: SparkSession, path: str) -> DataFrame:
     """Tickets from CSV with an explicit schema (no inference);
     multi-line quoted fields allowed."""
-    return (spark.read.schema(TICKET_SCHEMA).option("header", True)
-            .option("multiLine", True).option("escape", '"').csv(path))
+    return (spark.read.schema(TICKET_SCHEMA).options(**CSV_OPTIONS)
+            .option("multiLine", True).csv(path))
 
 
 def write_tickets_csv(tickets: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Tickets to CSV with a header."""
-    (tickets.select("id", "customer_email", "support_reply", "category").write.mode(mode)
-     .option("header", True).option("escape", '"').csv(path))
+    write_csv(tickets.select("id", "customer_email", "support_reply", "category"), path, mode)
 
 
 def generated_rows(generations: DataFrame, holdout: DataFrame) -> DataFrame:
@@ -57,6 +66,12 @@ def scores_wide(scores: DataFrame, rubric=DEFAULT_RUBRIC) -> DataFrame:
                                   for d in rubric])
 
 
+def per_email(scores: DataFrame, rubric=DEFAULT_RUBRIC) -> DataFrame:
+    """S5 rows: the score row with its map of dimensions, without a column
+    per dimension."""
+    return scores.select(*[c for c in scores.columns if c not in rubric])
+
+
 def _fmt(c) -> F.Column:
     """Python-style text of a rounded double: trailing zeros dropped, at
     least one decimal (``77.5``, ``80.0``)."""
@@ -101,35 +116,39 @@ def summary_lines(summary: DataFrame, components: DataFrame, meta: DataFrame) ->
              F.concat(F.lit("   ROUGE-L F1 (diag): "), _fmt(F.col("rouge_l_f1"))),
              F.lit(rule_dash), F.lit(" PER-CATEGORY FINAL SCORE (mean / count)")]
     n1, n2, n3 = len(head), len(head) + len(overall), len(head) + len(overall) + len(comps)
-    cats = summary.where(F.col("category").isNotNull()).select(
-        "category", F.concat(F.lit("   "), _pad(F.col("category"), CATEGORY_WIDTH, False),
+    cats = summary.where(~F.col("is_overall")).select(
+        "category", F.concat(F.lit("   "), _pad(F.coalesce("category", F.lit("")),
+                                                CATEGORY_WIDTH, False),
                              F.lit(" "), _pad(_fmt(F.col("mean")), 6, True),
                              F.lit("   (n="), F.col("count").cast("string"), F.lit(")")).alias("line"))
-    # O(categories) rows: a global window here is a few rows in one task.
+    # One row per category, which a person reads: few rows in one task.
     body = cats.select((F.row_number().over(Window.orderBy("category")) + F.lit(n3 - 1))
                        .cast("bigint").alias("line_no"), "line")
-    n_cats = summary.where(F.col("category").isNotNull()).agg(F.count(F.lit(1)).alias("n"))
+    n_cats = summary.where(~F.col("is_overall")).agg(F.count(F.lit(1)).alias("n"))
     last = n_cats.select((F.col("n") + n3).cast("bigint").alias("line_no"),
                          F.lit(rule_eq).alias("line"))
     return (_block(meta, 0, head)
-            .unionByName(_block(summary.where(F.col("category").isNull()).limit(1), n1, overall))
+            .unionByName(_block(summary.where("is_overall"), n1, overall))
             .unionByName(_block(components, n2, comps))
             .unionByName(body).unionByName(last))
 
 
 def write_report(result, out_dir: str, rubric=DEFAULT_RUBRIC, mode: str = "overwrite") -> None:
     """Write ``generated`` and ``scores`` (CSV), ``per_email`` (JSON lines),
-    ``summary`` (JSON) and ``summary.txt`` under ``out_dir``. Call it with a
-    ``RunResult`` whose ``scores`` were materialised (``run(checkpoint=True)``)
-    since five outputs read them."""
-    def csv(df: DataFrame, name: str) -> None:
-        df.write.mode(mode).option("header", True).option("escape", '"').csv(os.path.join(out_dir, name))
-
-    csv(generated_rows(result.generations, result.holdout), "generated")
-    csv(scores_wide(result.scores, rubric), "scores")
-    result.scores.write.mode(mode).json(os.path.join(out_dir, "per_email"))
-    result.summary.coalesce(1).write.mode(mode).json(os.path.join(out_dir, "summary"))
-    result.components.coalesce(1).write.mode(mode).json(os.path.join(out_dir, "component_means"))
-    (summary_lines(result.summary, result.components, result.meta).orderBy("line_no")
-     .select("line").coalesce(1).write.mode(mode).text(os.path.join(out_dir, "summary_txt")))
-    result.meta.coalesce(1).write.mode(mode).json(os.path.join(out_dir, "meta"))
+    ``summary`` (JSON) and ``summary.txt`` under ``out_dir``. The scores of a
+    ``RunResult`` are a table already, so the five outputs that read them scan
+    it. The small outputs are gathered by a shuffle of their few rows."""
+    write_csv(generated_rows(result.generations, result.holdout),
+              os.path.join(out_dir, "generated"), mode)
+    write_csv(scores_wide(result.scores, rubric), os.path.join(out_dir, "scores"), mode)
+    per_email(result.scores, rubric).write.mode(mode).json(os.path.join(out_dir, "per_email"))
+
+    def json(df: DataFrame, name: str) -> None:
+        df.repartition(1).write.mode(mode).json(os.path.join(out_dir, name))
+
+    json(result.summary, "summary")
+    json(result.components, "component_means")
+    json(result.meta, "meta")
+    (summary_lines(result.summary, result.components, result.meta).repartition(1)
+     .sortWithinPartitions("line_no").select("line")
+     .write.mode(mode).text(os.path.join(out_dir, "summary_txt")))

@@ -2,7 +2,7 @@
 works on."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
@@ -11,11 +11,31 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
-# Fixed value: a pair id packs (conv_id, turn) as conv_id * 1000 + turn.
-PAIR_ID_STRIDE = 1000
+# A pair id holds the turn in its low bits; a turn or conversation that doesn't
+# fit raises an error, so no two pairs share an id.
+TURN_BITS = 20
 N_PAIR_CATEGORIES = 10
 
 
+def pair_id(conv_id: Column, turn: Column) -> Column:
+    """``(conv_id, turn)`` as one id, in the same order."""
+    limit = 1 << (62 - TURN_BITS)
+    fits = turn.between(0, (1 << TURN_BITS) - 1) & conv_id.between(-limit, limit)
+    return F.when(fits, F.shiftleft(conv_id, TURN_BITS) + turn).when(
+        conv_id.isNotNull() & turn.isNotNull(),
+        F.raise_error(F.lit("a turn or conversation number doesn't fit a pair id")).cast("bigint"))
+
+
+def check_unique(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` if no two rows share the values of ``cols`` (nulls are equal),
+    else an error naming one. Ticket, query and pair ids have to be unique:
+    rows under one id count as one text. Runs a job, so it is opt-in."""
+    again = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
+    if again:
+        raise ValueError(f"{', '.join(cols)} not unique: {tuple(again[0])[:-1]}")
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
@@ -37,7 +57,7 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
              .select("conv_id", (F.col("turn") - 1).alias("turn"),
                      F.col("text").alias("support_reply")))
     return (user.join(reply, ["conv_id", "turn"], "inner")
-            .select((F.col("conv_id") * PAIR_ID_STRIDE + F.col("turn")).alias("id"),
+            .select(pair_id(F.col("conv_id"), F.col("turn")).alias("id"),
                     "customer_email", "support_reply",
                     F.concat(F.lit("c"), (F.col("conv_id") % N_PAIR_CATEGORIES)
                              .cast("string")).alias("category"),

@@ -2,9 +2,8 @@
 for each new email with the batch operators, one micro-batch at a time.
 
 Stream-static and stateless: the KB vectors and the vocabulary are static
-DataFrames, so no watermark is needed. The KB vectors are hash-partitioned by
-``term`` and persisted once, so a micro-batch only shuffles its own query
-vectors to meet them."""
+DataFrames, so no watermark is needed. Each epoch is written to a folder of
+its own and overwrites it, so a replayed micro-batch leaves no second copy."""
 from __future__ import annotations
 
 import os
@@ -26,19 +25,18 @@ INCOMING_SCHEMA = "query_id BIGINT, query_email STRING"
 
 class IncomingReplies:
     """``foreachBatch`` handler: every micro-batch of ``(query_id,
-    query_email)`` is answered against the static KB and appended to
-    ``out_path`` as Parquet (``query_id, query_email, reply, retrieved``)."""
+    query_email)`` is answered against the static KB and written under
+    ``out_path`` as Parquet (``query_id, query_email, reply, retrieved``),
+    partitioned by ``epoch_id``."""
 
     def __init__(self, kb: DataFrame, vocab: DataFrame, out_path: str,
                  cfg: RunConfig = RunConfig()):
-        spark = kb.sparkSession
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.cfg = cfg
         self.kb = kb.select("id", "customer_email", "support_reply", "category")
         self.vocab = vocab
         self.kb_vecs = (tfidf_vectors(self.kb, vocab, ["id"], "customer_email", cfg.stop_words,
                                       cfg.max_features)
-                        .repartition(n, "term").persist(StorageLevel.MEMORY_AND_DISK))
+                        .persist(StorageLevel.MEMORY_AND_DISK))
         self.out_path = out_path
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
@@ -46,12 +44,11 @@ class IncomingReplies:
         q_vecs = tfidf_vectors(queries, self.vocab, ["query_id"], "query_email",
                                self.cfg.stop_words, self.cfg.max_features)
         top = topk_sparse(q_vecs, self.kb_vecs, queries.select("query_id"),
-                          self.kb.select("id"), self.cfg.top_k, exclude_self=False)
+                          self.kb.select("id"), self.cfg.top_k, self.cfg.exclude_self)
         p = prompts(queries, attach_cases(top, self.kb))
         out = p.select("query_id", "query_email",
-                       grounded_reply(F.col("top_reply")).alias("reply"), "retrieved",
-                       F.lit(epoch_id).cast("bigint").alias("epoch_id"))
-        out.write.mode("append").parquet(self.out_path)
+                       grounded_reply(F.col("top_reply")).alias("reply"), "retrieved")
+        out.write.mode("overwrite").parquet(f"{self.out_path}/epoch_id={epoch_id}")
 
     def close(self) -> None:
         self.kb_vecs.unpersist()
