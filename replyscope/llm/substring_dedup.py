@@ -281,31 +281,26 @@ def remove_repeats(df: DataFrame, size: int = 13, scratch: Scratch | None = None
 
     def batch(part: pa.RecordBatch, _):
         columns = {n: part.column(i) for i, n in enumerate(part.schema.names)}
-        raw, offsets = text_bytes(columns["text"])
-        words = Words(raw, offsets)
-        gone = np.zeros(len(words.hash) + 1, dtype=np.int64)
-        for row, marked in enumerate(columns["marks"].to_pylist()):
-            for m in marked or ():
-                start = words.first[row] + (m["place"] >> 4)
-                bits = np.flatnonzero(m["mask"] >> np.arange(16) & 1)
-                ends = np.minimum(start + bits + size, words.first[row + 1])
-                np.add.at(gone, np.minimum(start + bits, words.first[row + 1]), 1)
-                np.add.at(gone, ends, -1)
-        gone = np.cumsum(gone[:-1]) > 0
-        data = raw.tobytes()
-        out = {"doc_id": columns["doc_id"], "n_words": np.diff(words.first), "n_removed": [],
-               "kept_sha256": []}
+        out = {"doc_id": columns["doc_id"], "n_words": [], "n_removed": [], "kept_sha256": []}
         texts = []
-        spans = np.stack([words.start, words.end], axis=1).tolist()
-        lost = gone.tolist()
-        for row in range(part.num_rows):
-            own = range(words.first[row], words.first[row + 1])
-            left = [data[spans[i][0]:spans[i][1]] for i in own if not lost[i]]
+        for text, marked in zip(columns["text"].to_pylist(), columns["marks"].to_pylist()):
+            words = (text or "").encode().split()       # at the same six white-space bytes
+            left = words
+            if marked:
+                gone = bytearray(len(words))
+                for m in marked:
+                    start, mask = m["place"] >> 4, m["mask"]
+                    if start + size > len(words):
+                        continue        # marks of another row under this id
+                    for bit in range(mask.bit_length()):
+                        if mask >> bit & 1:
+                            gone[start + bit:start + bit + size] = b"\1" * size
+                left = [w for w, g in zip(words, gone) if not g]
             joined_words = b" ".join(left)
-            out["n_removed"].append(len(own) - len(left))
+            out["n_words"].append(len(words))
+            out["n_removed"].append(len(words) - len(left))
             out["kept_sha256"].append(hashlib.sha256(joined_words).hexdigest())
-            texts.append(joined_words.decode() if len(left) < len(own) else
-                         data[offsets[row]:offsets[row + 1]].decode())
+            texts.append(joined_words.decode() if len(left) < len(words) else text or "")
         if carry:
             out |= {"row": columns["row"], "kept_text": texts}
         return out
