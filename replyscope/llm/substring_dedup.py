@@ -226,8 +226,12 @@ def repeated_runs(df: DataFrame, size: int = 13, scratch: Scratch | None = None,
     scratch = scratch or Scratch(df.sparkSession)
     docs = only(df, doc_id="bigint", text="string")
     runs = _runs(docs.where("doc_id is not null"), size)
-    again = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # A table of its own, so that both sides of the join are plain shuffles and
+    # a minimizer with very many runs is split over tasks.
+    again = scratch.table(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+                          .select("key"))
     kept = scratch.table(runs.join(again, "key"))
+    scratch.drop(again)
     contents = scratch.table(
         kept.groupBy("key", "content")
         .agg(F.min(F.struct("doc_id", "place")).alias("at"), F.max("doc_id").alias("last"))
