@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from .common import map_batches, only
 
 CHUNK_CHARS = 1 << 16
-MAX_WORDS = 100_000      # words remembered per worker and generation
-MAX_STATES = 100_000     # states kept before the automaton is started afresh
+MAX_RUNS = 50_000        # runs without white space remembered per worker and generation
+MAX_WORDS = 150_000      # words remembered per worker and generation
+MAX_STATES = 80_000      # states kept before the automaton is started afresh
 RESETS = re.compile(r"[\t\n\v\f\r \x85\xa0  -     　]+")
 CONTROL = re.compile(r"[\x1c-\x1f]")
 
@@ -191,6 +192,7 @@ class Counter:
                                      model["end_of_word_suffix"] or "", model["vocab"])
         self.marked = self.special_at.search
         self.words: dict[str, int] = {}
+        self.old_words: dict[str, int] = {}
         self.young: dict[str, int] = {}
         self.old: dict[str, int] = {}
 
@@ -208,10 +210,13 @@ class Counter:
             for word in self.pattern.findall(part):
                 n = words.get(word)
                 if n is None:
-                    if len(words) > MAX_WORDS:
-                        words.clear()
-                    n = words[word] = self.transducer.count(word)
+                    n = self.old_words.get(word)
+                    if n is None:
+                        n = self.transducer.count(word)
+                    words[word] = n
                 total += n
+        if len(words) > MAX_WORDS:
+            self.old_words, self.words = words, {}
         return total
 
     def runs(self, runs: list[str]) -> int:
@@ -224,7 +229,7 @@ class Counter:
                 if n is None:
                     n = self.run(r)
                 young[r] = n
-                if len(young) > MAX_WORDS:
+                if len(young) > MAX_RUNS:
                     self.old, self.young = young, {}
                     young = self.young
             total += n
@@ -277,7 +282,6 @@ def counter(path: str) -> Counter:
         _COUNTERS[path] = Counter(path)
         gc.collect()
         gc.freeze()
-        gc.set_threshold(100_000, 20, 1_000)
     return _COUNTERS[path]
 
 
