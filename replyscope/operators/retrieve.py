@@ -47,7 +47,7 @@ def best_columns(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def _postings(rows: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Term, row number and weight of all entries of a block's vectors."""
-    sizes = [len(r) for r in rows]
+    sizes = np.asarray([len(r) for r in rows], dtype=np.int64)
     flat = [e for r in rows for e in r]
     return (np.asarray([e["term"] for e in flat], dtype=np.int64),
             np.repeat(np.arange(len(sizes)), sizes),
@@ -76,12 +76,12 @@ def _cell(k: int, exclude_self: bool):
             stop = min(start + step, len(qids))
             a, b = np.searchsorted(query, [start, stop])
             meets = high[a:b] - low[a:b]
-            first = np.repeat(low[a:b] - np.concatenate([[0], np.cumsum(meets)[:-1]]), meets) \
-                if b > a else np.zeros(0, dtype=np.int64)
+            first = np.repeat(low[a:b] - (np.cumsum(meets) - meets), meets)
             at = first + np.arange(int(meets.sum()))
             cell = (np.repeat(query[a:b], meets) - start) * len(ids) + doc[at]
             scores = np.bincount(cell, np.repeat(wq[a:b], meets) * wd[at],
-                                 minlength=(stop - start) * len(ids)).reshape(-1, len(ids))
+                                 minlength=(stop - start) * len(ids))
+            scores = scores.astype(np.float64).reshape(-1, len(ids))   # integers if none meet
             keyed = np.round(scores, RANK_DECIMALS)
             if exclude_self:
                 own = (qids[start:stop, None] == ids) & ~no_id[start:stop, None]

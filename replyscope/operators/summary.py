@@ -12,6 +12,12 @@ MEAN_DECIMALS = 4
 COMPONENTS = ("cosine", "bertscore_f1", "judge_normalized", "rouge_l_f1")
 
 
+def exact_mean(value: Column) -> Column:
+    """Mean over six decimal places: sums are exact, so the order in which
+    rows arrive can't tip a rounding."""
+    return F.avg(value.cast("decimal(20,6)")).cast("double")
+
+
 def describe_aggs(value: str, approx_median: bool = False) -> list[Column]:
     """A1: count, mean, median (middle pair averaged), min, max, population
     stdev, rounded to 2 places; 0 for an empty input.
@@ -25,7 +31,7 @@ def describe_aggs(value: str, approx_median: bool = False) -> list[Column]:
     zero = F.lit(0.0)
     return [
         F.count(v).cast("bigint").alias("count"),
-        F.coalesce(round_to(F.avg(v), STAT_DECIMALS), zero).alias("mean"),
+        F.coalesce(round_to(exact_mean(v), STAT_DECIMALS), zero).alias("mean"),
         F.coalesce(round_to(med, STAT_DECIMALS), zero).alias("median"),
         F.coalesce(round_to(F.min(v), STAT_DECIMALS), zero).alias("min"),
         F.coalesce(round_to(F.max(v), STAT_DECIMALS), zero).alias("max"),
@@ -66,7 +72,7 @@ def summary_table(scores: DataFrame, value: str = "final_score",
 
 def component_means(scores: DataFrame, components=COMPONENTS) -> DataFrame:
     """A4: mean of each (already rounded) component, 4 places; 0 if empty."""
-    return scores.agg(*[F.coalesce(round_to(F.avg(c), MEAN_DECIMALS), F.lit(0.0)).alias(c)
+    return scores.agg(*[F.coalesce(round_to(exact_mean(F.col(c)), MEAN_DECIMALS), F.lit(0.0)).alias(c)
                         for c in components])
 
 

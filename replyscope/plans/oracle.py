@@ -1,9 +1,7 @@
 """DuckDB oracle SQL for the registered queries.
 
 Each query is restated from the raw tables in plain SQL (CTEs), independent
-of the Spark plan, so the driver can compare results. Queries whose core is
-not expressible in SQL at full size (LCS, user-supplied models) have no
-entry here and are checked against brute force in ``tests/``."""
+of the Spark plan, so the driver can compare results."""
 from __future__ import annotations
 
 from ..config import DEFAULT_RUBRIC, Weights
@@ -39,6 +37,11 @@ def rnd(x: str, d: int = 6) -> str:
     return f"(round_even(({x}) * {scale}, 0) / {scale})"
 
 
+def mean(x: str) -> str:
+    """An average whose sum is exact."""
+    return f"avg(CAST({x} AS DECIMAL(20, 6)))"
+
+
 def uni(t: str) -> str:
     return (f"list_filter(regexp_extract_all(lower(coalesce({t}, '')), {lit(TERM_PATTERN)}), "
             f"lambda x: NOT list_contains({STOP}, x))")
@@ -365,7 +368,7 @@ SCORE_COLS = ("id, category, cosine, bertscore_precision, bertscore_recall, bert
 
 
 def describe(value: str) -> str:
-    return (f"count({value}) AS count, coalesce({rnd(f'avg({value})', 2)}, 0.0) AS mean, "
+    return (f"count({value}) AS count, coalesce({rnd(mean(value), 2)}, 0.0) AS mean, "
             f"coalesce({rnd(f'median({value})', 2)}, 0.0) AS median, "
             f"coalesce({rnd(f'min({value})', 2)}, 0.0) AS min, "
             f"coalesce({rnd(f'max({value})', 2)}, 0.0) AS max, "
@@ -411,7 +414,7 @@ def _pad(x: str, width: int, left: bool) -> str:
     return f"CASE WHEN length({x}) >= {width} THEN {x} ELSE {fn}({x}, {width}, ' ') END"
 
 
-def summary_text_sql(run: list[str]) -> str:
+def summary_text_sql(run: list[str], ev: str = "eval_pairs") -> str:
     eq, dash = lit("=" * RULE_WIDTH), lit("-" * RULE_WIDTH)
     weights = (f"' Weights          : {{''llm_judge'': ' || {_fmt(repr(W.llm_judge))} || "
                f"', ''bertscore'': ' || {_fmt(repr(W.bertscore))} || ', ''cosine'': ' || "
@@ -434,12 +437,12 @@ def summary_text_sql(run: list[str]) -> str:
     n = len(head)
     cat_line = (f"'   ' || {_pad('category', CATEGORY_WIDTH, False)} || ' ' || "
                 f"{_pad(_fmt('mean'), 6, True)} || '   (n=' || CAST(count AS VARCHAR) || ')'")
-    return sql(run + lcs_ctes("rl", "eval_pairs") + [
+    return sql(run + lcs_ctes("rl", ev) + [
         f"o AS (SELECT {describe('final_score')} FROM scores)",
-        f"""c AS (SELECT coalesce({rnd('avg(s.cosine)', 4)}, 0.0) AS cosine,
-  coalesce({rnd('avg(s.bertscore_f1)', 4)}, 0.0) AS bertscore_f1,
-  coalesce({rnd('avg(s.judge_normalized)', 4)}, 0.0) AS judge_normalized,
-  coalesce({rnd('avg(' + rnd('r.f1', 4) + ')', 4)}, 0.0) AS rouge_l_f1
+        f"""c AS (SELECT coalesce({rnd(mean('s.cosine'), 4)}, 0.0) AS cosine,
+  coalesce({rnd(mean('s.bertscore_f1'), 4)}, 0.0) AS bertscore_f1,
+  coalesce({rnd(mean('s.judge_normalized'), 4)}, 0.0) AS judge_normalized,
+  coalesce({rnd(mean(rnd('r.f1', 4)), 4)}, 0.0) AS rouge_l_f1
   FROM scores s JOIN rl r ON r.pair_id = s.id)""",
         f"pc AS (SELECT category, {describe('final_score')} FROM scores GROUP BY category)",
         f"""body AS (SELECT CAST(row_number() OVER (ORDER BY category) + {n - 1} AS BIGINT) AS line_no,
@@ -539,10 +542,10 @@ def oracles() -> dict[str, str]:
                        f"SELECT pair_id AS id, lcs, {rnd('precision')} AS precision, "
                        f"{rnd('recall')} AS recall, {rnd('f1')} AS f1 FROM rl", recursive=True),
         "component_means": sql(all_scores + lcs_ctes("rl", "eval_pairs"), (
-            f"SELECT coalesce({rnd('avg(s.cosine)', 4)}, 0.0) AS cosine, "
-            f"coalesce({rnd('avg(s.bertscore_f1)', 4)}, 0.0) AS bertscore_f1, "
-            f"coalesce({rnd('avg(s.judge_normalized)', 4)}, 0.0) AS judge_normalized, "
-            f"coalesce({rnd('avg(' + rnd('r.f1', 4) + ')', 4)}, 0.0) AS rouge_l_f1 "
+            f"SELECT coalesce({rnd(mean('s.cosine'), 4)}, 0.0) AS cosine, "
+            f"coalesce({rnd(mean('s.bertscore_f1'), 4)}, 0.0) AS bertscore_f1, "
+            f"coalesce({rnd(mean('s.judge_normalized'), 4)}, 0.0) AS judge_normalized, "
+            f"coalesce({rnd(mean(rnd('r.f1', 4)), 4)}, 0.0) AS rouge_l_f1 "
             f"FROM scores s JOIN rl r ON r.pair_id = s.id"), recursive=True),
         "scores_wide": sql(all_scores + lcs_ctes("rl", "eval_pairs"), (
             "SELECT s.cosine, s.bertscore_precision, s.bertscore_recall, s.bertscore_f1, "
@@ -571,6 +574,17 @@ def oracles() -> dict[str, str]:
   coalesce((SELECT string_agg(CAST(c.id AS VARCHAR), '|' ORDER BY c.rank) FROM cases c
             WHERE c.query_id = h.id), '') AS retrieved_ids
   FROM holdout h JOIN generations g ON g.query_id = h.id"""),
+        "llm_complete_stub": sql([f"p AS ({judge_prompt_sql()})"], (
+            "SELECT id AS pair_id, regexp_extract(judge_prompt, '([^\\n]*\\S[^\\n]*)\\s*$', 1) "
+            "AS completion, 'echo' AS backend, CAST(NULL AS VARCHAR) AS error FROM p")),
+        "tickets_csv": sql([PAIRS], (
+            "SELECT id, customer_email, category, CASE id % 6 WHEN 0 THEN '  ' || support_reply "
+            "|| chr(9) || ' ' WHEN 1 THEN 'a \"b\", c' || chr(10) || support_reply WHEN 2 THEN '' "
+            "WHEN 3 THEN NULL ELSE support_reply END AS support_reply FROM pairs")),
+        "per_email_json": sql(all_scores, "SELECT id, final_score, " + " || ',' || ".join(
+            f"CAST({d} AS VARCHAR)" for d in RUBRIC) + " AS dimensions FROM scores"),
+        "report_files": (f"SELECT line, count(*) AS n FROM ({summary_text_sql(run, 'ev')}) "
+                         "GROUP BY line"),
         "evaluate_pairs": sql(EVAL_VOCAB + score_ctes("scores", "eval_pairs", "ev_vocab"),
                               f"SELECT {SCORE_COLS} FROM scores"),
     }

@@ -5,6 +5,7 @@ Fixed parameters are the defaults of the evaluated system (seed 42, k = 3,
 4096 features, 2 held out per category, 20 held out in total)."""
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +26,13 @@ from ..operators.summary import (component_means, describe_by_category, describe
                                  summary_table)
 from ..operators.tfidf import (fit_vocabulary, l2_normalize, term_rows, tfidf_vectors,
                                vectors_from_rows, vocabulary_from_rows)
-from ..sources.reports import generated_rows, scores_wide, summary_lines
+from ..sources.reports import (generated_rows, per_email, read_tickets_csv, scores_wide,
+                               summary_lines, write_report, write_tickets_csv)
 from ..sources.tables import eval_pairs, pairs, read_table
 from ..sources.tickets import tickets_from_table
 from .evaluate import heuristic_judge, pair_vocabulary
 from .pipeline import run
-from ..session import materialize
+from ..session import Scratch, materialize
 
 CFG = RunConfig()
 K = CFG.top_k
@@ -374,6 +376,45 @@ def q_evaluate_pairs(spark, sf):
     return s.select(*SCORE_COLS)
 
 
+def _file(spark) -> str:
+    """A path of its own for a file that a query writes and reads again; it
+    goes with the program's other tables."""
+    return os.path.join(Scratch(spark).claim(), "out")
+
+
+def odd_tickets(spark, sf) -> DataFrame:
+    """Given tickets with outer spaces, line breaks, quotes, empty and null
+    replies."""
+    n = F.col("id") % 6
+    reply = F.col("support_reply")
+    return given(spark, sf).withColumn("support_reply", F.when(n == 0, F.concat(
+        F.lit("  "), reply, F.lit("\t "))).when(n == 1, F.concat(F.lit('a "b", c\n'), reply))
+        .when(n == 2, F.lit("")).when(n == 3, F.lit(None)).otherwise(reply))
+
+
+def q_tickets_csv(spark, sf):
+    path = _file(spark)
+    write_tickets_csv(odd_tickets(spark, sf), path)
+    return read_tickets_csv(spark, path)
+
+
+def q_per_email_json(spark, sf):
+    path = _file(spark)
+    rows = per_email(pair_scores(spark, sf), CFG.rubric)
+    rows.write.json(path)
+    back = spark.read.schema(rows.schema).json(path)
+    return back.select("id", "final_score", F.concat_ws(
+        ",", *[F.col("judge_dimensions")[d].cast("string") for d in CFG.rubric]).alias("dimensions"))
+
+
+def q_report_files(spark, sf):
+    """All report files written; the lines of the summary text read again."""
+    path = _file(spark)
+    write_report(ticket_run(spark, sf), path, CFG.rubric)
+    lines = spark.read.text(os.path.join(path, "summary_txt")).select(F.col("value").alias("line"))
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairs_from_conversations": q_pairs_from_conversations,
     "eval_pairs": q_eval_pairs,
@@ -417,4 +458,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scores_wide": q_scores_wide,
     "summary_text": q_summary_text,
     "evaluate_pairs": q_evaluate_pairs,
+    "tickets_csv": q_tickets_csv,
+    "per_email_json": q_per_email_json,
+    "report_files": q_report_files,
 }

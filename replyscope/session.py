@@ -113,9 +113,14 @@ class Scratch:
         self.root = os.path.join(checkpoint_dir(spark), "replyscope", uuid.uuid4().hex)
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def table(self, df: DataFrame) -> DataFrame:
+    def claim(self) -> str:
+        """The run's folder, to be deleted with it."""
         if self.root not in _ROOTS:
             _ROOTS[self.root] = _located(self.spark.sparkContext, self.root)
+        return self.root
+
+    def table(self, df: DataFrame) -> DataFrame:
+        self.claim()
         path = os.path.join(self.root, uuid.uuid4().hex)
         df.write.mode("error").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

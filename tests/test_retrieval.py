@@ -64,7 +64,7 @@ def test_max_df_drops_common_terms(spark):
     assert "refund" in full and "refund" not in capped and "password" in capped
 
 
-def test_salting_hot_terms_keeps_results(spark):
+def test_block_sizes_keep_results(spark):
     kb = _kb(spark)
     vocab = fit_vocabulary(kb.select(F.col("customer_email").alias("text")), "text")
     kv = tfidf_vectors(kb, vocab, ["id"], "customer_email")
@@ -72,7 +72,31 @@ def test_salting_hot_terms_keeps_results(spark):
                               "query_id long, query_email string")
     qv = tfidf_vectors(q, vocab, ["query_id"], "query_email")
     plain = topk_sparse(qv, kv, q.select("query_id"), kb.select("id"), 3, False)
-    salted = topk_sparse(qv, kv, q.select("query_id"), kb.select("id"), 3, False,
-                         vocab=vocab, postings_per_task=1)   # every term is "hot"
+    cells = topk_sparse(qv, kv, q.select("query_id"), kb.select("id"), 3, False,
+                        query_block=1, kb_block=2)
     key = lambda r: (r.query_id, r.rank, r.id, round(r.score, 12))
-    assert sorted(map(key, plain.collect())) == sorted(map(key, salted.collect()))
+    assert sorted(map(key, plain.collect())) == sorted(map(key, cells.collect()))
+
+
+def test_a_query_without_an_id_gets_its_cases(spark):
+    kb = _kb(spark)
+    vocab = fit_vocabulary(kb.select(F.col("customer_email").alias("text")), "text")
+    kv = tfidf_vectors(kb, vocab, ["id"], "customer_email")
+    q = spark.createDataFrame([(None, "refund order please"), (1, "refund order please")],
+                              "query_id long, query_email string")
+    qv = tfidf_vectors(q, vocab, ["query_id"], "query_email")
+    got = topk_sparse(qv, kv, q.select("query_id"), kb.select("id"), 2, True).collect()
+    assert sorted((r.query_id is None, r.rank) for r in got) == \
+        [(False, 1), (False, 2), (True, 1), (True, 2)]
+    assert all(r.id != 1 for r in got if r.query_id == 1)
+
+
+def test_best_columns():
+    import numpy as np
+    from replyscope.operators.retrieve import best_columns
+    rng = np.random.default_rng(1)
+    scores = rng.integers(0, 4, (50, 9)).astype(float)
+    ids = np.arange(9) * 2
+    for k in (1, 3, 9, 12):
+        want = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
+        assert (best_columns(scores, ids, k) == want).all()
