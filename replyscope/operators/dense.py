@@ -99,13 +99,13 @@ def encode_texts(df: DataFrame, key_col: str, text_col: str, encoder: Encoder,
     Output ``key, vec ARRAY<DOUBLE>``."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = pdf[text_col].fillna("").astype(str).tolist()
+            texts = pdf["text"].fillna("").astype(str).tolist()
             if blank_as_space:
                 texts = [t if t.strip() else " " for t in texts]
             mat = np.asarray(encoder(texts), dtype=np.float64) if texts else np.zeros((0, 0))
-            yield pd.DataFrame({key_col: pdf[key_col].to_numpy(),
+            yield pd.DataFrame({key_col: pdf["key"].to_numpy(),
                                 "vec": list(mat) if len(texts) else []})
     key_type = df.schema[key_col].dataType.simpleString()
-    raw = df.select(key_col, text_col).mapInPandas(
+    raw = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")).mapInPandas(
         run, schema=f"{key_col} {key_type}, vec array<double>")
     return raw.select(key_col, l2_normalize("vec").alias("vec"))

@@ -4,6 +4,7 @@ Every metric is a DataFrame -> DataFrame job returning one row per pair;
 the sparse ones are joins on ``(pair_id, term)`` and per-pair aggregates."""
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,29 +92,44 @@ def token_alignment(pairs: DataFrame, vocab: DataFrame, gen_col: str = "generate
                            F.greatest(f1, F.lit(0.0)).alias("f1"))
 
 
+def token_rows(pairs: DataFrame, gen_col: str = "generated",
+               ref_col: str = "reference") -> DataFrame:
+    """``pair_id, side, pos, word``: the metric tokens of both texts in order;
+    an empty side becomes one blank token."""
+    t = _texts(pairs, gen_col, ref_col).select("pair_id", "side", word_tokens("text").alias("w"))
+    t = t.withColumn("w", F.when(F.size("w") == 0, F.array(F.lit(BLANK_TOKEN)))
+                     .otherwise(F.col("w")))
+    return t.select("pair_id", "side", F.posexplode_outer("w").alias("pos", "word"))
+
+
 def token_alignment_vectors(tokens: DataFrame) -> DataFrame:
     """M3: greedy token alignment with supplied token vectors.
     Input ``pair_id, side ('g'|'r'), pos, vec`` (unit vectors); output
-    ``pair_id, precision, recall, f1``. One pandas group per pair: a pair's
+    ``pair_id, precision, recall, f1``. The vectors of a pair are gathered in
+    one row, and Arrow batches of many pairs are scored at once; a pair's
     similarity matrix is |g| x |r| and is reduced in the task."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-        g = pdf[pdf["side"] == GEN]
-        r = pdf[pdf["side"] == REF]
-        if g.empty or r.empty:
-            p = rec = 0.0
-        else:
-            gm = np.stack([np.asarray(v, dtype=np.float64) for v in g["vec"]])
-            rm = np.stack([np.asarray(v, dtype=np.float64) for v in r["vec"]])
-            s = gm @ rm.T
-            p, rec = float(s.max(axis=1).mean()), float(s.max(axis=0).mean())
-        den = p + rec
-        f = 0.0 if den == 0 else 2 * p * rec / den
-        return pd.DataFrame({"pair_id": [int(pdf["pair_id"].iloc[0])],
-                             "precision": [max(0.0, p)], "recall": [max(0.0, rec)],
-                             "f1": [max(0.0, f)]})
-    return (tokens.select("pair_id", "side", "vec").groupBy("pair_id")
-            .applyInPandas(run, "pair_id long, precision double, recall double, f1 double"))
+    def side(name: str) -> Column:
+        return F.flatten(F.collect_list(F.when(F.col("side") == name, F.col("vec"))))
+
+    gathered = (tokens.where("vec is not null").groupBy("pair_id").agg(
+        side(GEN).alias("g"), side(REF).alias("r"), F.max(F.size("vec")).alias("d")))
+
+    @F.pandas_udf("precision double, recall double")
+    def align(g: pd.Series, r: pd.Series, d: pd.Series) -> pd.DataFrame:
+        out = np.zeros((len(g), 2))
+        for i, (a, b, n) in enumerate(zip(g, r, d)):
+            if len(a) and len(b):
+                s = np.asarray(a, dtype=np.float64).reshape(-1, n) \
+                    @ np.asarray(b, dtype=np.float64).reshape(-1, n).T
+                out[i] = s.max(axis=1).mean(), s.max(axis=0).mean()
+        return pd.DataFrame({"precision": out[:, 0], "recall": out[:, 1]})
+
+    p, r = F.col("of.precision"), F.col("of.recall")
+    f1 = F.when(p + r == 0, F.lit(0.0)).otherwise(2 * p * r / (p + r))
+    zero = F.lit(0.0)
+    return gathered.select("pair_id", align("g", "r", "d").alias("of")).select(
+        "pair_id", F.greatest(p, zero).alias("precision"), F.greatest(r, zero).alias("recall"),
+        F.greatest(f1, zero).alias("f1"))
 
 
 def rouge_l(pairs: DataFrame, gen_col: str = "generated", ref_col: str = "reference") -> DataFrame:

@@ -11,13 +11,16 @@ from ..config import JUDGE_MAX_TOKENS, JUDGE_TEMPERATURE, RunConfig
 from ..functions.judge import (JUDGE_SYSTEM, heuristic_dimensions, heuristic_rationale,
                                judge_average, judge_prompt, parse_judge_reply, rubric_scores)
 from ..functions.score import final_score, rounded
+from ..operators.dense import Encoder, dense_cosine, encode_texts
 from ..operators.llm import Completer, complete_table
-from ..operators.metrics import coverage, rouge_l, sparse_cosine, token_alignment
+from ..operators.metrics import (coverage, rouge_l, sparse_cosine, token_alignment,
+                                 token_alignment_vectors, token_rows)
 from ..operators.split import corpus
 from ..operators.tfidf import fit_vocabulary
 from ..session import materialize
 
 BERT_BACKEND = "fallback-wordsim"
+VECTOR_BACKEND = "token-vectors"
 HEURISTIC = "heuristic"
 
 
@@ -64,20 +67,45 @@ def llm_judge(pairs: DataFrame, heuristic: DataFrame, complete: Completer, backe
                     .alias("judge_backend"))
 
 
+def encoded_cosine(pairs: DataFrame, encoder: Encoder) -> DataFrame:
+    """M1 with an encoder: ``pair_id, cosine``."""
+    def side(column: str, name: str) -> DataFrame:
+        return encode_texts(pairs, "pair_id", column, encoder).withColumnRenamed("vec", name)
+
+    return (side("generated", "g").join(side("reference", "r"), "pair_id")
+            .select("pair_id", dense_cosine("g", "r").alias("cosine")))
+
+
+def encoded_alignment(pairs: DataFrame, encoder: Encoder) -> DataFrame:
+    """M3 with an encoder that embeds each distinct word once."""
+    words = materialize(token_rows(pairs))
+    vectors = encode_texts(words.select("word").distinct(), "word", "word", encoder)
+    return token_alignment_vectors(words.join(vectors, "word"))
+
+
 def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig = RunConfig(),
-             judge: Completer | None = None, judge_backend: str = "custom") -> DataFrame:
+             judge: Completer | None = None, judge_backend: str = "custom",
+             encoder: Encoder | None = None) -> DataFrame:
     """Score rows: ``id, category, cosine, bertscore_precision,
     bertscore_recall, bertscore_f1, bertscore_backend, judge_avg_1to5,
     judge_normalized, judge_backend, final_score, rouge_l_f1,
-    judge_rationale, judge_dimensions`` plus one column per rubric dim."""
+    judge_rationale, judge_dimensions`` plus one column per rubric dim. With
+    an ``encoder`` (V6) cosine and token alignment use its vectors instead of
+    TF-IDF. Pair ids are unique (``check_unique``)."""
     # Every metric reads the pairs: materialise them once.
     p = materialize(pairs.select(F.col("id").alias("pair_id"), "category", "customer_email",
                                  F.coalesce("generated", F.lit("")).alias("generated"),
                                  F.coalesce("reference", F.lit("")).alias("reference")))
-    if vocab is None:
-        vocab = materialize(pair_vocabulary(pairs, cfg))
-    cos = sparse_cosine(p, vocab, stop_words=cfg.stop_words, vocab_bound=cfg.max_features)
-    bert = token_alignment(p, vocab, stop_words=cfg.stop_words, vocab_bound=cfg.max_features)
+    if encoder is not None:
+        cos, bert = materialize(encoded_cosine(p, encoder)), encoded_alignment(p, encoder)
+    else:
+        if vocab is None:
+            vocab = materialize(pair_vocabulary(
+                p.select("customer_email", "reference", F.col("pair_id").alias("id")), cfg))
+        # The judge and the score row read it too.
+        cos = materialize(sparse_cosine(p, vocab, stop_words=cfg.stop_words,
+                                        vocab_bound=cfg.max_features))
+        bert = token_alignment(p, vocab, stop_words=cfg.stop_words, vocab_bound=cfg.max_features)
     rouge = rouge_l(p).select("pair_id", F.col("f1").alias("rouge_f1"))
     judged = heuristic_judge(p, cos, cfg)
     if judge is not None:
@@ -92,7 +120,7 @@ def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig =
         rounded("bertscore_precision", F.col("precision")),
         rounded("bertscore_recall", F.col("recall")),
         rounded("bertscore_f1", F.col("f1")),
-        F.lit(BERT_BACKEND).alias("bertscore_backend"),
+        F.lit(BERT_BACKEND if encoder is None else VECTOR_BACKEND).alias("bertscore_backend"),
         rounded("judge_avg_1to5", avg),
         rounded("judge_normalized", norm),
         "judge_backend",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import GENERATION_MAX_TOKENS, GENERATION_TEMPERATURE, RunConfig
 from ..functions.prompt import (FAILURE_REPLY, SYSTEM_PROMPT, case_block,
                                 grounded_reply, user_prompt)
+from ..operators.dense import Encoder, encode_texts, topk_dense
 from ..operators.llm import Completer, complete_table
 from ..operators.retrieve import attach_cases, topk_sparse
 from ..operators.split import corpus
@@ -18,11 +19,19 @@ GROUNDED_BACKEND = "grounded"
 
 def retrieve(queries: DataFrame, kb: DataFrame, cfg: RunConfig = RunConfig(),
              vocab: DataFrame | None = None,
-             kb_vecs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+             kb_vecs: DataFrame | None = None,
+             encoder: Encoder | None = None) -> tuple[DataFrame, DataFrame | None]:
     """R1-R5 end to end: fit the vocabulary on the KB corpus (unless given),
     vectorise KB emails and query emails, rank. ``queries`` needs
     ``query_id, query_email``; ``kb`` the ticket columns. Returns
-    ``(cases, vocab)``; ``cases`` has one row per (query, rank)."""
+    ``(cases, vocab)``; ``cases`` has one row per (query, rank). With an
+    ``encoder`` the emails are ranked by its vectors and no vocabulary is
+    fitted."""
+    if encoder is not None:
+        top = topk_dense(encode_texts(queries, "query_id", "query_email", encoder),
+                         encode_texts(kb, "id", "customer_email", encoder), cfg.top_k,
+                         cfg.exclude_self)
+        return attach_cases(top, kb), vocab
     if vocab is None:
         vocab = fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words, cfg.max_df)
     if kb_vecs is None:
@@ -57,10 +66,11 @@ def prompts(queries: DataFrame, cases: DataFrame) -> DataFrame:
 def generate(queries: DataFrame, kb: DataFrame, cfg: RunConfig = RunConfig(),
              complete: Completer | None = None, backend: str = "custom",
              vocab: DataFrame | None = None,
-             kb_vecs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+             kb_vecs: DataFrame | None = None,
+             encoder: Encoder | None = None) -> tuple[DataFrame, DataFrame | None]:
     """``query_id, query_email, reply, provider, error, retrieved`` per
     query. Without ``complete`` the grounded offline reply (G2) is used."""
-    cases, vocab = retrieve(queries, kb, cfg, vocab, kb_vecs)
+    cases, vocab = retrieve(queries, kb, cfg, vocab, kb_vecs, encoder)
     p = prompts(queries, cases)
     if complete is None:
         out = p.select("query_id", "query_email", grounded_reply(F.col("top_reply")).alias("reply"),

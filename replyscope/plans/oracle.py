@@ -266,7 +266,7 @@ def judge_ctes(name: str, ev: str, cos: str) -> list[str]:
     lower({strip('e.generated')}) AS l,
     length(coalesce(e.customer_email, '')) - length(replace(coalesce(e.customer_email, ''), '?', '')) AS asks
   FROM {ev} e JOIN {cos} c ON c.pair_id = e.id)"""
-    flags = f"""{name}_f AS (SELECT pair_id, sem, cov,
+    flags = f"""{name}_f AS (SELECT pair_id, sem, cov, cand,
     {_any('l', GREETING_PREFIXES, 'starts_with')} AS greeting,
     {_any('l', CLOSING_MARKERS, 'contains')} AS closing,
     {_any('l', ACTION_MARKERS, 'contains')} AS action,
@@ -285,7 +285,59 @@ def judge_ctes(name: str, ev: str, cos: str) -> list[str]:
         "actionability": "CASE WHEN action THEN 5 ELSE 2 END",
     }
     cols = ", ".join(f"CAST({dims.get(d, str(NEUTRAL))} AS INTEGER) AS {d}" for d in RUBRIC)
-    return [sig, flags, f"{name} AS (SELECT pair_id, {cols} FROM {name}_f)"]
+    two = lambda x: f"round_even({x} * 100.0, 0) / 100.0"
+    said = lambda x: f"CASE WHEN {x} THEN 'True' ELSE 'False' END"
+    why = (f"printf('heuristic: sem=%.2f, coverage=%.2f, len=%d, greeting=%s, action=%s', "
+           f"{two('sem')}, {two('cov')}, len({words('cand')}), {said('greeting')}, {said('action')})")
+    return [sig, flags, f"{name} AS (SELECT pair_id, {cols}, {why} AS judge_rationale FROM {name}_f)"]
+
+
+def encoder_ctes(name: str, src: str, keys: str, text: str) -> list[str]:
+    """Unit vectors ``v`` of the stand-in encoder: 16-bit numbers of the md5."""
+    t = f"CASE WHEN trim(coalesce({text}, '')) = '' THEN ' ' ELSE {text} END"
+    return [
+        f"""{name}_raw AS (SELECT {keys}, list_transform(range(0, 8), lambda i: CAST(('0x' ||
+  substr(md5({t}), CAST(4 * i + 1 AS INTEGER), 4)) AS BIGINT) - 32767.5) AS v FROM {src})""",
+        f"""{name} AS (SELECT {keys}, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v,
+  lambda y: y * y)))::DOUBLE) AS v FROM {name}_raw)"""]
+
+
+def encoded_alignment_ctes(name: str) -> list[str]:
+    """Token alignment of all evaluation pairs with the stand-in encoder."""
+    return [
+        f"""{name}_w AS (SELECT pair_id, side, word, count(*) AS cnt FROM (
+  SELECT pair_id, side, unnest(CASE WHEN len(t) = 0 THEN [' '] ELSE t END) AS word FROM (
+    SELECT id AS pair_id, 'g' AS side, {words('generated')} AS t FROM eval_pairs
+    UNION ALL SELECT id, 'r', {words('reference')} FROM eval_pairs)) GROUP BY ALL)""",
+        f"{name}_d AS (SELECT DISTINCT word FROM {name}_w)",
+        *encoder_ctes(f"{name}_e", f"{name}_d", "word", "word"),
+        f"""{name}_s AS (SELECT g.pair_id, g.word AS gw, r.word AS rw, g.cnt AS gc, r.cnt AS rc,
+  list_dot_product(a.v, b.v) AS s FROM {name}_w g JOIN {name}_w r
+    ON g.pair_id = r.pair_id AND g.side = 'g' AND r.side = 'r'
+  JOIN {name}_e a ON a.word = g.word JOIN {name}_e b ON b.word = r.word)""",
+        f"""{name}_p AS (SELECT pair_id, sum(c * m) / sum(c) AS p FROM (
+  SELECT pair_id, gw, max(s) AS m, any_value(gc) AS c FROM {name}_s GROUP BY ALL) GROUP BY pair_id)""",
+        f"""{name}_r AS (SELECT pair_id, sum(c * m) / sum(c) AS r FROM (
+  SELECT pair_id, rw, max(s) AS m, any_value(rc) AS c FROM {name}_s GROUP BY ALL) GROUP BY pair_id)""",
+        f"""{name} AS (SELECT pair_id, greatest(p, 0.0) AS precision, greatest(r, 0.0) AS recall,
+  greatest(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 0.0) AS f1
+  FROM {name}_p JOIN {name}_r USING (pair_id))"""]
+
+
+def llm_judge_sql() -> str:
+    """The stand-in judge: what it says follows from its prompt's length."""
+    def dim(d: str) -> str:
+        said = {"correctness": "least(greatest(n % 9, 1), 5)",
+                "tone": "least(greatest(round_even((n % 4) + 0.5, 0), 1), 5)"}.get(d, "3")
+        return (f"CAST(CASE WHEN n % 5 IN (0, 2) THEN j.{d} WHEN n % 5 = 1 THEN 3 ELSE {said} END "
+                f"AS INTEGER) AS {d}")
+    return sql(EVAL_VOCAB + cosine_ctes("c", "eval_pairs", "ev_vocab")
+               + judge_ctes("j", "eval_pairs", "c")
+               + [f"q AS (SELECT id, length(judge_prompt) AS n FROM ({judge_prompt_sql()}))"],
+               f"SELECT q.id, {', '.join(dim(d) for d in RUBRIC)}, CASE WHEN n % 5 IN (0, 2) "
+               f"THEN j.judge_rationale WHEN n % 5 = 1 THEN '' ELSE 'n=' || CAST(n AS VARCHAR) END "
+               f"AS judge_rationale, CASE WHEN n % 5 IN (0, 2) THEN 'heuristic' ELSE 'length' END "
+               f"AS judge_backend FROM q JOIN j ON j.pair_id = q.id")
 
 
 def score_ctes(name: str, ev: str, vocab: str) -> list[str]:
@@ -518,26 +570,17 @@ def oracles() -> dict[str, str]:
         "token_alignment_prf": sql(EVAL_VOCAB + alignment_ctes("t", "eval_pairs", "ev_vocab"),
                                    f"SELECT pair_id AS id, {rnd('precision')} AS precision, "
                                    f"{rnd('recall')} AS recall, {rnd('f1')} AS f1 FROM t"),
-        "token_alignment_vectors": sql([
-            """tv AS (SELECT vec_id // 8 AS pair_id, CASE WHEN vec_id % 8 < 4 THEN 'g' ELSE 'r' END AS side,
-  vec_id, embedding::DOUBLE[] AS v FROM embeddings)""",
-            """sims AS (SELECT g.pair_id, g.vec_id AS gid, r.vec_id AS rid, list_dot_product(g.v, r.v) AS s
-  FROM tv g JOIN tv r ON g.pair_id = r.pair_id AND g.side = 'g' AND r.side = 'r')""",
-            "pp AS (SELECT pair_id, avg(m) AS p FROM (SELECT pair_id, gid, max(s) AS m FROM sims "
-            "GROUP BY ALL) GROUP BY pair_id)",
-            "rr AS (SELECT pair_id, avg(m) AS r FROM (SELECT pair_id, rid, max(s) AS m FROM sims "
-            "GROUP BY ALL) GROUP BY pair_id)",
-            """x AS (SELECT i.pair_id, coalesce(pp.p, 0.0) AS p, coalesce(rr.r, 0.0) AS r
-  FROM (SELECT DISTINCT pair_id FROM tv) i LEFT JOIN pp USING (pair_id) LEFT JOIN rr USING (pair_id))"""],
-            f"SELECT pair_id, {rnd('greatest(p, 0.0)')} AS precision, {rnd('greatest(r, 0.0)')} AS recall, "
-            f"{rnd('greatest(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 0.0)')} AS f1 FROM x"),
+        "token_alignment_vectors": sql(
+            [PAIRS, EVAL_PAIRS, *encoded_alignment_ctes("a")],
+            f"SELECT pair_id, {rnd('precision')} AS precision, {rnd('recall')} AS recall, "
+            f"{rnd('f1')} AS f1 FROM a"),
         "coverage": sql([PAIRS, EVAL_PAIRS], (
             f"SELECT id, {rnd('CASE WHEN len(rt) > 0 THEN len(list_intersect(rt, ct)) / len(rt) ELSE 0.0 END')}"
             f" AS coverage FROM (SELECT id, list_distinct({words('reference')}) AS rt, "
             f"{words(strip('generated'))} AS ct FROM eval_pairs)")),
         "heuristic_judge": sql(EVAL_VOCAB + cosine_ctes("c", "eval_pairs", "ev_vocab")
                                + judge_ctes("j", "eval_pairs", "c"),
-                               f"SELECT pair_id AS id, {', '.join(RUBRIC)} FROM j"),
+                               f"SELECT pair_id AS id, {', '.join(RUBRIC)}, judge_rationale FROM j"),
         "rouge_l": sql([PAIRS, EVAL_PAIRS, *lcs_ctes("rl", "eval_pairs")],
                        f"SELECT pair_id AS id, lcs, {rnd('precision')} AS precision, "
                        f"{rnd('recall')} AS recall, {rnd('f1')} AS f1 FROM rl", recursive=True),
@@ -577,6 +620,25 @@ def oracles() -> dict[str, str]:
         "llm_complete_stub": sql([f"p AS ({judge_prompt_sql()})"], (
             "SELECT id AS pair_id, regexp_extract(judge_prompt, '([^\\n]*\\S[^\\n]*)\\s*$', 1) "
             "AS completion, 'echo' AS backend, CAST(NULL AS VARCHAR) AS error FROM p")),
+        "encode_texts": sql(encoder_ctes("e", "documents", "doc_id", "text"),
+                            f"SELECT doc_id, CAST(generate_subscripts(v, 1) - 1 AS BIGINT) AS pos, "
+                            f"{rnd('unnest(v)')} AS x FROM e"),
+        "topk_encoded": sql([
+            PAIRS, *encoder_ctes("e", "pairs", "id", "customer_email"),
+            """s AS (SELECT q.id AS query_id, d.id, list_dot_product(q.v, d.v) AS score
+  FROM e q JOIN e d ON q.id <> d.id)""",
+            f"""r AS (SELECT *, row_number() OVER (PARTITION BY query_id
+  ORDER BY round(score, 9) DESC, id) AS rank FROM s QUALIFY rank <= {K})"""],
+            f"SELECT query_id, rank, id, {rnd('score')} AS score FROM r"),
+        "evaluate_encoded": sql([
+            PAIRS, EVAL_PAIRS, *encoded_alignment_ctes("a"),
+            *encoder_ctes("eg", "eval_pairs", "id", "generated"),
+            *encoder_ctes("er", "eval_pairs", "id", "reference")],
+            f"SELECT eg.id, {rnd('least(greatest(list_dot_product(eg.v, er.v), 0.0), 1.0)', 4)} AS cosine, "
+            f"{rnd('a.precision', 4)} AS bertscore_precision, {rnd('a.recall', 4)} AS bertscore_recall, "
+            f"{rnd('a.f1', 4)} AS bertscore_f1, 'token-vectors' AS bertscore_backend "
+            f"FROM eg JOIN er ON er.id = eg.id JOIN a ON a.pair_id = eg.id"),
+        "llm_judge": llm_judge_sql(),
         "tickets_csv": sql([PAIRS], (
             "SELECT id, customer_email, category, CASE id % 6 WHEN 0 THEN '  ' || support_reply "
             "|| chr(9) || ' ' WHEN 1 THEN 'a \"b\", c' || chr(10) || support_reply WHEN 2 THEN '' "

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import RunConfig
+from ..operators.dense import Encoder
 from ..operators.llm import Completer
 from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.tfidf import term_rows, vectors_from_rows, vocabulary_from_rows
@@ -20,7 +21,7 @@ from .generate import generate
 class RunResult:
     kb: DataFrame
     holdout: DataFrame
-    vocab: DataFrame
+    vocab: DataFrame | None
     generations: DataFrame
     pairs: DataFrame
     scores: DataFrame
@@ -39,34 +40,44 @@ def eval_input(holdout: DataFrame, generations: DataFrame) -> DataFrame:
 
 
 def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer | None = None,
-        backend: str = "custom", judge: Completer | None = None) -> RunResult:
+        backend: str = "custom", judge: Completer | None = None,
+        judge_backend: str | None = None, encoder: Encoder | None = None,
+        embedder: str = "custom") -> RunResult:
     """Run the pipeline. Tables that later stages read several times (the
     holdout, the KB's term rows, the fitted vocabulary, the generations and
-    the scores)
-    are checkpointed to the shared checkpoint folder as they are produced:
-    each reuse is a scan instead of a recomputation, the plans stay small,
-    and a lost executor never sends the run back to its sources."""
+    the scores) are written to the shared checkpoint folder as they are
+    produced: each reuse is a scan instead of a recomputation, the plans stay
+    small, and a lost executor never sends the run back to its sources. They
+    belong to the innermost open ``Scratch``, which deletes them.
+
+    ``backend`` names the replying model, ``judge_backend`` the judging one.
+    With an ``encoder``, named ``embedder``, its vectors replace TF-IDF in
+    retrieval, cosine and token alignment. Ticket ids are unique
+    (``check_unique``)."""
     holdout = materialize(holdout_split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed,
                                         rank_first=cfg.holdout_rank_first))
     # The KB is not copied: it is the source minus a holdout of at most
     # holdout_n rows (a broadcast anti-join, no shuffle), so each of its few
     # uses is one scan of the source, cheaper than writing a full copy.
     kb = knowledge_base(tickets, holdout, holdout_bound=cfg.holdout_n)
-    # Tokenise the KB corpus once: its term rows feed both the vocabulary
-    # fit and the KB email vectors.
-    docs = corpus(kb)
-    rows = materialize(term_rows(docs, ["doc_id", "side"], "text", cfg.stop_words))
-    vocab = materialize(vocabulary_from_rows(rows, docs.select(F.count(F.lit(1))).scalar(),
-                                             cfg.max_features, cfg.max_df))
-    kb_vecs = vectors_from_rows(rows.where(F.col("side") == "email")
-                                .select(F.col("doc_id").alias("id"), "term", "cnt"),
-                                vocab, ["id"], cfg.max_features)
+    vocab = kb_vecs = None
+    if encoder is None:
+        # Tokenise the KB corpus once: its term rows feed both the vocabulary
+        # fit and the KB email vectors.
+        docs = corpus(kb)
+        rows = materialize(term_rows(docs, ["doc_id", "side"], "text", cfg.stop_words))
+        vocab = materialize(vocabulary_from_rows(rows, docs.select(F.count(F.lit(1))).scalar(),
+                                                 cfg.max_features, cfg.max_df))
+        kb_vecs = vectors_from_rows(rows.where(F.col("side") == "email")
+                                    .select(F.col("doc_id").alias("id"), "term", "cnt"),
+                                    vocab, ["id"], cfg.max_features)
     queries = holdout.select(F.col("id").alias("query_id"),
                              F.col("customer_email").alias("query_email"))
-    generations, _ = generate(queries, kb, cfg, complete, backend, vocab, kb_vecs)
+    generations, _ = generate(queries, kb, cfg, complete, backend, vocab, kb_vecs, encoder)
     generations = materialize(generations)
     pairs = eval_input(holdout, generations)
-    scores = materialize(evaluate(pairs, vocab, cfg, judge, backend))
+    scores = materialize(evaluate(pairs, vocab, cfg, judge, judge_backend or backend, encoder))
     return RunResult(kb=kb, holdout=holdout, vocab=vocab, generations=generations,
                      pairs=pairs, scores=scores, summary=summary_table(scores),
-                     components=component_means(scores), meta=run_meta(scores, cfg.weights))
+                     components=component_means(scores), meta=run_meta(scores, cfg.weights,
+                                                                    "tfidf" if encoder is None else embedder))
