@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .retrieve import KB_BLOCK, QUERY_BLOCK, RANK_DECIMALS, best_columns, blocks, rank_order
+from .retrieve import (CELL_SCORES, KB_BLOCK, LEAST_QUERIES, QUERY_BLOCK, RANK_DECIMALS,
+                       best_columns, blocks, rank_order)
 from .tfidf import l2_normalize
 
 def _block_topk(k: int, exclude_self: bool):
@@ -31,18 +32,22 @@ def _block_topk(k: int, exclude_self: bool):
         ids = right["id"].to_numpy(dtype=np.int64)
         qm = np.stack([np.asarray(v, dtype=np.float64) for v in left["qvec"]])
         km = np.stack([np.asarray(v, dtype=np.float64) for v in right["kvec"]])
-        scores = qm @ km.T
-        keyed = np.round(scores, RANK_DECIMALS)
-        if exclude_self:
-            keyed = np.where(qids[:, None] == ids[None, :], -np.inf, keyed)
-        sel = best_columns(keyed, ids, k)
-        take = sel.shape[1]
-        picked = np.take_along_axis(keyed, sel, axis=1)
-        rows = np.repeat(np.arange(len(qids)), take)
-        cols = sel.reshape(-1)
-        keep = np.isfinite(picked.reshape(-1))
-        return pd.DataFrame({"query_id": qids[rows][keep], "id": ids[cols][keep],
-                             "score": scores[rows, cols][keep]})
+        out = []
+        step = max(1, CELL_SCORES // len(ids))
+        for start in range(0, len(qids), step):     # a bounded number of scores at once
+            part = qids[start:start + step]
+            scores = qm[start:start + step] @ km.T
+            keyed = np.round(scores, RANK_DECIMALS)
+            if exclude_self:
+                keyed[part[:, None] == ids] = -np.inf
+            columns = best_columns(keyed, ids, k)
+            rows = np.repeat(np.arange(len(part)), columns.shape[1])
+            columns = columns.ravel()
+            keep = np.isfinite(keyed[rows, columns])
+            rows, columns = rows[keep], columns[keep]
+            out.append(pd.DataFrame({"query_id": part[rows], "id": ids[columns],
+                                     "score": scores[rows, columns]}))
+        return pd.concat(out, ignore_index=True)
     return run
 
 
@@ -53,7 +58,8 @@ def topk_dense(queries: DataFrame, kb: DataFrame, k: int, exclude_self: bool = T
     id asc)."""
     # Blocks are uneven on purpose: few large KB blocks mean few copies of a
     # query, and a cell still holds a bounded number of scores.
-    nqb, nkb = blocks(queries, block_rows or QUERY_BLOCK // 4), blocks(kb, block_rows or KB_BLOCK)
+    nqb = blocks(queries, block_rows or QUERY_BLOCK, LEAST_QUERIES)
+    nkb = blocks(kb, block_rows or KB_BLOCK)
     q = queries.select(
         "query_id", F.col("vec").alias("qvec"),
         F.pmod(F.xxhash64("query_id"), nqb).alias("qb"),

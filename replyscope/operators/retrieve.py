@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 RANK_DECIMALS = 9
 QUERY_BLOCK = 4096
 KB_BLOCK = 16384
+LEAST_QUERIES = 256
 # Query x KB scores held at once in a cell.
 CELL_SCORES = 1 << 22
 
@@ -98,10 +99,13 @@ def _cell(k: int, exclude_self: bool):
     return run
 
 
-def blocks(df: DataFrame, block_rows: int):
-    """Number of blocks so that each holds about ``block_rows`` rows."""
+def blocks(df: DataFrame, block_rows: int, least_rows: int | None = None):
+    """Number of blocks so that each holds about ``block_rows`` rows, or fewer
+    (but ``least_rows``) while there are cores without a block."""
     n = df.select(F.count(F.lit(1))).scalar()
-    return F.greatest(F.ceil(n / F.lit(block_rows)), F.lit(1)).cast("int")
+    busy = F.lit(1) if least_rows is None else F.least(
+        F.lit(df.sparkSession.sparkContext.defaultParallelism), F.ceil(n / F.lit(least_rows)))
+    return F.greatest(F.ceil(n / F.lit(block_rows)), busy, F.lit(1)).cast("int")
 
 
 def _whole(vecs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -124,7 +128,8 @@ def topk_sparse(query_vecs: DataFrame, kb_vecs: DataFrame, queries: DataFrame,
     id when ``exclude_self``. KB rows without a common term score 0 and fill
     up the ranks in id order. A query without an id has no own row to leave
     out. Ids are unique on either side (``check_unique``)."""
-    nq, nk = blocks(queries, query_block), blocks(kb, kb_block)
+    nq = blocks(queries, query_block, LEAST_QUERIES)
+    nk = blocks(kb, kb_block)
     q = _whole(query_vecs, queries, "query_id").select(
         F.coalesce("query_id", F.lit(0).cast("bigint")).alias("query_id"),
         F.col("query_id").isNull().alias("no_id"), "vec",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_MAX_FEATURES
 from ..functions.text import with_tfidf_terms
-from ..session import small
+from ..session import small, spread
 
 
 def with_term_counts(df: DataFrame, terms_col: str, out_col: str) -> DataFrame:
@@ -85,7 +85,7 @@ def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,
     generator the optimizer infers ``size(array) > 0`` and pushes it below
     the projections with the whole tokenising expression inlined, which
     evaluates it several times per row."""
-    t = docs.select(*key_cols, F.col(text_col).alias("__text"))
+    t = spread(docs.select(*key_cols, F.col(text_col).alias("__text")))
     t = with_tfidf_terms(t, "__text", "__terms", stop_words).drop("__text")
     t = with_term_counts(t, "__terms", "__tc")
     return t.select(*key_cols, F.inline_outer("__tc")).where(F.col("term").isNotNull())

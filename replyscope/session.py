@@ -54,6 +54,18 @@ def small(rows: int | None) -> bool:
     return rows is not None and rows <= BROADCAST_ROWS
 
 
+def spread(df: DataFrame, bytes_per_core: int = 128 << 20) -> DataFrame:
+    """Deal the rows of a few small files over all cores, for work that costs
+    far more than moving them. Files that keep the cores busy by themselves,
+    large ones and frames that read no files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = len(df.inputFiles())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if 0 < files < cores and int(str(size)) < cores * bytes_per_core:
+        return df.repartition(cores)
+    return df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or
     where that is not set a folder in the warehouse, which a cluster shares
