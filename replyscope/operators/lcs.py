@@ -27,18 +27,6 @@ def lcs_length(a, b) -> int:
     return len(b) - v.bit_count()
 
 
-def lcs_length_dp(a, b) -> int:
-    """Quadratic dynamic programme; the brute-force check for ``lcs_length``."""
-    n, m = len(a), len(b)
-    prev = [0] * (m + 1)
-    for i in range(1, n + 1):
-        cur = [0] * (m + 1)
-        for j in range(1, m + 1):
-            cur[j] = prev[j - 1] + 1 if a[i - 1] == b[j - 1] else max(prev[j], cur[j - 1])
-        prev = cur
-    return prev[m]
-
-
 @F.pandas_udf(LongType())
 def lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int64")

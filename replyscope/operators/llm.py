@@ -45,7 +45,3 @@ def echo_completer(system: str, user: str, temperature: float, max_tokens: int)
     """A deterministic stand-in model for tests: echoes the last prompt line."""
     lines = [ln for ln in user.splitlines() if ln.strip()]
     return lines[-1] if lines else ""
-
-
-def failing_completer(system: str, user: str, temperature: float, max_tokens: int) -> str:
-    raise RuntimeError("model unavailable")

@@ -2,15 +2,31 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from replyscope.operators.lcs import lcs_length, lcs_length_dp
+from replyscope.operators.lcs import lcs_length
 from replyscope.operators.metrics import rouge_l
 
 
-@given(st.lists(st.sampled_from("abcde"), max_size=40), st.lists(st.sampled_from("abcde"), max_size=40))
+def subsequences(tokens):
+    """Every subsequence, as a set of tuples."""
+    found = {()}
+    for t in tokens:
+        found |= {s + (t,) for s in found}
+    return found
+
+
+@given(st.lists(st.sampled_from("abcd"), max_size=9), st.lists(st.sampled_from("abcd"), max_size=9))
 @settings(max_examples=300, deadline=None)
-def test_bit_parallel_matches_dp(a, b):
-    assert lcs_length(a, b) == lcs_length_dp(a, b)
-    assert lcs_length(a, b) <= min(len(a), len(b))
+def test_bit_parallel_matches_all_subsequences(a, b):
+    assert lcs_length(a, b) == max(map(len, subsequences(a) & subsequences(b)))
+
+
+@given(st.lists(st.sampled_from("abcde"), max_size=90), st.lists(st.sampled_from("abcde"), max_size=90),
+       st.sampled_from("abcde"))
+@settings(max_examples=200, deadline=None)
+def test_lcs_laws(a, b, t):
+    n = lcs_length(a, b)
+    assert n == lcs_length(b, a) == lcs_length(a[::-1], b[::-1]) and n <= min(len(a), len(b))
+    assert lcs_length(a + [t], b + [t]) == n + 1 and lcs_length(a, a + b) == len(a)
 
 
 def test_hand_cases():

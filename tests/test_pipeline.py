@@ -4,7 +4,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from replyscope.config import RunConfig
-from replyscope.operators.llm import echo_completer, failing_completer
+from replyscope.operators.llm import echo_completer
 from replyscope.plans.evaluate import evaluate
 from replyscope.plans.pipeline import run
 from replyscope.sources.reports import read_tickets_csv, write_report, write_tickets_csv
@@ -12,6 +12,10 @@ from replyscope.sources.tables import eval_pairs, read_table
 from replyscope.sources.tickets import generate_tickets, tickets_from_table
 
 
+def failing_completer(system, user, temperature, max_tokens):
+    raise RuntimeError("model unavailable")
+
+
 def test_tickets_deterministic(spark):
     a = generate_tickets(spark.range(40)).orderBy("id").collect()
     b = generate_tickets(spark.range(40)).orderBy("id").collect()
