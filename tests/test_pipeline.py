@@ -12,8 +12,11 @@ from replyscope.sources.tables import eval_pairs, read_table
 from replyscope.sources.tickets import generate_tickets, tickets_from_table
 
 
-def failing_completer(system, user, temperature, max_tokens):
-    raise RuntimeError("model unavailable")
+def failing_completer():
+    """A model that never answers; made here so that workers get it by value."""
+    def fail(system, user, temperature, max_tokens):
+        raise RuntimeError("model unavailable")
+    return fail
 
 
 def test_tickets_deterministic(spark):
@@ -41,7 +44,7 @@ def test_run_invariants(spark, sf):
 
 def test_llm_callables_fall_back_per_row(spark, sf):
     t = tickets_from_table(read_table(spark, sf, "documents"), "doc_id")
-    r = run(t, complete=failing_completer, backend="broken")
+    r = run(t, complete=failing_completer(), backend="broken")
     g = r.generations.collect()
     assert all(x.provider == "fallback" and x.error for x in g)
     # The echo model repeats the prompt's last line, whose braces hold no valid
