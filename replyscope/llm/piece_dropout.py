@@ -8,7 +8,8 @@ comes up is skipped if a keyed hash of seed, draw, segment and place falls
 under the dropout rate, and is not offered again until a neighbour changes.
 Symbols without a piece fall back to byte pieces.
 
-A segment has ``DRAWS`` possible draws; which one a segment of a document uses
+A segment falls apart further where no piece has the two characters side by
+side; each part has ``DRAWS`` possible draws; which one a segment of a document uses
 is a keyed hash of seed, document and its number in the text, so segmentations
 vary within and between documents, repeat exactly for a seed, and can be
 remembered. With dropout 0 the ids are the library's. Decoding joins the
@@ -20,6 +21,7 @@ import hashlib
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from .common import map_batches, only
 
 MARK = "▁"
 DRAWS = 4
-MAX_SEGMENTS = 240_000       # remembered per worker and generation
+MAX_SEGMENTS = 160_000       # parts remembered per worker and generation
 LONG_SEGMENT = 256           # not remembered from this length on
 SHORT_SEGMENT = 48           # up to here the agenda is a plain list
 NONE = float("-inf")
@@ -72,6 +74,9 @@ class PieceModel:
         inner = [p for p in self.id if MARK in p.lstrip(MARK)]
         if inner:
             raise ValueError("pieces span spaces")
+        # Characters that stand side by side in some piece; between any others
+        # no merge can happen, so a segment falls apart there.
+        self.joins = {a + b for p in self.id for a, b in zip(p, p[1:])}
         self.first_byte, self.last_byte = min(self.bytes), max(self.bytes)
 
     def ids_of(self, symbols: list[str], literal: bool) -> list[int]:
@@ -84,6 +89,17 @@ class PieceModel:
                 out.append(i)
         return out
 
+    def parts(self, segment: str) -> list[str]:
+        """The segment cut where no piece can span."""
+        joins = self.joins
+        out, start = [], 0
+        for i in range(1, len(segment)):
+            if segment[i - 1:i + 1] not in joins:
+                out.append(segment[start:i])
+                start = i
+        out.append(segment[start:])
+        return out
+
     def merge(self, segment: str, dropout: float, key: int) -> list[str]:
         """Symbols of a segment after its agenda has run."""
         if len(segment) <= SHORT_SEGMENT:
@@ -102,9 +118,12 @@ class PieceModel:
                 break
             i = agenda.index(best)
             both = symbols[i] + symbols[i + 1]
-            if dropout and chance(key, place[i], len(both)) < dropout:
-                agenda[i] = NONE
-                continue
+            if dropout:     # ``chance`` written out
+                x = (key ^ place[i] * 0x9E3779B97F4A7C15 ^ len(both) * 0xC2B2AE3D27D4EB4F) & MASK
+                x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & MASK
+                if (x >> 24 & 0xFFFFFFFF) / 4294967296 < dropout:
+                    agenda[i] = NONE
+                    continue
             symbols[i] = both
             del symbols[i + 1], place[i + 1], agenda[i]
             if i < len(agenda):
@@ -163,12 +182,28 @@ class Encoder:
         self.keys = [f"{seed}:{draw}".encode() for draw in range(self.draws)]
         self.young: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
         self.old: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
+        self.words: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
+        self.old_words: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
 
     def segment(self, segment: str, draw: int, literal: bool) -> bytes:
-        key = int.from_bytes(hashlib.blake2b(segment.encode(), digest_size=8, key=self.keys[draw])
-                             .digest(), "little") if self.dropout else 0
-        symbols = self.model.merge(segment, self.dropout, key)
-        return np.asarray(self.model.ids_of(symbols, literal), dtype="<u4").tobytes()
+        out = []
+        words, old = self.words[draw], self.old_words[draw]
+        for part in self.model.parts(segment):
+            ids = words.get(part) if not literal else None
+            if ids is None:
+                ids = old.get(part) if not literal else None
+                if ids is None:
+                    key = int.from_bytes(hashlib.blake2b(
+                        part.encode(), digest_size=8, key=self.keys[draw]).digest(), "little") \
+                        if self.dropout else 0
+                    symbols = self.model.merge(part, self.dropout, key)
+                    ids = array("I", self.model.ids_of(symbols, literal)).tobytes()
+                if not literal and len(part) < LONG_SEGMENT:
+                    words[part] = ids
+            out.append(ids)
+        if len(words) > MAX_SEGMENTS // self.draws:
+            self.old_words[draw], self.words[draw] = words, {}
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, text: str, key: int) -> bytes:
         """Ids as little-endian unsigned 32-bit bytes."""
@@ -191,7 +226,7 @@ class Encoder:
                     young[draw][s] = ids
             out.append(ids)
         for draw, known in enumerate(young):
-            if len(known) > MAX_SEGMENTS // self.draws:
+            if len(known) > MAX_SEGMENTS // 2 // self.draws:
                 old[draw], young[draw] = known, {}
         return b"".join(out)
 
