@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, hash_spans, map_batches, mix, only, text_bytes
+from .common import Words, hash_spans, map_batches, mix, only, slices, text_bytes
 
 MAX_TRAINING_TEXTS = 1_000
 MIN_WORDS = 50
@@ -219,8 +219,15 @@ def train_field(docs: DataFrame, labels: DataFrame,
     good = sample.column(0).to_numpy()
     if not 0 < good.sum() < len(good):
         return Field()
-    lines = Lines(sample.column(1).combine_chunks())
-    return Field().train(lines.features, lines.row, good[lines.row].astype(np.int64))
+    features, row, seen = [], [], 0
+    for batch in sample.to_batches():
+        for part in slices(batch, "text"):      # as many bytes at once as a task takes
+            lines = Lines(part.column(1))
+            features.append(lines.features)
+            row.append(lines.row + seen)
+            seen += part.num_rows
+    row = np.concatenate(row)
+    return Field().train(np.concatenate(features), row, good[row].astype(np.int64))
 
 
 def judge(df: DataFrame, field: Field, min_words: int = MIN_WORDS,
