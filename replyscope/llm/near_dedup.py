@@ -122,19 +122,23 @@ def _candidates(sketches: DataFrame, percent: int, scratch: Scratch) -> DataFram
     return pairs.union(edges.where("a != b").distinct())
 
 
-def _blocks(clusters: DataFrame, sizes: DataFrame, percent: int, block: int) -> DataFrame:
+def _blocks(clusters: DataFrame, sizes: DataFrame, percent: int, block: int,
+            scratch: Scratch) -> DataFrame:
     """``rep, task, side``: the block pairs that each representative is in. A
     cluster of up to ``block`` members is one task; a larger one is cut by size
     bucket and hash, and blocks meet within a bucket and with the next one."""
-    members = clusters.join(sizes, F.col("node") == F.col("rep")).select(
+    # Counts are tables, so that a large cluster's members are joined to them
+    # over plain shuffles, which split.
+    members = scratch.table(clusters.join(sizes, F.col("node") == F.col("rep")).select(
         "rep", F.col("component").alias("cluster"),
         F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent) + 1e-9)
-        .alias("bucket"))
-    counted = members.groupBy("cluster", "bucket").agg(F.count("*").alias("n"))
-    whole = counted.groupBy("cluster").agg(F.sum("n").alias("whole"))
+        .alias("bucket")))
+    counted = scratch.table(members.groupBy("cluster", "bucket").agg(F.count("*").alias("n")))
+    whole = scratch.table(counted.groupBy("cluster").agg(F.sum("n").alias("whole")))
     counted = counted.join(whole, "cluster")
     parts = F.ceil(F.col("n") / block).cast("int")
-    near = counted.where(F.col("whole") > block).select("cluster", "bucket", parts.alias("parts"))
+    near = scratch.table(counted.where(F.col("whole") > block)
+                         .select("cluster", "bucket", parts.alias("parts")))
     small = (members.join(whole.where(F.col("whole") <= block), "cluster")
              .select("rep", F.xxhash64("cluster").alias("task"), F.lit(0).alias("side")))
     large = members.join(near, ["cluster", "bucket"])
@@ -283,7 +287,8 @@ def near_duplicates(df: DataFrame, size: int = 3, percent: int = 85,
     keys = ["key1", "key2", "n_shingles"]
     members = sketches.where("n_shingles > 0 and doc_id is not null").select("doc_id", *keys)
     classes = members.groupBy(*keys).agg(F.min("doc_id").alias("rep"))
-    tasks = _blocks(clusters, classes.select("rep", "n_shingles"), percent, block)
+    tasks = _blocks(clusters, classes.select("rep", "n_shingles"), percent, block,
+                    scratch)
     links = scratch.table(_verified(tasks, docs, size, percent))
     groups = connected_components(links.select("a", "b"), scratch)
     found = (members.join(classes, keys).join(groups, F.col("rep") == F.col("node"), "left")
