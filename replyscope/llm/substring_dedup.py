@@ -237,9 +237,10 @@ def repeated_runs(df: DataFrame, size: int = 13, scratch: Scratch | None = None,
         .agg(F.min(F.struct("doc_id", "place")).alias("at"), F.max("doc_id").alias("last"))
         .select("key", "content", "at.doc_id", "at.place", F.col("at.doc_id").alias("first"),
                 "last"))
-    per_key = contents.groupBy("key").agg(
+    per_key = scratch.table(contents.groupBy("key").agg(
         F.count("*").alias("segments"), F.min("first").alias("low"), F.max("last").alias("high"))
-    useful = contents.join(per_key.where("low < high").select("key", "segments"), "key")
+        .where("low < high").select("key", "segments"))
+    useful = contents.join(per_key, "key")
     normal, crowded = useful.where(F.col("segments") <= many), useful.where(F.col("segments") > many)
     n_words = normal.select(F.sum(F.col("place").bitwiseAND(15) + size - 1)).first()[0] or 0
     windows = scratch.table(_segments(docs, crowded, size, single=True))
