@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from .common import map_batches, only
 
 CHUNK_CHARS = 1 << 16
-MAX_RUNS = 50_000        # runs without white space remembered per worker and generation
-MAX_WORDS = 150_000      # words remembered per worker and generation
-MAX_STATES = 80_000      # states kept before the automaton is started afresh
+MAX_RUNS = 25_000        # runs without white space remembered per worker and generation
+MAX_WORDS = 60_000      # words remembered per worker and generation
+MAX_STATES = 30_000      # states kept before the automaton is started afresh
 RESETS = re.compile(r"[\t\n\v\f\r \x85\xa0  -     　]+")
 CONTROL = re.compile(r"[\x1c-\x1f]")
 
