@@ -32,7 +32,7 @@ from .common import map_batches, only
 
 MARK = "▁"
 DRAWS = 4
-MAX_SEGMENTS = 160_000       # parts remembered per worker and generation
+MAX_SEGMENTS = 400_000       # parts remembered per worker and generation
 LONG_SEGMENT = 256           # not remembered from this length on
 SHORT_SEGMENT = 48           # up to here the agenda is a plain list
 NONE = float("-inf")
