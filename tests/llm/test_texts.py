@@ -293,3 +293,70 @@ def test_scores_of_odd_rows(docs, odd_rows):
     assert all((r.mean_log_likelihood is None) == (r.n_words == 0) for r in got)
     assert all(r.log_likelihood == 0 for r in got if not r.n_words)
     assert pseudo_likelihood(docs([])).collect() == []
+
+
+def further_network(further, seed=3):
+    rng = np.random.default_rng(seed)
+    counts = np.zeros(IDS + 1 + further)
+    counts[:VOCABULARY] = rng.integers(50, 500, VOCABULARY)
+    counts[IDS + 1:] = rng.integers(1, 50, further)
+    rest = rng.integers(0, 9, BUCKETS)
+    counts[VOCABULARY:IDS] = rest + np.bincount(np.arange(further) % BUCKETS, counts[IDS + 1:],
+                                                BUCKETS)
+    return Network().start_from(counts), counts, rest
+
+
+def test_further_words_have_probabilities_of_their_own():
+    net, counts, rest = further_network(1000)
+    ids = np.concatenate([np.arange(IDS), IDS + 1 + np.arange(1000)])
+    p = np.exp(net.log_probability(np.full((len(ids), 2 * WINDOW), EDGE), ids))
+    assert p.sum() == pytest.approx(1, abs=1e-4)
+    inside = p[IDS:] / np.bincount(np.arange(1000) % BUCKETS, p[IDS:], BUCKETS)[
+        np.arange(1000) % BUCKETS]
+    whole = np.bincount(np.arange(1000) % BUCKETS, counts[IDS + 1:], BUCKETS)
+    assert inside == pytest.approx(counts[IDS + 1:] / whole[np.arange(1000) % BUCKETS], rel=1e-3)
+
+
+def test_gradient_of_further_words():
+    rng = np.random.default_rng(1)
+    net = further_network(600)[0]
+    around = rng.integers(0, IDS + 601, (50, 2 * WINDOW))
+    centre = np.concatenate([rng.integers(0, IDS, 20), rng.integers(IDS + 1, IDS + 601, 30)])
+    after = Network(net.flat(), 600)
+    after.step(around, centre, 1e-2)
+    moved, flat = (after.flat() - net.flat()) / 1e-2, net.flat().astype(np.float64)
+    first = len(flat) - net.tree.size
+    for at in [*np.argsort(-np.abs(moved))[:6], *first + np.argsort(-np.abs(moved[first:]))[:6]]:
+        up, down = flat.copy(), flat.copy()
+        up[at] += 1e-2
+        down[at] -= 1e-2
+        rise = (Network(up, 600).log_probability(around, centre).mean()
+                - Network(down, 600).log_probability(around, centre).mean()) / 2e-2
+        assert rise == pytest.approx(moved[at], rel=.05, abs=1e-3)
+
+
+def same_bucket(n):
+    held = collections.defaultdict(list)
+    for i in itertools.count():
+        b = Reader(np.zeros(0, np.uint64)).read(pa.array([f"rare{i}"]))[1][0]
+        held[b].append(f"rare{i}")
+        if len(held[b]) == n:
+            return held[b]
+
+
+def test_words_outside_are_scored_by_their_own_counts(docs):
+    a, b, c = same_bucket(3)
+    rows = [(9, " ".join(f"w{i}" for i in range(VOCABULARY)))] * 60
+    rows += [(0, a)] * 55 + [(1, b)] * 8 + [(2, c)]
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood(docs(rows)).collect()}
+    assert got[0] - got[1] == pytest.approx(np.log(55 / 8), abs=1e-5)
+    assert got[1] - got[2] == pytest.approx(np.log(8), abs=1e-5)
+
+
+def test_vocabulary_grows_with_the_corpus(docs):
+    rows = [(i, " ".join(f"w{j}" for j in range(1500))) for i in range(4)] + [(5, "lone")]
+    words, counts = frequent_words(docs(rows).select("doc_id", "text"), own=4)
+    assert len(words) == 1500 and len(counts) == IDS + 1 + 1500 - VOCABULARY
+    assert counts[:IDS].sum() == 4 * 1500 + 1
+    ids = Reader(words).read(pa.array([rows[0][1]]))[1]
+    assert len(set(ids)) == 1500 and not ((ids >= VOCABULARY) & (ids <= IDS)).any()
