@@ -3,22 +3,23 @@
 A text is prefixed with a space mark, its spaces become marks, and it falls
 into segments: a run of marks and what follows up to the next mark (no piece
 of the model spans more, so segments merge alone). In a segment an agenda
-holds the candidate merges, best score first, leftmost first; a candidate that
-comes up is skipped if a keyed hash of seed, draw, segment and place falls
-under the dropout rate, and is not offered again until a neighbour changes.
-Symbols without a piece fall back to byte pieces.
-
-A segment falls apart further where no piece has the two characters side by
-side; each part has ``DRAWS`` possible draws; which one a segment of a document uses
-is a keyed hash of seed, document and its number in the text, so segmentations
-vary within and between documents, repeat exactly for a seed, and can be
-remembered. With dropout 0 the ids are the library's. Decoding joins the
+holds the candidate merges, best score first, leftmost first; each candidate
+that comes up is skipped with the dropout rate, and is not offered again until
+a neighbour changes. Symbols without a piece fall back to byte pieces.
+
+Every occurrence is drawn by itself: a keyed hash of seed, document and the
+segment's number in the text gives how many candidates are taken before one is
+skipped, then again how many before the next (geometric gaps, the same as one
+draw for each candidate). A segment falls apart further where no piece has the
+two characters side by side; the outcome of a part for given skips is fixed, so
+it is remembered by part and skips. Segmentations repeat exactly for a seed.
+With dropout 0 the ids are the library's. Decoding joins the
 pieces and bytes and restores the text exactly; a space mark that stands in
 the text itself is written as its bytes so that it is not read as a space."""
 from __future__ import annotations
 
-import hashlib
 import heapq
+import math
 import re
 import zlib
 from array import array
@@ -28,13 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, only
+from .common import map_batches, mix, only
 
 MARK = "▁"
-DRAWS = 4
-MAX_SEGMENTS = 400_000       # parts remembered per worker and generation
-LONG_SEGMENT = 256           # not remembered from this length on
-SHORT_SEGMENT = 48           # up to here the agenda is a plain list
+MAX_SEGMENTS = 200_000       # segments, and parts, remembered per worker and generation
+SHORT_SEGMENT = 48           # up to here the agenda is a plain list, and remembered
 NONE = float("-inf")
 MASK = 2 ** 64 - 1
 _SEGMENTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -132,6 +131,31 @@ class PieceModel:
                 agenda[i - 1] = score(symbols[i - 1] + both, NONE)
         return symbols
 
+    def merge_skipping(self, segment: str, skips: tuple[int, ...]) -> tuple[list[str], int]:
+        """Symbols of a short segment when the candidates of these numbers, in
+        the order they come up, are skipped; and how many come up."""
+        score = self.score.get
+        symbols = list(segment)
+        agenda = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
+        turn = 0
+        while agenda:
+            best = max(agenda)
+            if best == NONE:
+                break
+            i = agenda.index(best)
+            turn += 1
+            if turn - 1 in skips:
+                agenda[i] = NONE
+                continue
+            both = symbols[i] + symbols[i + 1]
+            symbols[i] = both
+            del symbols[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = score(both + symbols[i + 1], NONE)
+            if i:
+                agenda[i - 1] = score(symbols[i - 1] + both, NONE)
+        return symbols, turn
+
     def _merge_long(self, segment: str, dropout: float, key: int) -> list[str]:
         """The agenda as a heap, for long runs without a space."""
         score = self.score.get
@@ -172,73 +196,123 @@ def chance(key: int, place: int, length: int) -> float:
     return (x >> 24 & 0xFFFFFFFF) / 4294967296
 
 
+def spread(x: int) -> int:
+    """``common.mix`` of one number."""
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
 class Encoder:
     def __init__(self, path: str, dropout: float, seed: int):
         if not 0 <= dropout <= 1:
             raise ValueError("dropout is a probability")
         self.model = PieceModel(path)
         self.dropout, self.seed = dropout, seed
-        self.draws = DRAWS if dropout else 1
-        self.keys = [f"{seed}:{draw}".encode() for draw in range(self.draws)]
-        self.young: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-        self.old: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-        self.words: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-        self.old_words: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-
-    def segment(self, segment: str, draw: int, literal: bool) -> bytes:
-        out = []
-        words, old = self.words[draw], self.old_words[draw]
-        for part in self.model.parts(segment):
-            ids = words.get(part) if not literal else None
-            if ids is None:
-                ids = old.get(part) if not literal else None
-                if ids is None:
-                    key = int.from_bytes(hashlib.blake2b(
-                        part.encode(), digest_size=8, key=self.keys[draw]).digest(), "little") \
-                        if self.dropout else 0
-                    symbols = self.model.merge(part, self.dropout, key)
-                    ids = array("I", self.model.ids_of(symbols, literal)).tobytes()
-                if not literal and len(part) < LONG_SEGMENT:
-                    words[part] = ids
+        self.log_kept = math.log1p(-dropout) if dropout < 1 else NONE
+        self.mark = self._bytes([MARK], True)
+        # Segment to candidates, plain ids and parts; part or (part, skips) to
+        # candidates and ids.
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
+        self.parts: dict = {}
+        self.old_parts: dict = {}
+
+    def _bytes(self, symbols: list[str], literal: bool = False) -> bytes:
+        return array("I", self.model.ids_of(symbols, literal)).tobytes()
+
+    def part(self, part: str, skips: tuple[int, ...]) -> tuple[int, bytes]:
+        """How many candidates of a short part come up, and its ids."""
+        at = (part, skips) if skips else part
+        known = self.parts.get(at)
+        if known is None:
+            known = self.old_parts.get(at)
+            if known is None:
+                symbols, count = self.model.merge_skipping(part, skips)
+                known = count, self._bytes(symbols)
+            if len(self.parts) >= MAX_SEGMENTS:
+                self.old_parts, self.parts = self.parts, {}
+            self.parts[at] = known
+        return known
+
+    def segment(self, segment: str) -> tuple[float, bytes, list[str]]:
+        """Candidates, ids without a skip, and parts. One with a long part has
+        endless candidates, so that it is always drawn."""
+        known = self.young.get(segment)
+        if known is None:
+            known = self.old.get(segment)
+            if known is None:
+                parts = self.model.parts(segment)
+                short = [len(p) <= SHORT_SEGMENT for p in parts]
+                if all(short):
+                    plain = [self.part(p, ()) for p in parts]
+                    known = sum(n for n, _ in plain), b"".join(ids for _, ids in plain), parts
+                elif self.dropout:
+                    return math.inf, b"", parts
+                else:
+                    return 0, b"".join(self.part(p, ())[1] if s else
+                                       self._bytes(self.model.merge(p, 0, 0))
+                                       for p, s in zip(parts, short)), parts
+            if len(self.young) >= MAX_SEGMENTS:
+                self.old, self.young = self.young, {}
+            self.young[segment] = known
+        return known
+
+    def drawn(self, parts: list[str], gap: int, state: int) -> bytes:
+        """Ids of a segment whose first ``gap`` candidates are taken."""
+        out, draws = [], 0
+        for j, part in enumerate(parts):
+            if len(part) > SHORT_SEGMENT:
+                key = spread(state ^ (j + 1) * 0xC2B2AE3D27D4EB4F & MASK)
+                out.append(self._bytes(self.model.merge(part, self.dropout, key)))
+                continue
+            skips: tuple[int, ...] = ()
+            at = 0
+            count, ids = self.part(part, skips)
+            while at + gap < count:
+                skips += (at + gap,)
+                at += gap + 1
+                draws += 1
+                u = ((spread(state + draws * 0x9E3779B97F4A7C15 & MASK) >> 11) + .5) / 2 ** 53
+                gap = int(math.log(u) / self.log_kept)
+                count, ids = self.part(part, skips)
+            gap -= count - at
             out.append(ids)
-        if len(words) > MAX_SEGMENTS // self.draws:
-            self.old_words[draw], self.words[draw] = words, {}
-        return out[0] if len(out) == 1 else b"".join(out)
+        return b"".join(out)
 
     def encode(self, text: str, key: int) -> bytes:
         """Ids as little-endian unsigned 32-bit bytes."""
         if not text:
             return b""
-        out: list[bytes] = []
         if MARK in text:
-            segments = self._with_marks(text)
-            return b"".join(self.segment(s, draw, literal) for (s, literal), draw
-                            in zip(segments, self.choices(key, len(segments))))
-        segments = _SEGMENTS.findall(MARK + text.replace(" ", MARK))
-        young, old = self.young, self.old
-        for s, draw in zip(segments, self.choices(key, len(segments))):
-            ids = young[draw].get(s)
-            if ids is None:
-                ids = old[draw].get(s)
-                if ids is None:
-                    ids = self.segment(s, draw, False)
-                if len(s) < LONG_SEGMENT:
-                    young[draw][s] = ids
-            out.append(ids)
-        for draw, known in enumerate(young):
-            if len(known) > MAX_SEGMENTS // 2 // self.draws:
-                old[draw], young[draw] = known, {}
+            segments = [None if literal else s for s, literal in self._with_marks(text)]
+        else:
+            segments = _SEGMENTS.findall(MARK + text.replace(" ", MARK))
+        if not self.dropout:
+            return b"".join(self.mark if s is None else self.segment(s)[1] for s in segments)
+        out: list[bytes] = []
+        young = self.young.get
+        gaps, states = self.gaps(key, len(segments))
+        for i, s in enumerate(segments):
+            if s is None:
+                out.append(self.mark)
+                continue
+            count, plain, parts = young(s) or self.segment(s)
+            if gaps[i] >= count:
+                out.append(plain)
+            else:
+                out.append(self.drawn(parts, gaps[i], int(states[i])))
+                young = self.young.get
         return b"".join(out)
 
-    def choices(self, key: int, n: int) -> list[int]:
-        """The draw of each segment of a document."""
-        if self.draws == 1:
-            return [0] * n
+    def gaps(self, key: int, n: int) -> tuple[list[int], np.ndarray]:
+        """How many candidates each segment of a document takes before its
+        first skip, and the state that its later draws come from."""
         with np.errstate(over="ignore"):
-            x = (np.arange(n, dtype=np.uint64) + np.uint64(key & (2**64 - 1))
-                 * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(self.seed & (2**64 - 1))) * _WORD
-            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-        return ((x >> np.uint64(40)) % np.uint64(self.draws)).tolist()
+            start = spread(spread(key & MASK) + (self.seed & MASK) & MASK)
+            states = mix((np.arange(n, dtype=np.uint64) + np.uint64(1)) * _WORD + np.uint64(start))
+        u = ((mix(states) >> np.uint64(11)) + .5) / 2 ** 53
+        return np.minimum(np.log(u) / self.log_kept, 2 ** 62).astype(np.int64).tolist(), states
 
     def _with_marks(self, text: str) -> list[tuple[str, bool]]:
         """Marks in the text part segments and stay literal."""

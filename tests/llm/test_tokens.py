@@ -200,3 +200,25 @@ def test_piece_queries(docs, odd_rows):
     assert len(report) == len(odd_rows) and all(r.lossless for r in report)
     assert sorted(r.n_pieces for r in report) == sorted(len(r.ids) for r in encoded.collect())
     assert encode_pieces(docs([]), PIECE).collect() == []
+
+
+def test_dropout_acts_on_each_occurrence():
+    coder, rng = Pieces(PIECE, .1, 7), random.Random(6)
+    for word in ("the", "international", "segmentation"):
+        alone = Tally(coder.encode(word, doc) for doc in range(6000))
+        want = Tally(coder._bytes(coder.model.merge("▁" + word, .1, rng.getrandbits(64)))
+                     for _ in range(6000))
+        assert all(abs(alone[f] - want[f]) < 240 for f in alone | want)
+        # Within a document as well, and no two documents are drawn alike.
+        inside = [coder.encode(" ".join([word] * 50), doc) for doc in range(40)]
+        assert len(set(inside)) == 40
+    assert len(alone) > 20
+
+
+def test_skips_by_number_are_the_keyed_skips():
+    model = Pieces(PIECE, .2, 1).model
+    for s in ("▁international", "▁the", "▁segmentation"):
+        plain, count = model.merge_skipping(s, ())
+        assert plain == model.merge(s, 0, 0)
+        every, _ = model.merge_skipping(s, tuple(range(100)))
+        assert every == list(s) and count > 0
