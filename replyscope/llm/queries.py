@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .html_extract import extract_text
+from .license_scan import scan_licenses
 from .near_dedup import near_duplicates
 from .packing import pack
 from .piece_dropout import segmentations
@@ -16,8 +17,10 @@ from .pseudo_likelihood import pseudo_likelihood
 from .quality import judge, train_field
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
+from .token_overlap import overlaps
 from .url_filter import filter_urls
 from .weighted_sampling import fingerprints
+from .whitening import whiten
 
 
 def op1_html_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,11 +66,26 @@ def op10_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
     return pseudo_likelihood(read_table(spark, sf, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(read_table(spark, sf, "embeddings"))
+
+
+def op12_token_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    return overlaps(read_table(spark, sf, "documents"),
+                    public_tokenizers.path("byte_bpe_50k.json"),
+                    public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extract, op2_url_filter, op3_best_fit_packing,
                             op4_line_quality, op5_weighted_sampling, op6_piece_dropout,
                             op7_token_counts, op8_substring_dedup, op9_near_dedup,
-                            op10_pseudo_likelihood)}
+                            op10_pseudo_likelihood, op11_whitening, op12_token_overlap,
+                            op13_license_scan)}
 
 OP2_SQL = """
 WITH u AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN
