@@ -7,7 +7,8 @@ the other.
 The method's labels come from notice texts. The index maps every word of the
 notices to its postings, (notice, place). For each notice a file's words are
 ranked by inverse document frequency, counted over all documents, and the
-``RAREST`` rarest of them that the file holds are looked up. A word at place p
+``RAREST`` rarest of them that the file holds are looked up, unless the file
+lacks a word of the notice's key phrases, so that it can't hold them. A word at place p
 of the file with a posting at place q of the notice says that the notice starts
 at p - q; starts on which most of the looked-up words agree, give or take
 ``DRIFT`` words, are candidates. A candidate stands if every key phrase of the
@@ -158,6 +159,7 @@ class Index:
         self.keys = [[(k, int(places(t, k)[0])) for k in
                       (np.asarray([number[w] for w in one], dtype=np.int64) for one in ks)]
                      for t, ks in zip(self.texts, keys)]
+        self.needed = [np.unique(np.concatenate([k for k, _ in ks])) for ks in self.keys]
         self.postings: list[list[tuple[int, int]]] = [[] for _ in known]
         for n, t in enumerate(self.texts):
             for place, word in enumerate(t.tolist()):
@@ -196,7 +198,7 @@ class Scanner:
             words = sorted(set(text.tolist()), key=lambda w: (-idf[w], w))
             self.rare.append([(w, [q for m, q in index.postings[w] if m == n]) for w in words])
 
-    def starts(self, n: int, where: dict[int, np.ndarray], length: int) -> list[int]:
+    def starts(self, n: int, where: dict[int, np.ndarray]) -> list[int]:
         """Candidate starts of a notice in a file, from the places of the
         file's words, best supported first in each run of near ones."""
         looked = [(w, q) for w, q in self.rare[n] if w in where][:RAREST]
@@ -240,31 +242,55 @@ class Scanner:
                 return False
         return True
 
-    def scan(self, words: np.ndarray) -> dict:
-        """Labels and counts of one file; ``words`` are numbers or -1."""
-        base, labels, hits = set(), set(), []
-        for phrase, label in self.index.phrases:
-            at = places(words, phrase)
-            if len(at):
-                base.add(label)
-                hits.append(at)
+    def notices(self, words: np.ndarray, possible: np.ndarray) -> dict[str, float]:
+        """Labels of the notices that stand in a file, with the largest share
+        found; only ``possible`` notices are looked for."""
         at = np.flatnonzero(words >= 0)
         order = np.argsort(words[at], kind="stable")
         present, lead = np.unique(words[at][order], return_index=True)
         where = dict(zip(present.tolist(), np.split(at[order], lead[1:])))
-        score = 0.0
-        for n, label in enumerate(self.index.labels):
-            for start in self.starts(n, where, len(words)):
+        found: dict[str, float] = {}
+        for n in possible.tolist():
+            label = self.index.labels[n]
+            for start in self.starts(n, where):
                 share = self.share(n, start, where)
                 if share >= LEAST_SHARE and self.verified(n, start, words):
-                    labels.add(label)
-                    score = max(score, share)
-        every = np.concatenate(hits) if hits else np.zeros(0, dtype=np.int64)
-        return {"n_words": len(words), "n_base": len(every),
-                "first_word": int(every.min()) if len(every) else None,
-                "last_word": int(every.max()) if len(every) else None,
-                "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | labels)),
-                "score": score}
+                    found[label] = max(found.get(label, 0.0), share)
+        return found
+
+    def scan(self, words: np.ndarray, first: np.ndarray) -> dict[str, list]:
+        """Labels and counts of a slice's files; ``words`` are numbers or -1.
+        Base phrases, and which files hold every word of a notice's key phrases,
+        are found for all files together."""
+        files = len(first) - 1
+        row = np.repeat(np.arange(files), np.diff(first))
+        base: list[set[str]] = [set() for _ in range(files)]
+        hits = [np.zeros(0, dtype=np.int64)]
+        for phrase, label in self.index.phrases:
+            at = places(words, phrase)
+            at = at[row[at] == row[at + len(phrase) - 1]]
+            hits.append(at)
+            for r in np.unique(row[at]).tolist():
+                base[r].add(label)
+        at = np.sort(np.concatenate(hits))
+        edges = np.searchsorted(at, first)
+        holds = np.zeros((files, len(self.index.hash)), dtype=bool)
+        known = words >= 0
+        holds[row[known], words[known]] = True
+        possible = np.stack([holds[:, needed].all(axis=1) for needed in self.index.needed],
+                            axis=1) if self.index.needed else np.zeros((files, 0), dtype=bool)
+        found: list[dict[str, float]] = [{} for _ in range(files)]
+        for r in np.flatnonzero(possible.any(axis=1)).tolist():
+            found[r] = self.notices(words[first[r]:first[r + 1]], np.flatnonzero(possible[r]))
+        some = edges[1:] > edges[:-1]
+        return {"n_words": np.diff(first).tolist(), "n_base": np.diff(edges).tolist(),
+                "first_word": [int(at[s] - f) if m else None
+                               for s, f, m in zip(edges, first, some)],
+                "last_word": [int(at[e - 1] - f) if m else None
+                              for e, f, m in zip(edges[1:], first, some)],
+                "base_labels": [",".join(sorted(b)) for b in base],
+                "labels": [",".join(sorted(b | set(f))) for b, f in zip(base, found)],
+                "score": [max(f.values(), default=0.0) for f in found]}
 
 
 OUT = ("doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
@@ -311,8 +337,7 @@ def scan_licenses(docs: DataFrame, notices=NOTICES, phrases=PHRASES) -> DataFram
     def batch(part: pa.RecordBatch, scanner: Scanner):
         words = FileWords(*text_bytes(part.column(1)))
         number = index.numbers(words.hash)
-        rows = [scanner.scan(number[s:e]) for s, e in zip(words.first, words.first[1:])]
-        return {"doc_id": part.column(0)} | {c: [r[c] for r in rows] for c in rows[0]}
+        return {"doc_id": part.column(0), **scanner.scan(number, words.first)}
 
     return map_batches(_texts(docs), batch, OUT, text="text",
                        setup=lambda: Scanner(index, idf))

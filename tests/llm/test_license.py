@@ -32,8 +32,9 @@ def scanner():
 
 
 def labels(scanner, text):
-    out = scanner.scan(scanner.index.numbers(file_words([text]).hash))
-    return out["labels"].split(",") if out["labels"] else [], out["score"]
+    words = file_words([text])
+    out = scanner.scan(scanner.index.numbers(words.hash), words.first)
+    return out["labels"][0].split(",") if out["labels"][0] else [], out["score"][0]
 
 
 def test_words():
