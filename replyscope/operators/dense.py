@@ -1,81 +1,42 @@
 """Dense vectors: pluggable encoding (V6), exact top-k (R2 dense) and
 pairwise dense cosine (M1 dense).
 
-Exact search compares every query with every KB vector, so the work is
-O(Q x N x d) whatever the engine. It is split into blocks of bounded mean
-size: queries and KB rows are hashed into blocks, every
-(query block, KB block) cell is one co-grouped task that multiplies two
-bounded matrices and keeps only the k best per query, and a final
-``row_number() <= k`` merges the per-block winners. No (query, KB) pair
-becomes a row."""
+Exact search deals the KB to clusters around pivots and skips those that the
+triangle inequality rules out (``pruned``); a block of KB rows and its queries
+are two bounded matrices whose product keeps the k best per query. No (query,
+KB) pair becomes a row."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .retrieve import (CELL_SCORES, KB_BLOCK, LEAST_QUERIES, QUERY_BLOCK, RANK_DECIMALS,
-                       best_columns, blocks, rank_order)
+from ..session import Scratch
+from .pruned import CLUSTER_ROWS, DENSE, KB_BLOCK, QUERY_BLOCK, Search, build, search
+from .retrieve import numbered
 from .tfidf import l2_normalize
 
-def _block_topk(k: int, exclude_self: bool):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty or k <= 0:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"),
-                                 "id": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64")})
-        right = right.sort_values("id", kind="stable")
-        qids = left["query_id"].to_numpy(dtype=np.int64)
-        ids = right["id"].to_numpy(dtype=np.int64)
-        qm = np.stack([np.asarray(v, dtype=np.float64) for v in left["qvec"]])
-        km = np.stack([np.asarray(v, dtype=np.float64) for v in right["kvec"]])
-        out = []
-        step = max(1, CELL_SCORES // len(ids))
-        for start in range(0, len(qids), step):     # a bounded number of scores at once
-            part = qids[start:start + step]
-            scores = qm[start:start + step] @ km.T
-            keyed = np.round(scores, RANK_DECIMALS)
-            if exclude_self:
-                keyed[part[:, None] == ids] = -np.inf
-            columns = best_columns(keyed, ids, k)
-            rows = np.repeat(np.arange(len(part)), columns.shape[1])
-            columns = columns.ravel()
-            keep = np.isfinite(keyed[rows, columns])
-            rows, columns = rows[keep], columns[keep]
-            out.append(pd.DataFrame({"query_id": part[rows], "id": ids[columns],
-                                     "score": scores[rows, columns]}))
-        return pd.concat(out, ignore_index=True)
-    return run
+
+def search_dense(queries: DataFrame, kb: DataFrame, k: int, exclude_self: bool = True,
+                 block_rows: int | None = None, cluster_rows: int = CLUSTER_ROWS) -> Search:
+    """``topk_dense`` with its tables of query copies."""
+    whole = Scratch.of(kb.sparkSession).table(kb.select("id", F.col("vec").cast(DENSE).alias("vec")))
+    blocks, clusters = build(whole, DENSE, block_rows or KB_BLOCK, cluster_rows)
+    q = numbered(queries.withColumn("vec", F.col("vec").cast(DENSE)))
+    return search(q, [blocks], whole, clusters, k, exclude_self, block_rows or QUERY_BLOCK)
 
 
 def topk_dense(queries: DataFrame, kb: DataFrame, k: int, exclude_self: bool = True,
-               block_rows: int | None = None) -> DataFrame:
-    """R2 (dense) + R3. ``queries(query_id, vec)``, ``kb(id, vec)`` with unit
-    vectors; output ``query_id, rank, id, score`` ranked by (score desc,
-    id asc)."""
-    # Blocks are uneven on purpose: few large KB blocks mean few copies of a
-    # query, and a cell still holds a bounded number of scores.
-    nqb = blocks(queries, block_rows or QUERY_BLOCK, LEAST_QUERIES)
-    nkb = blocks(kb, block_rows or KB_BLOCK)
-    q = queries.select(
-        "query_id", F.col("vec").alias("qvec"),
-        F.pmod(F.xxhash64("query_id"), nqb).alias("qb"),
-        F.explode(F.sequence(F.lit(0), nkb - 1)).alias("kb"))
-    d = kb.select(
-        "id", F.col("vec").alias("kvec"),
-        F.explode(F.sequence(F.lit(0), nqb - 1)).alias("qb"),
-        F.pmod(F.xxhash64("id"), nkb).alias("kb"))
-    cells = (q.groupBy("qb", "kb").cogroup(d.groupBy("qb", "kb"))
-             .applyInPandas(lambda l, r: _block_topk(k, exclude_self)(
-                 l[["query_id", "qvec"]], r[["id", "kvec"]]),
-                 schema="query_id long, id long, score double"))
-    w = Window.partitionBy("query_id").orderBy(*rank_order())
-    return (cells.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k)
-            .select("query_id", "rank", "id", "score"))
+               block_rows: int | None = None, cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
+    """R2 (dense) + R3. ``queries(query_id, vec)``, ``kb(id, vec)``; output
+    ``query_id, rank, id, score`` ranked by (score desc, id asc). ``queries``
+    may name the own row in a column ``self_id``; otherwise it is ``query_id``,
+    and a query without one has no row to leave out."""
+    return search_dense(queries, kb, k, exclude_self, block_rows, cluster_rows).top \
+        .select("query_id", "rank", "id", "score")
 
 
 def dot(a: str | Column, b: str | Column) -> Column:

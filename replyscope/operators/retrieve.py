@@ -1,152 +1,67 @@
 """Exact top-k cosine retrieval over sparse TF-IDF vectors.
 
 Cosine of unit vectors is ``sum(wq * wd)`` over shared terms. Every text's
-vector is one row; queries and KB rows are dealt to blocks, and each (query
-block, KB block) cell multiplies its two sparse blocks in numpy and emits the k
-best KB rows per query. So what is shuffled is the vectors, once per block of
-the other side, and ``k`` rows per query and KB block, never a row per (query,
-document) candidate, however common a term is."""
+vector is one row; ``pruned.search`` sends copies of a query to the blocks of KB
+rows whose bound reaches its threshold, and each block multiplies its sparse
+rows with those of its queries in numpy. No row per (query, document) candidate
+exists, however common a term is."""
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: scores are rounded to this many places before ranking so float
-# summation order cannot decide a tie; ties then go to the lower id.
-RANK_DECIMALS = 9
-QUERY_BLOCK = 4096
-KB_BLOCK = 16384
-LEAST_QUERIES = 256
-# Query x KB scores held at once in a cell.
-CELL_SCORES = 1 << 22
+from ..session import Scratch
+from .pruned import CLUSTER_ROWS, KB_BLOCK, QUERY_BLOCK, SPARSE, Search, build, search
 
 
-def rank_order(score_col: str = "score", id_col: str = "id"):
-    return [F.round(F.col(score_col), RANK_DECIMALS).desc(), F.col(id_col).asc()]
-
-
-def best_columns(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Per row the columns of the ``k`` best by (score desc, id asc), best
-    first. ``ids`` ascend. Only columns that reach the k-th best score are
-    sorted."""
-    k = min(k, scores.shape[1])
-    if k < scores.shape[1]:
-        least = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
-        # Of the columns tied with the k-th best the first ones stand.
-        above = scores > least
-        tied = scores == least
-        keep = above | tied & (np.cumsum(tied, axis=1) <= k - above.sum(axis=1, keepdims=True))
-        columns = np.nonzero(keep)[1].reshape(len(scores), k)
-    else:
-        columns = np.tile(np.arange(k), (len(scores), 1))
-    picked = np.take_along_axis(scores, columns, axis=1)
-    order = np.argsort(-picked, axis=1, kind="stable")
-    return np.take_along_axis(columns, order, axis=1)
-
-
-def _postings(rows: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Term, row number and weight of all entries of a block's vectors."""
-    sizes = np.asarray([len(r) for r in rows], dtype=np.int64)
-    flat = [e for r in rows for e in r]
-    return (np.asarray([e["term"] for e in flat], dtype=np.int64),
-            np.repeat(np.arange(len(sizes)), sizes),
-            np.asarray([e["w"] for e in flat], dtype=np.float64))
-
-
-def _cell(k: int, exclude_self: bool):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty or k <= 0:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"),
-                                 "no_id": pd.Series(dtype="bool"),
-                                 "id": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64")})
-        right = right.sort_values("id", kind="stable")
-        ids = right["id"].to_numpy(dtype=np.int64)
-        no_id = left["no_id"].to_numpy(dtype=bool)
-        qids = left["query_id"].to_numpy(dtype=np.int64)
-        term, doc, wd = _postings(right["vec"])
-        order = np.argsort(term, kind="stable")
-        term, doc, wd = term[order], doc[order], wd[order]
-        qterm, query, wq = _postings(left["vec"])
-        low, high = np.searchsorted(term, qterm, "left"), np.searchsorted(term, qterm, "right")
-        step = max(1, CELL_SCORES // len(ids))
-        out = []
-        for start in range(0, len(qids), step):
-            stop = min(start + step, len(qids))
-            a, b = np.searchsorted(query, [start, stop])
-            meets = high[a:b] - low[a:b]
-            first = np.repeat(low[a:b] - (np.cumsum(meets) - meets), meets)
-            at = first + np.arange(int(meets.sum()))
-            cell = (np.repeat(query[a:b], meets) - start) * len(ids) + doc[at]
-            scores = np.bincount(cell, np.repeat(wq[a:b], meets) * wd[at],
-                                 minlength=(stop - start) * len(ids))
-            scores = scores.astype(np.float64).reshape(-1, len(ids))   # integers if none meet
-            keyed = np.round(scores, RANK_DECIMALS)
-            if exclude_self:
-                own = (qids[start:stop, None] == ids) & ~no_id[start:stop, None]
-                keyed[own] = -np.inf
-            columns = best_columns(keyed, ids, k)
-            rows = np.repeat(np.arange(start, stop), columns.shape[1])
-            columns = columns.ravel()
-            stays = np.isfinite(keyed[rows - start, columns])
-            rows, columns = rows[stays], columns[stays]
-            out.append(pd.DataFrame({"query_id": qids[rows], "no_id": no_id[rows],
-                                     "id": ids[columns],
-                                     "score": scores[rows - start, columns]}))
-        return pd.concat(out, ignore_index=True)
-    return run
+def whole_vectors(vecs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """One row per row of ``keys`` with its vector; a text without known terms
+    has an empty one. Terms become 64-bit hashes: among the 4,096 terms of a
+    vocabulary two collide with a chance below 1e-12, among a million terms
+    below 1e-7."""
+    gathered = vecs.groupBy(F.col(key).alias("of")).agg(F.collect_list(F.struct(
+        F.xxhash64("term").alias("term"), F.col("w").cast("double").alias("w"))).alias("vec"))
+    empty = F.array().cast(SPARSE)
+    return (keys.join(gathered, F.col(key).eqNullSafe(F.col("of")), "left")
+            .select(*keys.columns, F.coalesce(F.col("vec").cast(SPARSE), empty).alias("vec")))
 
 
-def blocks(df: DataFrame, block_rows: int, least_rows: int | None = None):
-    """Number of blocks so that each holds about ``block_rows`` rows, or fewer
-    (but ``least_rows``) while there are cores without a block."""
-    n = df.select(F.count(F.lit(1))).scalar()
-    busy = F.lit(1) if least_rows is None else F.least(
-        F.lit(df.sparkSession.sparkContext.defaultParallelism), F.ceil(n / F.lit(least_rows)))
-    return F.greatest(F.ceil(n / F.lit(block_rows)), busy, F.lit(1)).cast("int")
+def numbered(queries: DataFrame) -> DataFrame:
+    """``row, query_id, self_id, vec`` as a table, so that the row numbers
+    stay: rows without an id are told apart by them."""
+    own = "self_id" if "self_id" in queries.columns else "query_id"
+    return Scratch.of(queries.sparkSession).table(queries.select(
+        F.monotonically_increasing_id().alias("row"), "query_id",
+        F.col(own).cast("bigint").alias("self_id"), "vec"))
 
 
-def _whole(vecs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """One row per key with its vector; a text without known terms has an
-    empty one."""
-    gathered = vecs.groupBy(F.col(key).alias("of")).agg(F.collect_list(F.struct(
-        F.xxhash64("term").alias("term"), F.col("w").cast("double").alias("w"))).alias("vec"))
-    empty = F.array().cast(gathered.schema["vec"].dataType)
-    return (keys.select(key).join(gathered, F.col(key).eqNullSafe(F.col("of")), "left")
-            .select(key, F.coalesce("vec", empty).alias("vec")))
+def search_sparse(query_vecs: DataFrame, kb_vecs: DataFrame, queries: DataFrame,
+                  kb: DataFrame, k: int, exclude_self: bool = True,
+                  query_block: int = QUERY_BLOCK, kb_block: int = KB_BLOCK,
+                  cluster_rows: int = CLUSTER_ROWS) -> Search:
+    """``topk_sparse`` with its tables of query copies."""
+    whole = Scratch.of(kb.sparkSession).table(whole_vectors(kb_vecs, kb.select("id"), "id"))
+    blocks, clusters = build(whole, SPARSE, kb_block, cluster_rows)
+    columns = [c for c in ("query_id", "self_id") if c in queries.columns]
+    q = numbered(whole_vectors(query_vecs, queries.select(*columns), "query_id"))
+    return search(q, [blocks], whole, clusters, k, exclude_self, query_block)
 
 
 def topk_sparse(query_vecs: DataFrame, kb_vecs: DataFrame, queries: DataFrame,
                 kb: DataFrame, k: int, exclude_self: bool = True,
-                query_block: int = QUERY_BLOCK, kb_block: int = KB_BLOCK) -> DataFrame:
+                query_block: int = QUERY_BLOCK, kb_block: int = KB_BLOCK,
+                cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
     """R2-R4. Inputs: ``query_vecs(query_id, term, w)``,
     ``kb_vecs(id, term, w)``, ``queries(query_id)``, ``kb(id)``.
     Output ``query_id, rank, id, score``: for every query the ``min(k, N')``
     best KB rows by (score desc, id asc), where N' excludes the query's own
     id when ``exclude_self``. KB rows without a common term score 0 and fill
-    up the ranks in id order. A query without an id has no own row to leave
-    out. Ids are unique on either side (``check_unique``)."""
-    nq = blocks(queries, query_block, LEAST_QUERIES)
-    nk = blocks(kb, kb_block)
-    q = _whole(query_vecs, queries, "query_id").select(
-        F.coalesce("query_id", F.lit(0).cast("bigint")).alias("query_id"),
-        F.col("query_id").isNull().alias("no_id"), "vec",
-        F.pmod(F.xxhash64("query_id"), nq).alias("qb"),
-        F.explode(F.sequence(F.lit(0), nk - 1)).alias("kb"))
-    d = _whole(kb_vecs, kb, "id").select(
-        "id", "vec", F.explode(F.sequence(F.lit(0), nq - 1)).alias("qb"),
-        F.pmod(F.xxhash64("id"), nk).alias("kb"))
-    cells = (q.groupBy("qb", "kb").cogroup(d.groupBy("qb", "kb"))
-             .applyInPandas(lambda l, r: _cell(k, exclude_self)(
-                 l[["query_id", "no_id", "vec"]], r[["id", "vec"]]),
-                 schema="query_id long, no_id boolean, id long, score double"))
-    w = Window.partitionBy("query_id", "no_id").orderBy(*rank_order())
-    return (cells.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k)
-            .select(F.when(~F.col("no_id"), F.col("query_id")).alias("query_id"),
-                    "rank", "id", "score"))
+    up the ranks in id order. ``queries`` may name the own row in a column
+    ``self_id``; otherwise it is ``query_id``. A query without an own id has no
+    row to leave out. Ids are unique on either side (``check_unique``): texts
+    under one ``query_id``, null included, are one query's."""
+    return search_sparse(query_vecs, kb_vecs, queries, kb, k, exclude_self, query_block, kb_block,
+                         cluster_rows).top.select("query_id", "rank", "id", "score")
 
 
 def attach_cases(top: DataFrame, kb: DataFrame) -> DataFrame:

@@ -91,9 +91,7 @@ def materialize(df: DataFrame, reliable: bool = True) -> DataFrame:
     the program ends. Otherwise the frame is persisted in memory and on disk."""
     if not reliable:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    spark = df.sparkSession
-    mine = [s for s in _OPEN if s.spark.sparkContext is spark.sparkContext]
-    return (mine[-1] if mine else Scratch(spark)).table(df)
+    return Scratch.of(df.sparkSession).table(df)
 
 
 _OPEN: list["Scratch"] = []
@@ -125,6 +123,13 @@ class Scratch:
         self.root = os.path.join(checkpoint_dir(spark), "replyscope", uuid.uuid4().hex)
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
+    @classmethod
+    def of(cls, spark: SparkSession) -> "Scratch":
+        """The innermost open one of the session, or one that lasts until the
+        program ends."""
+        mine = [s for s in _OPEN if s.spark.sparkContext is spark.sparkContext]
+        return mine[-1] if mine else cls(spark)
+
     def claim(self) -> str:
         """The run's folder, to be deleted with it."""
         if self.root not in _ROOTS:
