@@ -22,7 +22,7 @@ cell is copied once per cell of queries."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import numpy as np
@@ -217,18 +217,25 @@ def measure(assigned: DataFrame, clusters: Clusters, kb_block: int = KB_BLOCK) -
     sizes = np.zeros(c, dtype=np.int64)
     for r in assigned.groupBy("cluster").count().collect():         # at most c rows
         sizes[r[0]] = r[1]
-    blocks = -(-sizes // kb_block)
+    blocks = np.maximum(-(-sizes // kb_block), 1)
     out = Clusters(clusters.kind, clusters.seeds, sizes, np.cumsum(blocks) - blocks, blocks)
     if c <= PROBES:                         # every cluster is searched
         return out
-    if clusters.kind == SPARSE:
+    bounds(assigned, out)
+    return out
+
+
+def bounds(assigned: DataFrame, out: Clusters) -> None:
+    """Set the bounds of the clusters from their rows."""
+    c = len(out)
+    if out.kind == SPARSE:
         entries = assigned.select("cluster", F.inline("vec"))
         top = entries.groupBy("cluster", F.pmod("term", F.lit(SLOTS)).cast("int").alias("slot")) \
             .agg(F.max("w").alias("w")).toArrow()                   # at most CELLS rows
         out.peaks = np.zeros((c, SLOTS))
         out.peaks[top["cluster"].to_numpy(), top["slot"].to_numpy()] = top["w"].to_numpy()
-        return out
-    pivots = clusters.seeds
+        return
+    pivots = out.seeds
     out.near = np.argsort(angles(pivots, pivots), axis=1, kind="stable")[:, :NEAR]
     width = out.near.shape[1]
     out.low, out.high = np.full((c, width), np.inf), np.full((c, width), -np.inf)
@@ -260,13 +267,24 @@ def measure(assigned: DataFrame, clusters: Clusters, kb_block: int = KB_BLOCK) -
     low[at], high[at] = found["low"].to_numpy(), found["high"].to_numpy()
     out.low, out.high = low[:, :width], high[:, :width]
     out.norms = np.stack([low[:, width], high[:, width]], axis=1)
+
+
+def widened(clusters: Clusters, more: Clusters) -> Clusters:
+    """The clusters with further rows: ``more`` has their sizes and bounds."""
+    out = replace(clusters, sizes=clusters.sizes + more.sizes)
+    if clusters.peaks is not None:
+        out.peaks = np.maximum(clusters.peaks, more.peaks)
+    if clusters.near is not None:
+        out.low, out.high = np.minimum(clusters.low, more.low), np.maximum(clusters.high, more.high)
+        out.norms = np.stack([np.minimum(clusters.norms[:, 0], more.norms[:, 0]),
+                              np.maximum(clusters.norms[:, 1], more.norms[:, 1])], axis=1)
     return out
 
 
 def into_blocks(assigned: DataFrame, clusters: Clusters) -> DataFrame:
     """``block, id, vec``."""
     table = assigned.sparkSession.createDataFrame(
-        [(i, int(f), int(max(b, 1))) for i, (f, b) in enumerate(zip(clusters.first, clusters.blocks))],
+        [(i, int(f), int(b)) for i, (f, b) in enumerate(zip(clusters.first, clusters.blocks))],
         "cluster int, first int, parts int")
     return assigned.join(F.broadcast(table), "cluster").select(
         (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("block"),
@@ -469,7 +487,7 @@ def search(queries: DataFrame, kb_blocks: list[DataFrame], ids: DataFrame, clust
         return reduce(DataFrame.unionByName, [
             _cells(copies, part, clusters, k, exclude_self, query_block) for part in kb_blocks])
 
-    if not clusters.total_blocks:           # no row has anything to compare
+    if not clusters.sizes.sum():            # no row has anything to compare
         nothing = spark.createDataFrame([], "row bigint, id bigint, score double")
         return Search(_ranked(queries, nothing, ids, k, exclude_self), [], clusters)
 

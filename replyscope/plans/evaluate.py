@@ -91,9 +91,9 @@ def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig =
     judge_normalized, judge_backend, final_score, rouge_l_f1,
     judge_rationale, judge_dimensions`` plus one column per rubric dim. With
     an ``encoder`` (V6) cosine and token alignment use its vectors instead of
-    TF-IDF. Pair ids are unique (``check_unique``)."""
-    # Every metric reads the pairs: materialise them once.
-    p = materialize(pairs.select(F.col("id").alias("pair_id"), "category", "customer_email",
+    TF-IDF. Pairs without an id, or with another's, are pairs of their own."""
+    # Every metric reads the pairs: materialise them once, numbered.
+    p = materialize(pairs.select(F.monotonically_increasing_id().alias("pair_id"), "id", "category", "customer_email",
                                  F.coalesce("generated", F.lit("")).alias("generated"),
                                  F.coalesce("reference", F.lit("")).alias("reference")))
     if encoder is not None:
@@ -111,7 +111,7 @@ def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig =
     if judge is not None:
         judged = llm_judge(p, judged, judge, judge_backend, cfg)
     avg, norm = judge_average(cfg.rubric)
-    j = (p.select("pair_id", "category").join(cos, "pair_id").join(bert, "pair_id")
+    j = (p.select("pair_id", "id", "category").join(cos, "pair_id").join(bert, "pair_id")
          .join(rouge, "pair_id").join(judged, "pair_id"))
     dims_map = F.map_from_arrays(F.array(*[F.lit(d) for d in cfg.rubric]),
                                  F.array(*[F.col(d) for d in cfg.rubric]))
@@ -125,7 +125,7 @@ def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig =
         rounded("judge_normalized", norm),
         "judge_backend",
         final_score(norm, F.col("f1"), F.col("cosine"), cfg.weights).alias("final_score"),
-        F.col("pair_id").alias("id"), "category",
+        "id", "category",
         rounded("rouge_l_f1", F.col("rouge_f1")),
         "judge_rationale",
         dims_map.alias("judge_dimensions"),
