@@ -45,6 +45,7 @@ class RunConfig:
     weights: Weights = field(default_factory=Weights)
     stop_words: tuple[str, ...] | None = None   # None -> English default list
     max_df: float | None = None                 # drop terms in > max_df of texts
+    limit: int | None = None                    # shortens the holdout of a run
     holdout_rank_first: bool = False            # order holdout by (draw, category)
 
     def __post_init__(self) -> None:
@@ -54,6 +55,8 @@ class RunConfig:
             raise ValueError("top_k must be >= 0")
         if self.per_category < 0:
             raise ValueError("per_category must be >= 0")
+        if self.limit is not None and self.limit < 0:
+            raise ValueError("limit must be >= 0")
         if self.max_features is not None and self.max_features <= 0:
             raise ValueError("max_features must be positive or None")
         if self.max_df is not None and not 0.0 < self.max_df <= 1.0:

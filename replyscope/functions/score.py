@@ -14,6 +14,36 @@ def round_to(value: Column, decimals: int) -> Column:
     return F.rint(value * F.lit(scale)) / F.lit(scale)
 
 
+# Places kept of the numbers whose mean or median is taken.
+EXACT_DECIMALS = 6
+
+
+def scaled(value: Column) -> Column:
+    """A number with at most ``EXACT_DECIMALS`` places as a whole number of its
+    last place."""
+    return F.rint(value * F.lit(float(10 ** EXACT_DECIMALS))).cast("decimal(20,0)")
+
+
+def rounded_mean(value: Column, decimals: int) -> Column:
+    """Aggregate: the mean, rounded half-even to ``decimals`` places. Sum,
+    quotient and remainder are whole numbers, so a tie is seen as one whatever
+    the order of the rows; null for no values."""
+    total = F.sum(scaled(value)).cast("decimal(38,0)")
+    parts = F.count(value).cast("decimal(20,0)") * F.lit(10 ** (EXACT_DECIMALS - decimals))
+    rest = F.pmod(total, parts)
+    floor = ((total - rest) / parts).cast("decimal(38,0)")
+    up = (rest * 2 > parts) | ((rest * 2 == parts) & (F.pmod(floor, F.lit(2)) != 0))
+    return F.when(F.count(value) > 0,
+                  (floor + F.when(up, 1).otherwise(0)).cast("double") / F.lit(float(10 ** decimals)))
+
+
+def rounded_middle(middle: Column, decimals: int) -> Column:
+    """A median of ``scaled`` numbers, which is whole or half, rounded half-even:
+    the quotient of two such numbers is exact where it is a tie."""
+    return (F.rint(middle / F.lit(float(10 ** (EXACT_DECIMALS - decimals))))
+            / F.lit(float(10 ** decimals)))
+
+
 def final_score(judge_norm: Column, bert_f1: Column, cosine: Column,
                 weights: Weights = Weights()) -> Column:
     """``round(100 * (wj*judge + wb*f1 + wc*cosine), 2)`` from unrounded

@@ -5,34 +5,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Weights
-from ..functions.score import round_to
+from ..functions.score import round_to, rounded_mean, rounded_middle, scaled
 
 STAT_DECIMALS = 2
 MEAN_DECIMALS = 4
 COMPONENTS = ("cosine", "bertscore_f1", "judge_normalized", "rouge_l_f1")
 
 
-def exact_mean(value: Column) -> Column:
-    """Mean over six decimal places: sums are exact, so the order in which
-    rows arrive can't tip a rounding."""
-    return F.avg(value.cast("decimal(20,6)")).cast("double")
-
-
 def describe_aggs(value: str, approx_median: bool = False) -> list[Column]:
     """A1: count, mean, median (middle pair averaged), min, max, population
-    stdev, rounded to 2 places; 0 for an empty input.
+    stdev, rounded to 2 places; 0 for an empty input. Mean and median are those
+    of the values to six places, exactly, and ties go to the even digit.
 
     The exact median keeps one counter per distinct value of a group; for the
     final score (two decimals in [0, 100]) that is at most 10,001 counters
     however large the group. ``approx_median`` switches to
     ``percentile_approx`` for unbounded value sets."""
     v = F.col(value).cast("double")
-    med = F.percentile_approx(v, 0.5, 10000).cast("double") if approx_median else F.median(v)
+    if approx_median:
+        med = round_to(F.percentile_approx(v, 0.5, 10000).cast("double"), STAT_DECIMALS)
+    else:
+        med = rounded_middle(F.median(scaled(v).cast("bigint")), STAT_DECIMALS)
     zero = F.lit(0.0)
     return [
         F.count(v).cast("bigint").alias("count"),
-        F.coalesce(round_to(exact_mean(v), STAT_DECIMALS), zero).alias("mean"),
-        F.coalesce(round_to(med, STAT_DECIMALS), zero).alias("median"),
+        F.coalesce(rounded_mean(v, STAT_DECIMALS), zero).alias("mean"),
+        F.coalesce(med, zero).alias("median"),
         F.coalesce(round_to(F.min(v), STAT_DECIMALS), zero).alias("min"),
         F.coalesce(round_to(F.max(v), STAT_DECIMALS), zero).alias("max"),
         F.coalesce(round_to(F.stddev_pop(v), STAT_DECIMALS), zero).alias("stdev"),
@@ -72,7 +70,7 @@ def summary_table(scores: DataFrame, value: str = "final_score",
 
 def component_means(scores: DataFrame, components=COMPONENTS) -> DataFrame:
     """A4: mean of each (already rounded) component, 4 places; 0 if empty."""
-    return scores.agg(*[F.coalesce(round_to(exact_mean(F.col(c)), MEAN_DECIMALS), F.lit(0.0)).alias(c)
+    return scores.agg(*[F.coalesce(rounded_mean(F.col(c), MEAN_DECIMALS), F.lit(0.0)).alias(c)
                         for c in components])
 
 

@@ -15,7 +15,7 @@ from ..sources.reports import CATEGORY_WIDTH, RULE_WIDTH, SUMMARY_TITLE
 from ..sources.tickets import (CITIES, DAYS_RANGE, NAMES, ORDER_ID_RANGE, PRODUCTS,
                                template_rows)
 
-SEED, K, MAX_FEATURES, PER_CATEGORY, HOLDOUT = 42, 3, 4096, 2, 20
+SEED, K, MAX_FEATURES, PER_CATEGORY, HOLDOUT, LIMIT = 42, 3, 4096, 2, 20, 7
 W = Weights()
 RUBRIC = DEFAULT_RUBRIC
 NL = "chr(10)"
@@ -37,9 +37,20 @@ def rnd(x: str, d: int = 6) -> str:
     return f"(round_even(({x}) * {scale}, 0) / {scale})"
 
 
-def mean(x: str) -> str:
-    """An average whose sum is exact."""
-    return f"avg(CAST({x} AS DECIMAL(20, 6)))"
+def mean(x: str, d: int) -> str:
+    """The mean of six-place numbers, rounded half-even in whole numbers."""
+    total = f"sum(CAST(round_even(({x}) * 1000000.0, 0) AS HUGEINT))"
+    parts = f"(count({x}) * {10 ** (6 - d)})"
+    rest = f"((({total} % {parts}) + {parts}) % {parts})"
+    floor = f"(({total} - {rest}) // {parts})"
+    up = f"2 * {rest} > {parts} OR (2 * {rest} = {parts} AND {floor} % 2 <> 0)"
+    return (f"(CASE WHEN count({x}) > 0 THEN ({floor} + CASE WHEN {up} THEN 1 ELSE 0 END)::DOUBLE "
+            f"/ {float(10 ** d)!r} END)")
+
+
+def middle(x: str, d: int) -> str:
+    whole = f"median(CAST(round_even(({x}) * 1000000.0, 0) AS BIGINT))"
+    return f"(round_even({whole} / {float(10 ** (6 - d))!r}, 0) / {float(10 ** d)!r})"
 
 
 def uni(t: str) -> str:
@@ -393,17 +404,19 @@ def ticket_run_ctes() -> list[str]:
     ]
 
 
-def pair_retrieval(queries_cte: str, exclude: bool) -> str:
+def pair_retrieval(queries_cte: str, exclude: bool, kb: str = "pairs",
+                   out: str = "query_id, rank, id", src: str = "top") -> str:
     return sql([
         PAIRS,
         """pcorpus AS (SELECT id AS doc_id, 'email' AS side, customer_email AS text FROM pairs
   UNION ALL SELECT id AS doc_id, 'reply' AS side, support_reply AS text FROM pairs)""",
         *vocab_ctes("pv", "pcorpus", "CAST(doc_id AS VARCHAR) || ':' || side", "text"),
-        *vector_ctes("kbvec", "pairs", ["id"], "customer_email", "pv"),
+        f"kb AS (SELECT * FROM {kb})",
+        *vector_ctes("kbvec", "kb", ["id"], "customer_email", "pv"),
         queries_cte,
         *vector_ctes("qvec", "queries", ["query_id"], "query_email", "pv"),
-        *topk_ctes("top", "qvec", "kbvec", "queries", "pairs", exclude),
-    ], f"SELECT query_id, rank, id, {rnd('score')} AS score FROM top")
+        *topk_ctes("top", "qvec", "kbvec", "queries", "kb", exclude),
+    ], f"SELECT {out}, {rnd('score')} AS score FROM {src}")
 
 
 PAIR_QUERIES = "queries AS (SELECT id AS query_id, customer_email AS query_email FROM pairs)"
@@ -420,8 +433,8 @@ SCORE_COLS = ("id, category, cosine, bertscore_precision, bertscore_recall, bert
 
 
 def describe(value: str) -> str:
-    return (f"count({value}) AS count, coalesce({rnd(mean(value), 2)}, 0.0) AS mean, "
-            f"coalesce({rnd(f'median({value})', 2)}, 0.0) AS median, "
+    return (f"count({value}) AS count, coalesce({mean(value, 2)}, 0.0) AS mean, "
+            f"coalesce({middle(value, 2)}, 0.0) AS median, "
             f"coalesce({rnd(f'min({value})', 2)}, 0.0) AS min, "
             f"coalesce({rnd(f'max({value})', 2)}, 0.0) AS max, "
             f"coalesce({rnd(f'stddev_pop({value})', 2)}, 0.0) AS stdev")
@@ -491,10 +504,10 @@ def summary_text_sql(run: list[str], ev: str = "eval_pairs") -> str:
                 f"{_pad(_fmt('mean'), 6, True)} || '   (n=' || CAST(count AS VARCHAR) || ')'")
     return sql(run + lcs_ctes("rl", ev) + [
         f"o AS (SELECT {describe('final_score')} FROM scores)",
-        f"""c AS (SELECT coalesce({rnd(mean('s.cosine'), 4)}, 0.0) AS cosine,
-  coalesce({rnd(mean('s.bertscore_f1'), 4)}, 0.0) AS bertscore_f1,
-  coalesce({rnd(mean('s.judge_normalized'), 4)}, 0.0) AS judge_normalized,
-  coalesce({rnd(mean(rnd('r.f1', 4)), 4)}, 0.0) AS rouge_l_f1
+        f"""c AS (SELECT coalesce({mean('s.cosine', 4)}, 0.0) AS cosine,
+  coalesce({mean('s.bertscore_f1', 4)}, 0.0) AS bertscore_f1,
+  coalesce({mean('s.judge_normalized', 4)}, 0.0) AS judge_normalized,
+  coalesce({mean(rnd('r.f1', 4), 4)}, 0.0) AS rouge_l_f1
   FROM scores s JOIN rl r ON r.pair_id = s.id)""",
         f"pc AS (SELECT category, {describe('final_score')} FROM scores GROUP BY category)",
         f"""body AS (SELECT CAST(row_number() OVER (ORDER BY category) + {n - 1} AS BIGINT) AS line_no,
@@ -551,6 +564,13 @@ def oracles() -> dict[str, str]:
             f"""r AS (SELECT *, row_number() OVER (PARTITION BY query_id
   ORDER BY round(score, 9) DESC, id) AS rank FROM s QUALIFY rank <= {K})"""],
             f"SELECT query_id, rank, id, {rnd('score')} AS score FROM r"),
+        "topk_indexed": pair_retrieval(PAIR_QUERIES, True, "pairs WHERE category <> 'c1'"),
+        "cases_without_ids": pair_retrieval(
+            "queries AS (SELECT row_number() OVER () AS query_id, text AS query_email "
+            "FROM benchmark)", False, out="q.query_email, rank, id",
+            src="top JOIN queries q USING (query_id)"),
+        "holdout_limit": sql(GIVEN + SPLIT, f"SELECT id, category, holdout_rank FROM holdout "
+                                            f"ORDER BY category, holdout_rank, id LIMIT {LIMIT}"),
         "retrieved_cases": sql(run, f"SELECT query_id, rank, id, {rnd('score')} AS score, category "
                                     f"FROM cases"),
         "fewshot_prompt": sql(run, "SELECT query_id, user_prompt FROM prompts"),
@@ -585,10 +605,10 @@ def oracles() -> dict[str, str]:
                        f"SELECT pair_id AS id, lcs, {rnd('precision')} AS precision, "
                        f"{rnd('recall')} AS recall, {rnd('f1')} AS f1 FROM rl", recursive=True),
         "component_means": sql(all_scores + lcs_ctes("rl", "eval_pairs"), (
-            f"SELECT coalesce({rnd(mean('s.cosine'), 4)}, 0.0) AS cosine, "
-            f"coalesce({rnd(mean('s.bertscore_f1'), 4)}, 0.0) AS bertscore_f1, "
-            f"coalesce({rnd(mean('s.judge_normalized'), 4)}, 0.0) AS judge_normalized, "
-            f"coalesce({rnd(mean(rnd('r.f1', 4)), 4)}, 0.0) AS rouge_l_f1 "
+            f"SELECT coalesce({mean('s.cosine', 4)}, 0.0) AS cosine, "
+            f"coalesce({mean('s.bertscore_f1', 4)}, 0.0) AS bertscore_f1, "
+            f"coalesce({mean('s.judge_normalized', 4)}, 0.0) AS judge_normalized, "
+            f"coalesce({mean(rnd('r.f1', 4), 4)}, 0.0) AS rouge_l_f1 "
             f"FROM scores s JOIN rl r ON r.pair_id = s.id"), recursive=True),
         "scores_wide": sql(all_scores + lcs_ctes("rl", "eval_pairs"), (
             "SELECT s.cosine, s.bertscore_precision, s.bertscore_recall, s.bertscore_f1, "

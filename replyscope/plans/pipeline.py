@@ -55,7 +55,7 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
     retrieval, cosine and token alignment. Ticket ids are unique
     (``check_unique``)."""
     holdout = materialize(holdout_split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed,
-                                        rank_first=cfg.holdout_rank_first))
+                                        rank_first=cfg.holdout_rank_first, limit=cfg.limit))
     # The KB is not copied: it is the source minus a holdout of at most
     # holdout_n rows (a broadcast anti-join, no shuffle), so each of its few
     # uses is one scan of the source, cheaper than writing a full copy.

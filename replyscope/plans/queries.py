@@ -71,6 +71,17 @@ def q_holdout_split(spark, sf):
         .select("id", "category", F.col("holdout_rank").cast("bigint").alias("holdout_rank"))
 
 
+LIMIT = 7
+
+
+def q_holdout_limit(spark, sf):
+    """D3: a run's limit shortens the holdout."""
+    cfg = RunConfig(limit=LIMIT)
+    return holdout_split(given(spark, sf), cfg.per_category, cfg.holdout_n, cfg.seed,
+                         limit=cfg.limit).select(
+        "id", "category", F.col("holdout_rank").cast("bigint").alias("holdout_rank"))
+
+
 def q_kb_anti(spark, sf):
     t = given(spark, sf)
     h = holdout_split(t, CFG.per_category, CFG.holdout_n, CFG.seed)
@@ -180,6 +191,33 @@ def q_topk_dense(spark, sf):
                       _r(F.col("score")).alias("score"))
 
 
+def q_topk_indexed(spark, sf):
+    """A stored index of the pairs: the tickets of category c0 arrive later and
+    those of c1 are deleted, as a delta; every pair against what is left."""
+    from .generate import build_index, index_topk, update_index
+    p = given(spark, sf)
+    vocab = fit_vocabulary(corpus(p), "text", CFG.max_features)
+    index = build_index(_file(spark), p.where("category <> 'c0'"), CFG, vocab)
+    index = update_index(index, p.where("category = 'c0'"),
+                         p.where("category = 'c1'").select("id"), CFG)
+    top = index_topk(_pair_queries(spark, sf), index, CFG)
+    return top.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id",
+                      _r(F.col("score")).alias("score"))
+
+
+def q_cases_without_ids(spark, sf):
+    """The cases of queries that have no id, each text for itself."""
+    from .generate import generate
+    p = given(spark, sf)
+    vocab = materialize(fit_vocabulary(corpus(p), "text", CFG.max_features))
+    q = read_table(spark, sf, "benchmark").select(F.lit(None).cast("bigint").alias("query_id"),
+                                                  F.col("text").alias("query_email"))
+    out, _ = generate(q, p, CFG, vocab=vocab)
+    return out.select("query_email", F.inline("retrieved")).select(
+        "query_email", F.col("rank").cast("bigint").alias("rank"), "id",
+        _r(F.col("score")).alias("score"))
+
+
 # ---------------------------------------------------------------- ticket run
 def ticket_run(spark, sf):
     return run(given(spark, sf), CFG)
@@ -476,6 +514,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_self_excluded": q_topk_self_excluded,
     "topk_zero_pad": q_topk_zero_pad,
     "topk_dense": q_topk_dense,
+    "topk_indexed": q_topk_indexed,
+    "cases_without_ids": q_cases_without_ids,
+    "holdout_limit": q_holdout_limit,
     "retrieved_cases": q_retrieved_cases,
     "fewshot_prompt": q_fewshot_prompt,
     "grounded_reply": q_grounded_reply,
