@@ -14,9 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
 from ..session import Scratch
 from .pruned import CLUSTER_ROWS, DENSE, KB_BLOCK, QUERY_BLOCK, Search, build, search
 from .retrieve import numbered
+from .runner import ModelRunner, run_model
 from .tfidf import l2_normalize
 
 
@@ -59,20 +61,33 @@ def dense_cosine(a: str | Column, b: str | Column) -> Column:
 Encoder = Callable[[list[str]], np.ndarray]
 
 
-def encode_texts(df: DataFrame, key_col: str, text_col: str, encoder: Encoder,
+def encode_texts(df: DataFrame, key_col: str, text_col: str, encoder: Encoder | ModelRunner,
                  blank_as_space: bool = True) -> DataFrame:
-    """V6: run a user-supplied ``encoder(list[str]) -> (n, d) array`` over
-    Arrow batches (``mapInPandas``) and L2-normalise the result.
-    Output ``key, vec ARRAY<DOUBLE>``."""
+    """V6: encode texts and L2-normalise the vectors. Output
+    ``key, vec ARRAY<DOUBLE>``.
+
+    ``encoder(list[str]) -> (n, d) array`` is called on Arrow batches; a
+    ``ModelRunner`` brings set-up, batches, retries and a journal. A text that
+    a runner fails to encode stops the job: a missing vector would silently
+    change every ranking."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    if blank_as_space:
+        text = F.when(strip(text) == "", F.lit(" ")).otherwise(text)
+    rows = df.select(F.col(key_col).alias("key"), text.alias("text"))
+    if isinstance(encoder, ModelRunner):
+        raw = run_model(rows, "key", "text", encoder, "array<double>").select(
+            F.col("key").alias(key_col),
+            F.when(F.col("error").isNull(), F.col("value"))
+            .otherwise(F.raise_error(F.concat(F.lit("text not encoded: "), F.col("error")))
+                       .cast("array<double>")).alias("vec"))
+        return raw.select(key_col, l2_normalize("vec").alias("vec"))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = pdf["text"].fillna("").astype(str).tolist()
-            if blank_as_space:
-                texts = [t if t.strip() else " " for t in texts]
+            texts = pdf["text"].tolist()
             mat = np.asarray(encoder(texts), dtype=np.float64) if texts else np.zeros((0, 0))
             yield pd.DataFrame({key_col: pdf["key"].to_numpy(),
                                 "vec": list(mat) if len(texts) else []})
     key_type = df.schema[key_col].dataType.simpleString()
-    raw = df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")).mapInPandas(
-        run, schema=f"{key_col} {key_type}, vec array<double>")
+    raw = rows.mapInPandas(run, schema=f"{key_col} {key_type}, vec array<double>")
     return raw.select(key_col, l2_normalize("vec").alias("vec"))
