@@ -1,7 +1,9 @@
-"""Pair metrics M1-M5 over an evaluation table keyed by ``pair_id``.
+"""Pair metrics M1-M5 over an evaluation table.
 
-Every metric is a DataFrame -> DataFrame job returning one row per pair;
-the sparse ones are joins on ``(pair_id, term)`` and per-pair aggregates."""
+With a vocabulary of a small bound every metric is computed in the pair's row
+(``with_cosine``, ``with_alignment``, ``lcs``), so scoring shuffles nothing. The
+functions that take ``pair_id`` give one row per pair; without a small bound the
+sparse ones are joins on ``(pair_id, term)`` and per-pair aggregates."""
 from __future__ import annotations
 
 import numpy as np
@@ -10,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_MAX_FEATURES
-from ..functions.text import strip, word_tokens
+from ..functions.text import bigrams, strip, unigrams, with_tfidf_terms, word_tokens
 from .dense import clamp01
 from .lcs import lcs_udf
+from .packed import alignment, cosine, packed
 from .tfidf import tfidf_vectors, with_term_counts
 
 GEN, REF = "g", "r"
@@ -26,11 +29,61 @@ def _texts(pairs: DataFrame, gen_col: str, ref_col: str) -> DataFrame:
                                    F.col(ref_col).alias("text"))))
 
 
+def counted_sides(pairs: DataFrame, gen_col: str, ref_col: str, stop_words=None) -> DataFrame:
+    """Add ``gc`` and ``rc``, both texts' terms with their counts."""
+    for column, out in ((gen_col, "gc"), (ref_col, "rc")):
+        pairs = with_tfidf_terms(pairs, column, "__terms", stop_words)
+        pairs = with_term_counts(pairs, "__terms", out).drop("__terms")
+    return pairs
+
+
+def with_cosine(pairs: DataFrame, shared, gen_col: str = "generated",
+                ref_col: str = "reference", stop_words=None) -> DataFrame:
+    """M1 in the row: add ``cosine``. ``shared`` is a packed vocabulary."""
+    counted = counted_sides(pairs, gen_col, ref_col, stop_words)
+    return counted.withColumn("cosine", cosine("gc", "rc", shared)).drop("gc", "rc")
+
+
+def with_words(pairs: DataFrame, column: str, words: str, terms: str, stop_words=None) -> DataFrame:
+    """Add a text's metric words with their counts, one blank word for none, and
+    the terms of each word as a document of its own."""
+    toks = word_tokens(column)
+    pairs = pairs.withColumn("__toks", F.when(F.size(toks) == 0, F.array(F.lit(BLANK_TOKEN)))
+                             .otherwise(toks))
+    pairs = with_term_counts(pairs, "__toks", words).drop("__toks")
+
+    def terms_of(word: Column) -> Column:
+        uni = unigrams(word["term"], stop_words)
+        return F.when(F.size(uni) > 1, F.concat(uni, bigrams(uni))).otherwise(uni)
+
+    return pairs.withColumn(terms, F.transform(words, terms_of))
+
+
+def f1_of(p: Column, r: Column) -> Column:
+    return F.greatest(F.when(p + r == 0, F.lit(0.0)).otherwise(2 * p * r / (p + r)), F.lit(0.0))
+
+
+def with_alignment(pairs: DataFrame, shared, gen_col: str = "generated",
+                   ref_col: str = "reference", stop_words=None) -> DataFrame:
+    """M2 in the row: add ``precision``, ``recall`` and ``f1``."""
+    sides = with_words(pairs, gen_col, "gw", "gt", stop_words)
+    sides = with_words(sides, ref_col, "rw", "rt", stop_words)
+    out = sides.withColumn("__of", alignment("gw", "gt", "rw", "rt", shared)) \
+        .drop("gw", "gt", "rw", "rt")
+    return (out.withColumn("precision", F.col("__of.precision"))
+            .withColumn("recall", F.col("__of.recall"))
+            .withColumn("f1", f1_of(F.col("precision"), F.col("recall"))).drop("__of"))
+
+
 def sparse_cosine(pairs: DataFrame, vocab: DataFrame, gen_col: str = "generated",
                   ref_col: str = "reference", stop_words=None,
                   vocab_bound: int | None = DEFAULT_MAX_FEATURES) -> DataFrame:
     """M1: ``pair_id, cosine`` = TF-IDF cosine of the two texts, clamped to
     [0, 1]; 0 when either text has no known term."""
+    shared = packed(vocab, vocab_bound)
+    if shared is not None:
+        return with_cosine(pairs.select("pair_id", gen_col, ref_col), shared, gen_col, ref_col,
+                           stop_words).select("pair_id", "cosine")
     vecs = tfidf_vectors(_texts(pairs, gen_col, ref_col), vocab, ["pair_id", "side"],
                          "text", stop_words, vocab_bound)
     g = vecs.where(F.col("side") == GEN).select("pair_id", "term", F.col("w").alias("wg"))
@@ -60,9 +113,13 @@ def token_alignment(pairs: DataFrame, vocab: DataFrame, gen_col: str = "generate
     TF-IDF document; precision = mean over all candidate tokens of the best
     similarity to any reference token, recall symmetric, F1 harmonic.
 
-    Words are embedded once across all pairs (``distinct``); only word pairs
-    that share a term meet in the ``(pair_id, term)`` join, every other
-    similarity is 0."""
+    Only words that share a term are compared, every other similarity is 0.
+    Without a small bound for the vocabulary words are embedded once across all
+    pairs (``distinct``) and meet in a ``(pair_id, term)`` join."""
+    shared = packed(vocab, vocab_bound)
+    if shared is not None:
+        return with_alignment(pairs.select("pair_id", gen_col, ref_col), shared, gen_col, ref_col,
+                              stop_words).select("pair_id", "precision", "recall", "f1")
     words = _word_rows(pairs, gen_col, ref_col)
     vocab_words = words.select(F.col("word")).distinct()
     wvec = tfidf_vectors(vocab_words, vocab, ["word"], "word", stop_words, vocab_bound)
@@ -87,9 +144,8 @@ def token_alignment(pairs: DataFrame, vocab: DataFrame, gen_col: str = "generate
                      (F.sum(F.when(F.col("side") == REF, F.col("cnt") * F.coalesce("best", F.lit(0.0))))
                       / F.sum(F.when(F.col("side") == REF, F.col("cnt")))).alias("r")))
     p, r_ = F.greatest(F.col("p"), F.lit(0.0)), F.greatest(F.col("r"), F.lit(0.0))
-    f1 = F.when(p + r_ == 0, F.lit(0.0)).otherwise(2 * p * r_ / (p + r_))
     return per_side.select("pair_id", p.alias("precision"), r_.alias("recall"),
-                           F.greatest(f1, F.lit(0.0)).alias("f1"))
+                           f1_of(p, r_).alias("f1"))
 
 
 def token_rows(pairs: DataFrame, gen_col: str = "generated",
@@ -132,18 +188,24 @@ def token_alignment_vectors(tokens: DataFrame) -> DataFrame:
         F.greatest(f1, zero).alias("f1"))
 
 
+def with_rouge(pairs: DataFrame, gen_col: str = "generated", ref_col: str = "reference",
+               prefix: str = "") -> DataFrame:
+    """M4 in the row: add ``lcs, precision, recall, f1``, each name after
+    ``prefix``."""
+    c, r = f"{prefix}__c", f"{prefix}__r"
+    lcs, p, rec = (F.col(f"{prefix}{name}") for name in ("lcs", "precision", "recall"))
+    t = pairs.withColumn(c, word_tokens(gen_col)).withColumn(r, word_tokens(ref_col))
+    t = t.withColumn(f"{prefix}lcs", lcs_udf(c, r))
+    t = t.withColumn(f"{prefix}precision", F.when(F.size(c) > 0, lcs / F.size(c)).otherwise(0.0))
+    t = t.withColumn(f"{prefix}recall", F.when(F.size(r) > 0, lcs / F.size(r)).otherwise(0.0))
+    return t.withColumn(f"{prefix}f1", F.when(p + rec == 0, F.lit(0.0))
+                        .otherwise(2 * p * rec / (p + rec))).drop(c, r)
+
+
 def rouge_l(pairs: DataFrame, gen_col: str = "generated", ref_col: str = "reference") -> DataFrame:
     """M4: ``pair_id, lcs, precision, recall, f1`` on metric tokens."""
-    c, r = word_tokens(gen_col), word_tokens(ref_col)
-    t = pairs.select("pair_id", c.alias("c"), r.alias("r"))
-    t = t.withColumn("lcs", lcs_udf("c", "r"))
-    nc, nr = F.size("c"), F.size("r")
-    p = F.when(nc > 0, F.col("lcs") / nc).otherwise(F.lit(0.0))
-    rec = F.when(nr > 0, F.col("lcs") / nr).otherwise(F.lit(0.0))
-    t = t.select("pair_id", "lcs", p.alias("precision"), rec.alias("recall"))
-    f = F.when(F.col("precision") + F.col("recall") == 0, F.lit(0.0)).otherwise(
-        2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
-    return t.select("pair_id", "lcs", "precision", "recall", f.alias("f1"))
+    return with_rouge(pairs.select("pair_id", gen_col, ref_col), gen_col, ref_col) \
+        .select("pair_id", "lcs", "precision", "recall", "f1")
 
 
 def coverage(ref: str | Column, cand: str | Column) -> Column:

@@ -12,18 +12,12 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from .pruned import CLUSTER_ROWS, KB_BLOCK, QUERY_BLOCK, SPARSE, Search, build, search
+from .tfidf import gathered
 
 
-def whole_vectors(vecs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """One row per row of ``keys`` with its vector; a text without known terms
-    has an empty one. Terms become 64-bit hashes: among the 4,096 terms of a
-    vocabulary two collide with a chance below 1e-12, among a million terms
-    below 1e-7."""
-    gathered = vecs.groupBy(F.col(key).alias("of")).agg(F.collect_list(F.struct(
-        F.xxhash64("term").alias("term"), F.col("w").cast("double").alias("w"))).alias("vec"))
-    empty = F.array().cast(SPARSE)
-    return (keys.join(gathered, F.col(key).eqNullSafe(F.col("of")), "left")
-            .select(*keys.columns, F.coalesce(F.col("vec").cast(SPARSE), empty).alias("vec")))
+def as_whole(vecs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """One row per key with its vector: ``vecs`` itself if it has whole ones."""
+    return vecs if "vec" in vecs.columns else gathered(vecs, keys, [key])
 
 
 def numbered(queries: DataFrame) -> DataFrame:
@@ -40,10 +34,11 @@ def search_sparse(query_vecs: DataFrame, kb_vecs: DataFrame, queries: DataFrame,
                   query_block: int = QUERY_BLOCK, kb_block: int = KB_BLOCK,
                   cluster_rows: int = CLUSTER_ROWS) -> Search:
     """``topk_sparse`` with its tables of query copies."""
-    whole = Scratch.of(kb.sparkSession).table(whole_vectors(kb_vecs, kb.select("id"), "id"))
+    whole = Scratch.of(kb.sparkSession).table(as_whole(kb_vecs, kb.select("id"), "id")
+                                              .select("id", "vec"))
     blocks, clusters = build(whole, SPARSE, kb_block, cluster_rows)
     columns = [c for c in ("query_id", "self_id") if c in queries.columns]
-    q = numbered(whole_vectors(query_vecs, queries.select(*columns), "query_id"))
+    q = numbered(as_whole(query_vecs, queries.select(*columns), "query_id"))
     return search(q, [blocks], whole, clusters, k, exclude_self, query_block)
 
 
@@ -52,7 +47,9 @@ def topk_sparse(query_vecs: DataFrame, kb_vecs: DataFrame, queries: DataFrame,
                 query_block: int = QUERY_BLOCK, kb_block: int = KB_BLOCK,
                 cluster_rows: int = CLUSTER_ROWS) -> DataFrame:
     """R2-R4. Inputs: ``query_vecs(query_id, term, w)``,
-    ``kb_vecs(id, term, w)``, ``queries(query_id)``, ``kb(id)``.
+    ``kb_vecs(id, term, w)``, ``queries(query_id)``, ``kb(id)``; or vectors
+    whole, ``query_vecs(query_id, vec)`` with ``self_id`` if the queries have it,
+    and ``kb_vecs(id, vec)``, every row of either side among them.
     Output ``query_id, rank, id, score``: for every query the ``min(k, N')``
     best KB rows by (score desc, id asc), where N' excludes the query's own
     id when ``exclude_self``. KB rows without a common term score 0 and fill

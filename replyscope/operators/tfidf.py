@@ -1,16 +1,19 @@
 """V3-V5: TF-IDF vocabulary fit and sparse unit-length vectors.
 
-Vectors are kept in long form ``(key..., term, w)``: a document holds at most
-``max_features`` rows, and retrieval / cosine become equi-joins on ``term``.
-"""
+A text's vector is one row, ``vec`` (``whole_vectors``), or one row per term,
+``(key..., term, w)`` (``tfidf_vectors``). With a vocabulary of a small bound
+both are made where the text is (``packed``), without a shuffle."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_MAX_FEATURES
 from ..functions.text import with_tfidf_terms
 from ..session import small, spread
+from .packed import packed, vector
 
 
 def with_term_counts(df: DataFrame, terms_col: str, out_col: str) -> DataFrame:
@@ -85,10 +88,55 @@ def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,
     generator the optimizer infers ``size(array) > 0`` and pushes it below
     the projections with the whole tokenising expression inlined, which
     evaluates it several times per row."""
+    return exploded(counted(docs, key_cols, text_col, stop_words), key_cols)
+
+
+def counted(docs: DataFrame, key_cols: list[str], text_col: str,
+            stop_words: tuple[str, ...] | None = None) -> DataFrame:
+    """``key..., tc``: each text with its distinct terms and their counts."""
     t = spread(docs.select(*key_cols, F.col(text_col).alias("__text")))
     t = with_tfidf_terms(t, "__text", "__terms", stop_words).drop("__text")
-    t = with_term_counts(t, "__terms", "__tc")
-    return t.select(*key_cols, F.inline_outer("__tc")).where(F.col("term").isNotNull())
+    return with_term_counts(t, "__terms", "tc").select(*key_cols, "tc")
+
+
+def exploded(counts: DataFrame, key_cols: list[str]) -> DataFrame:
+    """``key..., term, cnt`` of ``counted`` texts."""
+    return counts.select(*key_cols, F.inline_outer("tc")).where(F.col("term").isNotNull())
+
+
+def vectors_from_counts(counts: DataFrame, vocab: DataFrame, key_cols: list[str],
+                        vocab_bound: int | None = DEFAULT_MAX_FEATURES) -> DataFrame:
+    """V4 + V5 of ``counted`` texts: ``key..., term, w``."""
+    shared = packed(vocab, vocab_bound)
+    if shared is None:
+        return vectors_from_rows(exploded(counts, key_cols), vocab, key_cols, vocab_bound)
+    held = counts.select(*key_cols, vector("tc", shared, names=True).alias("vec"))
+    return held.select(*key_cols, F.inline("vec"))
+
+
+def whole_vectors(counts: DataFrame, vocab: DataFrame, key_cols: list[str],
+                  vocab_bound: int | None = DEFAULT_MAX_FEATURES) -> DataFrame:
+    """V4 + V5 of ``counted`` texts: ``key..., vec`` with one row per text. Terms
+    are numbers of the vocabulary; without a small bound for it they are 64-bit
+    hashes (among a million terms two collide with a chance below 1e-7), and
+    rows of one key count as one text."""
+    shared = packed(vocab, vocab_bound)
+    if shared is not None:
+        return counts.select(*key_cols, vector("tc", shared).alias("vec"))
+    return gathered(vectors_from_rows(exploded(counts, key_cols), vocab, key_cols, vocab_bound),
+                    counts.select(*key_cols), key_cols)
+
+
+def gathered(vecs: DataFrame, keys: DataFrame, key_cols: list[str]) -> DataFrame:
+    """The rows of ``keys`` with their long-form vectors as one array each; a
+    text without known terms has an empty one."""
+    whole = vecs.groupBy(*[F.col(c).alias(f"__{c}") for c in key_cols]).agg(
+        F.collect_list(F.struct(F.xxhash64("term").alias("term"),
+                                F.col("w").cast("double").alias("w"))).alias("vec"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key_cols])
+    kind = "array<struct<term:bigint,w:double>>"
+    return keys.join(whole, same, "left").select(
+        *keys.columns, F.coalesce(F.col("vec").cast(kind), F.array().cast(kind)).alias("vec"))
 
 
 def vectors_from_rows(rows: DataFrame, vocab: DataFrame, key_cols: list[str],
@@ -112,9 +160,9 @@ def tfidf_vectors(docs: DataFrame, vocab: DataFrame, key_cols: list[str],
                   text_col: str, stop_words: tuple[str, ...] | None = None,
                   vocab_bound: int | None = DEFAULT_MAX_FEATURES) -> DataFrame:
     """V4 + V5 for raw texts: tokenise and count in the row, then
-    ``vectors_from_rows``."""
-    return vectors_from_rows(term_rows(docs, key_cols, text_col, stop_words), vocab,
-                             key_cols, vocab_bound)
+    ``vectors_from_counts``."""
+    return vectors_from_counts(counted(docs, key_cols, text_col, stop_words), vocab, key_cols,
+                               vocab_bound)
 
 
 def l2_normalize(vec: str | Column) -> Column:

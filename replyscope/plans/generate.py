@@ -12,9 +12,9 @@ from ..operators.dense import Encoder, encode_texts, topk_dense
 from ..operators.index import KbIndex
 from ..operators.llm import Completer, complete_table
 from ..operators.pruned import DENSE, SPARSE
-from ..operators.retrieve import attach_cases, numbered, topk_sparse, whole_vectors
+from ..operators.retrieve import attach_cases, numbered, topk_sparse
 from ..operators.split import corpus
-from ..operators.tfidf import fit_vocabulary, tfidf_vectors
+from ..operators.tfidf import counted, fit_vocabulary, whole_vectors
 from ..session import materialize
 
 GROUNDED_BACKEND = "grounded"
@@ -34,9 +34,14 @@ def ticket_vectors(tickets: DataFrame, cfg: RunConfig, vocab: DataFrame | None,
     TF-IDF ones."""
     if encoder is not None:
         return encode_texts(tickets, "id", "customer_email", encoder)
-    vecs = tfidf_vectors(tickets, vocab, ["id"], "customer_email", cfg.stop_words,
+    return email_vectors(tickets, vocab, ["id"], "customer_email", cfg)
+
+
+def email_vectors(df: DataFrame, vocab: DataFrame, keys: list[str], text_col: str,
+                  cfg: RunConfig) -> DataFrame:
+    """``keys..., vec``: sparse TF-IDF vectors, one row per text."""
+    return whole_vectors(counted(df, keys, text_col, cfg.stop_words), vocab, keys,
                          cfg.max_features)
-    return whole_vectors(vecs, tickets.select("id"), "id")
 
 
 def build_index(path: str, kb: DataFrame, cfg: RunConfig = RunConfig(),
@@ -66,13 +71,12 @@ def index_topk(queries: DataFrame, index: KbIndex, cfg: RunConfig = RunConfig(),
                encoder: Encoder | None = None) -> DataFrame:
     """R2-R4 against a stored index: ``query_id, rank, id, score``. ``queries``
     as for ``topk_sparse``, with ``query_email``."""
-    keys = queries.select(*[c for c in ("query_id", "self_id") if c in queries.columns])
+    keys = [c for c in ("query_id", "self_id") if c in queries.columns]
     if index.parts["kind"] == DENSE:
         vecs = encode_texts(queries, "query_id", "query_email", encoder)
-        whole = keys.join(vecs, "query_id")
+        whole = queries.select(*keys).join(vecs, "query_id")
     else:
-        whole = whole_vectors(tfidf_vectors(queries, index.vocabulary(), ["query_id"], "query_email",
-                                            cfg.stop_words, cfg.max_features), keys, "query_id")
+        whole = email_vectors(queries, index.vocabulary(), keys, "query_email", cfg)
     return index.search(numbered(whole), cfg.top_k, cfg.exclude_self).top \
         .select("query_id", "rank", "id", "score")
 
@@ -103,10 +107,9 @@ def retrieve(queries: DataFrame, kb: DataFrame, cfg: RunConfig = RunConfig(),
     if vocab is None:
         vocab = fit_vocabulary(corpus(kb), "text", cfg.max_features, cfg.stop_words, cfg.max_df)
     if kb_vecs is None:
-        kb_vecs = tfidf_vectors(kb, vocab, ["id"], "customer_email", cfg.stop_words,
-                                cfg.max_features)
-    q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email", cfg.stop_words,
-                           cfg.max_features)
+        kb_vecs = email_vectors(kb, vocab, ["id"], "customer_email", cfg)
+    q_vecs = email_vectors(queries.withColumn("self_id", F.col(own)), vocab,
+                           ["query_id", "self_id"], "query_email", cfg)
     top = topk_sparse(q_vecs, kb_vecs, keys, kb.select("id"), cfg.top_k, cfg.exclude_self)
     return attach_cases(top, kb), vocab
 

@@ -10,7 +10,7 @@ from ..config import RunConfig
 from ..operators.dense import Encoder
 from ..operators.llm import Completer
 from ..operators.split import corpus, holdout_split, knowledge_base
-from ..operators.tfidf import term_rows, vectors_from_rows, vocabulary_from_rows
+from ..operators.tfidf import counted, exploded, vocabulary_from_rows, whole_vectors
 from ..operators.summary import component_means, run_meta, summary_table
 from ..session import materialize
 from .evaluate import evaluate
@@ -44,7 +44,7 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
         judge_backend: str | None = None, encoder: Encoder | None = None,
         embedder: str = "custom") -> RunResult:
     """Run the pipeline. Tables that later stages read several times (the
-    holdout, the KB's term rows, the fitted vocabulary, the generations and
+    holdout, the KB's counted terms, the fitted vocabulary, the generations and
     the scores) are written to the shared checkpoint folder as they are
     produced: each reuse is a scan instead of a recomputation, the plans stay
     small, and a lost executor never sends the run back to its sources. They
@@ -62,15 +62,15 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
     kb = knowledge_base(tickets, holdout, holdout_bound=cfg.holdout_n)
     vocab = kb_vecs = None
     if encoder is None:
-        # Tokenise the KB corpus once: its term rows feed both the vocabulary
+        # Tokenise the KB corpus once: its counted terms feed both the vocabulary
         # fit and the KB email vectors.
         docs = corpus(kb)
-        rows = materialize(term_rows(docs, ["doc_id", "side"], "text", cfg.stop_words))
-        vocab = materialize(vocabulary_from_rows(rows, docs.select(F.count(F.lit(1))).scalar(),
+        counts = materialize(counted(docs, ["doc_id", "side"], "text", cfg.stop_words))
+        vocab = materialize(vocabulary_from_rows(exploded(counts, ["doc_id"]), docs.select(F.count(F.lit(1))).scalar(),
                                                  cfg.max_features, cfg.max_df))
-        kb_vecs = vectors_from_rows(rows.where(F.col("side") == "email")
-                                    .select(F.col("doc_id").alias("id"), "term", "cnt"),
-                                    vocab, ["id"], cfg.max_features)
+        kb_vecs = whole_vectors(counts.where(F.col("side") == "email")
+                                .select(F.col("doc_id").alias("id"), "tc"), vocab, ["id"],
+                                cfg.max_features)
     queries = holdout.select(F.col("id").alias("query_id"),
                              F.col("customer_email").alias("query_email"))
     generations, _ = generate(queries, kb, cfg, complete, backend, vocab, kb_vecs, encoder)

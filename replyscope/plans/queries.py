@@ -24,8 +24,8 @@ from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.summary import (component_means, describe_by_category, describe_overall,
                                  distinct_categories, retrieval_hit_rate, run_meta,
                                  summary_table)
-from ..operators.tfidf import (fit_vocabulary, l2_normalize, term_rows, tfidf_vectors,
-                               vectors_from_rows, vocabulary_from_rows)
+from ..operators.tfidf import (counted, exploded, fit_vocabulary, l2_normalize,
+                               vectors_from_counts, vocabulary_from_rows, whole_vectors)
 from ..sources.reports import (generated_rows, per_email, read_tickets_csv, scores_wide,
                                summary_lines, write_report, write_tickets_csv)
 from ..sources.tables import eval_pairs, pairs, read_table
@@ -136,12 +136,12 @@ def q_tfidf_vocab_documents(spark, sf):
 
 def q_tfidf_vectors(spark, sf):
     """Fit + transform over all documents, tokenising each text once: the
-    term rows are materialised and feed both the vocabulary and the vectors."""
+    counted terms are a table that feeds both the vocabulary and the vectors."""
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    rows = materialize(term_rows(docs, ["doc_id"], "text"))
-    vocab = materialize(vocabulary_from_rows(rows, docs.select(F.count(F.lit(1))).scalar(),
+    counts = materialize(counted(docs, ["doc_id"], "text"))
+    vocab = materialize(vocabulary_from_rows(exploded(counts, ["doc_id"]), docs.select(F.count(F.lit(1))).scalar(),
                                              CFG.max_features))
-    v = vectors_from_rows(rows, vocab, ["doc_id"])
+    v = vectors_from_counts(counts, vocab, ["doc_id"])
     return v.select("doc_id", "term", _r(F.col("w")).alias("w"))
 
 
@@ -155,8 +155,8 @@ def q_l2_normalize_dense(spark, sf):
 def _pair_retrieval(spark, sf, queries: DataFrame, exclude_self: bool) -> DataFrame:
     p = pairs(spark, sf)
     vocab = materialize(fit_vocabulary(corpus(p), "text", CFG.max_features))
-    kb_vecs = tfidf_vectors(p, vocab, ["id"], "customer_email")
-    q_vecs = tfidf_vectors(queries, vocab, ["query_id"], "query_email")
+    kb_vecs = whole_vectors(counted(p, ["id"], "customer_email"), vocab, ["id"])
+    q_vecs = whole_vectors(counted(queries, ["query_id"], "query_email"), vocab, ["query_id"])
     top = topk_sparse(q_vecs, kb_vecs, queries.select("query_id"), p.select("id"), K,
                       exclude_self)
     return top.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id",

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from replyscope.operators.index import KbIndex
 from replyscope.operators.pruned import DENSE, SPARSE, _cells, _copies
-from replyscope.operators.retrieve import numbered, whole_vectors
+from replyscope.operators.retrieve import numbered
+from replyscope.operators.tfidf import gathered
 from test_pruned import dense_brute, dense_frames, found, grouped, same, sparse_brute, \
     sparse_frames, topical
 
@@ -21,12 +22,12 @@ def path():
 
 def sparse_kb(spark, kb):
     vecs, ids = sparse_frames(spark, {0: (None, {"x": 1.0})}, kb)[1::2]
-    return whole_vectors(vecs, ids, "id")
+    return gathered(vecs, ids, ["id"])
 
 
 def sparse_queries(spark, queries):
     qv, _, q, _ = sparse_frames(spark, queries, {0: {"x": 1.0}})
-    return numbered(whole_vectors(qv, q, "query_id"))
+    return numbered(gathered(qv, q, ["query_id"]))
 
 
 def test_deltas_equal_a_rebuild(spark, path):
