@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_MAX_FEATURES
 from ..functions.text import with_tfidf_terms
 from ..session import small, spread
+from .frequent import frequent_terms
 from .packed import packed, vector
 
 
@@ -75,9 +76,21 @@ def fit_vocabulary(docs: DataFrame, text_col: str = "text",
     """V3: ``term, tf, df, idf`` for the ``max_features`` most frequent terms
     of the corpus, ``idf = ln((1 + N) / (1 + df)) + 1``. Terms are counted
     inside each text first (no shuffle); see ``vocabulary_from_rows``."""
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    return vocabulary_from_rows(term_rows(docs, [], text_col, stop_words), n_docs,
-                                max_features, max_df)
+    return vocabulary_from_counts(counted(docs, [], text_col, stop_words), max_features, max_df)
+
+
+def vocabulary_from_counts(counts: DataFrame, max_features: int | None = DEFAULT_MAX_FEATURES,
+                           max_df: float | None = None) -> DataFrame:
+    """V3 from ``counted`` texts. With ``max_features`` the terms are found by
+    bounded summaries (``frequent``); without it all of them are counted."""
+    if max_features is None:
+        return vocabulary_from_rows(exploded(counts, []), counts.select(F.count(F.lit(1))).scalar(),
+                                    None, max_df)
+    n = counts.count()
+    stats, _ = frequent_terms(counts, max_features, None if max_df is None else max_df * n)
+    stats = stats.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
+    idf = F.log((F.lit(1.0) + F.lit(float(n))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    return stats.select("term", "tf", "df", idf.alias("idf"))
 
 
 def term_rows(docs: DataFrame, key_cols: list[str], text_col: str,

@@ -19,7 +19,7 @@ from ..operators.metrics import (coverage, sparse_cosine, token_alignment,
 from ..operators.packed import packed
 from ..operators.split import corpus
 from ..operators.tfidf import fit_vocabulary
-from ..session import materialize
+from ..session import materialize, spread
 
 BERT_BACKEND = "fallback-wordsim"
 VECTOR_BACKEND = "token-vectors"
@@ -103,10 +103,11 @@ def evaluate(pairs: DataFrame, vocab: DataFrame | None = None, cfg: RunConfig =
     judge_rationale, judge_dimensions`` plus one column per rubric dim. With
     an ``encoder`` (V6) cosine and token alignment use its vectors instead of
     TF-IDF. Pairs without an id, or with another's, are pairs of their own."""
-    # Numbered once, as a table, so that the numbers stay.
-    p = materialize(pairs.select(F.monotonically_increasing_id().alias("pair_id"), "id", "category", "customer_email",
+    # Numbered once, as a table, so that the numbers stay; a table of few small
+    # files is dealt over the cores again.
+    p = spread(materialize(pairs.select(F.monotonically_increasing_id().alias("pair_id"), "id", "category", "customer_email",
                                  F.coalesce("generated", F.lit("")).alias("generated"),
-                                 F.coalesce("reference", F.lit("")).alias("reference")))
+                                 F.coalesce("reference", F.lit("")).alias("reference"))))
     names = {"precision": "bert_precision", "recall": "bert_recall", "f1": "bert_f1"}
     if encoder is not None:
         bert = encoded_alignment(p, encoder).withColumnsRenamed(names)

@@ -10,7 +10,7 @@ from ..config import RunConfig
 from ..operators.dense import Encoder
 from ..operators.llm import Completer
 from ..operators.split import corpus, holdout_split, knowledge_base
-from ..operators.tfidf import counted, exploded, vocabulary_from_rows, whole_vectors
+from ..operators.tfidf import counted, vocabulary_from_counts, whole_vectors
 from ..operators.summary import component_means, run_meta, summary_table
 from ..session import materialize
 from .evaluate import evaluate
@@ -66,8 +66,7 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
         # fit and the KB email vectors.
         docs = corpus(kb)
         counts = materialize(counted(docs, ["doc_id", "side"], "text", cfg.stop_words))
-        vocab = materialize(vocabulary_from_rows(exploded(counts, ["doc_id"]), docs.select(F.count(F.lit(1))).scalar(),
-                                                 cfg.max_features, cfg.max_df))
+        vocab = materialize(vocabulary_from_counts(counts, cfg.max_features, cfg.max_df))
         kb_vecs = whole_vectors(counts.where(F.col("side") == "email")
                                 .select(F.col("doc_id").alias("id"), "tc"), vocab, ["id"],
                                 cfg.max_features)

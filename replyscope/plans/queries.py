@@ -24,15 +24,15 @@ from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.summary import (component_means, describe_by_category, describe_overall,
                                  distinct_categories, retrieval_hit_rate, run_meta,
                                  summary_table)
-from ..operators.tfidf import (counted, exploded, fit_vocabulary, l2_normalize,
-                               vectors_from_counts, vocabulary_from_rows, whole_vectors)
+from ..operators.tfidf import (counted, fit_vocabulary, l2_normalize, vectors_from_counts,
+                               vocabulary_from_counts, whole_vectors)
 from ..sources.reports import (generated_rows, per_email, read_tickets_csv, scores_wide,
                                summary_lines, write_report, write_tickets_csv)
 from ..sources.tables import eval_pairs, pairs, read_table
 from ..sources.tickets import tickets_from_table
 from .evaluate import heuristic_judge, pair_vocabulary
 from .pipeline import run
-from ..session import Scratch, materialize
+from ..session import Scratch, materialize, spread
 
 CFG = RunConfig()
 K = CFG.top_k
@@ -139,8 +139,7 @@ def q_tfidf_vectors(spark, sf):
     counted terms are a table that feeds both the vocabulary and the vectors."""
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     counts = materialize(counted(docs, ["doc_id"], "text"))
-    vocab = materialize(vocabulary_from_rows(exploded(counts, ["doc_id"]), docs.select(F.count(F.lit(1))).scalar(),
-                                             CFG.max_features))
+    vocab = materialize(vocabulary_from_counts(counts, CFG.max_features))
     v = vectors_from_counts(counts, vocab, ["doc_id"])
     return v.select("doc_id", "term", _r(F.col("w")).alias("w"))
 
@@ -312,9 +311,15 @@ def _eval(spark, sf) -> DataFrame:
                                         "customer_email", "generated", "reference")
 
 
+def _eval_table(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The evaluation pairs as a table, dealt over the cores, and the vocabulary
+    fitted on them."""
+    p = spread(materialize(_eval(spark, sf)))
+    return p, materialize(pair_vocabulary(p.withColumnRenamed("pair_id", "id"), CFG))
+
+
 def q_cosine_pairs(spark, sf):
-    p = _eval(spark, sf)
-    return sparse_cosine(p, materialize(pair_vocabulary(eval_pairs(spark, sf), CFG))) \
+    return sparse_cosine(*_eval_table(spark, sf)) \
         .select(F.col("pair_id").alias("id"), _r(F.col("cosine")).alias("cosine"))
 
 
@@ -327,8 +332,7 @@ def q_cosine_dense_pairs(spark, sf):
 
 
 def q_token_alignment_prf(spark, sf):
-    p = _eval(spark, sf)
-    t = token_alignment(p, materialize(pair_vocabulary(eval_pairs(spark, sf), CFG)))
+    t = token_alignment(*_eval_table(spark, sf))
     return t.select(F.col("pair_id").alias("id"), _r(F.col("precision")).alias("precision"),
                     _r(F.col("recall")).alias("recall"), _r(F.col("f1")).alias("f1"))
 
@@ -397,7 +401,7 @@ def q_token_alignment_vectors(spark, sf):
 
 
 def q_rouge_l(spark, sf):
-    r = rouge_l(_eval(spark, sf))
+    r = rouge_l(spread(materialize(_eval(spark, sf))))
     return r.select(F.col("pair_id").alias("id"), "lcs", _r(F.col("precision")).alias("precision"),
                     _r(F.col("recall")).alias("recall"), _r(F.col("f1")).alias("f1"))
 
@@ -409,9 +413,8 @@ def q_coverage(spark, sf):
 
 
 def q_heuristic_judge(spark, sf):
-    p = _eval(spark, sf)
-    cos = sparse_cosine(p, materialize(pair_vocabulary(eval_pairs(spark, sf), CFG)))
-    j = heuristic_judge(p, cos, CFG)
+    p, vocab = _eval_table(spark, sf)
+    j = heuristic_judge(p, sparse_cosine(p, vocab), CFG)
     return j.select(F.col("pair_id").alias("id"), *CFG.rubric, "judge_rationale")
 
 
