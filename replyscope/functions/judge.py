@@ -2,6 +2,9 @@
 prompt (M7), judge-reply parsing (M8) and the judge average (M10)."""
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -134,6 +137,25 @@ def judge_prompt(email: str | Column, candidate: str | Column, reference: str |
                     F.lit("\n\n"), F.lit(JUDGE_OUTRO % keys))
 
 
+def _read_reply(span: str, rubric: tuple[str, ...]) -> tuple[bool, list[int], str]:
+    """Scores and rationale of a span as Python's ``json``, ``float`` and ``str``
+    read them: the last of equal keys wins, numbers may be texts, booleans or
+    exponents, NaN counts as malformed; a score that can't be rounded, or broken
+    JSON, spoils the reply."""
+    try:
+        found = json.loads(span)
+        scores = []
+        for name in rubric:
+            try:
+                scores.append(max(1, min(5, round(float(found.get(name, NEUTRAL))))))
+            except (TypeError, ValueError):
+                scores.append(NEUTRAL)
+        text = str(found.get("rationale", ""))[:RATIONALE_MAX]
+    except Exception:  # noqa: BLE001 - whatever is wrong, the reply is no verdict
+        return False, [NEUTRAL] * len(rubric), ""
+    return True, scores, text.encode("utf-8", "replace").decode()
+
+
 def parse_judge_reply(reply: str | Column, rubric=DEFAULT_RUBRIC) -> dict[str, Column]:
     """M8: parse the first-``{``-to-last-``}`` span of a judge reply.
 
@@ -141,21 +163,20 @@ def parse_judge_reply(reply: str | Column, rubric=DEFAULT_RUBRIC) -> dict[str, C
     No braces -> every dimension 3 and an empty rationale. Braces whose text
     is not valid JSON -> ``ok`` is false and the caller falls back to the
     heuristic judge for that row, and so does an infinite score. A dimension
-    that is missing or not a
-    number scores 3; otherwise ``clamp(round_half_even(x), 1, 5)``."""
-    span = F.regexp_extract(F.coalesce(_c(reply), F.lit("")), r"(?s)\{.*\}", 0)
-    has_span = F.length(span) > 0
-    v = F.try_parse_json(F.when(has_span, span))
-    out: dict[str, Column] = {"ok": (~has_span) | v.isNotNull()}
-    for d in rubric:
-        x = F.try_variant_get(v, f"$.{d}", "double")
-        # An infinite score can't be rounded: the reply counts as malformed.
-        out["ok"] = out["ok"] & ~F.coalesce(F.abs(x) == F.lit(float("inf")), F.lit(False))
-        scored = F.least(F.greatest(F.rint(x), F.lit(1.0)), F.lit(5.0)).cast("int")
-        out[d] = F.when(x.isNull() | F.isnan(x), F.lit(NEUTRAL)).otherwise(scored)
-    rat = F.coalesce(F.try_variant_get(v, "$.rationale", "string"),
-                     F.when(F.try_variant_get(v, "$.rationale", "variant").isNotNull(),
-                            F.lit("None")),
-                     F.lit(""))
-    out["rationale"] = F.substring(rat, 1, RATIONALE_MAX)
-    return out
+    that is missing or not a number scores 3; otherwise
+    ``clamp(round_half_even(x), 1, 5)``. Spans are read in Arrow batches: the
+    built-in parser rejects equal keys and NaN, and reads other numbers and
+    texts than Python does."""
+    names = tuple(rubric)
+    kind = pa.struct([("ok", pa.bool_()), ("scores", pa.list_(pa.int32())),
+                      ("rationale", pa.string())])
+
+    @F.arrow_udf("ok boolean, scores array<int>, rationale string")
+    def read(spans: pa.Array) -> pa.Array:
+        rows = [(True, [NEUTRAL] * len(names), "") if not s else _read_reply(s, names)
+                for s in spans.to_pylist()]
+        return pa.array([dict(zip(("ok", "scores", "rationale"), r)) for r in rows], type=kind)
+
+    found = read(F.regexp_extract(F.coalesce(_c(reply), F.lit("")), r"(?s)\{.*\}", 0))
+    return {"ok": found["ok"], **{d: found["scores"][i] for i, d in enumerate(names)},
+            "rationale": found["rationale"]}

@@ -14,6 +14,7 @@ from ..functions.text import ENGLISH_STOP_WORDS, TERM_PATTERN, WORD_PATTERN
 from ..sources.reports import CATEGORY_WIDTH, RULE_WIDTH, SUMMARY_TITLE
 from ..sources.tickets import (CITIES, DAYS_RANGE, NAMES, ORDER_ID_RANGE, PRODUCTS,
                                template_rows)
+from .queries import ODD_EVERY, ODD_REPLIES
 
 SEED, K, MAX_FEATURES, PER_CATEGORY, HOLDOUT, LIMIT = 42, 3, 4096, 2, 20, 7
 W = Weights()
@@ -454,11 +455,18 @@ def judge_parse_sql() -> str:
                     f"CAST(least(greatest(round_even({x}, 0), 1.0), 5.0) AS INTEGER) END AS {d}")
     rationale = (f"substr(coalesce(CASE WHEN json_valid(span) THEN "
                  f"json_extract_string(span, '$.rationale') END, ''), 1, {RATIONALE_MAX})")
+    # What the odd replies give is known; a dimension they don't name scores 3.
+    values = ", ".join(f"({i}, {ok}, {score}, {lit(why)})"
+                       for i, (_, ok, score, why) in enumerate(ODD_REPLIES))
+    odd = ", ".join(f"o.score AS {d}" if d == "correctness" else f"{NEUTRAL} AS {d}" for d in RUBRIC)
     return sql([
-        f"r AS (SELECT doc_id, {reply} AS reply FROM labels)",
+        f"odd(i, ok, score, why) AS (VALUES {values})",
+        f"r AS (SELECT doc_id, {reply} AS reply FROM labels "
+        f"WHERE doc_id % {ODD_EVERY} NOT IN (SELECT i FROM odd))",
         "s AS (SELECT doc_id, regexp_extract(reply, '(?s)\\{.*\\}', 0) AS span FROM r)",
     ], f"SELECT doc_id, (length(span) = 0 OR json_valid(span)) AS ok, {', '.join(dims)}, "
-       f"{rationale} AS rationale FROM s")
+       f"{rationale} AS rationale FROM s UNION ALL SELECT doc_id, o.ok, {odd}, o.why AS rationale "
+       f"FROM labels JOIN odd o ON o.i = doc_id % {ODD_EVERY}")
 
 
 def judge_prompt_sql() -> str:

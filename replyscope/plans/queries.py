@@ -424,16 +424,41 @@ def q_judge_prompt(spark, sf):
                     judge_prompt("customer_email", "generated", "reference").alias("judge_prompt"))
 
 
+# Replies that are no flat object of plain numbers, with what they give: whether
+# they parse, the score of correctness, and the rationale.
+ODD_REPLIES = (
+    ('{"correctness": 4, "correctness": 2}', True, 2, ""),
+    ('{"correctness": NaN, "rationale": "nan"}', True, 3, "nan"),
+    ('{"correctness": "4_0", "rationale": true}', True, 5, "True"),
+    ('{"correctness": 1e0, "rationale": 2.50}', True, 1, "2.5"),
+    ('{"correctness": [5], "rationale": ["a", null, {"b": 1}]}', True, 3,
+     "['a', None, {'b': 1}]"),
+    ('{"correctness": Infinity}', False, 3, ""),
+    ('{"correctness": true, "rationale": null}', True, 1, "None"),
+    ('{"correctness": " 4 ", "rationale": "\\u00e9\\n"}', True, 4, "\u00e9\n"),
+    ("{'correctness': 4}", False, 3, ""),
+    ('{"a": 1} and {"correctness": 4}', False, 3, ""),
+    ('{"correctness": -7.5, "extra": {"correctness": 5}}', True, 1, ""),
+    ('{"correctness": "four"}', True, 3, ""),
+    ('{}', True, 3, ""),
+)
+ODD_EVERY = 17
+
+
 def judge_replies(spark, sf) -> DataFrame:
     """Judge replies derived from ``labels``: well-formed JSON for most rows,
-    no braces for every 7th doc, broken JSON for every 11th."""
+    no braces for every 7th doc, broken JSON for every 11th, and one of
+    ``ODD_REPLIES`` for the doc ids that leave its number modulo ``ODD_EVERY``."""
     lab = read_table(spark, sf, "labels")
     good = F.concat(F.lit('Verdict {"correctness": '), (F.col("quality") * 4 + 1).cast("string"),
                     F.lit(', "tone": "'), (F.lit(5) - F.col("toxic") * 3).cast("string"),
                     F.lit('", "empathy": null, "grammar": 2.5, "actionability": 7, '
                           '"rationale": "doc '), F.col("doc_id").cast("string"),
                     F.lit('"} end'))
-    reply = (F.when(F.col("doc_id") % 7 == 0, F.lit("no verdict given"))
+    reply = F.when(F.lit(False), "")
+    for i, (text, *_) in enumerate(ODD_REPLIES):
+        reply = reply.when(F.col("doc_id") % ODD_EVERY == i, F.lit(text))
+    reply = (reply.when(F.col("doc_id") % 7 == 0, F.lit("no verdict given"))
              .when(F.col("doc_id") % 11 == 0, F.lit('{"correctness": 4, "tone": }'))
              .otherwise(good))
     return lab.select("doc_id", reply.alias("reply"))
