@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_ROWS, Scratch, _located
+from ..session import BROADCAST_ROWS, Scratch, versions
 from .pruned import (CLUSTER_ROWS, KB_BLOCK, QUERY_BLOCK, Clusters, Search, assign, bounds,
                      into_blocks, measure, search, seed_rows, widened)
 
@@ -48,18 +48,6 @@ def _unpack(kind: str, raw: bytes) -> Clusters:
     return Clusters(kind, **{name: held[name] for name in held.files})
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete versions."""
-    files, folder = _located(spark.sparkContext, os.path.join(path, "versions"))
-    if not files.exists(folder):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(folder)]
-    done = [n for n in names
-            if files.exists(_located(spark.sparkContext,
-                                     os.path.join(path, "versions", n, "_SUCCESS"))[1])]
-    return sorted(int(n) for n in done)
-
-
 @dataclass
 class KbIndex:
     """One version of a stored index."""
@@ -97,7 +85,7 @@ class KbIndex:
     @classmethod
     def open(cls, spark: SparkSession, path: str, version: int | None = None) -> "KbIndex":
         """A version of the index, the last one unless given."""
-        known = _versions(spark, path)
+        known = versions(spark, os.path.join(path, "versions"))
         if not known or (version or known[-1]) not in known:
             raise FileNotFoundError(f"no such index version under {path}")
         version = version or known[-1]
@@ -231,8 +219,9 @@ class _Store:
         return self.plain(self.spark.createDataFrame([(_pack(clusters),)], "packed binary"))
 
     def commit(self, parts: dict, clusters: Clusters) -> KbIndex:
-        version = max(_versions(self.spark, self.path), default=0) + 1
+        folder = os.path.join(self.path, "versions")
+        version = max(versions(self.spark, folder), default=0) + 1
         names = [c.split()[0] for c in VERSION.split(", ")]
         (self.spark.createDataFrame([tuple(parts[n] for n in names)], VERSION).coalesce(1)
-         .write.mode("overwrite").parquet(os.path.join(self.path, "versions", str(version))))
+         .write.mode("overwrite").parquet(os.path.join(folder, str(version))))
         return KbIndex(self.spark, self.path, version, dict(parts), clusters)

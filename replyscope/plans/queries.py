@@ -26,8 +26,8 @@ from ..operators.summary import (component_means, describe_by_category, describe
                                  summary_table)
 from ..operators.tfidf import (counted, fit_vocabulary, l2_normalize, vectors_from_counts,
                                vocabulary_from_counts, whole_vectors)
-from ..sources.reports import (generated_rows, per_email, read_tickets_csv, scores_wide,
-                               summary_lines, write_report, write_tickets_csv)
+from ..sources.reports import (generated_rows, per_email, read_tickets_csv, report_path,
+                               scores_wide, summary_lines, write_report, write_tickets_csv)
 from ..sources.tables import eval_pairs, pairs, read_table
 from ..sources.tickets import tickets_from_table
 from .evaluate import heuristic_judge, pair_vocabulary
@@ -520,7 +520,7 @@ def q_report_files(spark, sf):
     """All report files written; the lines of the summary text read again."""
     path = _file(spark)
     write_report(ticket_run(spark, sf), path, CFG.rubric)
-    lines = spark.read.text(os.path.join(path, "summary_txt")).select(F.col("value").alias("line"))
+    lines = spark.read.text(report_path(spark, path, "summary_txt")).select(F.col("value").alias("line"))
     return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
 

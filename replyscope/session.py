@@ -169,10 +169,33 @@ def _located(sc: SparkContext, path: str):
     return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
 
 
+def delete_tree(spark: SparkSession, path: str) -> None:
+    _delete(spark.sparkContext, path)
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file, or a folder whose write has ended."""
+    files, target = _located(spark.sparkContext, path)
+    if not files.exists(target):
+        return False
+    return files.getFileStatus(target).isFile() or files.exists(
+        _located(spark.sparkContext, os.path.join(path, "_SUCCESS"))[1])
+
+
 def _delete(sc: SparkContext, path: str) -> None:
     files, target = _located(sc, path)
     files.delete(target, True)
 
 
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the folders under ``folder`` whose write has ended."""
+    files, target = _located(spark.sparkContext, folder)
+    if not files.exists(target):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(target)]
+    return sorted(int(n) for n in names if n.isdigit() and files.exists(
+        _located(spark.sparkContext, os.path.join(folder, n, "_SUCCESS"))[1]))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

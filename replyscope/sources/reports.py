@@ -5,11 +5,14 @@ whose size is O(categories), is coalesced into one file."""
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_RUBRIC
+from ..config import DEFAULT_RUBRIC, DEFAULT_SEED
+from ..session import complete, delete_tree, versions
+from .tickets import generate_tickets
 
 TICKET_SCHEMA = "id BIGINT, customer_email STRING, support_reply STRING, category STRING"
 
@@ -41,6 +44,16 @@ def write_tickets_csv(tickets: DataFrame, path: str, mode: str = "overwrite") ->
     write_csv(tickets.select("id", "customer_email", "support_reply", "category"), path, mode)
 
 
+def read_or_generate(spark: SparkSession, path: str, n: int, seed: int = DEFAULT_SEED,
+                     rebuild: bool = False) -> DataFrame:
+    """The tickets of a CSV at ``path``, or ``n`` generated ones (D1, ids from
+    0), written there first, where none is (or its write hasn't ended) or a
+    ``rebuild`` is wanted."""
+    if rebuild or not complete(spark, path):
+        write_tickets_csv(generate_tickets(spark.range(n), seed=seed), path)
+    return read_tickets_csv(spark, path)
+
+
 def generated_rows(generations: DataFrame, holdout: DataFrame) -> DataFrame:
     """S3 rows: ``id, category, customer_email, generated_reply,
     reference_reply, provider, retrieved_ids`` (ids joined by ``|`` in rank
@@ -133,22 +146,58 @@ def summary_lines(summary: DataFrame, components: DataFrame, meta: DataFrame) ->
             .unionByName(body).unionByName(last))
 
 
-def write_report(result, out_dir: str, rubric=DEFAULT_RUBRIC, mode: str = "overwrite") -> None:
+# Reports whose files are kept: the one that is shown and, for readers that have
+# begun, the one before it.
+KEPT_REPORTS = 2
+OUTPUTS = ("generated", "scores", "per_email", "summary", "component_means", "meta", "summary_txt")
+
+
+def write_report(result, out_dir: str, rubric=DEFAULT_RUBRIC, keep: int = KEPT_REPORTS) -> str:
     """Write ``generated`` and ``scores`` (CSV), ``per_email`` (JSON lines),
-    ``summary`` (JSON) and ``summary.txt`` under ``out_dir``. The scores of a
-    ``RunResult`` are a table already, so the five outputs that read them scan
-    it. The small outputs are gathered by a shuffle of their few rows."""
+    ``summary``, ``component_means``, ``meta`` (JSON) and ``summary_txt`` for one
+    run, all or nothing: the outputs go to a folder of the run, and only when
+    they are all there a numbered entry names it, which ``report_path`` reads.
+    A run that ends in between leaves the report before it as it was, and can be
+    started again. The scores of a ``RunResult`` are a table already, so the
+    outputs that read them scan it; the small ones are gathered by a shuffle of
+    their few rows. Gives the run's folder."""
+    spark = result.scores.sparkSession
+    folder = os.path.join(out_dir, "runs", uuid.uuid4().hex)
+    mode = "errorifexists"
     write_csv(generated_rows(result.generations, result.holdout),
-              os.path.join(out_dir, "generated"), mode)
-    write_csv(scores_wide(result.scores, rubric), os.path.join(out_dir, "scores"), mode)
-    per_email(result.scores, rubric).write.mode(mode).json(os.path.join(out_dir, "per_email"))
+              os.path.join(folder, "generated"), mode)
+    write_csv(scores_wide(result.scores, rubric), os.path.join(folder, "scores"), mode)
+    per_email(result.scores, rubric).write.mode(mode).json(os.path.join(folder, "per_email"))
 
     def json(df: DataFrame, name: str) -> None:
-        df.repartition(1).write.mode(mode).json(os.path.join(out_dir, name))
+        df.repartition(1).write.mode(mode).json(os.path.join(folder, name))
 
     json(result.summary, "summary")
     json(result.components, "component_means")
     json(result.meta, "meta")
     (summary_lines(result.summary, result.components, result.meta).repartition(1)
      .sortWithinPartitions("line_no").select("line")
-     .write.mode(mode).text(os.path.join(out_dir, "summary_txt")))
+     .write.mode(mode).text(os.path.join(folder, "summary_txt")))
+    entries = os.path.join(out_dir, "reports")
+    shown = versions(spark, entries)
+    spark.createDataFrame([(folder,)], "value string").coalesce(1).write.mode("overwrite").text(
+        os.path.join(entries, str(max(shown, default=0) + 1)))
+    for old in shown[:max(0, len(shown) + 1 - keep)]:
+        delete_tree(spark, _run_folder(spark, out_dir, old))
+        delete_tree(spark, os.path.join(entries, str(old)))
+    return folder
+
+
+def _run_folder(spark: SparkSession, out_dir: str, entry: int) -> str:
+    return spark.read.text(os.path.join(out_dir, "reports", str(entry))).first()[0]
+
+
+def report_path(spark: SparkSession, out_dir: str, output: str) -> str:
+    """The folder of an output (one of ``OUTPUTS``) of the last whole report
+    under ``out_dir``."""
+    if output not in OUTPUTS:
+        raise ValueError(f"no such output: {output!r}")
+    shown = versions(spark, os.path.join(out_dir, "reports"))
+    if not shown:
+        raise FileNotFoundError(f"no whole report under {out_dir}")
+    return os.path.join(_run_folder(spark, out_dir, shown[-1]), output)

@@ -1,5 +1,8 @@
 import os
 import tempfile
+from dataclasses import replace
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -7,7 +10,8 @@ from replyscope.config import RunConfig
 from replyscope.operators.llm import echo_completer
 from replyscope.plans.evaluate import evaluate
 from replyscope.plans.pipeline import run
-from replyscope.sources.reports import read_tickets_csv, write_report, write_tickets_csv
+from replyscope.sources.reports import (read_or_generate, read_tickets_csv, report_path,
+                                        write_report, write_tickets_csv)
 from replyscope.sources.tables import eval_pairs, read_table
 from replyscope.sources.tickets import generate_tickets, tickets_from_table
 
@@ -90,12 +94,45 @@ def test_report_round_trip(spark, sf):
     assert back.count() == t.count()
     assert sorted(back.collect()) == sorted(t.select("id", "customer_email", "support_reply", "category").collect())
     r = run(back)
-    write_report(r, os.path.join(out, "report"))
-    lines = spark.read.text(os.path.join(out, "report", "summary_txt")).collect()
+    report = os.path.join(out, "report")
+    write_report(r, report)
+    lines = spark.read.text(report_path(spark, report, "summary_txt")).collect()
     assert lines[0].value == "=" * 66 and any("Emails evaluated : 20" in x.value for x in lines)
-    gen = spark.read.option("header", True).csv(os.path.join(out, "report", "generated")).collect()
+    gen = spark.read.option("header", True).csv(report_path(spark, report, "generated")).collect()
     assert len(gen) == 20 and all(len(x.retrieved_ids.split("|")) == 3 for x in gen)
 
+    # A run that ends between two outputs leaves the report as it was.
+    shown = report_path(spark, report, "scores")
+    broken = replace(r, summary=r.summary.withColumn("mean", F.raise_error(F.lit("ended here"))))
+    with pytest.raises(Exception, match="ended here"):
+        write_report(broken, report)
+    assert report_path(spark, report, "scores") == shown
+    assert spark.read.option("header", True).csv(shown).count() == 20
+    # Started again it is shown, and of older reports one is kept.
+    again = [write_report(r, report) for _ in range(2)]
+    assert report_path(spark, report, "scores") == os.path.join(again[1], "scores")
+    assert len(os.listdir(os.path.join(report, "reports"))) == 2 and not os.path.exists(shown)
+    assert spark.read.text(report_path(spark, report, "summary_txt")).collect() == lines
+    with pytest.raises(FileNotFoundError):
+        report_path(spark, os.path.join(out, "none"), "scores")
+
+
+def test_tickets_are_read_or_generated(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="replyscope-tickets-", dir="/tmp"), "csv")
+    first = read_or_generate(spark, path, 30).collect()
+    assert sorted(first) == sorted(generate_tickets(spark.range(30)).select(
+        "id", "customer_email", "support_reply", "category").collect())
+    assert len(read_or_generate(spark, path, 50).collect()) == 30       # what is there is read
+    assert len(read_or_generate(spark, path, 50, rebuild=True).collect()) == 50
+    os.remove(os.path.join(path, "_SUCCESS"))                           # a write that never ended
+    assert len(read_or_generate(spark, path, 20).collect()) == 20
+
+
+def test_limit_shortens_the_holdout(spark, sf):
+    t = tickets_from_table(read_table(spark, sf, "documents"), "doc_id")
+    r = run(t, RunConfig(limit=4))
+    assert r.holdout.count() == r.scores.count() == 4
+
 
 def test_holdout_rank_first_spreads_categories(spark):
     from replyscope.operators.split import holdout_split
