@@ -612,6 +612,11 @@ def oracles() -> dict[str, str]:
         "rouge_l": sql([PAIRS, EVAL_PAIRS, *lcs_ctes("rl", "eval_pairs")],
                        f"SELECT pair_id AS id, lcs, {rnd('precision')} AS precision, "
                        f"{rnd('recall')} AS recall, {rnd('f1')} AS f1 FROM rl", recursive=True),
+        "metric_medians": sql(
+            EVAL_VOCAB + cosine_ctes("c", "eval_pairs", "ev_vocab") + lcs_ctes("rl", "eval_pairs"),
+            f"SELECT e.category, count(*) AS n, {rnd('median(c.cosine)')} AS median_cosine, "
+            f"{rnd('median(rl.f1)')} AS median_rouge_l FROM eval_pairs e JOIN c ON c.pair_id = e.id "
+            f"JOIN rl ON rl.pair_id = e.id GROUP BY e.category", recursive=True),
         "component_means": sql(all_scores + lcs_ctes("rl", "eval_pairs"), (
             f"SELECT coalesce({mean('s.cosine', 4)}, 0.0) AS cosine, "
             f"coalesce({mean('s.bertscore_f1', 4)}, 0.0) AS bertscore_f1, "

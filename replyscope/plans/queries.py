@@ -19,6 +19,7 @@ from ..operators.dense import dense_cosine, encode_texts, topk_dense
 from ..operators.llm import complete_table, echo_completer
 from ..operators.metrics import coverage, rouge_l, sparse_cosine, token_alignment, \
     token_alignment_vectors, token_rows
+from ..operators.quantile import exact_medians
 from ..operators.retrieve import topk_sparse
 from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.summary import (component_means, describe_by_category, describe_overall,
@@ -406,6 +407,17 @@ def q_rouge_l(spark, sf):
                     _r(F.col("recall")).alias("recall"), _r(F.col("f1")).alias("f1"))
 
 
+def q_metric_medians(spark, sf):
+    """The exact median of the unrounded cosine and ROUGE-L per category."""
+    p, vocab = _eval_table(spark, sf)
+    m = materialize(p.select("pair_id", "category").join(sparse_cosine(p, vocab), "pair_id")
+                    .join(rouge_l(p).select("pair_id", "f1"), "pair_id"))
+    cos = exact_medians(m, "cosine", ["category"]).withColumnRenamed("median", "c")
+    f1 = exact_medians(m, "f1", ["category"]).withColumnRenamed("median", "r").drop("n")
+    return cos.join(f1, "category").select(
+        "category", "n", _r(F.col("c")).alias("median_cosine"), _r(F.col("r")).alias("median_rouge_l"))
+
+
 def q_coverage(spark, sf):
     p = _eval(spark, sf)
     return p.select(F.col("pair_id").alias("id"),
@@ -554,6 +566,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_alignment_prf": q_token_alignment_prf,
     "token_alignment_vectors": q_token_alignment_vectors,
     "rouge_l": q_rouge_l,
+    "metric_medians": q_metric_medians,
     "coverage": q_coverage,
     "heuristic_judge": q_heuristic_judge,
     "judge_prompt": q_judge_prompt,
