@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 from ..operators.dense import Encoder
 from ..operators.llm import Completer
+from ..operators.runner import ModelRunner
 from ..operators.split import corpus, holdout_split, knowledge_base
 from ..operators.tfidf import counted, vocabulary_from_counts, whole_vectors
 from ..operators.summary import component_means, run_meta, summary_table
@@ -39,21 +40,26 @@ def eval_input(holdout: DataFrame, generations: DataFrame) -> DataFrame:
             .select("id", "category", "customer_email", "generated", "reference"))
 
 
-def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer | None = None,
-        backend: str = "custom", judge: Completer | None = None,
-        judge_backend: str | None = None, encoder: Encoder | None = None,
-        embedder: str = "custom") -> RunResult:
-    """Run the pipeline. Tables that later stages read several times (the
-    holdout, the KB's counted terms, the fitted vocabulary, the generations and
-    the scores) are written to the shared checkpoint folder as they are
-    produced: each reuse is a scan instead of a recomputation, the plans stay
-    small, and a lost executor never sends the run back to its sources. They
-    belong to the innermost open ``Scratch``, which deletes them.
+@dataclass
+class Answers:
+    """The first half of a run: split, vocabulary and replies."""
 
-    ``backend`` names the replying model, ``judge_backend`` the judging one.
-    With an ``encoder``, named ``embedder``, its vectors replace TF-IDF in
-    retrieval, cosine and token alignment. Ticket ids are unique
-    (``check_unique``)."""
+    kb: DataFrame
+    holdout: DataFrame
+    vocab: DataFrame | None
+    generations: DataFrame
+
+
+def answer(tickets: DataFrame, cfg: RunConfig = RunConfig(),
+           complete: Completer | ModelRunner | None = None, backend: str = "custom",
+           encoder: Encoder | ModelRunner | None = None) -> Answers:
+    """Split the tickets, fit the vocabulary and reply to the holdout. Tables
+    that later stages read several times (the holdout, the KB's counted terms,
+    the fitted vocabulary and the generations) are written to the shared
+    checkpoint folder as they are produced: each reuse is a scan instead of a
+    recomputation, the plans stay small, and a lost executor never sends the run
+    back to its sources. They belong to the innermost open ``Scratch``, which
+    deletes them."""
     holdout = materialize(holdout_split(tickets, cfg.per_category, cfg.holdout_n, cfg.seed,
                                         rank_first=cfg.holdout_rank_first, limit=cfg.limit))
     # The KB is not copied: it is the source minus a holdout of at most
@@ -73,10 +79,23 @@ def run(tickets: DataFrame, cfg: RunConfig = RunConfig(), complete: Completer |
     queries = holdout.select(F.col("id").alias("query_id"),
                              F.col("customer_email").alias("query_email"))
     generations, _ = generate(queries, kb, cfg, complete, backend, vocab, kb_vecs, encoder)
-    generations = materialize(generations)
-    pairs = eval_input(holdout, generations)
-    scores = materialize(evaluate(pairs, vocab, cfg, judge, judge_backend or backend, encoder))
-    return RunResult(kb=kb, holdout=holdout, vocab=vocab, generations=generations,
+    return Answers(kb, holdout, vocab, materialize(generations))
+
+
+def run(tickets: DataFrame, cfg: RunConfig = RunConfig(),
+        complete: Completer | ModelRunner | None = None, backend: str = "custom",
+        judge: Completer | ModelRunner | None = None, judge_backend: str | None = None,
+        encoder: Encoder | ModelRunner | None = None, embedder: str = "custom") -> RunResult:
+    """Run the pipeline: ``answer``, score and sum up.
+
+    ``backend`` names the replying model, ``judge_backend`` the judging one.
+    With an ``encoder``, named ``embedder``, its vectors replace TF-IDF in
+    retrieval, cosine and token alignment. Ticket ids are unique
+    (``check_unique``)."""
+    a = answer(tickets, cfg, complete, backend, encoder)
+    pairs = eval_input(a.holdout, a.generations)
+    scores = materialize(evaluate(pairs, a.vocab, cfg, judge, judge_backend or backend, encoder))
+    return RunResult(kb=a.kb, holdout=a.holdout, vocab=a.vocab, generations=a.generations,
                      pairs=pairs, scores=scores, summary=summary_table(scores),
-                     components=component_means(scores), meta=run_meta(scores, cfg.weights,
-                                                                    "tfidf" if encoder is None else embedder))
+                     components=component_means(scores),
+                     meta=run_meta(scores, cfg.weights, "tfidf" if encoder is None else embedder))

@@ -32,7 +32,7 @@ from ..sources.reports import (generated_rows, per_email, read_tickets_csv, repo
 from ..sources.tables import eval_pairs, pairs, read_table
 from ..sources.tickets import tickets_from_table
 from .evaluate import heuristic_judge, pair_vocabulary
-from .pipeline import run
+from .pipeline import answer, run
 from ..session import Scratch, materialize, spread
 
 CFG = RunConfig()
@@ -223,24 +223,26 @@ def ticket_run(spark, sf):
     return run(given(spark, sf), CFG)
 
 
+def ticket_answers(spark, sf):
+    """The half of the run before scoring."""
+    return answer(given(spark, sf), CFG)
+
+
 def q_retrieved_cases(spark, sf):
-    g = ticket_run(spark, sf).generations
+    g = ticket_answers(spark, sf).generations
     return g.select("query_id", F.inline("retrieved")).select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), "id",
         _r(F.col("score")).alias("score"), "category")
 
 
 def q_fewshot_prompt(spark, sf):
-    from .generate import prompts, retrieve
-    r = ticket_run(spark, sf)
-    queries = r.holdout.select(F.col("id").alias("query_id"),
-                               F.col("customer_email").alias("query_email"))
-    cases, _ = retrieve(queries, r.kb, CFG, r.vocab)
-    return prompts(queries, cases).select("query_id", "user_prompt")
+    from .generate import prompts
+    g = ticket_answers(spark, sf).generations
+    return prompts(g, g.select("query_id", F.inline("retrieved"))).select("query_id", "user_prompt")
 
 
 def q_retrieval_hit_rate(spark, sf):
-    r = ticket_run(spark, sf)
+    r = ticket_answers(spark, sf)
     cases = r.generations.select("query_id", F.inline("retrieved")).select("query_id", "rank",
                                                                           "category")
     q = r.holdout.select(F.col("id").alias("query_id"), "category")
@@ -250,7 +252,7 @@ def q_retrieval_hit_rate(spark, sf):
 
 
 def q_grounded_reply(spark, sf):
-    return ticket_run(spark, sf).generations.select("query_id", "reply")
+    return ticket_answers(spark, sf).generations.select("query_id", "reply")
 
 
 def pair_scores(spark, sf):
@@ -293,7 +295,7 @@ def q_run_meta(spark, sf):
 
 
 def q_generated_report(spark, sf):
-    r = ticket_run(spark, sf)
+    r = ticket_answers(spark, sf)
     return generated_rows(r.generations, r.holdout)
 
 
