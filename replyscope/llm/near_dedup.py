@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch
-from .common import Words, map_batches, mix, only, signed, text_bytes
+from .common import Words, map_batches, mix, only, signed, slices, text_bytes
 from .components import connected_components
 
 SKETCH = 48
@@ -254,7 +254,9 @@ def _verified(tasks: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 {"a": pa.array([x for x, _ in edges], pa.int64()),
                  "b": pa.array([y for _, y in edges], pa.int64())})
 
-        for batch in batches:
+        # Slices of bounded bytes: what shingling holds at once follows them, not
+        # the texts of a whole batch.
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             sets = shingle_sets(batch.column(3), size)
             for t, side, rep, s in zip(*(batch.column(i).to_pylist() for i in range(3)), sets):
                 if t != task:

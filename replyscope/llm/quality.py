@@ -251,16 +251,21 @@ def judge(df: DataFrame, field: Field, min_words: int = MIN_WORDS,
                "n_symbols": x.n_symbols, "n_dup_lines": x.n_dup_lines,
                "n_repeat_words": x.n_repeat, "base_failed": failed, "content_share": share,
                "kept": ~failed & (share >= min_content_share)}
-        return out | {"row": part.column(2)} if carry else out
+        return out | {f"row_{c}": part.column(1 if c == "text" else f"row_{c}") for c in carried}
 
     schema = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
               "n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, "
               "content_share double, kept boolean")
     docs = [F.col("doc_id").cast("bigint").alias("doc_id"),
             F.col("text").cast("string").alias("text")]
-    if carry:
-        schema += ", row struct<" + ", ".join(f"{c}: {kind}" for c, kind in carry.items()) + ">"
-        docs.append(F.struct(*[F.col(f"`{c}`").cast(kind).alias(c)
-                               for c, kind in carry.items()]).alias("row"))
-    return map_batches(df.select(*docs), batch, schema, text="text",
-                       setup=lambda: Field(*weights))
+    # A carried text is the text itself: it goes to the task and back once.
+    carried = dict(carry or {})
+    docs += [F.col(f"`{c}`").cast(kind).alias(f"row_{c}") for c, kind in carried.items()
+             if c != "text"]
+    schema += "".join(f", row_{c} {kind}" for c, kind in carried.items())
+    judged = map_batches(df.select(*docs), batch, schema, text="text",
+                         setup=lambda: Field(*weights))
+    if not carried:
+        return judged
+    row = F.struct(*[F.col(f"row_{c}").alias(c) for c in carried]).alias("row")
+    return judged.select(*[c for c in judged.columns if not c.startswith("row_")], row)
