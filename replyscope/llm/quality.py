@@ -3,17 +3,17 @@ field over lines whose Viterbi path marks each line content or boilerplate.
 The share of a text's words in content lines decides whether it is kept.
 
 The field is trained here on a bounded sample of labelled texts (at most
-``MAX_TRAINING_TEXTS``, drawn by the hash of their id): lines of good texts are
+``MAX_TRAINING_TEXTS``, drawn per class by the hash of their id): lines of good texts are
 taken as content, lines of bad ones as boilerplate. Every line of every text
 is decoded."""
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, hash_spans, map_batches, mix, only, slices, text_bytes
+from .common import Words, hash_spans, map_batches, mix, only, text_bytes
 
 MAX_TRAINING_TEXTS = 1_000
 MIN_WORDS = 50
@@ -206,27 +206,39 @@ def _steps(row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def train_field(docs: DataFrame, labels: DataFrame,
                 max_texts: int = MAX_TRAINING_TEXTS) -> Field:
-    """Train on at most ``max_texts`` labelled texts. Without texts of both
-    kinds the field stays neutral, and then every line counts as content."""
+    """Train on at most ``max_texts`` labelled texts, half of them good and half
+    bad, drawn by the hash of their ids among those that have a text; a class
+    with fewer gives all it has. Without texts of both kinds the field stays
+    neutral, and then every line counts as content. Lines become features in
+    the tasks, so the driver sees no text."""
+    texts = only(docs, doc_id="bigint", text="string").where("text is not null")
+    rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
     picked = (only(labels, doc_id="bigint", quality="int")
               .where("quality in (0, 1) and doc_id is not null").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_texts))
+              .join(texts.select("doc_id").distinct(), "doc_id")
+              .withColumn("rank", rank).where(F.col("rank") <= max_texts // 2))
+
     # At most max_texts ids go to the texts, not the texts to them.
-    sample = (only(docs, doc_id="bigint", text="string").where("text is not null")
-              .join(F.broadcast(picked), "doc_id")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(max_texts)
-              .select("quality", "text").toArrow())
+    def lines(part: pa.RecordBatch, _):
+        x = Lines(part.column(2))
+        ends = np.searchsorted(x.row, np.arange(1, x.rows))
+        return {"doc_id": part.column(0), "quality": part.column(1),
+                "features": [f.tobytes() for f in np.split(x.features.astype(np.uint8), ends)]}
+
+    chosen = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "quality", "text")
+    # Rows that share an id are texts of their own, so the bound is set again.
+    again = F.row_number().over(Window.partitionBy("quality")
+                                .orderBy(F.xxhash64("doc_id"), "doc_id", "features"))
+    sample = (map_batches(chosen, lines, "doc_id bigint, quality int, features binary", text="text")
+              .withColumn("rank", again).where(F.col("rank") <= max_texts // 2)
+              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "features")
+              .select("quality", "features").toArrow())
     good = sample.column(0).to_numpy()
-    if not 0 < good.sum() < len(good):
+    features = [np.frombuffer(f, dtype=np.uint8).reshape(-1, N_FEATURES).astype(np.int64)
+                for f in sample.column(1).to_pylist()]
+    row = np.repeat(np.arange(len(features)), np.asarray([len(f) for f in features], dtype=int))
+    if not 0 < good[row].sum() < len(row):
         return Field()
-    features, row, seen = [], [], 0
-    for batch in sample.to_batches():
-        for part in slices(batch, "text"):      # as many bytes at once as a task takes
-            lines = Lines(part.column(1))
-            features.append(lines.features)
-            row.append(lines.row + seen)
-            seen += part.num_rows
-    row = np.concatenate(row)
     return Field().train(np.concatenate(features), row, good[row].astype(np.int64))
 
 
