@@ -5,13 +5,16 @@ container is named by its tag and its generalised classes (lower-cased, digits
 and everything after them left out), so the same template gives the same path
 on every page. Each page scores its containers by the prose in them; per host
 the scores vote on paths in Spark, and the pages are read again with their
-host's winning path. Where that path is missing or holds too little of a page,
-the page's own best container is used.
+host's winning path. Where that path is missing, or the page's best container lies
+elsewhere and the path holds little beside it, the best container is used;
+where the best container encloses the path, its other prose stays, too, but for
+containers that most pages of the host have beside the path.
 
 Menus, headers, footers, side bars, notices, adverts, forms, comments, scripts
 and styles are known by tag, role or class and never count."""
 from __future__ import annotations
 
+import hashlib
 import html
 import math
 import re
@@ -24,15 +27,15 @@ from ..session import Scratch
 from .common import map_batches, only
 from .url_filter import split_url
 
-PATH_DEPTH = 32          # innermost containers kept of a path
-VOTES_PER_PAGE = 8       # best containers of a page that vote
-MIN_SHARE = 0.3          # of the page's best score that the host's path must hold
+PATH_DEPTH = 32          # innermost containers named in a path; a hash stands for the others
+MIN_SHARE = 0.3          # of the score of a best container elsewhere, for the host's path to win
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object select textarea canvas "
-                "video audio button noframes title head".split())
-UNSEEN = frozenset("script style noscript template title noframes".split())
+RAW = frozenset("script style noscript template iframe svg annotation annotation-xml select "
+                "textarea canvas video audio button noframes title head".split())
+UNSEEN = frozenset("script style noscript template annotation annotation-xml title "
+                   "noframes".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main "
@@ -85,7 +88,16 @@ def generalised(tag: str, names: str) -> str:
         name = re.split(r"\d", name, maxsplit=1)[0].strip("-_")
         if name and name not in kept:
             kept.append(name)
-    return ".".join([tag, *sorted(kept)[:3]])
+    return ".".join([tag, *sorted(kept)])
+
+
+def longer(path: str, name: str) -> str:
+    """The path with one container more. Of a deep one the outer containers are
+    folded into a hash, so different paths stay different and all are short."""
+    chain = [*path.split(">"), name]
+    if len(chain) > PATH_DEPTH:
+        chain[:2] = ["#" + hashlib.md5(">".join(chain[:2]).encode()).hexdigest()]
+    return ">".join(chain)
 
 
 def is_out(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
@@ -172,7 +184,7 @@ class Page:
                         break
                 continue
             if tag in RAW:
-                attributes_end = m[3].rstrip().endswith("/") and tag in ("svg", "math")
+                attributes_end = m[3].rstrip().endswith("/") and tag == "svg"
                 if tag == "head":
                     continue
                 if not attributes_end:
@@ -210,9 +222,9 @@ class Page:
             _, container, out = stack[-1]
             out = out or is_out(tag, attributes, any(s[0] in ("article", "main") for s in stack))
             if tag in CONTAINERS and not out:
-                chain = self.paths[container].split(">")[-PATH_DEPTH + 1:]
                 self.parents.append(container)
-                self.paths.append(">".join([*chain, generalised(tag, attributes.get("class", ""))]))
+                self.paths.append(longer(self.paths[container],
+                                         generalised(tag, attributes.get("class", ""))))
                 container = len(self.paths) - 1
             if tag == "body" and not out:
                 stack[0] = ("html", container, False)
@@ -246,21 +258,29 @@ class Page:
             held[i] = i in chosen or parent >= 0 and held[parent]
         return held
 
-    def text(self, chosen: set[int] | None) -> str:
-        """Blocks inside any of the chosen containers, in page order, with a
-        title that stands right before them."""
+    def text(self, chosen: set[int] | None, around: int | None = None,
+             usual: frozenset[str] = frozenset()) -> str:
+        """Blocks inside any of the chosen containers and, outside of usual
+        paths, prose in the one around them, in page order, with a title that
+        stands right before."""
         if chosen is None:
             return "\n\n".join(b for _, b, _ in self.blocks)
         held = self.inside(chosen)
-        at = [i for i, (c, _, _) in enumerate(self.blocks) if held[c]]
+        near = [i == around for i in range(len(self.paths))]
+        for i, parent in enumerate(self.parents if around is not None else ()):
+            near[i] |= parent >= 0 and near[parent] and self.paths[i] not in usual
+        at = [i for i, (c, block, linked) in enumerate(self.blocks)
+              if held[c] or near[c] and 2 * linked < len(block)]
         if at and at[0] - 1 in self.titles:
             at.insert(0, at[0] - 1)
         return "\n\n".join(self.blocks[i][1] for i in at)
 
 
-def best_text(page: Page, path: str | None) -> str:
-    """The text under the host's path, or under the page's best container if
-    the path holds less than ``MIN_SHARE`` of what that holds."""
+def best_text(page: Page, path: str | None, usual: frozenset[str] = frozenset()) -> str:
+    """The text under the host's path, with the other prose of the page's best
+    container where that encloses the path (not that under usual paths). If the best container lies
+    elsewhere, the path has to hold ``MIN_SHARE`` of its score; else, and
+    without the path, the best container's text."""
     if not page.blocks:
         return ""
     score = page.scores()
@@ -270,6 +290,9 @@ def best_text(page: Page, path: str | None) -> str:
     voted = {i for i, p in enumerate(page.paths) if p == path}
     held = page.inside(voted)
     outer = {i for i in voted if page.parents[i] < 0 or not held[page.parents[i]]}
+    around = page.inside({best})
+    if outer and not held[best] and all(around[i] for i in outer):
+        return page.text(outer, best, usual)
     if outer and sum(score[i] for i in outer) >= MIN_SHARE * score[best]:
         return page.text(outer)
     return page.text({best})
@@ -283,7 +306,9 @@ def extract_text(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     empty table gives no rows. ``host_path`` is the winning path of the page's
     host (null if no page of it has any prose). Votes are summed per host and
     path before they are shuffled, so a host with most of the pages costs one
-    row per path and task; the winner per host is joined back."""
+    row per path and task; the winner per host is joined back, with the paths
+    beside it that more than half of the pages have (at most twice as many as a
+    page has containers on average)."""
     scratch = scratch or Scratch(df.sparkSession)
     pages = only(df, page_id="bigint", url="string", html="string")
 
@@ -295,31 +320,40 @@ def extract_text(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
             for path, score in zip(page.paths, page.scores()):
                 if score > 0:
                     per_path[path] = per_path.get(path, 0) + score
-            top = sorted(per_path.items(), key=lambda kv: (-kv[1], kv[0]))[:VOTES_PER_PAGE]
-            for path, score in top:     # a page has one vote, shared by its containers
-                share = score / top[0][1]
+            top = max(per_path.values(), default=1)
+            for path, score in per_path.items():    # by its share of the page's best
+                share = score / top
                 have = sums.setdefault((split_url(url)[0], path), [0, 0])
                 have[0] += math.floor(share ** 4 * 1_000_000)
                 have[1] += 1
         return {"host": [h for h, _ in sums], "path": [p for _, p in sums],
                 "votes": [v for v, _ in sums.values()], "pages": [n for _, n in sums.values()]}
 
-    votes = (map_batches(pages, vote, "host string, path string, votes bigint, pages bigint",
-                         text="html")
-             .groupBy("host", "path").agg(F.sum("votes").alias("votes")))
+    votes = scratch.table(
+        map_batches(pages, vote, "host string, path string, votes bigint, pages bigint", text="html")
+        .groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages")))
     # The most votes win; of equal paths the deeper, then the first by name.
     depth = F.size(F.split("path", ">"))
-    winners = scratch.table(votes.groupBy("host").agg(
-        F.min_by("path", F.struct(-F.col("votes"), -depth, "path")).alias("host_path")))
+    winners = votes.groupBy("host").agg(
+        F.min_by("path", F.struct(-F.col("votes"), -depth, "path")).alias("host_path"),
+        F.max("pages").alias("most"))
+    # Containers around or inside the winning path are not beside it.
+    beside = ~(F.startswith(F.concat("host_path", F.lit(">")), F.concat("path", F.lit(">")))
+               | F.startswith(F.concat("path", F.lit(">")), F.concat("host_path", F.lit(">"))))
+    usual = F.when(beside & (2 * F.col("pages") > F.col("most")), F.col("path"))
+    winners = scratch.table(votes.select("host", "path", "pages").join(winners, "host")
+                            .groupBy("host").agg(F.first("host_path").alias("host_path"),
+                                                 F.collect_list(usual).alias("usual")))
+    scratch.drop(votes)
     rest = F.when(F.instr("url", "://") > 0, F.regexp_extract("url", r"(?s)^.*?://([^/?#]*)", 1))
     host = F.translate(F.coalesce(rest, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                        "abcdefghijklmnopqrstuvwxyz")
     joined = (pages.withColumn("host", host).join(winners, "host", "left")
-              .select("page_id", "url", "html", "host_path"))
+              .select("page_id", "url", "html", "host_path", "usual"))
 
     def read(part: pa.RecordBatch, _):
-        texts = [best_text(Page(source or ""), path) for source, path in
-                 zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
+        texts = [best_text(Page(source or ""), path, frozenset(usual or ())) for
+                 source, path, usual in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)))]
         return {"page_id": part.column(0), "url": part.column(1), "text": texts,
                 "n_chars": [len(t) for t in texts], "host_path": part.column(3)}
 

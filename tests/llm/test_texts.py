@@ -38,6 +38,8 @@ PROSE = "A sentence of the article goes on for a while and ends here. " * 3
      f"Title\n\n{PROSE.strip()}"),
     ('<a title="a>b" href=\'x\'>link</a>', "link"), ("<p hidden>x</p>y", "y"),
     ("<title>t</title><body>b", "b"),
+    ("<p>so <math><mi>a</mi><mo>=</mo><mn>1</mn><annotation>a=1</annotation></math> holds",
+     "so a=1 holds"), ("<p>x <object data='y'>shown</object> z", "x shown z"),
 ])
 def test_page_text(source, want):
     assert best_text(Page(source), None) == want
@@ -47,6 +49,39 @@ def test_generalised_classes():
     assert generalised("div", "post-1234 Entry entry2") == "div.entry.post"
 
 
+def test_prose_beside_the_host_path_stays(spark):
+    """One page of a host has a part of its article beside the usual container."""
+    links = "<div class='more'><p><a href='x'>{}</a></p></div>".format(PROSE[:40])
+
+    def page(intro):
+        return f"<div class='w'>{intro}<div class='text'><p>{PROSE * 2}</p></div>{links}</div>"
+    rows = [(i, "http://a.org/", page("")) for i in range(10)]
+    rows += [(10, "http://a.org/", page(f"<div class='intro'><p>{PROSE}</p></div>"))]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(df).collect()}
+    text = (PROSE * 2).strip()
+    assert got == {i: text for i in range(10)} | {10: f"{PROSE.strip()}\n\n{text}"}
+
+
+def test_deep_pages_keep_their_paths_apart(spark):
+    """Containers far below the root are told apart by the whole path, and a
+    path shared by all pages of a host gets its votes however deep others lie."""
+    def page(name, inner, text):
+        return (f"<div class='{name}'>" + "".join(f"<div class='{c}'>" for c in inner)
+                + f"<p>{text}</p>" + "</div>" * (len(inner) + 1))
+    deep = Page(page("a", "x" * 40, PROSE) + page("b", "x" * 40, PROSE))
+    assert len(set(deep.paths)) == len(deep.paths) and max(map(len, deep.paths)) < 250
+    assert Page(page("a", "x" * 40, PROSE)).paths == deep.paths[:42]
+    rows = [(i, "http://a.org/", page("story", chr(97 + i) * 10, PROSE) + page("below", "", "x"))
+            for i in range(9)]
+    rows += [(9, "http://a.org/", page("story", "z" * 10, PROSE * 2) + page("below", "", PROSE * 3)),
+             (10, "http://a.org/", "<div>" * 500 + f"<p>{PROSE * 2000}")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(df).collect()}
+    assert got == {i: PROSE.strip() for i in range(9)} | {9: (PROSE * 2).strip(),
+                                                          10: (PROSE * 2000).strip()}
+
+
 def test_hosts_vote_on_paths(spark):
     """A page whose comments hold more prose than its article follows its host."""
     def page(article, below):
@@ -198,6 +233,25 @@ def test_labelled_texts_are_told_apart(spark, sf):
     assert not neutral.emit.any() and not neutral.move.any()
 
 
+def test_a_rare_class_is_learnt(spark):
+    """Three bad texts among thousands of labels, most of them without a text."""
+    good = "A calm sentence of plain words goes on and ends here.\nAnd one more follows it."
+    bad = "$$$ CLICK !!! NOW | 50% | %%%\n### BUY !!! || 99 | $$$"
+    rows = [(i, good, "x") for i in range(30)] + [(i, bad, "x") for i in (3_000, 3_001, 3_002)]
+    rows += [(5, good, "x"), (40, None, "x"), (41, "", "x"), (None, good, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, rank string")
+    labels = spark.createDataFrame([(i, int(not 3_000 <= i < 3_003), "y") for i in range(6_000)]
+                                   + [(5, 1, "y"), (8, None, "y"), (None, 0, "y"), (9, 7, "y")],
+                                   "doc_id bigint, quality int, features string")
+    for most in (1_000, 8):
+        field = train_field(docs, labels, max_texts=most)
+        for text, content in ((good, [1, 1]), (bad, [0, 0])):
+            x = Lines(pa.array([text]))
+            assert field.decode(x.features, x.row).tolist() == content
+    for none in (labels.limit(0), labels.where("doc_id in (40, 41, 3000)")):
+        assert not train_field(docs, none).emit.any()
+
+
 # ------------------------------------------------------------ fingerprints
 def generalised_jaccard(a, b):
     a, b = (collections.Counter(WORD.findall(t)) for t in (a, b))
