@@ -20,6 +20,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,13 +85,13 @@ class FMIndex:
             ahead = np.zeros(n, dtype=np.int64)
             ahead[:n - step] = rank[step:] + 1 if step < n else 0
             key = rank * (n + 2) + ahead
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)     # equal keys get equal ranks, in any order
             new = np.ones(n, dtype=np.int64)
             new[1:] = key[order][1:] != key[order][:-1]
             rank = np.empty(n, dtype=np.int64)
             rank[order] = np.cumsum(new)
             step *= 2
-        self.places = np.argsort(rank, kind="stable")
+        self.places = np.argsort(rank)
         last = symbols[self.places - 1]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols))])
         self.levels = []
@@ -120,23 +121,23 @@ class FMIndex:
         return self._down(symbol, low) + shift, self._down(symbol, high) + shift
 
 
-def repeated_windows(segments: list[np.ndarray], first: np.ndarray, last: np.ndarray,
-                     size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_windows(segments: tuple[np.ndarray, np.ndarray], first: np.ndarray,
+                     last: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segment, window and smallest document id of each window that a document
-    of a smaller id has too, as seen from the segment's largest id."""
-    length = np.asarray([len(s) for s in segments])
-    values = np.concatenate(segments)
+    of a smaller id has too, as seen from the segment's largest id. Segments
+    are their words one after the other and the length of each."""
+    values, length = segments
     _, local = np.unique(values, return_inverse=True)
-    total = int(length.sum() + len(segments))
+    total = int(length.sum() + len(length))
     start = np.concatenate([[0], np.cumsum(length + 1)[:-1]])
-    owner = np.repeat(np.arange(len(segments)), length + 1)
+    owner = np.repeat(np.arange(len(length)), length + 1)
     symbols = np.zeros(total, dtype=np.int64)
     inside = np.ones(total, dtype=bool)
     inside[start + length] = False
     symbols[inside] = local + 1
     index = FMIndex(symbols)
     count = length - size + 1
-    segment = np.repeat(np.arange(len(segments)), count)
+    segment = np.repeat(np.arange(len(length)), count)
     window = np.arange(len(segment)) - np.repeat(np.cumsum(count) - count, count)
     at = start[segment] + window
     c = symbols[at + size - 1]
@@ -169,34 +170,39 @@ def _segments(docs: DataFrame, reps: DataFrame, size: int, single: bool) -> Data
 
     def batch(part: pa.RecordBatch, _):
         words = Words(*text_bytes(part.column(0)))
-        out: dict[str, list] = {k: [] for k in ("route", "content", "offset", "first", "last",
-                                                "words")}
-        for row, runs in enumerate(part.column(1).to_pylist()):
-            base, count = words.first[row], words.first[row + 1] - words.first[row]
-            for r in runs:
-                start, n = r["place"] >> 4, r["place"] & 15
-                if start + n + size - 1 > count:
-                    continue    # another row under the same id
-                h = words.hash[base + start:base + start + n + size - 1]
-                pieces = [(int(signed(window_hash(h[j:j + size]))[0]), j, h[j:j + size])
-                          for j in range(n)] if single else [(r["key"], 0, h)]
-                for route, offset, piece in pieces:
-                    out["route"].append(route)
-                    out["content"].append(r["content"])
-                    out["offset"].append(offset)
-                    out["first"].append(r["first"])
-                    out["last"].append(r["last"])
-                    out["words"].append(piece.tobytes())
-        return out
+        runs = part.column(1)
+        row = np.repeat(np.arange(part.num_rows), pc.list_value_length(runs).to_numpy())
+        key, content, low, high, place = (x.to_numpy() for x in runs.flatten().flatten())
+        start, n = place >> 4, place & 15
+        # A run that is too long for the text is of another row under the same id.
+        fits = np.flatnonzero(start + n + size - 1 <= np.diff(words.first)[row])
+        offset = np.zeros(len(fits), dtype=np.int64)
+        if single:
+            offset = _counting(n[fits])
+            fits = np.repeat(fits, n[fits])
+        begin = words.first[row[fits]] + start[fits] + offset
+        length = np.full(len(fits), size) if single else n[fits] + size - 1
+        route = signed(window_hash(words.hash, begin, size)) if single else key[fits]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        pieces = words.hash[np.repeat(begin, length) + _counting(length)]
+        return {"route": route, "content": content[fits], "offset": offset, "first": low[fits],
+                "last": high[fits],
+                "words": pa.Array.from_buffers(pa.large_binary(), len(fits), [
+                    None, pa.py_buffer(ends * 8), pa.py_buffer(pieces)])}
 
     return map_batches(joined, batch, "route bigint, content bigint, offset int, first bigint, "
                                       "last bigint, words binary", text="text")
 
 
-def window_hash(h: np.ndarray) -> np.ndarray:
-    out = np.zeros(1, dtype=np.uint64)
-    for x in h:
-        out = mix((out + x) * np.uint64(0x9E3779B97F4A7C15))
+def _counting(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... for each length, one after the other."""
+    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def window_hash(hashes: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(len(begin), dtype=np.uint64)
+    for j in range(size):
+        out = mix((out + hashes[begin + j]) * np.uint64(0x9E3779B97F4A7C15))
     return out
 
 
@@ -205,18 +211,22 @@ def _search(segments: DataFrame, shards: int, size: int) -> DataFrame:
     document ``low`` has, for the documents of larger id that have it."""
     dealt = segments.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
 
-    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pieces = [np.frombuffer(w, dtype=np.uint64) for w in pdf["words"]]
-        segment, window, low = repeated_windows(pieces, pdf["first"].to_numpy(),
-                                                pdf["last"].to_numpy(), size)
-        found = pd.DataFrame({"content": pdf["content"].to_numpy()[segment], "low": low,
+    def shard(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        whole = table["words"].combine_chunks()
+        values, ends = text_bytes(whole.chunk(0) if isinstance(whole, pa.ChunkedArray) else whole)
+        segment, window, low = repeated_windows((values.view(np.uint64), np.diff(ends) // 8),
+                                                table["first"].to_numpy(),
+                                                table["last"].to_numpy(), size)
+        found = pd.DataFrame({"content": table["content"].to_numpy()[segment], "low": low,
                               "mask": np.int64(1) << window})
         # The same content may come from two rows under one id.
         found = found.drop_duplicates()
-        return found.groupby(["content", "low"], as_index=False, sort=False)["mask"].sum()
+        found = found.groupby(["content", "low"], as_index=False, sort=False)["mask"].sum()
+        return pa.table({c: found[c].to_numpy() for c in ("content", "low", "mask")})
 
     return (dealt.select("shard", "content", "first", "last", "words").groupBy("shard")
-            .applyInPandas(shard, "content bigint, low bigint, mask bigint"))
+            .applyInArrow(shard, "content bigint, low bigint, mask bigint"))
 
 
 def repeated_runs(df: DataFrame, size: int = 13, scratch: Scratch | None = None,
@@ -252,6 +262,8 @@ def repeated_runs(df: DataFrame, size: int = 13, scratch: Scratch | None = None,
     found = scratch.table(_search(
         _segments(docs, normal, size, single=False).select(*columns)
         .union(alike.withColumn("content", F.col("route")).select(*columns)), shards, size))
+    scratch.drop(contents)
+    scratch.drop(per_key)
     marks = found.join(windows.select(F.col("content").alias("whole"), "offset",
                                       F.col("route").alias("content")).distinct(), "content", "left") \
         .select(F.coalesce("whole", "content").alias("content"), "low",

@@ -197,5 +197,6 @@ def test_repeated_windows_by_hand():
             low[tuple(s[i:i + 4])] = min(low[tuple(s[i:i + 4])], f)
     want = {(n, i, low[tuple(s[i:i + 4])]) for n, s in enumerate(segments)
             for i in range(len(s) - 3) if low[tuple(s[i:i + 4])] < last[n]}
-    got = set(zip(*(x.tolist() for x in repeated_windows(segments, first, last, 4))))
+    dealt = np.concatenate(segments), np.asarray([len(s) for s in segments])
+    got = set(zip(*(x.tolist() for x in repeated_windows(dealt, first, last, 4))))
     assert got == want
