@@ -28,6 +28,7 @@ from ..session import Scratch
 from .common import Words, map_batches, mix, only, signed, text_bytes
 
 ANCHOR = 4
+PLACE = np.uint64((1 << 21) - 1)
 SHARD_WORDS = 200_000
 MANY_SEGMENTS = 2_000     # of one minimizer; beyond it its windows are dealt one by one
 
@@ -45,18 +46,22 @@ def minimizer_runs(words: Words, size: int) -> tuple[np.ndarray, ...]:
         anchor = (anchor + words.hash[j:j + n]) * np.uint64(0x9E3779B97F4A7C15)
         anchor ^= anchor >> np.uint64(29)
     anchor = mix(anchor)
-    best, where = anchor[at], at.copy()
-    for j in range(1, size - ANCHOR + 1):
-        here = anchor[at + j]
-        lower = here < best
-        best[lower], where[lower] = here[lower], at[lower] + j
+    # The smallest of a window's anchors by their upper bits, the first of equal
+    # ones: the lower bits hold the place, and the reach of the minimum doubles.
+    best = anchor & ~PLACE | np.arange(n, dtype=np.uint64) & PLACE
+    reach, span = 1, size - ANCHOR + 1
+    while reach < span:
+        step = min(reach, span - reach)
+        best = np.minimum(best[:-step], best[step:])
+        reach += step
+    where = at + (best[at] - at.astype(np.uint64) & PLACE).astype(np.int64)
     new = np.ones(len(at), dtype=bool)
     new[1:] = where[1:] != where[:-1]
     first = np.flatnonzero(new)
     length = np.diff(np.append(first, len(at)))
     content = mix(whole[first] ^ mix(whole[first + length - 1] + length.astype(np.uint64)))
     row = words.row[at[first]]
-    return best[first], content, row, at[first] - words.first[row], length
+    return anchor[where[first]], content, row, at[first] - words.first[row], length
 
 
 def _runs(docs: DataFrame, size: int) -> DataFrame:
