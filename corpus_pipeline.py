@@ -21,7 +21,8 @@ COLUMNS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "st
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep. The field learns from the labels
     of the raw documents, so the decision on a document doesn't hang on which
-    others come along."""
+    others come along. Null, empty and short texts go; repeated rows are judged
+    each; an empty table gives no rows; further columns are left out."""
     field = train_field(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return judge(docs, field, carry=COLUMNS).where("kept").select("row.*")
 
@@ -36,7 +37,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has; one that has
-    nothing left is left out. Texts that lose nothing stay as they are."""
+    nothing left is left out. Texts that lose nothing stay as they are, a null
+    one as an empty one; rows that share an id are one document, rows without
+    an id lose nothing; an empty table gives no rows."""
     schema = ", ".join(f"{c} {kind}" for c, kind in COLUMNS.items() if c != "text")
     out = remove_repeats(docs, carry=schema)
     return out.where("n_removed = 0 or n_removed < n_words").select(
@@ -46,7 +49,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, packed into sequences of 2,048 tokens."""
+    """The pieces of all documents, packed into sequences of 2,048 tokens. Null
+    and empty texts are a piece of one token; repeated rows are packed each; an
+    empty table gives no rows."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
