@@ -30,7 +30,7 @@ from .common import map_batches, only
 CHUNK_CHARS = 1 << 16
 MAX_RUNS = 35_000        # runs without white space remembered per worker and generation
 MAX_WORDS = 100_000      # words remembered per worker and generation
-MAX_STATES = 45_000      # states kept before the automaton is started afresh
+MAX_STATES = 90_000      # states kept before the automaton is started afresh
 RESETS = re.compile(r"[\t\n\v\f\r \x85\xa0  -     　]+")
 CONTROL = re.compile(r"[\x1c-\x1f]")
 

@@ -222,3 +222,14 @@ def test_skips_by_number_are_the_keyed_skips():
         assert plain == model.merge(s, 0, 0)
         every, _ = model.merge_skipping(s, tuple(range(100)))
         assert every == list(s) and count > 0
+
+
+def test_automaton_lasts_for_the_words_of_some_megabytes(monkeypatch):
+    """Starting it afresh costs more than all other work on unseen words."""
+    tokens = Counter(public_tokenizers.path("word_bpe_49k.json"))
+    starts = []
+    monkeypatch.setattr(tokens.transducer, "_reset", lambda: starts.append(1))
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(20_000)]
+    tokens.count(" ".join(words))
+    assert 50_000 < len(tokens.transducer.held) and not starts
