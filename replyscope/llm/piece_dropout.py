@@ -11,8 +11,12 @@ Every occurrence is drawn by itself: a keyed hash of seed, document and the
 segment's number in the text gives how many candidates are taken before one is
 skipped, then again how many before the next (geometric gaps, the same as one
 draw for each candidate). A segment falls apart further where no piece has the
-two characters side by side; the outcome of a part for given skips is fixed, so
-it is remembered by part and skips. Segmentations repeat exactly for a seed.
+two characters side by side; its parts run one after the other. A batch's
+segments of one length run their agendas side by side as arrays, one candidate
+of each a turn, so nothing is remembered from batch to batch; longer segments
+and texts with literal marks run one by one, where the outcome of a part for
+given skips is remembered. Both give the same ids, and segmentations repeat
+exactly for a seed.
 With dropout 0 the ids are the library's. Decoding joins the
 pieces and bytes and restores the text exactly; a space mark that stands in
 the text itself is written as its bytes so that it is not read as a space."""
@@ -34,10 +38,12 @@ from .common import map_batches, mix, only
 MARK = "▁"
 MAX_SEGMENTS = 200_000       # segments, and parts, remembered per worker and generation
 SHORT_SEGMENT = 48           # up to here the agenda is a plain list, and remembered
+BLOCK_CHARS = 1 << 19        # characters whose segments run side by side
 NONE = float("-inf")
 MASK = 2 ** 64 - 1
 _SEGMENTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _WORD = np.uint64(0x9E3779B97F4A7C15)
+_MARK = np.uint32(ord(MARK))
 
 
 class PieceModel:
@@ -203,11 +209,170 @@ def spread(x: int) -> int:
     return x ^ x >> 31
 
 
+class PairTable:
+    """Values of pairs of symbols; -1 for a pair without one. Pairs whose slot
+    is taken stand in a sorted list, which only lookups of such slots reach."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        key = np.asarray([a << 32 | b for a, b in pairs], dtype=np.int64)
+        value = np.asarray(list(pairs.values()), dtype=np.int64)
+        bits = max(len(key) * 4, 2).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.key = np.full(1 << bits, -1, dtype=np.int64)
+        self.value = np.full(1 << bits, -1, dtype=np.int64)
+        slot = self._slot(key)
+        _, first = np.unique(slot, return_index=True)
+        self.key[slot[first]], self.value[slot[first]] = key[first], value[first]
+        late = np.setdiff1d(np.arange(len(key)), first)
+        late = late[np.argsort(key[late])]
+        self.late_key, self.late_value = key[late], value[late]
+        self.full = np.zeros(1 << bits, dtype=bool)
+        self.full[slot[late]] = True
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * _WORD >> self.shift).view(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        slot = self._slot(key)
+        met = self.key[slot] == key
+        out = np.where(met, self.value[slot], -1)
+        if len(self.late_key):
+            more = np.flatnonzero(self.full[slot] & ~met)
+            if len(more):
+                at = np.minimum(np.searchsorted(self.late_key, key[more]), len(self.late_key) - 1)
+                found = self.late_key[at] == key[more]
+                out[more[found]] = self.late_value[at[found]]
+        return out
+
+
+class Agendas:
+    """Agendas of many segments side by side. Symbols are numbered, 0 for any
+    character that is in no piece. A candidate is one number: parts from the
+    left first, then the best score, then the leftmost place; and the symbol
+    that it makes."""
+
+    def __init__(self, model: PieceModel):
+        chars = sorted(set("".join(model.id)))
+        names = [*chars, *(p for p in model.id if len(p) > 1)]
+        number = {p: i + 1 for i, p in enumerate(names)}
+        self.id = np.asarray([-1, *(model.id.get(p, -1) for p in names)], dtype=np.int64)
+        self.bytes = np.asarray(model.bytes, dtype=np.uint32)
+        codes = np.asarray([ord(c) for c in chars], dtype=np.int64)
+        self.of_code = np.zeros(int(codes.max(initial=0)) + 2, dtype=np.int64)
+        self.of_code[codes] = np.arange(1, len(codes) + 1)
+        level = {x: i for i, x in enumerate(sorted(set(model.score.values())))}
+        self.bits = len(names).bit_length()     # of symbols, and of levels of scores
+        self.score = PairTable({
+            (number[p[:i]], number[p[i:]]): level[x] << self.bits + 6 | number[p]
+            for p, x in model.score.items() for i in range(1, len(p))
+            if p[:i] in number and p[i:] in number})
+        self.joins = PairTable({(number[a], number[b]): 1 for a, b in model.joins})
+
+    def run(self, code: np.ndarray, start: np.ndarray, size: np.ndarray, gap: np.ndarray,
+            state: np.ndarray, log_kept: float) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the segments at ``start`` after their agendas have run,
+        at their first characters and -1 at the others; and the characters'
+        own symbols."""
+        own = self.of_code[np.minimum(code, len(self.of_code) - 1)]
+        score = np.append(self.score(own[:-1], own[1:]), -1)
+        cut = np.ones(len(own), dtype=np.int64)
+        cut[1:] = self.joins(own[:-1], own[1:]) < 0
+        part = np.cumsum(cut)
+        out = own.copy()
+        order = np.argsort(size, kind="stable")
+        lengths, first = np.unique(size[order], return_index=True)
+        for n, rows in zip(lengths.tolist(), np.split(order, first[1:])):
+            if 1 < n <= SHORT_SEGMENT:
+                at = start[rows] + np.arange(n)[:, None]
+                rank = ((63 - part[at] + part[start[rows]]) << 2 * self.bits + 6) \
+                    + ((63 - np.arange(n)) << self.bits)[:, None]
+                out[at] = self._run(own[at], score[at], rank, gap[rows], state[rows], log_kept)
+        return out, own
+
+    def _run(self, symbols: np.ndarray, score: np.ndarray, rank: np.ndarray, gap: np.ndarray,
+             state: np.ndarray, log_kept: float) -> np.ndarray:
+        """Columns are segments. A last row stands beyond both ends."""
+        length, n = symbols.shape
+        end = np.zeros((1, n), dtype=np.int64)
+        score[-1] = -1
+        agenda = np.concatenate([np.where(score < 0, -1, score + rank), end - 1])
+        rank = np.concatenate([rank, end]).ravel()
+        symbols = np.concatenate([symbols, end])
+        place = np.broadcast_to(np.arange(length + 1)[:, None], symbols.shape)
+        after, before = (place + 1).ravel(), (place - 1).ravel()
+        before[:n] = length
+        todo, symbol = agenda.ravel(), symbols.ravel()
+        draws = np.zeros(n, dtype=np.uint64)
+        made_bits, place_mask = (1 << self.bits) - 1, 63
+
+        def offer(at: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+            score = self.score(left, right)
+            todo[at] = np.where(score < 0, -1, score + rank[at])
+
+        while True:
+            best = agenda.max(axis=0)
+            row = np.flatnonzero(best >= 0)
+            if not len(row):
+                break
+            best = best[row]
+            i = place_mask - (best >> self.bits & place_mask)
+            take = gap[row] > 0
+            if not take.all():
+                skip = row[~take]
+                todo[i[~take] * n + skip] = -1
+                draws[skip] += np.uint64(1)
+                u = ((mix(state[skip] + draws[skip] * _WORD) >> np.uint64(11)) + .5) / 2 ** 53
+                gap[skip] = np.minimum(np.log(u) / log_kept, 2 ** 62).astype(np.int64)
+                row, i, best = row[take], i[take], best[take]
+            gap[row] -= 1
+            both = best & made_bits
+            left = i * n + row
+            right = after[left] * n + row
+            k = after[right]
+            beyond = k * n + row
+            symbol[left], symbol[right] = both, -1
+            after[left], before[beyond] = k, i
+            todo[right] = -1
+            offer(left, both, symbol[beyond])
+            h = before[left] * n + row
+            offer(h, symbol[h], both)
+        return symbols[:length]
+
+    def ids(self, code: np.ndarray, symbols: np.ndarray, own: np.ndarray, start: np.ndarray,
+            given: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the segments at ``start``, and how many each has; those of
+        the ``given`` ones are inserted."""
+        symbols = symbols.copy()
+        ends = np.append(start[1:], len(code))
+        for i in given:
+            symbols[start[i]:ends[i]] = -1
+            symbols[start[i]] = 0
+        live = np.flatnonzero(symbols >= 0)
+        ids = self.id[symbols[live]]
+        plain = ids < 0
+        count = np.ones(len(live), dtype=np.int64)
+        c = code[live[plain]]
+        count[plain] = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
+        first = np.searchsorted(live, start)
+        for i, raw in given.items():
+            count[first[i]] = len(raw) // 4
+            plain[first[i]] = False
+        out = np.repeat(ids, count).astype(np.uint32)
+        raw = code[live[plain]].astype("<u4").tobytes().decode("utf-32-le").encode()
+        out[np.repeat(plain, count)] = self.bytes[np.frombuffer(raw, dtype=np.uint8)]
+        at = np.concatenate([[0], np.cumsum(count)])
+        for i, raw in given.items():
+            out[at[first[i]]:at[first[i] + 1]] = np.frombuffer(raw, dtype="<u4")
+        return out, np.diff(at[np.append(first, len(live))])
+
+
 class Encoder:
     def __init__(self, path: str, dropout: float, seed: int):
         if not 0 <= dropout <= 1:
             raise ValueError("dropout is a probability")
         self.model = PieceModel(path)
+        self.agendas = Agendas(self.model)
         self.dropout, self.seed = dropout, seed
         self.log_kept = math.log1p(-dropout) if dropout < 1 else NONE
         self.mark = self._bytes([MARK], True)
@@ -305,6 +470,64 @@ class Encoder:
                 young = self.young.get
         return b"".join(out)
 
+    def encode_all(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        """Ids of texts, all in their own drawing; the same as ``encode``."""
+        plain = [i for i, t in enumerate(texts) if t and MARK not in t]
+        held = set(plain)
+        out = [np.zeros(0, np.uint32) if i in held else
+               np.frombuffer(self.encode(t, k), dtype="<u4")
+               for i, (t, k) in enumerate(zip(texts, keys))]
+        if not plain:
+            return out
+        whole = "".join(MARK + texts[i] for i in plain).replace(" ", MARK)
+        code = np.frombuffer(whole.encode("utf-32-le"), dtype="<u4")
+        lead = np.cumsum([0, *(len(texts[i]) + 1 for i in plain)])
+        is_mark = code == _MARK
+        opens = is_mark.copy()
+        opens[1:] &= ~is_mark[:-1]
+        opens[lead[:-1]] = True
+        start = np.flatnonzero(opens)
+        first = np.searchsorted(start, lead)
+        gap, state = self._all_gaps([keys[i] for i in plain], np.diff(first))
+        ids, counts = [], []
+        a = 0
+        while a < len(start):
+            b = max(int(np.searchsorted(start, start[a] + BLOCK_CHARS)), a + 1)
+            stop = start[b] if b < len(start) else len(code)
+            got, n = self._block(code[start[a]:stop], start[a:b] - start[a], gap[a:b], state[a:b])
+            ids.append(got)
+            counts.append(n)
+            a = b
+        every = np.concatenate(ids)
+        at = np.concatenate([[0], np.cumsum(np.concatenate(counts))])[first]
+        for i, x, y in zip(plain, at[:-1].tolist(), at[1:].tolist()):
+            out[i] = every[x:y]
+        return out
+
+    def _all_gaps(self, keys: list[int], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``gaps`` of documents with ``n`` segments each."""
+        with np.errstate(over="ignore"):
+            key = np.asarray([k & MASK for k in keys], dtype=np.uint64)
+            of_doc = mix(mix(key) + np.uint64(self.seed & MASK))
+            number = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            state = mix((number.astype(np.uint64) + np.uint64(1)) * _WORD + np.repeat(of_doc, n))
+        if not self.dropout:
+            return np.full(len(state), 2 ** 62), state
+        u = ((mix(state) >> np.uint64(11)) + .5) / 2 ** 53
+        return np.minimum(np.log(u) / self.log_kept, 2 ** 62).astype(np.int64), state
+
+    def _block(self, code: np.ndarray, start: np.ndarray, gap: np.ndarray,
+               state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.diff(np.append(start, len(code)))
+        with np.errstate(over="ignore"):
+            symbols, own = self.agendas.run(code, start, size, gap.copy(), state, self.log_kept)
+        given = {}
+        for i in np.flatnonzero(size > SHORT_SEGMENT).tolist():
+            segment = code[start[i]:start[i] + size[i]].astype("<u4").tobytes().decode("utf-32-le")
+            count, plain, parts = self.segment(segment)
+            given[i] = plain if gap[i] >= count else self.drawn(parts, int(gap[i]), int(state[i]))
+        return self.agendas.ids(code, symbols, own, start, given)
+
     def gaps(self, key: int, n: int) -> tuple[list[int], np.ndarray]:
         """How many candidates each segment of a document takes before its
         first skip, and the state that its later draws come from."""
@@ -341,9 +564,10 @@ def encode_pieces(df: DataFrame, model: str, dropout: float = 0.1, seed: int = 7
     has no ids; rows with the same id and text get the same ids; an empty table
     gives no rows. Nothing is shuffled."""
     def batch(part: pa.RecordBatch, pieces: Encoder):
+        keys, texts = ([x or empty for x in part.column(i).to_pylist()]
+                       for i, empty in enumerate((0, "")))
         return {"doc_id": part.column(0),
-                "ids": [np.frombuffer(pieces.encode(t or "", k or 0), dtype="<u4").astype(np.int32)
-                        for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]}
+                "ids": [ids.astype(np.int32) for ids in pieces.encode_all(texts, keys)]}
 
     return map_batches(only(df, doc_id="bigint", text="string"), batch,
                        "doc_id bigint, ids array<int>", text="text",
@@ -368,16 +592,15 @@ def segmentations(df: DataFrame, model: str, dropout: float = 0.1, seed: int = 7
     def batch(part: pa.RecordBatch, pieces: Encoder):
         out: dict[str, list] = {k: [] for k in ("n_chars", "n_pieces", "n_byte_pieces",
                                                 "ids_crc32", "lossless")}
-        for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            text = text or ""
-            raw = pieces.encode(text, key or 0)
-            ids = np.frombuffer(raw, dtype="<u4")
-            model = pieces.model
+        keys, texts = ([x or empty for x in part.column(i).to_pylist()]
+                       for i, empty in enumerate((0, "")))
+        model = pieces.model
+        for text, ids in zip(texts, pieces.encode_all(texts, keys)):
             out["n_chars"].append(len(text))
             out["n_pieces"].append(len(ids))
             out["n_byte_pieces"].append(int(((ids >= model.first_byte)
                                              & (ids <= model.last_byte)).sum()))
-            out["ids_crc32"].append(zlib.crc32(raw))
+            out["ids_crc32"].append(zlib.crc32(ids))
             out["lossless"].append(model.decode(ids.tolist()) == text)
         return {"doc_id": part.column(0), **out}
 

@@ -233,3 +233,23 @@ def test_automaton_lasts_for_the_words_of_some_megabytes(monkeypatch):
     words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(20_000)]
     tokens.count(" ".join(words))
     assert 50_000 < len(tokens.transducer.held) and not starts
+
+
+@pytest.mark.parametrize("dropout", [0, .1, .5, 1])
+def test_segments_side_by_side_equal_one_by_one(dropout, monkeypatch):
+    """Segments of a batch run as arrays, whatever their length and block."""
+    from replyscope.llm import piece_dropout
+    one, many = Pieces(PIECE, dropout, 7), Pieces(PIECE, dropout, 7)
+    rng = random.Random(8)
+    texts = [*odd_texts(300, 4), "", " ", "the " * 400, "x" * 300, "  two  marks ▁ here ", "東京" * 40]
+    texts += ["".join(rng.choices("etaoinshrdlu,. é", k=rng.randint(1, 400))) for _ in range(60)]
+    keys = [rng.randrange(-2 ** 63, 2 ** 63) for _ in texts]
+    want = [one.encode(t, k) for t, k in zip(texts, keys)]
+    monkeypatch.setattr(piece_dropout, "BLOCK_CHARS", 100)
+    assert [i.tobytes() for i in many.encode_all(texts, keys)] == want
+    monkeypatch.undo()
+    assert [i.tobytes() for i in many.encode_all(texts, keys)] == want
+    assert many.encode_all([], []) == []
+    plain = [t for t in texts if "▁" not in t and max(map(len, (" " + t).split(" "))) < 40]
+    monkeypatch.setattr(many.model, "merge_skipping", None)     # none of these runs alone
+    assert len(many.encode_all(plain, [1] * len(plain))) == len(plain)
