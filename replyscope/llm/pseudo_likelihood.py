@@ -21,7 +21,7 @@ partitions' changes are averaged in Spark, weighted by their words. The driver
 holds the weights and the broadcast counts."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,7 @@ SEED = 11
 IDS = VOCABULARY + BUCKETS
 EDGE = IDS                     # stands beyond both ends of a document
 FURTHER = IDS + 1              # ids of the vocabulary's words after the first VOCABULARY
+PAIRED = (HIDDEN + 2) // 2 * 2
 SURE = 30.0                    # log-odds of a branch whose other side is empty
 BLOCK = 1 << 14                # words scored or trained on at once
 
@@ -70,6 +71,15 @@ class Network:
                 np.zeros(shape) if name == "tree" else rng.normal(0, .1, shape)
             setattr(self, name, np.array(value, dtype=np.float32))
             at += n
+        # Of each id: its class and place in it, whether it is in a bucket, its
+        # leaf there, and its turn when words are sorted by all of these.
+        rank = np.arange(FURTHER + further) - FURTHER
+        self.top = np.where(rank >= 0, VOCABULARY + rank % BUCKETS, rank + FURTHER)
+        self.kind, self.place = self.top % CLASSES, self.top // CLASSES
+        self.leaf = np.where(rank >= 0, 1 + rank // BUCKETS, 0)
+        turn = np.empty(len(rank), dtype=np.uint16 if len(rank) <= 1 << 16 else np.int32)
+        turn[np.lexsort((self.leaf, self.place, self.kind))] = np.arange(len(rank))
+        self.turn = turn
 
     def start_from(self, counts: np.ndarray) -> "Network":
         """Biases that give each id and further word its share of the corpus
@@ -95,93 +105,122 @@ class Network:
         return self
 
     def _branches(self, centre: np.ndarray):
-        """Class ids of the words; the rows of those in buckets, their tree
-        nodes from the root on, and which way they go."""
-        rank = centre - FURTHER
-        top = np.where(rank >= 0, VOCABULARY + rank % BUCKETS, centre)
-        at = np.flatnonzero(top >= VOCABULARY) if self.depth else np.zeros(0, dtype=np.int64)
-        leaf = np.where(rank[at] >= 0, 1 + rank[at] // BUCKETS, 0)[:, None]
-        level = np.arange(self.depth)
-        nodes = ((top[at] - VOCABULARY) << self.depth)[:, None] \
+        """The words in buckets; their tree nodes from the root on, one row a
+        level, and which way they go."""
+        at = np.flatnonzero(self.top.take(centre) >= VOCABULARY) if self.depth \
+            else np.zeros(0, dtype=np.int64)
+        leaf = self.leaf.take(centre[at])
+        level = np.arange(self.depth)[:, None]
+        nodes = ((self.top[centre[at]] - VOCABULARY) << self.depth) \
             + ((1 << level) | (leaf >> (self.depth - level)))
-        return top, at, nodes, leaf >> (self.depth - 1 - level) & 1
+        return at, nodes, (leaf >> (self.depth - 1 - level) & 1).astype(bool)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.shapes])
 
     def _forward(self, around: np.ndarray, centre: np.ndarray):
-        """Words come sorted by class; ``cut`` parts the classes."""
-        x = self.embed[around].reshape(len(around), -1)
+        """Words come sorted by class; ``cut`` parts the classes. ``p`` and
+        ``q`` are the logits of classes and of ids within the word's class."""
+        x = self.embed.take(around, axis=0).reshape(len(around), -1)
         h = np.ones((len(around), HIDDEN + 1), dtype=np.float32)
-        np.tanh(x @ self.mix + self.lean, out=h[:, :HIDDEN])
-        kind, place = centre % CLASSES, centre // CLASSES
-        p = _softmax(h @ self.group)
-        cut = np.searchsorted(kind, np.arange(CLASSES + 1))
+        y = x @ self.mix
+        y += self.lean
+        h[:, :HIDDEN] = np.tanh(y, out=y)
+        kind = self.kind.take(centre)
+        p = h @ self.group
+        cut = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
         q = np.empty((len(around), IDS // CLASSES), dtype=np.float32)
         for k in range(CLASSES):
             if cut[k] < cut[k + 1]:
-                q[cut[k]:cut[k + 1]] = _softmax(h[cut[k]:cut[k + 1]] @ self.word[k])
-        return x, h, kind, place, p, q, cut
+                np.matmul(h[cut[k]:cut[k + 1]], self.word[k], out=q[cut[k]:cut[k + 1]])
+        return x, h, kind, self.place.take(centre), p, q, cut
 
     def log_probability(self, around: np.ndarray, centre: np.ndarray) -> np.ndarray:
-        top, at, nodes, right = self._branches(centre)
-        order = np.argsort(top % CLASSES, kind="stable")
-        _, h, kind, place, p, q, _ = self._forward(around[order], top[order])
-        row = np.arange(len(centre))
-        out = np.empty(len(centre))
-        out[order] = np.log(np.maximum(p[row, kind], 1e-30), dtype=np.float64) \
-            + np.log(np.maximum(q[row, place], 1e-30), dtype=np.float64)
+        order = np.argsort(self.turn.take(centre), kind="stable")
+        around, centre = around.take(order, axis=0), centre.take(order)
+        _, h, kind, place, p, q, _ = self._forward(around, centre)
+        log_p = _log_share(p, kind) + _log_share(q, place)
+        at, nodes, right = self._branches(centre)
         if len(at):
-            by_word = np.empty_like(h)
-            by_word[order] = h
-            z = (self.tree[nodes] @ by_word[at][:, :, None])[..., 0]
-            out[at] -= np.logaddexp(0, np.where(right, -z, z)).sum(axis=1, dtype=np.float64)
+            branch = self.tree.take(nodes, axis=0)
+            z = np.einsum("lij,ij->li", branch, h.take(at, axis=0))
+            # log(1 + e^z) of the way not taken
+            z[right] *= -1
+            log_p[at] -= (np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))) \
+                .sum(axis=0, dtype=np.float64)
+        out = np.empty(len(centre))
+        out[order] = log_p
         return out
 
     def step(self, around: np.ndarray, centre: np.ndarray, rate: float) -> None:
-        top = self._branches(centre)[0]
-        order = np.argsort(top % CLASSES, kind="stable")
-        around, centre = around[order], centre[order]
-        top, at, nodes, right = self._branches(centre)
-        x, h, kind, place, p, q, cut = self._forward(around, top)
+        order = np.argsort(self.turn.take(centre), kind="stable")
+        around, centre = around.take(order, axis=0), centre.take(order)
+        x, h, kind, place, p, q, cut = self._forward(around, centre)
         row, n = np.arange(len(centre)), len(centre)
+        p, q = _softmax(p), _softmax(q)
         p[row, kind] -= 1
         q[row, place] -= 1
         back = p @ self.group.T
         self.group -= rate / n * (h.T @ p)
         for k in range(CLASSES):
-            part = slice(cut[k], cut[k + 1])
             if cut[k] < cut[k + 1]:
+                part = slice(cut[k], cut[k + 1])
                 back[part] += q[part] @ self.word[k].T
                 self.word[k] -= rate / n * (h[part].T @ q[part])
+        at, nodes, right = self._branches(centre)
         if len(at):
-            branch, here = self.tree[nodes], h[at]
-            z = (branch @ here[:, :, None])[..., 0]
+            branch, here = self.tree.take(nodes, axis=0), h.take(at, axis=0)
+            z = np.einsum("lij,ij->li", branch, here)
             off = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - right.astype(np.float32)
-            back[at] += (off[:, None, :] @ branch)[:, 0]
-            _add_rows(self.tree, nodes.ravel(), -rate / n * (off[..., None] * here[:, None, :])
-                      .reshape(-1, HIDDEN + 1))
+            back[at] += np.einsum("li,lij->ij", off, branch)
+            # Words with the same node stand together at every level. Two
+            # columns are added up as one complex number.
+            rows = np.zeros((*nodes.shape, PAIRED), dtype=np.float32)
+            np.multiply(off[:, :, None], here, out=rows[..., :HIDDEN + 1])
+            rows = rows.reshape(-1, PAIRED).view(np.complex64)
+            nodes = nodes.ravel()
+            first = np.flatnonzero(np.diff(nodes, prepend=-1))
+            sums = np.add.reduceat(rows, first, axis=0).view(np.float32)
+            self.tree[nodes[first]] -= rate / n * sums[:, :HIDDEN + 1]
         back = back[:, :HIDDEN] * (1 - h[:, :HIDDEN] ** 2)
-        down = (back @ self.mix.T).reshape(-1, WIDTH)
+        down = (self.mix @ (-rate / n * back.T)).reshape(-1, WIDTH, n)
         self.mix -= rate / n * (x.T @ back)
         self.lean -= rate / n * back.sum(axis=0)
-        _add_rows(self.embed, around.ravel(), -rate / n * down)
+        _add_rows(self.embed, around.T.ravel(),
+                  (down[:, i].ravel() for i in range(WIDTH)))
 
 
-def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """Add rows to a table at places that may repeat."""
-    by_place = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.diff(at[by_place], prepend=-1))
-    table[at[by_place][first]] += np.add.reduceat(rows[by_place], first, axis=0)
+def _add_rows(table: np.ndarray, at: np.ndarray, columns: Iterable[np.ndarray]) -> None:
+    """Add rows, given by column, to a table at places that may repeat."""
+    met = np.zeros(len(table), dtype=bool)
+    met[at] = True
+    where = np.flatnonzero(met)
+    slot = np.empty(len(table), dtype=np.int64)
+    slot[where] = np.arange(len(where))
+    of = slot.take(at)
+    table[where] += np.stack([np.bincount(of, c) for c in columns], axis=1)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the rows, up to a factor for each, and their sums."""
+    if not -60 < x.min(initial=0) <= x.max(initial=0) < 60:     # else they are safe as they are
+        x -= x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    return x, x @ np.ones(x.shape[1], dtype=x.dtype)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x, total = _exp(x)
+    x /= total[:, None]
     return x
 
 
+def _log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of each row at one place."""
+    x, total = _exp(x)
+    return np.log(np.maximum(x[np.arange(len(x)), at] / total, 1e-30), dtype=np.float64)
+
+
 class Reader:
     """Turns texts into word ids and their neighbours."""
 
@@ -189,6 +228,13 @@ class Reader:
         order = np.argsort(vocabulary)
         self.hash = vocabulary[order]
         self.id = np.where(order < VOCABULARY, order, order - VOCABULARY + FURTHER)
+        # Hashes are in order, so the upper bits tell where to look for one; a
+        # slot with several is searched.
+        self.shift = np.uint64(64 - max(8 * len(order), 2).bit_length())
+        slot = (self.hash >> self.shift).view(np.int64)
+        self.several = np.bincount(slot, minlength=1 << (64 - int(self.shift))) > 1
+        self.at = np.zeros(len(self.several), dtype=np.int32)
+        self.at[slot] = np.arange(len(slot))
 
     def read(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Neighbour ids (one row per word), word ids and first words per row."""
@@ -197,15 +243,18 @@ class Reader:
     def read_words(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids = (words.hash % np.uint64(BUCKETS)).astype(np.int64) + VOCABULARY
         if len(self.hash):
-            at = np.minimum(np.searchsorted(self.hash, words.hash), len(self.hash) - 1)
-            ids = np.where(self.hash[at] == words.hash, self.id[at], ids)
-        n = len(ids)
-        lead, stop = words.first[words.row], words.first[words.row + 1]
-        around = np.full((n, 2 * WINDOW), EDGE, dtype=np.int64)
-        place = np.arange(n)
+            slot = (words.hash >> self.shift).view(np.int64)
+            at = self.at.take(slot)
+            more = np.flatnonzero(self.several.take(slot))
+            at[more] = np.minimum(np.searchsorted(self.hash, words.hash[more]), len(self.hash) - 1)
+            ids = np.where(self.hash.take(at) == words.hash, self.id.take(at), ids)
+        # Documents stand one after another with edges between them.
+        apart = np.full(len(ids) + WINDOW * len(words.first), EDGE, dtype=np.int64)
+        place = np.arange(len(ids)) + WINDOW * (words.row + 1)
+        apart[place] = ids
+        around = np.empty((len(ids), 2 * WINDOW), dtype=np.int64)
         for j, d in enumerate([*range(-WINDOW, 0), *range(1, WINDOW + 1)]):
-            there = (place + d >= lead) & (place + d < stop)
-            around[there, j] = ids[(place + d)[there]]
+            around[:, j] = apart.take(place + d)
         return around, ids, words.first
 
 
@@ -277,7 +326,8 @@ def train(docs: DataFrame, vocabulary: np.ndarray, counts: np.ndarray, rounds: i
                     order = rng.permutation(len(ids))
                     for i in range(0, len(ids), BATCH):
                         at = order[i:i + BATCH]
-                        local.step(around[at], ids[at], rate * len(at) / BATCH)
+                        local.step(around.take(at, axis=0), ids.take(at),
+                                   rate * len(at) / BATCH)
                     seen += len(ids)
             if not seen:
                 return

@@ -414,3 +414,27 @@ def test_vocabulary_grows_with_the_corpus(docs):
     assert counts[:IDS].sum() == 4 * 1500 + 1
     ids = Reader(words).read(pa.array([rows[0][1]]))[1]
     assert len(set(ids)) == 1500 and not ((ids >= VOCABULARY) & (ids <= IDS)).any()
+
+
+def test_network_helpers_against_loops():
+    """Rows are added by column, neighbours read through edges, and words whose
+    hashes share a slot are told apart."""
+    from replyscope.llm import pseudo_likelihood as pl
+    rng = np.random.default_rng(3)
+    table, at = rng.normal(size=(9, 4)).astype(np.float32), rng.integers(0, 9, 50)
+    rows = rng.normal(size=(50, 4)).astype(np.float32)
+    want = table.copy()
+    np.add.at(want, at, rows)
+    pl._add_rows(table, at, iter(rows.T))
+    assert np.allclose(table, want, atol=1e-5)
+    logits = np.asarray([[0, 1, 2], [-300, 500, 499], [-70, -80, -90]], dtype=np.float32)
+    share = pl._log_share(logits.copy(), np.asarray([2, 1, 0]))
+    assert np.allclose(share, [2 - np.log(1 + np.e + np.e ** 2), -np.log1p(np.exp(-1)), 0], atol=1e-4)
+    hashes = np.asarray([5, 6, 7, 1 << 63, (1 << 63) + 1, 2 ** 64 - 1], dtype=np.uint64)
+    words = type("W", (), {"hash": np.asarray([7, 5, 8, 2 ** 64 - 1, (1 << 63) + 1], np.uint64),
+                           "row": np.asarray([0, 0, 0, 2, 2]), "first": np.asarray([0, 3, 3, 5])})
+    around, ids, _ = Reader(hashes).read_words(words)
+    assert ids.tolist() == [2, 0, VOCABULARY + 8, 5, 4]
+    e = EDGE
+    assert around.tolist() == [[e, e, 0, VOCABULARY + 8], [e, 2, VOCABULARY + 8, e], [2, 0, e, e],
+                               [e, e, 4, e], [e, 5, e, e]]
