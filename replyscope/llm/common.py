@@ -176,3 +176,40 @@ def powers(n: int) -> np.ndarray:
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+class PairTable:
+    """Values of pairs of numbers; -1 for a pair without one. Pairs whose slot
+    is taken stand in a sorted list, which only lookups of such slots reach."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        key = np.asarray([a << 32 | b for a, b in pairs], dtype=np.int64)
+        value = np.asarray(list(pairs.values()), dtype=np.int64)
+        bits = max(len(key) * 4, 2).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.key = np.full(1 << bits, -1, dtype=np.int64)
+        self.value = np.full(1 << bits, -1, dtype=np.int64)
+        slot = self._slot(key)
+        _, first = np.unique(slot, return_index=True)
+        self.key[slot[first]], self.value[slot[first]] = key[first], value[first]
+        late = np.setdiff1d(np.arange(len(key)), first)
+        late = late[np.argsort(key[late])]
+        self.late_key, self.late_value = key[late], value[late]
+        self.full = np.zeros(1 << bits, dtype=bool)
+        self.full[slot[late]] = True
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * _BASE >> self.shift).view(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        slot = self._slot(key)
+        met = self.key[slot] == key
+        out = np.where(met, self.value[slot], -1)
+        if len(self.late_key):
+            more = np.flatnonzero(self.full[slot] & ~met)
+            if len(more):
+                at = np.minimum(np.searchsorted(self.late_key, key[more]), len(self.late_key) - 1)
+                found = self.late_key[at] == key[more]
+                out[more[found]] = self.late_value[at[found]]
+        return out

@@ -6,8 +6,10 @@ tokens of the prefix read so far. A state is the set of vocabulary-trie nodes
 that tokens still being read have reached, each with the token before it and
 the count before it relative to now. Among the tokens that end at a symbol,
 exactly one continues the segmentation before it: the one whose pair with the
-token before it is not re-segmented by the merges. States are made as they are
-first met (the full automaton need not be held) and transitions are kept.
+token before it is not re-segmented by the merges. The unknown
+words of a batch take their transitions side by side as arrays, and their
+states last for a step; words met elsewhere (longer ones, those cut by a
+chunk's border) go alone, and their states and transitions are kept.
 
 Long texts are cut into chunks. White space resets the automaton, so the state
 map of a chunk is (unfinished head, count, unfinished tail), or only a head if
@@ -20,16 +22,20 @@ import json
 import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, only
+from .common import PairTable, map_batches, only
 
 CHUNK_CHARS = 1 << 16
 MAX_RUNS = 35_000        # runs without white space remembered per worker and generation
 MAX_WORDS = 100_000      # words remembered per worker and generation
+SIDE_BY_SIDE = 1 << 13   # words that take their transitions together
+LONG_WORD = 64           # bytes from which a word goes alone
+LONG_TEXT = 1 << 22      # characters of a batch from which runs are not gathered first
 MAX_STATES = 90_000      # states kept before the automaton is started afresh
 RESETS = re.compile(r"[\t\n\v\f\r \x85\xa0  -     　]+")
 CONTROL = re.compile(r"[\x1c-\x1f]")
@@ -78,6 +84,15 @@ class Transducer:
                     self.ends.append(-1)
                 node = below
             self.ends[node] = number
+        # The same as arrays.
+        self.child = PairTable({(node, symbol): below for node, kids in enumerate(self.kids)
+                                for symbol, below in kids.items()})
+        self.inner = np.asarray([bool(k) for k in self.kids])
+        self.end = np.asarray(self.ends, dtype=np.int64)
+        self.ranks = PairTable({(at >> 32, at & 0xFFFFFFFF): r for at, r in self.rank.items()})
+        self.left, self.right = np.asarray(self.parts, dtype=np.int64).T.copy()
+        self.made = np.asarray([-1 if a < 0 else self.rank[self._pair(a, b)]
+                                for a, b in self.parts], dtype=np.int64)
         self._reset()
 
     @staticmethod
@@ -172,6 +187,61 @@ class Transducer:
             total += (move & 65535) - 32768
         return total
 
+    def _all_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``_apart`` of many pairs, without a limit."""
+        out = np.ones(len(left), dtype=bool)
+        at, limit = np.arange(len(left)), np.full(len(left), 1 << 60)
+        while len(at):
+            rank = self.ranks(left, right)
+            merged = (rank >= 0) & (rank < limit)
+            out[at[merged]] = False
+            go = ~merged & ((left >= self.symbols) | (right >= self.symbols))
+            at, left, right = at[go], left[go], right[go]
+            of_left, of_right = self.made[left], self.made[right]
+            later = of_left > of_right
+            limit = np.where(later, of_left, of_right + 1)
+            left, right = np.where(later, self.right[left], left), \
+                np.where(later, right, self.left[right])
+        return out
+
+    def counts(self, words: list[str]) -> np.ndarray:
+        """``count`` of words side by side, a symbol of each a step. A state's
+        items are rows: word, trie node, token before and count before."""
+        read = [w.encode() for w in words]
+        size = np.asarray([len(r) for r in read], dtype=np.int64)
+        order = np.argsort(-size, kind="stable")
+        stop = np.cumsum(size)
+        start, size = (stop - size)[order], size[order]
+        code = np.frombuffer(b"".join(read), dtype=np.uint8).astype(np.int64)
+        code[stop - 1] += self.last
+        n = len(read)
+        total, token = np.zeros(n, dtype=np.int64), np.full(n, -1)
+        word, node, before, count = np.arange(n), np.zeros(n, np.int64), token.copy(), total.copy()
+        for step in range(int(size.max(initial=0))):
+            live = int(np.searchsorted(-size, -step))       # the longer words come first
+            below = np.where(word < live, self.child(node, code[np.minimum(
+                start[word] + step, len(code) - 1)]), -1)
+            on = np.flatnonzero(below >= 0)
+            word, below, before, count = word[on], below[on], before[on], count[on]
+            end = self.end[below]
+            ends = np.flatnonzero(end >= 0)
+            fit = before[ends] < 0
+            check = np.flatnonzero(~fit)
+            fit[check] = self._all_apart(before[ends[check]], end[ends[check]])
+            ends = ends[fit]
+            at = word[ends]
+            if len(at) != live or not (np.bincount(at, minlength=live) == 1).all():
+                raise ValueError("no segmentation, or two")
+            total[at], token[at] = count[ends] + 1, end[ends]
+            kept = np.flatnonzero(self.inner[below])
+            word = np.concatenate([word[kept], np.arange(live)])
+            node = np.concatenate([below[kept], np.zeros(live, np.int64)])
+            before = np.concatenate([before[kept], token[:live]])
+            count = np.concatenate([count[kept], total[:live]])
+        out = np.empty(n, dtype=np.int64)
+        out[order] = total
+        return out
+
 
 class Counter:
     """Counts tokens of chunks for a word-level BPE file: NFC, white-space and
@@ -193,37 +263,47 @@ class Counter:
         self.marked = self.special_at.search
         self.words: dict[str, int] = {}
         self.old_words: dict[str, int] = {}
+        self.fresh: dict[str, int] = {}     # runs of the batch at hand
         self.young: dict[str, int] = {}
         self.old: dict[str, int] = {}
 
-    def run(self, run: str) -> int:
-        """Tokens of a run without white space."""
-        total, words = 0, self.words
+    def split(self, run: str) -> tuple[int, list[str]]:
+        """Special strings in a run without white space, and its words."""
+        marks, words = 0, []
         for i, part in enumerate(self.special_at.split(run) if self.marked(run) else (run,)):
             if i % 2:
-                total += 1
+                marks += 1
                 continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part)
             # Character by character: a sigma has no final form here.
             part = part.lower() if "\u03a3" not in part else "".join(c.lower() for c in part)
-            for word in self.pattern.findall(part):
-                n = words.get(word)
+            words += self.pattern.findall(part)
+        return marks, words
+
+    def run(self, run: str) -> int:
+        """Tokens of a run without white space."""
+        total, found = self.split(run)
+        words = self.words
+        for word in found:
+            n = words.get(word)
+            if n is None:
+                n = self.old_words.get(word)
                 if n is None:
-                    n = self.old_words.get(word)
-                    if n is None:
-                        n = self.transducer.count(word)
-                    words[word] = n
-                total += n
+                    n = self.transducer.count(word)
+                words[word] = n
+            total += n
         if len(words) > MAX_WORDS:
             self.old_words, self.words = words, {}
         return total
 
     def runs(self, runs: list[str]) -> int:
         """Paths from the start state back to itself are remembered per run."""
-        young, total = self.young, 0
+        young, fresh, total = self.young, self.fresh, 0
         for r in runs:
-            n = young.get(r)
+            n = fresh.get(r)
+            if n is None:
+                n = young.get(r)
             if n is None:
                 n = self.old.get(r)
                 if n is None:
@@ -235,6 +315,47 @@ class Counter:
             total += n
         return total
 
+    def gather(self, texts: list[str]) -> None:
+        """Count the runs of a batch's texts first, their unknown words side by
+        side."""
+        self.fresh = fresh = {}
+        found, unknown = {}, {}
+        for r in set().union(*(t.split() for t in texts)):
+            n = self.young.get(r)
+            if n is None:
+                n = self.old.get(r)
+            if n is not None:
+                fresh[r] = n
+                continue
+            found[r] = marks, words = self.split(r)
+            for w in words:
+                if w not in unknown:
+                    n = self.words.get(w)
+                    unknown[w] = self.old_words.get(w) if n is None else n
+        todo = [w for w, n in unknown.items() if n is None]
+        long = [w for w in todo if len(w) * 4 > LONG_WORD and len(w.encode()) > LONG_WORD]
+        for w in long:
+            unknown[w] = self.transducer.count(w)
+        todo = [w for w in todo if unknown[w] is None]
+        for i in range(0, len(todo), SIDE_BY_SIDE):
+            part = todo[i:i + SIDE_BY_SIDE]
+            unknown.update(zip(part, self.transducer.counts(part).tolist()))
+        for r, (marks, words) in found.items():
+            fresh[r] = self.young[r] = marks + sum(map(unknown.__getitem__, words))
+            if len(self.young) > MAX_RUNS:
+                self.old, self.young = self.young, {}
+        for w, n in unknown.items():
+            self.words[w] = n
+            if len(self.words) > MAX_WORDS:
+                self.old_words, self.words = self.words, {}
+
+    def count_all(self, texts: list[str], chunk_chars: int = CHUNK_CHARS) -> list[int]:
+        if sum(map(len, texts)) < LONG_TEXT:
+            self.gather(texts)
+        out = [self.count(t, chunk_chars) for t in texts]
+        self.fresh = {}
+        return out
+
     def chunk_map(self, chunk: str) -> tuple:
         """State map of a chunk: ``(head,)`` if it never resets, else
         ``(head, count, tail)``."""
@@ -298,7 +419,7 @@ def count_tokens(df: DataFrame, tokenizer: str, limit: int = 2048, key: str = "d
 
     def batch(part: pa.RecordBatch, tokens: Counter):
         texts = [t or "" for t in part.column(1).to_pylist()]
-        n = [tokens.count(t, chunk_chars) for t in texts]
+        n = tokens.count_all(texts, chunk_chars)
         return {"doc_id": part.column(0), "n_bytes": [len(t.encode()) for t in texts],
                 "n_tokens": n, "over_limit": [x > limit for x in n]}
 

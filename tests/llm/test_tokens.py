@@ -253,3 +253,22 @@ def test_segments_side_by_side_equal_one_by_one(dropout, monkeypatch):
     plain = [t for t in texts if "▁" not in t and max(map(len, (" " + t).split(" "))) < 40]
     monkeypatch.setattr(many.model, "merge_skipping", None)     # none of these runs alone
     assert len(many.encode_all(plain, [1] * len(plain))) == len(plain)
+
+
+def test_words_of_a_batch_equal_the_library_and_leave_no_states(word_library):
+    """Unknown words take their transitions side by side; the automaton does
+    not grow with them."""
+    tokens, rng = Counter(WORD), random.Random(11)
+    texts = odd_texts(1500, 12) + ["", "x" * 5000, "東" * 90, "ab " * 30_000]
+    texts.append(" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+                          for _ in range(20_000)))
+    want = [len(e) for e in word_library.encode_batch(texts, add_special_tokens=False)]
+    assert tokens.count_all(texts) == want
+    assert tokens.count_all(texts, 7) == want
+    held = len(tokens.transducer.held)
+    more = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 30))) for _ in range(9000)]
+    assert tokens.count_all([" ".join(more)]) == \
+        [len(word_library.encode(" ".join(more), add_special_tokens=False))]
+    assert len(tokens.transducer.held) == held
+    assert tokens.transducer.counts([]).tolist() == []
+    assert tokens.transducer.counts(more).tolist() == [tokens.transducer.count(w) for w in more]
