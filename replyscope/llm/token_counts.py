@@ -20,6 +20,8 @@ from __future__ import annotations
 import gc
 import json
 import re
+import sys
+import types
 import unicodedata
 
 import numpy as np
@@ -393,17 +395,18 @@ class Counter:
         return (whole[1] if len(whole) == 3 else 0) + self.runs([e for e in ends if e])
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
-    """One per worker process and file; its automaton grows with use. The
-    tables hold no reference cycles, so they are kept out of the collector."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
+    """One per worker process and file. The package travels by value, so its
+    globals are new in each task; the counters hang on a module of their own,
+    else every task would load one, and leave it in the frozen set for good.
+    The tables hold no reference cycles, so they are kept out of the collector."""
+    held = vars(sys.modules.setdefault("replyscope_counters",
+                                       types.ModuleType("replyscope_counters")))
+    if path not in held:
+        held[path] = Counter(path)
         gc.collect()
         gc.freeze()
-    return _COUNTERS[path]
+    return held[path]
 
 
 def count_tokens(df: DataFrame, tokenizer: str, limit: int = 2048, key: str = "doc_id",

@@ -272,3 +272,12 @@ def test_words_of_a_batch_equal_the_library_and_leave_no_states(word_library):
     assert len(tokens.transducer.held) == held
     assert tokens.transducer.counts([]).tolist() == []
     assert tokens.transducer.counts(more).tolist() == [tokens.transducer.count(w) for w in more]
+
+
+def test_a_worker_keeps_one_counter_over_its_tasks(spark):
+    """The package is pickled by value; a task's copy finds the counter of the
+    one before."""
+    from pyspark import cloudpickle
+    from replyscope.llm.token_counts import counter
+    first, second = (cloudpickle.loads(cloudpickle.dumps(lambda: counter(WORD))) for _ in range(2))
+    assert first() is second()
