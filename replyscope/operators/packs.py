@@ -7,9 +7,10 @@ pack of queries, of which it keeps the k best rows so far. So what is written
 grows with the rows, and a task holds two packs and the k best rows.
 
 A pack of queries says which clusters may hold a row for which of them; only
-those rows are scored. What a query has found so far raises its threshold. Scores
-are first taken in single precision, whose error is bounded; those that may reach
-the threshold are taken again in double precision."""
+those rows are scored, without the block that a query has probed. What a query has
+found so far raises its threshold. Scores are first taken in single precision,
+whose error is bounded; those that may reach the threshold are taken again in
+double precision."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import small
-from .pruned import CELL_SCORES, RANK_DECIMALS, SLACK, SLICE_ROWS, Clusters, _sliced, dense_rows
+from .pruned import (CELL_SCORES, RANK_DECIMALS, SLACK, SLICE_ROWS, Clusters, _sliced, dense_rows,
+                     own_block)
 
 PACK_BYTES = 8 << 20           # vectors of a pack
 TASKS_PER_CORE = 8
@@ -31,9 +33,10 @@ PAIR_NUMBERS = 1 << 19         # numbers of the pairs that are scored one by one
 
 QUERIES = pa.schema([("row", pa.list_(pa.int64())), ("own", pa.list_(pa.int64())),
                      ("least", pa.list_(pa.float64())), ("last", pa.list_(pa.int64())),
-                     ("q", pa.binary()), ("alive", pa.binary())])
+                     ("q", pa.binary()), ("alive", pa.binary()), ("probed", pa.binary())])
 ROWS = pa.schema([("share", pa.int32()), ("cluster", pa.list_(pa.int32())),
-                  ("id", pa.list_(pa.int64())), ("d", pa.binary())])
+                  ("block", pa.list_(pa.int32())), ("id", pa.list_(pa.int64())),
+                  ("d", pa.binary())])
 OUT = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
 LARGE = 1e15                   # lengths whose products don't overflow in single precision
 NO_ID = np.iinfo(np.int64).max
@@ -51,33 +54,35 @@ def _bytes(matrix: np.ndarray) -> pa.Array:
 
 # ----------------------------------------------------------------------- packs
 def query_packs(queries: DataFrame, n: int, clusters: Clusters,
-                choose: Callable) -> tuple[DataFrame, int]:
+                choose: Callable, probe: Callable) -> tuple[DataFrame, int]:
     """One pack per partition of ``queries(row, self_id, vec, least, last)``, ``n``
-    of them: those for which ``choose`` leaves a cluster, and these clusters.
-    With it the number of partitions."""
+    of them: those for which ``choose`` leaves a cluster, these clusters, and
+    those that they probed. With it the number of partitions."""
     parts = max(1, -(-n * clusters.seeds.shape[1] * 8 // PACK_BYTES))
     shared = queries.sparkSession.sparkContext.broadcast(clusters)
     step = max(1, min(SLICE_ROWS, CELL_SCORES // max(1, len(clusters))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, q, alive = [], [], []
+        held, q, alive, probed = [], [], [], []
         for part in (p for batch in batches for p in _sliced(batch, 2, step)):
-            chosen = choose(shared.value, part.column(2),
-                            part.column(3).to_numpy(zero_copy_only=False))
+            known, vec = shared.value, part.column(2)
+            least = part.column(3).to_numpy(zero_copy_only=False)
+            chosen = choose(known, vec, least)
             some = np.flatnonzero(chosen.any(axis=1))
             if len(some):
                 held.append([part.column(i).take(pa.array(some)) for i in (0, 1, 3, 4)])
-                q.append(dense_rows(part.column(2))[some])
+                q.append(dense_rows(vec)[some])
                 alive.append(np.packbits(chosen[some], axis=1))
+                probed.append(np.packbits(probe(known, vec, least)[some], axis=1))
         if held:
             yield pa.RecordBatch.from_arrays(
-                [*(_list(list(c)) for c in zip(*held)), _bytes(np.concatenate(q)),
-                 _bytes(np.concatenate(alive))], schema=QUERIES)
+                [*(_list(list(c)) for c in zip(*held)),
+                 *(_bytes(np.concatenate(c)) for c in (q, alive, probed))], schema=QUERIES)
 
     dealt = queries.select("row", "self_id", "vec", "least", "last") \
         .repartitionById(parts, F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
     return dealt.mapInArrow(run, "row array<bigint>, own array<bigint>, least array<double>, "
-                                 "last array<bigint>, q binary, alive binary"), parts
+                                 "last array<bigint>, q binary, alive binary, probed binary"), parts
 
 
 def shares(clusters: Clusters) -> tuple[list[tuple[int, int, int]], int]:
@@ -92,7 +97,7 @@ def shares(clusters: Clusters) -> tuple[list[tuple[int, int, int]], int]:
 
 
 def kb_packs(kb_blocks: DataFrame, clusters: Clusters) -> tuple[DataFrame, int]:
-    """``kb_blocks(block, id, vec)`` as packs in order of (cluster, id), and the
+    """``kb_blocks(block, id, vec)`` as packs in order of (block, id), and the
     number of shares they are made of."""
     table, n = shares(clusters)
     places = kb_blocks.sparkSession.createDataFrame(table, "block int, cluster int, share int")
@@ -100,11 +105,11 @@ def kb_packs(kb_blocks: DataFrame, clusters: Clusters) -> tuple[DataFrame, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for part in (p for batch in batches for p in _sliced(batch, 3, SLICE_ROWS)):
+        for part in (p for batch in batches for p in _sliced(batch, 4, SLICE_ROWS)):
             # A null id isn't allowed, as in the cells.
-            part.column(2).to_numpy()
+            part.column(3).to_numpy()
             held.append(part)
-            size += dense_rows(part.column(3)).nbytes
+            size += dense_rows(part.column(4)).nbytes
             if size >= PACK_BYTES:
                 yield pack(held)
                 held, size = [], 0
@@ -113,13 +118,14 @@ def kb_packs(kb_blocks: DataFrame, clusters: Clusters) -> tuple[DataFrame, int]:
 
     def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [held[0].column(0).slice(0, 1), _list([p.column(1) for p in held]),
-             _list([p.column(2) for p in held]),
-             _bytes(np.concatenate([dense_rows(p.column(3)) for p in held]))], schema=ROWS)
+            [held[0].column(0).slice(0, 1),
+             *(_list([p.column(i) for p in held]) for i in (1, 2, 3)),
+             _bytes(np.concatenate([dense_rows(p.column(4)) for p in held]))], schema=ROWS)
 
-    dealt = kb_blocks.join(hint(places), "block").select("share", "cluster", "id", "vec") \
-        .repartitionById(n, "share").sortWithinPartitions("share", "cluster", "id")
-    return dealt.mapInArrow(run, "share int, cluster array<int>, id array<bigint>, d binary"), n
+    dealt = kb_blocks.join(hint(places), "block").select("share", "cluster", "block", "id", "vec") \
+        .repartitionById(n, "share").sortWithinPartitions("share", "block", "id")
+    return dealt.mapInArrow(run, "share int, cluster array<int>, block array<int>, "
+                                 "id array<bigint>, d binary"), n
 
 
 # --------------------------------------------------------------------- scoring
@@ -148,8 +154,8 @@ class Best:
     the row that its threshold ``(least, last)`` is from."""
 
     def __init__(self, row: np.ndarray, own: pa.Array, least: np.ndarray, last: pa.Array,
-                 q: np.ndarray, alive: np.ndarray, k: int, exclude_self: bool):
-        self.row, self.q, self.alive, self.k = row, q, alive, k
+                 q: np.ndarray, alive: np.ndarray, probed: np.ndarray, k: int, exclude_self: bool):
+        self.row, self.q, self.alive, self.probed, self.k = row, q, alive, probed, k
         self.rough, self.error = single(q)
         self.own = pc.fill_null(own, 0).to_numpy()
         self.has = pc.is_valid(own).to_numpy(zero_copy_only=False) & exclude_self
@@ -162,15 +168,21 @@ class Best:
     def of(cls, batch: pa.RecordBatch, i: int, k: int, exclude_self: bool) -> "Best":
         row, own, least, last = (batch.column(c)[i].values for c in ("row", "own", "least", "last"))
         m = len(row)
-        alive = np.frombuffer(batch.column("alive")[i].as_buffer(), dtype=np.uint8).reshape(m, -1)
+        alive, probed = (np.unpackbits(np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint8)
+                                       .reshape(m, -1), axis=1).astype(bool)
+                         for c in ("alive", "probed"))
         # Copied: the batch goes when the next one comes.
         q = np.frombuffer(batch.column("q")[i].as_buffer()).reshape(m, -1).copy()
         return cls(row.to_numpy().copy(), own, least.to_numpy(), last, q,
-                   np.unpackbits(alive, axis=1).astype(bool), k, exclude_self)
+                   alive, probed, k, exclude_self)
 
-    def look_at(self, cluster: int, ids: np.ndarray, d: np.ndarray) -> None:
-        """Score rows of one cluster."""
-        mine = np.flatnonzero(self.alive[:, cluster])
+    def of_block(self, clusters: Clusters, cluster: int, block: int) -> np.ndarray:
+        """The queries that a block may hold a row for."""
+        done = self.probed[:, cluster] & (own_block(clusters, self.row, cluster) == block)
+        return np.flatnonzero(self.alive[:, cluster] & ~done)
+
+    def look_at(self, mine: np.ndarray, ids: np.ndarray, d: np.ndarray) -> None:
+        """Score rows for the queries ``mine``."""
         rough, error = single(d)
         for at in (mine[i:i + SLAB] for i in range(0, len(mine), SLAB)):
             q, held, count = self.rough[at], [], 0
@@ -178,8 +190,8 @@ class Best:
                 part = slice(start, start + SLAB)
                 with np.errstate(invalid="ignore", over="ignore"):
                     low = self.least[at] - SLACK - self.error[at] * error[part].max()
-                    i, j = places(~(q @ rough[part].T < low[:, None].astype(np.float32)))
-                held.append(self._hits(at, i, j, ids[part], d[part]))
+                    may = ~(q @ rough[part].T < low[:, None].astype(np.float32))
+                held.append(self._hits(at, may, ids[part], d[part]))
                 count += len(held[-1][0])
                 if count > MERGE_HITS:
                     self._keep(held)
@@ -187,16 +199,22 @@ class Best:
             if count:
                 self._keep(held)
 
-    def _hits(self, at: np.ndarray, i: np.ndarray, j: np.ndarray, ids: np.ndarray, d: np.ndarray):
-        """Places of queries, ids and scores of the pairs ``i, j`` that come
-        before the threshold."""
-        if len(i) * d.shape[1] > PAIR_NUMBERS:
-            score = (self.q[at] @ d.T)[i, j]
+    def _hits(self, at: np.ndarray, may: np.ndarray, ids: np.ndarray, d: np.ndarray):
+        """Places of queries, ids and scores of the pairs that come before the
+        threshold, all of which are among ``may``."""
+        if np.count_nonzero(may) * d.shape[1] > PAIR_NUMBERS:
+            scores = self.q[at] @ d.T
+            # Of many equal rows, those with higher ids than the threshold's drop out here.
+            unit = np.where(ids.min() >= self.last[at], 0.4, -0.6)
+            i, j = places(scores >= (self.least[at] + unit * 10.0 ** -RANK_DECIMALS)[:, None])
+            score = scores[i, j]
         else:
+            i, j = places(may)
             score = np.einsum("ij,ij->i", self.q[at[i]], d[j])
         place, found = at[i], ids[j]
         keyed = np.round(score, RANK_DECIMALS)
-        stays = (keyed > self.least[place]) | (keyed == self.least[place]) & (found < self.last[place])
+        least = self.least[place]
+        stays = (keyed > least) | (keyed == least) & (found < self.last[place])
         stays &= ~(self.has[place] & (self.own[place] == found)) & np.isfinite(score)
         return place[stays], found[stays], score[stays]
 
@@ -222,7 +240,8 @@ class Best:
              pa.array(self.scores[at, rank])], schema=OUT)
 
 
-def scored(batches: Iterator[pa.RecordBatch], k: int, exclude_self: bool) -> Iterator[pa.RecordBatch]:
+def scored(batches: Iterator[pa.RecordBatch], clusters: Clusters, k: int,
+           exclude_self: bool) -> Iterator[pa.RecordBatch]:
     """Candidates of pairs of packs; those of one pack of queries come one after
     the other."""
     best, first = None, None
@@ -233,26 +252,31 @@ def scored(batches: Iterator[pa.RecordBatch], k: int, exclude_self: bool) -> Ite
                 if best is not None:
                     yield best.found()
                 best, first = Best.of(batch, i, k, exclude_self), lead
-            cluster = batch.column("cluster")[i].values.to_numpy()
-            ids = batch.column("id")[i].values.to_numpy()
+            cluster, block, ids = (batch.column(c)[i].values.to_numpy()
+                                   for c in ("cluster", "block", "id"))
             d = np.frombuffer(batch.column("d")[i].as_buffer()).reshape(len(ids), -1)
-            edges = np.flatnonzero(np.concatenate([[True], cluster[1:] != cluster[:-1], [True]]))
+            edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
             for start, stop in zip(edges[:-1], edges[1:]):
-                best.look_at(cluster[start], ids[start:stop], d[start:stop])
+                mine = best.of_block(clusters, cluster[start], block[start])
+                best.look_at(mine, ids[start:stop], d[start:stop])
     if best is not None:
         yield best.found()
 
 
 def streamed(queries: DataFrame, n: int, kb_blocks: DataFrame, clusters: Clusters, k: int,
-             exclude_self: bool, choose: Callable) -> DataFrame:
+             exclude_self: bool, choose: Callable, probe: Callable) -> DataFrame:
     """``row, id, score`` of the clusters that ``choose`` leaves to each of the
-    ``n`` rows of ``queries(row, self_id, vec, least, last)``: among them every
-    row of its k best that comes before ``(least, last)``."""
-    held, parts = query_packs(queries, n, clusters, choose)
+    ``n`` rows of ``queries(row, self_id, vec, least, last)``, without the blocks
+    that it probed: among them every row of its k best that comes before
+    ``(least, last)``."""
+    held, parts = query_packs(queries, n, clusters, choose, probe)
     passed, most = kb_packs(kb_blocks, clusters)
     tasks = queries.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
     groups = min(most, -(-tasks // parts))
     passed = passed.repartitionById(groups, F.pmod("share", F.lit(groups)).cast("int"))
     # Of a product, the first side is streamed and the second held.
+    known = queries.sparkSession.sparkContext.broadcast(Clusters(
+        clusters.kind, clusters.seeds[:0], clusters.sizes, clusters.first, clusters.blocks))
     return passed.hint("shuffle_replicate_nl").crossJoin(held).mapInArrow(
-        lambda batches: scored(batches, k, exclude_self), "row bigint, id bigint, score double")
+        lambda batches: scored(batches, known.value, k, exclude_self),
+        "row bigint, id bigint, score double")

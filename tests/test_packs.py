@@ -107,7 +107,8 @@ def test_packs_hold_bounded_rows_in_order_of_cluster_and_id(spark, monkeypatch):
     assert 1 < n <= len(rows)
     assert max(len(r.d) for r in rows) < 1000 + 5 * 16
     for r in rows:
-        assert list(zip(r.cluster, r.id)) == sorted(zip(r.cluster, r.id))
+        assert list(zip(r.block, r.id)) == sorted(zip(r.block, r.id))
+        assert all(c == (0 if b < 4 else 2) for c, b in zip(r.cluster, r.block))
         assert np.frombuffer(r.d).reshape(-1, 2)[:, 0].tolist() == list(r.id)
     assert sorted(i for r in rows for i in r.id) == [i for i in range(400) if i % 7 != 4]
 
@@ -123,8 +124,8 @@ def test_single_precision_misses_no_row():
         far = np.abs(rough - q @ d.T) > e[:, None] * f
     assert not far[:, :20].any() and not far[:, 21:].any() and f[20] == np.inf
     best = packs.Best(np.arange(60), pa.array([None] * 60, pa.int64()), np.full(60, -np.inf),
-                      pa.array([None] * 60, pa.int64()), q, np.ones((60, 8), bool), 5, True)
-    best.look_at(0, np.arange(70), d)
+                      pa.array([None] * 60, pa.int64()), q, None, None, 5, True)
+    best.look_at(np.arange(60), np.arange(70), d)
     want = np.argsort(-np.round(q @ d.T, 9), axis=1, kind="stable")[:, :5]
     assert (best.ids == want).all()
 
@@ -138,7 +139,23 @@ def test_places_are_those_of_nonzero(shape):
 def test_ties_go_to_the_lower_id_of_the_threshold():
     q = np.array([[1.0, 0.0]])
     best = packs.Best(np.array([7]), pa.array([3]), np.array([0.5]), pa.array([40]), q,
-                      np.ones((1, 8), bool), 2, True)
+                      None, None, 2, True)
     ids = np.array([1, 3, 39, 41, 50])
-    best.look_at(0, ids, np.array([[0.5, 0], [0.9, 0], [0.5, 0], [0.5, 0], [0.7, 0]]))
+    best.look_at(np.array([0]), ids, np.array([[0.5, 0], [0.9, 0], [0.5, 0], [0.5, 0], [0.7, 0]]))
     assert best.found().to_pydict() == {"row": [7, 7], "id": [50, 1], "score": [0.7, 0.5]}
+
+
+@pytest.mark.parametrize("most", [0, 99])
+def test_equal_rows_have_no_copies_per_block(spark, monkeypatch, written, most):
+    monkeypatch.setattr(pruned, "MOST_COPIES", most)
+    rng = np.random.default_rng(2)
+    kb = dict(enumerate(scattered(rng, 400, 6)))
+    kb |= {i: kb[0].copy() for i in range(1, 300)}
+    queries = {i: (i, kb[i]) for i in range(0, 400, 2)}
+    s = search_dense(*dense_frames(spark, queries, kb), 3, True, block_rows=10, cluster_rows=20)
+    same(found(s), dense_brute(queries, kb, 3, True))
+    assert s.clusters.blocks.max() >= 20
+    # Before, a query like the others was copied to all blocks of their cluster.
+    assert s.copies[0].count() <= 2 * len(queries)
+    both = [{(r["row"], r["block"]) for r in c.select("row", "block").collect()} for c in s.copies]
+    assert not both[0] & both[1]
